@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.exprs import net_amount
 from plumbline.operators.previews import half_subset
 from plumbline.operators.rollups import local_daily, utc_daily
+from plumbline.operators.scope import attach
 from plumbline.plans import loads
 
 Tables = dict[str, DataFrame]
@@ -417,31 +418,35 @@ def record_text(record: DataFrame, drop: str | None = None, as_text: str | None
     return F.to_json(F.struct(*fields))
 
 
-def land_pages(records: DataFrame, statuses: tuple[int | None, ...] = (200,)) -> DataFrame:
+def land_pages(records: DataFrame, statuses: tuple[int | None, ...] = (200,), by: tuple[str, ...] = (),
+               last_pages: DataFrame | None = None) -> DataFrame:
     """Attempt rows for records that carry ``page``, ``pos`` and ``text``.
 
     A page holds the few records of one response. Each page is answered by the
     given statuses in turn; if the last one is not 200 the crawl ends there.
+    ``last_pages`` states the last page of each crawl where it may have no records.
     """
     items = F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"])
-    pages = records.groupBy("page").agg(items.alias("items"))
-    last_page = records.agg(F.max("page")).scalar()
-    total = records.agg(F.count(F.lit(1))).scalar()
-    follows = F.when(F.col("page") < last_page, (F.col("page") + 1).cast("string")).otherwise(F.lit("null"))
+    pages = records.groupBy(*by, "page").agg(items.alias("items"))
+    crawl = records.groupBy(*by).agg(
+        F.min("page").alias("first_page"), F.max("page").alias("_last"), F.count(F.lit(1)).alias("total"))
+    pages = attach(pages, crawl, by)
+    if last_pages is not None:
+        pages = attach(pages.drop("_last"), last_pages.select(*by, F.col("last_page").alias("_last")), by)
+    follows = F.when(F.col("page") < F.col("_last"), (F.col("page") + 1).cast("string")).otherwise(F.lit("null"))
     good = F.concat(
         F.lit('{"items":['), F.array_join("items", ","), F.lit('],"next_page":'), follows,
-        F.lit(',"total":'), total.cast("string"), F.lit("}"),
+        F.lit(',"total":'), F.col("total").cast("string"), F.lit("}"),
     )
-    ok = statuses[-1] == 200
-    if not ok:
-        pages = pages.where(F.col("page") == records.agg(F.min("page")).scalar())
+    if statuses[-1] != 200:
+        pages = pages.where(F.col("page") == F.col("first_page"))
     tries = F.explode(F.array(*[
         F.struct(F.lit(i).alias("attempt"), F.lit(s).cast("int").alias("status")) for i, s in enumerate(statuses, 1)
     ])).alias("try")
     unavailable = F.when(F.col("try.status").isNull(), F.lit('{"error":"TIMEOUT"}')).otherwise(
         F.lit('{"error":"TEMPORARILY_UNAVAILABLE"}'))
-    return pages.select("page", "items", tries).select(
-        F.col("page").cast("bigint").alias("page"), F.col("try.attempt").alias("attempt"),
+    return pages.select("*", tries).select(
+        *by, F.col("page").cast("bigint").alias("page"), F.col("try.attempt").alias("attempt"),
         F.col("try.status").alias("status"),
         F.when(F.col("try.status") == 429, F.lit('{"Content-Type":"application/json","Retry-After":"0"}'))
         .when(F.col("try.status").isNotNull(), F.lit('{"Content-Type":"application/json"}')).alias("headers"),

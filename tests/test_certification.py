@@ -1,5 +1,7 @@
 """Every check over every clean and defective variant, against independently stated counts."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from plumbline.contracts import QualityStatus
@@ -12,7 +14,9 @@ from tests import fixtures
 def test_variant_counts(spark, check):
     expected = fixtures.COUNTS[check]
     names = fixtures.READS[check]
-    variants = {v: fixtures.materialize(fixtures.build(spark, check, v), names) for v in expected}
+    with ThreadPoolExecutor(4) as pool:
+        built = pool.map(lambda v: fixtures.materialize(fixtures.build(spark, check, v), names), expected)
+        variants = dict(zip(expected, built))
     cases = certify(CHECKS[check], variants, names, expected)
     assert {c.variant: c.count for c in cases} == expected
     assert {c.status for c in cases} == {QualityStatus.PASS}
