@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.reconcile import diff_count, duplicate_count
+from plumbline.operators.reconcile import diff_and_duplicates
 from plumbline.operators.scope import By, attach, totals
 
 Tables = dict[str, DataFrame]
@@ -13,10 +13,8 @@ Tables = dict[str, DataFrame]
 
 def _against(expected: str, observed: str, keys: list[str], fields: list[str]):
     def check(t: Tables, by: By = (), labels=None) -> DataFrame:
-        return totals({
-            "contract_mismatch": diff_count(t[expected], t[observed], keys, fields, by),
-            "duplicate_keys": duplicate_count(t[observed], keys, by),
-        }, by, labels)
+        found = diff_and_duplicates(t[expected], t[observed], keys, fields, "contract_mismatch", "duplicate_keys", by)
+        return totals([found], by, labels)
 
     check.__doc__ = f"Compare {observed} with {expected} by {', '.join(keys)}."
     return check
@@ -36,7 +34,5 @@ def access_contract(t: Tables, by: By = (), labels=None) -> DataFrame:
     agreed = (F.col("outcome") == "ALLOWED") & (F.col("observed_at") <= F.col("as_of"))
     actual = observed.withColumn("agreed", F.coalesce(agreed, F.lit(False)))
     expected = t["az_required_access"].withColumn("agreed", F.lit(True))
-    return totals({
-        "access_mismatch": diff_count(expected, actual, ["observation_id"], fields, by),
-        "duplicate_keys": duplicate_count(t["az_access"], ["observation_id"], by),
-    }, by, labels)
+    found = diff_and_duplicates(expected, actual, ["observation_id"], fields, "access_mismatch", "duplicate_keys", by)
+    return totals([found], by, labels)

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.exprs import any_of, distinct_from, epoch_micros
 from plumbline.operators.reconcile import (
-    diff_count, duplicate_count, unmatched_rows, weighted_left_violations,
+    diff_and_duplicates, diff_count, duplicate_count, unmatched_rows, weighted_left_violations,
 )
 from plumbline.operators.rollups import sum_by
-from plumbline.operators.scope import By, attach, count_where, totals
-from plumbline.operators.versions import latest_by, ordered_pair_sum, rank_struct
+from plumbline.operators.scope import By, attach, count_where, sum_of, totals
+from plumbline.operators.versions import latest_by, ordered_pairs, rank_struct
 
 Tables = dict[str, DataFrame]
 
@@ -27,8 +27,8 @@ def latest_visible(t: Tables, by: By = ()) -> DataFrame:
     return latest_by(seen.drop("_batch", "_as_of"), [*by, "order_id"], ["event_id"])
 
 
-def _layer_diff(expected: DataFrame, actual: DataFrame, by: By) -> DataFrame:
-    return diff_count(expected, actual, ["order_id"], RECORD, by)
+def _layer(expected: DataFrame, actual: DataFrame, diff: str, duplicates: str, by: By) -> DataFrame:
+    return diff_and_duplicates(expected, actual, ["order_id"], RECORD, diff, duplicates, by)
 
 
 def _every_label(t: Tables, facts: DataFrame, by: By) -> DataFrame:
@@ -36,11 +36,8 @@ def _every_label(t: Tables, facts: DataFrame, by: By) -> DataFrame:
     return t["cloud_context"].select(*by).distinct().join(facts, list(by), "left") if by else facts
 
 
-def _target_parts(t: Tables, by: By) -> dict[str, DataFrame]:
-    return {
-        "target_mismatch": _layer_diff(latest_visible(t, by), t["cloud_target"], by),
-        "duplicate_keys": duplicate_count(t["cloud_target"], ["order_id"], by),
-    }
+def _target(t: Tables, by: By) -> DataFrame:
+    return _layer(latest_visible(t, by), t["cloud_target"], "target_mismatch", "duplicate_keys", by)
 
 
 def lineage(t: Tables, by: By = (), labels=None) -> DataFrame:
@@ -52,37 +49,35 @@ def lineage(t: Tables, by: By = (), labels=None) -> DataFrame:
     dependent = activities.where(F.col("dependency_id").isNotNull())
     rows_per_run = t["cloud_target"].groupBy(*by, "run_id").agg(F.count(F.lit(1)).alias("c"))
     orphans = rows_per_run.join(runs.select(*by, "run_id").distinct(), [*by, "run_id"], "left_anti")
-    return totals({
-        "activity_problems": weighted_left_violations(
-            activities, runs, ["run_id"], ["run_id"], unknown, F.col("execution_status") == "UNKNOWN", by
+    return totals([
+        weighted_left_violations(
+            activities, runs, ["run_id"], ["run_id"], unknown, F.col("execution_status") == "UNKNOWN", by,
+            "activity_problems",
         ),
-        "unmet_dependencies": weighted_left_violations(
+        weighted_left_violations(
             dependent, activities, ["dependency_id", "run_id"], ["activity_id", "run_id"],
-            F.lit(False), distinct_from("execution_status", F.lit("SUCCESS")), by,
+            F.lit(False), distinct_from("execution_status", F.lit("SUCCESS")), by, "unmet_dependencies",
         ),
-        "orphan_rows": orphans.groupBy(*by).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n")),
-    }, by, labels)
+        sum_of(orphans, by, orphan_rows=F.col("c")),
+    ], by, labels)
 
 
 def schema_contract(t: Tables, by: By = (), labels=None) -> DataFrame:
     keys = ["dataset", "column_name"]
-    return totals({
-        "schema_mismatch": diff_count(t["cloud_expected_schema"], t["cloud_schema"], keys, ["data_type"], by),
-        "duplicate_columns": duplicate_count(t["cloud_schema"], keys, by),
-    }, by, labels)
+    found = diff_and_duplicates(
+        t["cloud_expected_schema"], t["cloud_schema"], keys, ["data_type"], "schema_mismatch", "duplicate_columns", by
+    )
+    return totals([found], by, labels)
 
 
 def layers(t: Tables, by: By = (), labels=None) -> DataFrame:
     """Each layer against the one before it."""
     bronze, silver, target = t["cloud_bronze"], t["cloud_silver"], t["cloud_target"]
-    return totals({
-        "bronze_mismatch": _layer_diff(latest_visible(t, by), bronze, by),
-        "silver_mismatch": _layer_diff(bronze, silver, by),
-        "target_mismatch": _layer_diff(silver, target, by),
-        "bronze_duplicates": duplicate_count(bronze, ["order_id"], by),
-        "silver_duplicates": duplicate_count(silver, ["order_id"], by),
-        "target_duplicates": duplicate_count(target, ["order_id"], by),
-    }, by, labels)
+    return totals([
+        _layer(latest_visible(t, by), bronze, "bronze_mismatch", "bronze_duplicates", by),
+        _layer(bronze, silver, "silver_mismatch", "silver_duplicates", by),
+        _layer(silver, target, "target_mismatch", "target_duplicates", by),
+    ], by, labels)
 
 
 def copy_metrics(t: Tables, by: By = (), labels=None) -> DataFrame:
@@ -98,15 +93,13 @@ def copy_metrics(t: Tables, by: By = (), labels=None) -> DataFrame:
     ])
     found = _every_label(t, publishing.groupBy(*by).agg(F.count(F.lit(1)).alias("c")), by)
     absent = F.when(F.coalesce("c", F.lit(0)) == 0, F.lit(1)).otherwise(F.lit(0))
-    return totals({
-        **_target_parts(t, by),
-        "metric_mismatch": count_where(measured, wrong, by),
-        "no_target_activity": found.select(*by, absent.alias("n")),
-    }, by, labels)
+    return totals([
+        _target(t, by), count_where(measured, by, metric_mismatch=wrong), found.select(*by, absent.alias("no_target_activity")),
+    ], by, labels)
 
 
 def watermark_load(t: Tables, by: By = (), labels=None) -> DataFrame:
-    return totals(_target_parts(t, by), by, labels)
+    return totals([_target(t, by)], by, labels)
 
 
 def last_step(steps: DataFrame, by: By = ()) -> DataFrame:
@@ -119,15 +112,12 @@ def publication_recovery(t: Tables, by: By = (), labels=None) -> DataFrame:
     step = attach(_every_label(t, last_step(t["cloud_steps"], by), by),
                   t["cloud_context"].select(*by, F.col("batch_no").alias("selected_batch")), by)
     done = (F.col("step.execution_status") == "SUCCESS") & (F.col("step.batch_no") == F.col("selected_batch"))
-    return totals({
-        **_target_parts(t, by),
-        "failed_activities": count_where(
-            t["cloud_activities"], distinct_from("execution_status", F.lit("SUCCESS")), by
-        ),
-        "checkpoint_problem": step.select(
-            *by, F.when(F.coalesce(done, F.lit(False)), F.lit(0)).otherwise(F.lit(1)).alias("n")
-        ),
-    }, by, labels)
+    problem = F.when(F.coalesce(done, F.lit(False)), F.lit(0)).otherwise(F.lit(1))
+    return totals([
+        _target(t, by),
+        count_where(t["cloud_activities"], by, failed_activities=distinct_from("execution_status", F.lit("SUCCESS"))),
+        step.select(*by, problem.alias("checkpoint_problem")),
+    ], by, labels)
 
 
 def partition_manifest(t: Tables, by: By = (), labels=None) -> DataFrame:
@@ -137,12 +127,10 @@ def partition_manifest(t: Tables, by: By = (), labels=None) -> DataFrame:
     evidence is complete is a separate question (see ``operators.verdicts``).
     """
     listed = sum_by(t["cloud_manifest"], [*by, "partition_key"], "row_count")
-    return totals({
-        "partition_mismatch": diff_count(
-            t["cloud_expected_partitions"], listed, ["partition_key"], ["row_count"], by
-        ),
-        "duplicate_files": duplicate_count(t["cloud_manifest"], ["file_key"], by),
-    }, by, labels)
+    return totals([
+        diff_count(t["cloud_expected_partitions"], listed, ["partition_key"], ["row_count"], by, "partition_mismatch"),
+        duplicate_count(t["cloud_manifest"], ["file_key"], by, "duplicate_files"),
+    ], by, labels)
 
 
 def reference_freshness(t: Tables, by: By = (), labels=None) -> DataFrame:
@@ -176,14 +164,9 @@ def reference_freshness(t: Tables, by: By = (), labels=None) -> DataFrame:
     ages = seen.where(known & ~undated & F.col("age").isNotNull()).select(
         *on, (F.col("age") - 1).alias("t"), F.lit(0).alias("a"), F.lit(1).alias("b")
     )
-    late = ordered_pair_sum(limits.unionByName(ages), on, "t", "a", "b", _DAY)
-
-    def total(df: DataFrame, column) -> DataFrame:
-        return df.groupBy(*by).agg(F.coalesce(F.sum(column), F.lit(0)).alias("n"))
-
+    late = ordered_pairs(limits.unionByName(ages), on, "t", "a", "b", _DAY)
     undated_pairs = F.when(known, F.col("n_expected") * F.col("n_bad")).otherwise(F.lit(0))
-    return totals({
-        "unmatched_references": total(per_key, unmatched_rows(keys)),
-        "undated_references": total(per_key, undated_pairs),
-        "late_references": total(late, F.col("pairs")),
-    }, by, labels)
+    return totals([
+        sum_of(per_key, by, unmatched_references=unmatched_rows(keys), undated_references=undated_pairs),
+        sum_of(late, by, late_references=F.col("pairs")),
+    ], by, labels)

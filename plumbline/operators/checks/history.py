@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.exprs import any_of, minutes
-from plumbline.operators.reconcile import diff_count, duplicate_count
-from plumbline.operators.scope import By, attach, count_where, totals
+from plumbline.operators.reconcile import diff_and_duplicates, diff_count
+from plumbline.operators.scope import By, attach, sum_of, totals
 from plumbline.operators.versions import latest_by, overlap_pairs, type1_current, type2_history
 
 Tables = dict[str, DataFrame]
@@ -19,10 +19,10 @@ def incremental_load(t: Tables, by: By = (), labels=None) -> DataFrame:
     visible = attach(t["incremental_events"], clock, by).where(F.col("arrived_at") <= F.col("as_of")).drop("as_of")
     expected = latest_by(visible, [*by, "order_id"], ["event_at", "event_id"])
     fields = ["event_id", "event_at", "net_amount"]
-    return totals({
-        "version_mismatch": diff_count(expected, t["incremental_target"], ["order_id"], fields, by),
-        "duplicate_keys": duplicate_count(t["incremental_target"], ["order_id"], by),
-    }, by, labels)
+    found = diff_and_duplicates(
+        expected, t["incremental_target"], ["order_id"], fields, "version_mismatch", "duplicate_keys", by
+    )
+    return totals([found], by, labels)
 
 
 def freshness_pairs(requirements: DataFrame, observations: DataFrame, by: By = ()) -> DataFrame:
@@ -62,27 +62,29 @@ def freshness(t: Tables, by: By = (), labels=None) -> DataFrame:
     An age of exactly the limit is fresh; one microsecond more is not.
     """
     pairs = freshness_pairs(t["freshness_requirements"], t["freshness_observations"], by)
-    n = pairs.groupBy(*by).agg(F.coalesce(F.sum(F.when(F.col("violated"), F.col("n"))), F.lit(0)).alias("n"))
-    return totals({"not_fresh": n}, by, labels)
+    return totals([sum_of(pairs, by, not_fresh=F.when(F.col("violated"), F.col("n")))], by, labels)
 
 
 def type1_customers(t: Tables, by: By = (), labels=None) -> DataFrame:
     expected = type1_current(t["source_customer_changes"], by)
-    n = diff_count(expected, t["target_customers_current"], ["customer_id"], ["tier", "effective_at", "event_id"], by)
-    return totals({"current_mismatch": n}, by, labels)
+    fields = ["tier", "effective_at", "event_id"]
+    found = diff_count(expected, t["target_customers_current"], ["customer_id"], fields, by, "current_mismatch")
+    return totals([found], by, labels)
 
 
 def type2_customers(t: Tables, by: By = (), labels=None) -> DataFrame:
     """History against the change log, plus the invariants of half-open intervals."""
     history = t["target_customer_history"]
     expected = type2_history(t["source_customer_changes"], by)
-    current = history.groupBy(*by, "customer_id").agg(F.count_if("is_current").alias("current_rows"))
-    return totals({
-        "history_mismatch": diff_count(
-            expected, history, ["customer_id", "valid_from"], ["tier", "valid_to", "is_current"], by
-        ),
-        "overlap_pairs": overlap_pairs(history, by=by),
-        "not_one_current": count_where(current, F.col("current_rows") != 1, by),
-        "bad_ranges": count_where(history, F.col("valid_to") <= F.col("valid_from"), by),
-        "duplicate_starts": duplicate_count(history, ["customer_id", "valid_from"], by),
-    }, by, labels)
+    starts = diff_and_duplicates(
+        expected, history, ["customer_id", "valid_from"], ["tier", "valid_to", "is_current"],
+        "history_mismatch", "duplicate_starts", by,
+    )
+    per_customer = history.groupBy(*by, "customer_id").agg(
+        F.count_if("is_current").alias("current_rows"),
+        F.count_if(F.col("valid_to") <= F.col("valid_from")).alias("bad"),
+    )
+    customers = sum_of(
+        per_customer, by, not_one_current=(F.col("current_rows") != 1).cast("bigint"), bad_ranges=F.col("bad")
+    )
+    return totals([starts, customers, overlap_pairs(history, by=by, name="overlap_pairs")], by, labels)

@@ -7,91 +7,79 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.exprs import net_amount
 from plumbline.operators.reconcile import (
-    diff_count, duplicate_count, inner_mismatch_count, key_difference_counts,
+    diff_count, differing_pairs, duplicate_count, duplicate_key, inner_mismatch_count, key_counts, missing_key,
+    unexpected_key,
 )
 from plumbline.operators.rollups import sum_by, utc_daily
-from plumbline.operators.scope import By, count_where, totals
+from plumbline.operators.scope import By, count_where, sum_of, totals
 from plumbline.operators.versions import latest_by
 
 Tables = dict[str, DataFrame]
+KEY = ["order_id"]
 
 
-def _key_parts(t: Tables, by: By):
-    counts = key_difference_counts(t["source_orders"], t["target_orders"], ["order_id"], by)
-    return {
-        "missing_keys": counts.select(*by, F.col("missing_count").alias("n")),
-        "unexpected_keys": counts.select(*by, F.col("unexpected_count").alias("n")),
-    }
-
-
-def _calculation(t: Tables, by: By) -> DataFrame:
-    source = t["source_orders"].select(*by, "order_id", net_amount().alias("net_amount"))
-    return inner_mismatch_count(source, t["target_orders"], ["order_id"], ["net_amount"], by)
+def _calculated(t: Tables, by: By) -> DataFrame:
+    return t["source_orders"].select(*by, "order_id", net_amount().alias("net_amount"))
 
 
 def _daily(t: Tables, by: By) -> DataFrame:
-    return diff_count(
-        t["gold_daily_sales"], t["target_daily_sales"], ["order_date"], ["order_count", "net_revenue"], by
-    )
+    fields = ["order_count", "net_revenue"]
+    return diff_count(t["gold_daily_sales"], t["target_daily_sales"], ["order_date"], fields, by, "daily_mismatch")
 
 
 def key_completeness(t: Tables, by: By = (), labels=None) -> DataFrame:
-    """Keys missing from the target plus keys the source never had."""
-    counts = key_difference_counts(t["source_orders"], t["target_orders"], ["order_id"], by)
-    sums = F.col("missing_count") + F.col("unexpected_count")
-    if by:
-        return totals(_key_parts(t, by), by, labels)
-    return counts.select(
-        F.col("missing_count").alias("missing_keys"), F.col("unexpected_count").alias("unexpected_keys"),
-        sums.alias("violation_count"),
-    )
+    """Keys missing from the target plus keys the source never had; equal counts prove nothing."""
+    per_key = key_counts(t["source_orders"], t["target_orders"], KEY, by=by)
+    return totals([sum_of(per_key, by, missing_keys=missing_key(), unexpected_keys=unexpected_key())], by, labels)
 
 
 def positive_customer(t: Tables, by: By = (), labels=None) -> DataFrame:
     """Target rows whose customer id is zero or negative."""
-    return totals({"non_positive_customer": count_where(t["target_orders"], F.col("customer_id") <= 0, by)}, by, labels)
+    return totals([count_where(t["target_orders"], by, non_positive_customer=F.col("customer_id") <= 0)], by, labels)
 
 
 def net_present(t: Tables, by: By = (), labels=None) -> DataFrame:
     """Target rows without a net amount; zero is a valid amount."""
-    return totals({"null_net_amount": count_where(t["target_orders"], F.col("net_amount").isNull(), by)}, by, labels)
+    return totals([count_where(t["target_orders"], by, null_net_amount=F.col("net_amount").isNull())], by, labels)
 
 
 def unique_orders(t: Tables, by: By = (), labels=None) -> DataFrame:
     """Order keys that occur more than once in the target."""
-    return totals({"duplicate_keys": duplicate_count(t["target_orders"], ["order_id"], by)}, by, labels)
+    return totals([duplicate_count(t["target_orders"], KEY, by, "duplicate_keys")], by, labels)
 
 
 def net_calculation(t: Tables, by: By = (), labels=None) -> DataFrame:
     """Joined orders whose net amount is not gross less discount less refund."""
-    return totals({"wrong_net_amount": _calculation(t, by)}, by, labels)
+    wrong = inner_mismatch_count(_calculated(t, by), t["target_orders"], KEY, ["net_amount"], by, "wrong_net_amount")
+    return totals([wrong], by, labels)
 
 
 def order_capstone(t: Tables, by: By = (), labels=None) -> DataFrame:
-    """Keys, nulls, duplicates, calculation and daily totals; defects add up."""
-    return totals({
-        **_key_parts(t, by),
-        "null_net_amount": count_where(t["target_orders"], F.col("net_amount").isNull(), by),
-        "duplicate_keys": duplicate_count(t["target_orders"], ["order_id"], by),
-        "wrong_net_amount": _calculation(t, by),
-        "daily_mismatch": _daily(t, by),
-    }, by, labels)
+    """Keys, nulls, duplicates, calculation and daily totals; defects add up.
+
+    The first four come from one pass over both order tables.
+    """
+    per_key = key_counts(_calculated(t, by), t["target_orders"], KEY, ["net_amount"], by, absent="net_amount")
+    orders = sum_of(
+        per_key, by, missing_keys=missing_key(), unexpected_keys=unexpected_key(), null_net_amount=F.col("n_absent"),
+        duplicate_keys=duplicate_key(), wrong_net_amount=differing_pairs(KEY),
+    )
+    return totals([orders, _daily(t, by)], by, labels)
 
 
 def join_grain(t: Tables, by: By = (), labels=None) -> DataFrame:
     """Order totals from lines alone; payments have another grain and stay out."""
     expected = sum_by(t["order_lines"], [*by, "order_id"], "net_amount")
-    n = diff_count(expected, t["target_order_totals"], ["order_id"], ["net_amount"], by)
-    return totals({"total_mismatch": n}, by, labels)
+    return totals([diff_count(expected, t["target_order_totals"], KEY, ["net_amount"], by, "total_mismatch")], by, labels)
 
 
 def latest_version(t: Tables, by: By = (), labels=None) -> DataFrame:
     expected = latest_by(t["source_order_events"], [*by, "order_id"], ["updated_at", "event_id"])
-    n = diff_count(expected, t["target_current_orders"], ["order_id"], ["event_id", "updated_at", "net_amount"], by)
-    return totals({"version_mismatch": n}, by, labels)
+    fields = ["event_id", "updated_at", "net_amount"]
+    return totals([diff_count(expected, t["target_current_orders"], KEY, fields, by, "version_mismatch")], by, labels)
 
 
 def utc_days(t: Tables, by: By = (), labels=None) -> DataFrame:
     expected = utc_daily(t["source_time_orders"], by=by)
-    n = diff_count(expected, t["target_utc_daily"], ["order_date"], ["order_count", "net_revenue"], by)
-    return totals({"day_mismatch": n}, by, labels)
+    fields = ["order_count", "net_revenue"]
+    return totals([diff_count(expected, t["target_utc_daily"], ["order_date"], fields, by, "day_mismatch")], by, labels)

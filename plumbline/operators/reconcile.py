@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.exprs import any_of
-from plumbline.operators.scope import By
+from plumbline.operators.scope import By, sum_of
 
 
 def _tagged(df: DataFrame, columns: Sequence[str], expected: int, actual: int) -> DataFrame:
@@ -37,15 +37,26 @@ def stack_sides(expected: DataFrame, actual: DataFrame, columns: Sequence[str])
 
 
 def key_counts(
-    expected: DataFrame, actual: DataFrame, keys: Sequence[str], fields: Sequence[str] = (), by: By = ()
+    expected: DataFrame, actual: DataFrame, keys: Sequence[str], fields: Sequence[str] = (), by: By = (),
+    absent: str | None = None,
 ) -> DataFrame:
-    """Per key: rows on each side and joined pairs whose fields all agree."""
+    """Per key: rows on each side and joined pairs whose fields all agree.
+
+    ``absent`` names a compared field whose NULLs on the actual side are counted
+    along as ``n_absent``.
+    """
     grouping = [*by, *keys]
     rows = stack_sides(expected, actual, [*grouping, *fields])
+    extra = []
+    if absent:
+        extra = [F.coalesce(F.sum(F.when(F.col(absent).isNull(), F.col("n_actual"))), F.lit(0)).alias("n_absent")]
+    if not fields:
+        return rows.withColumn("n_equal", F.col("n_expected") * F.col("n_actual"))
     return rows.groupBy(*grouping).agg(
         F.sum("n_expected").alias("n_expected"),
         F.sum("n_actual").alias("n_actual"),
         F.sum(F.col("n_expected") * F.col("n_actual")).alias("n_equal"),
+        *extra,
     )
 
 
@@ -53,6 +64,8 @@ def _null_key(keys: Sequence[str]) -> Column:
     return any_of(F.col(k).isNull() for k in keys)
 
 
+# Values of one key, from its counts. Sums over keys give the reports below.
+
 def differing_pairs(keys: Sequence[str]) -> Column:
     """Joined pairs with a difference; NULL keys never join."""
     pairs = F.col("n_expected") * F.col("n_actual") - F.col("n_equal")
@@ -65,6 +78,24 @@ def unmatched_rows(keys: Sequence[str]) -> Column:
     return F.when(alone, F.col("n_expected") + F.col("n_actual")).otherwise(F.lit(0))
 
 
+def difference(keys: Sequence[str]) -> Column:
+    """Rows a full outer join flags: absent on one side, or any field distinct."""
+    return unmatched_rows(keys) + differing_pairs(keys)
+
+
+def missing_key() -> Column:
+    return (F.col("n_actual") == 0).cast("bigint")
+
+
+def unexpected_key() -> Column:
+    return (F.col("n_expected") == 0).cast("bigint")
+
+
+def duplicate_key() -> Column:
+    """The key occurs more than once on the actual side; NULL keys form one group."""
+    return (F.col("n_actual") > 1).cast("bigint")
+
+
 def diff_by_key(expected, actual, keys, fields=(), by: By = ()) -> DataFrame:
     """Per key: unmatched rows and differing pairs, as a full outer join would report."""
     return key_counts(expected, actual, keys, fields, by).select(
@@ -74,16 +105,20 @@ def diff_by_key(expected, actual, keys, fields=(), by: By = ()) -> DataFrame:
     )
 
 
-def diff_count(expected, actual, keys, fields=(), by: By = ()) -> DataFrame:
-    """Rows a full outer join would flag: absent on one side, or any field distinct."""
-    per_key = diff_by_key(expected, actual, keys, fields, by)
-    return per_key.groupBy(*by).agg(F.coalesce(F.sum(F.col("unmatched") + F.col("differing")), F.lit(0)).alias("n"))
+def diff_count(expected, actual, keys, fields=(), by: By = (), name: str = "n") -> DataFrame:
+    """Rows a full outer join would flag."""
+    return sum_of(key_counts(expected, actual, keys, fields, by), by, **{name: difference(keys)})
 
 
-def inner_mismatch_count(expected, actual, keys, fields, by: By = ()) -> DataFrame:
-    """Rows an inner join would flag: both sides present and any field distinct."""
+def diff_and_duplicates(expected, actual, keys, fields, diff: str, duplicates: str, by: By = ()) -> DataFrame:
+    """Full-join differences and duplicated actual keys, from the same per-key counts."""
     per_key = key_counts(expected, actual, keys, fields, by)
-    return per_key.groupBy(*by).agg(F.coalesce(F.sum(differing_pairs(keys)), F.lit(0)).alias("n"))
+    return sum_of(per_key, by, **{diff: difference(keys), duplicates: duplicate_key()})
+
+
+def inner_mismatch_count(expected, actual, keys, fields, by: By = (), name: str = "n") -> DataFrame:
+    """Rows an inner join would flag: both sides present and any field distinct."""
+    return sum_of(key_counts(expected, actual, keys, fields, by), by, **{name: differing_pairs(keys)})
 
 
 def key_presence(source: DataFrame, target: DataFrame, keys: Sequence[str], by: By = ()) -> DataFrame:
@@ -115,9 +150,9 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], by: By = ()) -> DataFra
     return df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1")
 
 
-def duplicate_count(df: DataFrame, keys: Sequence[str], by: By = ()) -> DataFrame:
+def duplicate_count(df: DataFrame, keys: Sequence[str], by: By = (), name: str = "n") -> DataFrame:
     """Number of duplicated keys."""
-    return duplicate_groups(df, keys, by).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    return duplicate_groups(df, keys, by).groupBy(*by).agg(F.count(F.lit(1)).alias(name))
 
 
 def duplicate_summary(df: DataFrame, keys: Sequence[str], by: By = ()) -> DataFrame:
@@ -238,7 +273,8 @@ def field_mismatch_evidence(source, target, keys, mappings, index: int, limit: i
     )
 
 
-def weighted_left_violations(left, right, left_keys, right_keys, left_bad, right_bad, by: By = ()) -> DataFrame:
+def weighted_left_violations(left, right, left_keys, right_keys, left_bad, right_bad, by: By = (),
+                             name: str = "n") -> DataFrame:
     """Rows of ``left LEFT JOIN right`` that are bad on either side or unmatched.
 
     Both sides are first reduced to counts per join key, so the join carries one
@@ -256,4 +292,4 @@ def weighted_left_violations(left, right, left_keys, right_keys, left_bad, right
         F.when(F.col("r_rows").isNull(), F.col("l_bad") + F.col("l_good"))
         .otherwise(F.col("l_bad") * F.col("r_rows") + F.col("l_good") * F.col("r_bad"))
     )
-    return joined.groupBy(*by).agg(F.coalesce(F.sum(n), F.lit(0)).alias("n"))
+    return sum_of(joined, by, **{name: n})

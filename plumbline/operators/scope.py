@@ -7,8 +7,9 @@ yields one row; with labels it yields one row per label from the same job.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 By = Sequence[str]
@@ -28,27 +29,31 @@ def attach(df: DataFrame, facts: DataFrame, by: By = ()) -> DataFrame:
     return df.withColumn("_facts", row).select("*", *[F.col(f"_facts.{c}").alias(c) for c in added]).drop("_facts")
 
 
-def totals(parts: dict[str, DataFrame], by: By = (), labels: DataFrame | None = None) -> DataFrame:
+def totals(parts: Sequence[DataFrame], by: By = (), labels: DataFrame | None = None) -> DataFrame:
     """Named counts side by side plus their sum as ``violation_count``.
 
-    Each part has columns ``by`` and ``n``. ``labels`` lists the labels to
-    report, so that a label none of whose tables has rows still reports zero.
+    Each part has the columns ``by`` and one or more counts of its own. ``labels``
+    lists the labels to report, so that a label none of whose tables has rows still
+    reports zero.
     """
-    stacked = None
-    for name, part in parts.items():
-        piece = part.select(*by, F.lit(name).alias("component"), F.col("n").cast("bigint").alias("n"))
-        stacked = piece if stacked is None else stacked.unionByName(piece)
-    counts = [
-        F.coalesce(F.sum(F.when(F.col("component") == name, F.col("n"))), F.lit(0)).cast("bigint").alias(name)
-        for name in parts
-    ]
-    report = stacked.groupBy(*by).agg(*counts)
+    names = [c for part in parts for c in part.columns if c not in by]
+    if len(parts) == 1 and labels is None:
+        report = parts[0]
+    else:
+        stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        report = stacked.groupBy(*by).agg(*[F.sum(name).alias(name) for name in names])
     if labels is not None:
-        report = labels.select(*by).distinct().join(report, list(by), "left").na.fill(0, list(parts))
-    total = sum((F.col(name) for name in parts), F.lit(0).cast("bigint"))
-    return report.withColumn("violation_count", total)
+        report = labels.select(*by).distinct().join(report, list(by), "left")
+    counts = [F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name) for name in names]
+    report = report.select(*by, *counts)
+    return report.withColumn("violation_count", reduce(lambda a, b: a + b, [F.col(name) for name in names]))
 
 
-def count_where(df: DataFrame, condition, by: By = ()) -> DataFrame:
-    """Rows meeting the condition; an unknown (NULL) condition does not count."""
-    return df.groupBy(*by).agg(F.count_if(condition).alias("n"))
+def count_where(df: DataFrame, by: By = (), **conditions: Column) -> DataFrame:
+    """Rows meeting each named condition, in one scan; an unknown (NULL) condition does not count."""
+    return df.groupBy(*by).agg(*[F.count_if(c).alias(name) for name, c in conditions.items()])
+
+
+def sum_of(df: DataFrame, by: By = (), **values: Column) -> DataFrame:
+    """Named sums, zero without rows."""
+    return df.groupBy(*by).agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(name) for name, v in values.items()])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.exprs import epoch_micros
-from plumbline.operators.scope import By
+from plumbline.operators.scope import By, sum_of
 
 
 def rank_struct(order: Sequence[str], rest: Sequence[str] = ()) -> Column:
@@ -108,27 +108,28 @@ def type2_history(changes: DataFrame, by: By = ()) -> DataFrame:
     )
 
 
-def ordered_pair_sum(points: DataFrame, keys: Sequence[str], at: str, first: str, second: str,
-                     bucket_width: int) -> DataFrame:
-    """Per key: the number of (first, second) pairs with first's instant <= second's.
+def ordered_pairs(points: DataFrame, keys: Sequence[str], at: str, first: str, second: str,
+                  bucket_width: int, **sums: Column) -> DataFrame:
+    """Per key: ``pairs``, the (first, second) pairs with first's instant <= second's.
 
     ``points`` carries counts of both kinds at integer instants. Prefix sums run
     within fixed-width buckets, bucket totals are chained per key, and no pair is
-    ever built; a hot key is split over its buckets.
+    ever built; a hot key is split over its buckets. ``sums`` are further sums over
+    the instants of a key.
     """
-    collapsed = points.groupBy(*keys, at).agg(F.sum(first).alias("p"), F.sum(second).alias("q"))
+    carried = [c for c in points.columns if c not in (*keys, at)]
+    collapsed = points.groupBy(*keys, at).agg(*[F.sum(c).alias(c) for c in carried])
     bucketed = collapsed.withColumn("_bucket", F.floor(F.col(at) / F.lit(bucket_width)))
     inside = Window.partitionBy(*keys, "_bucket").orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
-    per_bucket = (
-        bucketed.withColumn("seen", F.sum("p").over(inside))
-        .groupBy(*keys, "_bucket")
-        .agg(F.sum("p").alias("p"), F.sum("q").alias("q"), F.sum(F.col("q") * F.col("seen")).alias("inside"))
+    per_bucket = bucketed.withColumn("_seen", F.sum(first).over(inside)).groupBy(*keys, "_bucket").agg(
+        F.sum(first).alias("_first"), F.sum(second).alias("_second"),
+        F.sum(F.col(second) * F.col("_seen")).alias("_inside"),
+        *[F.sum(value).alias(name) for name, value in sums.items()],
     )
     earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("p").over(earlier), F.lit(0))
-    return (
-        per_bucket.withColumn("pairs", F.col("inside") + F.col("q") * before)
-        .groupBy(*keys).agg(F.sum("pairs").alias("pairs"))
+    before = F.coalesce(F.sum("_first").over(earlier), F.lit(0))
+    return per_bucket.withColumn("_pairs", F.col("_inside") + F.col("_second") * before).groupBy(*keys).agg(
+        F.sum("_pairs").alias("pairs"), *[F.sum(name).alias(name) for name in sums]
     )
 
 
@@ -137,71 +138,77 @@ _FOREVER = 4_000_000_000_000_000_000
 _OFFSET = 1 << 61
 
 
-def _sum_n(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.sum("n").alias("n"))
+def _regular_overlaps(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Overlapping pairs among spans that do not end before they start.
 
+    Two such spans are disjoint when one ends by the start of the other, so
 
-def _overlaps(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per key: unordered pairs of half-open spans [s, e) that overlap (e NULL = open).
+        overlapping = all pairs - (end, start) pairs in that order
 
-    For spans with e >= s two spans are disjoint when one ends by the start of the
-    other, which is an ordered-pair count. Spans that end before they start can
-    only overlap a span that strictly contains them; those pairs are counted by
-    splitting the start order into halves at every binary digit.
+    An empty span ends by its own start, and two empty spans at one instant are
+    disjoint in both directions: those are given back.
     """
-    end = F.coalesce(F.col("e"), F.lit(_FOREVER))
-    spans = spans.select(*keys, "s", end.alias("e"))
     regular = spans.where("e >= s")
-    inverted = spans.where("e < s")
-
-    size = regular.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
-    every_pair = size.select(*keys, F.expr("c * (c - 1) div 2").alias("n"))
-    ends = regular.where(F.col("e") < _FOREVER).select(*keys, F.col("e").alias("t"), F.lit(1).alias("a"), F.lit(0).alias("b"))
-    starts = regular.select(*keys, F.col("s").alias("t"), F.lit(0).alias("a"), F.lit(1).alias("b"))
-    disjoint = ordered_pair_sum(ends.unionByName(starts), keys, "t", "a", "b", _DAY).select(
-        *keys, (-F.col("pairs")).alias("n")
+    edge = F.explode(F.array(
+        F.struct(F.col("s").alias("t"), F.lit(0).alias("ends"), F.lit(1).alias("starts"),
+                 (F.col("e") == F.col("s")).cast("int").alias("empty")),
+        F.struct(F.col("e").alias("t"), F.lit(1).alias("ends"), F.lit(0).alias("starts"), F.lit(0).alias("empty")),
+    ))
+    points = regular.select(*keys, edge.alias("edge")).select(*keys, "edge.*").where(F.col("t") < _FOREVER)
+    counted = ordered_pairs(
+        points, keys, "t", "ends", "starts", _DAY,
+        size=F.col("starts"), repaid=F.expr("empty + empty * (empty - 1) div 2"),
     )
-    # An empty span ends by its own start, and two empty spans at one instant are
-    # disjoint in both directions: give the self pairs and the second count back.
-    empty = regular.where("e = s").groupBy(*keys, "s").agg(F.count(F.lit(1)).alias("c"))
-    repaid = empty.select(*keys, F.expr("c + c * (c - 1) div 2").alias("n"))
-
-    affected = inverted.select(*keys).distinct()
-    outer = regular.join(affected, list(keys), "left_semi")
-    points = outer.select(*keys, F.col("s").alias("x"), F.col("e").alias("y"), F.lit(True).alias("outer"))
-    probes = inverted.select(*keys, F.col("e").alias("x"), F.col("s").alias("y"), F.lit(False).alias("outer"))
-    levels = F.explode(F.sequence(F.lit(0), F.lit(61))).alias("level")
-    digits = points.unionByName(probes).select(*keys, "y", "outer", (F.col("x") + _OFFSET).alias("x"), levels)
-    digit = F.expr("shiftright(x, level) & 1L")
-    halves = digits.where((digit == 0) == F.col("outer")).select(
+    return counted.select(*keys, F.expr("size * (size - 1) div 2 - pairs + repaid").alias("n"))
+
+
+def _inverted_overlaps(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Overlapping pairs of a span that ends before it starts and one that strictly contains it.
+
+    That is a count over two inequalities. The start order is split into halves at
+    every binary digit; a container is left of a probe in exactly one split, and
+    within it the second inequality is an ordered-pair count. Only keys that have
+    such a span take part.
+    """
+    affected = spans.where("e < s").select(*keys).distinct()
+    rows = spans.join(affected, list(keys), "left_semi").withColumn("outer", F.expr("e >= s"))
+    # A container is placed at its start and has to outlast the probe's start.
+    rows = rows.select(
+        *keys, "outer", F.when(F.col("outer"), F.col("s")).otherwise(F.col("e")).alias("x"),
+        F.when(F.col("outer"), F.col("e")).otherwise(F.col("s")).alias("y"),
+    )
+    level = F.explode(F.sequence(F.lit(0), F.lit(61))).alias("level")
+    digits = rows.select(*keys, "y", "outer", (F.col("x") + _OFFSET).alias("x"), level)
+    halves = digits.where((F.expr("shiftright(x, level) & 1L") == 0) == F.col("outer")).select(
         *keys, "level", F.expr("shiftright(shiftright(x, level), 1)").alias("block"),
-        # A container must end after the probe's start, so it is placed one step earlier.
+        # Ending after an instant means ending at the next one or later.
         F.when(F.col("outer"), F.col("y") - 1).otherwise(F.col("y")).alias("t"),
-        F.when(F.col("outer"), 0).otherwise(1).alias("a"), F.when(F.col("outer"), 1).otherwise(0).alias("b"),
-    )
-    contained = ordered_pair_sum(halves, [*keys, "level", "block"], "t", "a", "b", _DAY).select(
-        *keys, F.col("pairs").alias("n")
-    )
-    return _sum_n(
-        every_pair.unionByName(disjoint).unionByName(repaid).unionByName(contained), keys
+        F.when(F.col("outer"), 0).otherwise(1).alias("probes"), F.when(F.col("outer"), 1).otherwise(0).alias("containers"),
     )
+    counted = ordered_pairs(halves, [*keys, "level", "block"], "t", "probes", "containers", _DAY)
+    return counted.select(*keys, F.col("pairs").alias("n"))
 
 
 def overlap_pairs(history: DataFrame, key: str = "customer_id", version: str = "version_id", start: str = "valid_from",
-                  end: str = "valid_to", by: By = ()) -> DataFrame:
-    """Pairs of versions of one key whose validity overlaps, each pair once.
+                  end: str = "valid_to", by: By = (), name: str = "n") -> DataFrame:
+    """Pairs of versions of one key whose half-open validity overlaps, each pair once.
 
-    Pairs are told apart by version id, so rows that share one are no pair; the
-    pairs inside such groups are counted the same way and taken off.
+    Pairs are told apart by version id, so rows that share one are no pair: the
+    pairs inside such groups are counted along and taken off.
     """
     known = history.where(F.col(version).isNotNull() & F.col(start).isNotNull() & F.col(key).isNotNull())
     spans = known.select(
-        *by, F.col(key).alias("k"), F.col(version).alias("v"),
-        epoch_micros(known, start).alias("s"), epoch_micros(known, end).alias("e"),
+        *by, F.col(key).alias("k"), F.col(version).alias("v"), epoch_micros(known, start).alias("s"),
+        F.coalesce(epoch_micros(known, end), F.lit(_FOREVER)).alias("e"),
     )
-    counted = _overlaps(spans.drop("v"), [*by, "k"])
     marks = [*by, "k", "v"]
     repeated = spans.groupBy(*marks).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(*marks)
-    same_version = _overlaps(spans.join(repeated, marks, "left_semi"), marks)
-    parts = counted.select(*by, "n").unionByName(same_version.select(*by, (-F.col("n")).alias("n")))
-    return parts.groupBy(*by).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    marked = spans.join(repeated.withColumn("again", F.lit(True)), marks, "left")
+    whole = F.struct(F.lit(-1).cast("bigint").alias("v"), F.lit(1).alias("sign"))
+    inner = F.when(F.col("again"), F.struct("v", F.lit(-1).alias("sign")))
+    stacked = marked.select(
+        *by, "k", "s", "e", F.explode(F.array_compact(F.array(whole, inner))).alias("of")
+    ).select(*by, "k", "of.v", "of.sign", "s", "e")
+    groups = [*marks, "sign"]
+    counted = _regular_overlaps(stacked, groups).unionByName(_inverted_overlaps(stacked, groups))
+    return sum_of(counted, by, **{name: F.col("sign") * F.col("n")})

@@ -12,6 +12,8 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.session import work_dir
+
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
@@ -127,7 +129,7 @@ VIEWS: dict[str, str] = {
         SELECT version_id, customer_id, CASE WHEN version_id % 61 = 0 THEN 'SILVER' ELSE tier END AS tier, valid_from,
                CASE WHEN version_id % 97 = 0 THEN valid_to + INTERVAL '3' DAY
                     WHEN version_id % 73 = 0 THEN valid_from
-                    WHEN version_id % 71 = 0 THEN valid_from - INTERVAL '30' HOUR ELSE valid_to END AS valid_to,
+                    WHEN version_id % 1009 = 0 THEN valid_from - INTERVAL '30' HOUR ELSE valid_to END AS valid_to,
                CASE WHEN version_id % 89 = 0 THEN valid_to IS NOT NULL ELSE valid_to IS NULL END AS is_current
         FROM clean_history WHERE version_id % 83 <> 0
         UNION ALL SELECT version_id + 100000000000, customer_id, tier, valid_from, valid_to, valid_to IS NULL
@@ -402,6 +404,23 @@ def for_spark(sql: str) -> str:
     return sql.replace("AS TIMESTAMP)", "AS TIMESTAMP_NTZ)")
 
 
+# Columns of the given tables, so that opening one reads no file.
+BASE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+_SOURCE = re.compile(r"\b(FROM|JOIN)\s+(" + "|".join(sorted([*VIEWS, *BASE_TABLES], key=len, reverse=True)) + r")\b")
+
+
 class Inputs:
     """Views and given tables of one data folder as DataFrames."""
 
@@ -409,23 +428,30 @@ class Inputs:
         self.spark, self.folder = spark, folder.rstrip("/")
         self._made: dict[str, DataFrame] = {}
 
-    def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-
     def __call__(self, name: str) -> DataFrame:
-        if name in BASE_TABLES:
-            return self.base(name)
         if name not in self._made:
-            self._made[name] = self._view(name)
+            self._made[name] = self._base(name) if name in BASE_TABLES else self._view(name)
         return self._made[name]
 
+    def _base(self, name: str) -> DataFrame:
+        reader = self.spark.read
+        if name in BASE_SCHEMAS:
+            reader = reader.schema(BASE_SCHEMAS[name])
+        return reader.parquet(f"{self.folder}/{name}.parquet")
+
     def _view(self, name: str) -> DataFrame:
-        chain = needed_views(f"SELECT * FROM {name}")
-        tables = "|".join(BASE_TABLES)
-        used = dict.fromkeys(t for v in chain for t in re.findall(rf"\b(?:FROM|JOIN)\s+({tables})\b", VIEWS[v]))
-        ctes = [f"{t} AS (SELECT * FROM parquet.`{self.folder}/{t}.parquet`)" for t in used]
-        ctes += [f"{v} AS ({for_spark(VIEWS[v])})" for v in chain]
-        return self.spark.sql(f"WITH {', '.join(ctes)} SELECT * FROM {name}")
+        text = for_spark(VIEWS[name])
+        used = {source: self(source) for _, source in _SOURCE.findall(text)}
+        return self.spark.sql(_SOURCE.sub(r"\1 {\2}", text), **used)
+
+    def stored(self, name: str) -> DataFrame:
+        """A view written to the shared work folder, for queries that read it several times."""
+        key = f"stored:{name}"
+        if key not in self._made:
+            path = f"{work_dir(self.spark, 'inputs')}/{name}"
+            self(name).write.mode("overwrite").parquet(path)
+            self._made[key] = self.spark.read.parquet(path)
+        return self._made[key]
 
     def tables(self, *names: str, **renamed: str) -> dict[str, DataFrame]:
         """Views by their own name, or by another one: ``tables(etl_source="replay_source")``."""

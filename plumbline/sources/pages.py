@@ -26,10 +26,9 @@ RETRY_STATUSES = (429, 503)
 MAX_ATTEMPTS = 3
 
 
-def read_attempts(spark: SparkSession, path: str, labels: Sequence[str] = ()) -> DataFrame:
-    """Attempt traces landed as JSON lines."""
-    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in labels], *ATTEMPT_SCHEMA.fields])
-    return spark.read.schema(schema).json(path)
+def read_attempts(spark: SparkSession, path: str, labels: T.StructType = T.StructType()) -> DataFrame:
+    """Attempt traces landed as JSON lines; ``labels`` are columns that tell crawls apart."""
+    return spark.read.schema(T.StructType([*labels.fields, *ATTEMPT_SCHEMA.fields])).json(path)
 
 
 def write_attempts(attempts: DataFrame, path: str) -> None:
