@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.exprs import any_of
@@ -163,103 +163,125 @@ def duplicate_summary(df: DataFrame, keys: Sequence[str], by: By = ()) -> DataFr
     )
 
 
-def _tuple_profile(rows: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """Per key: counts, distinct rows per side and one row of each side."""
-    shape = F.struct(*fields)
+def field_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], mappings: Sequence[tuple[str, str]]):
+    """Stacked distinct rows with the compared columns renamed ``f0..fN``."""
+    names = [f"f{i}" for i in range(len(mappings))]
+    left = source.select(*keys, *[F.col(s).alias(n) for (s, _), n in zip(mappings, names)])
+    right = target.select(*keys, *[F.col(t).alias(n) for (_, t), n in zip(mappings, names)])
+    return stack_sides(left, right, [*keys, *names]), names
+
+
+def _key_profile(rows: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Per key: rows and distinct rows per side, and the values of one row per side."""
+    def side(count: str, name: str) -> Column:
+        return F.max(F.when(F.col(count) > 0, F.col(name)))
+
     return rows.groupBy(*keys).agg(
         F.sum("n_expected").alias("n_expected"),
         F.sum("n_actual").alias("n_actual"),
         F.count_if(F.col("n_expected") > 0).alias("d_expected"),
         F.count_if(F.col("n_actual") > 0).alias("d_actual"),
-        F.max(F.when(F.col("n_expected") > 0, shape)).alias("e"),
-        F.max(F.when(F.col("n_actual") > 0, shape)).alias("a"),
+        *[side("n_expected", n).alias(f"e_{n}") for n in names],
+        *[side("n_actual", n).alias(f"a_{n}") for n in names],
     )
 
 
-def field_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], mappings: Sequence[tuple[str, str]]):
-    """Stacked distinct rows with the compared columns renamed ``f0..fN``."""
-    names = [f"f{i}" for i in range(len(mappings))]
-    left = source.select(*keys, *[F.col(s).alias(n) for (s, _), n in zip(mappings, names)])
-    right = target.select(*keys, *[F.col(t).alias(n) for (_, t), n in zip(mappings, names)])
-    return stack_sides(left, right, [*keys, *names]), names
+def _settled() -> Column:
+    return (F.col("d_expected") <= 1) & (F.col("d_actual") <= 1)
+
+
+def _simple_mismatch(keys: Sequence[str], name: str) -> Column:
+    """Differing joined cells of a key with at most one distinct row per side."""
+    differs = ~F.col(f"e_{name}").eqNullSafe(F.col(f"a_{name}"))
+    pairs = F.col("n_expected") * F.col("n_actual")
+    return F.when(_settled() & differs & ~_null_key(keys), pairs).otherwise(F.lit(0))
 
 
-def field_mismatch_by_key(rows: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Per key and field: differing joined cells (``m0..mN``), duplicates multiplied.
+def _value_mismatches(rows: DataFrame, profile: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Per key whose copies disagree with each other, and field: differing joined cells.
 
-    Keys with one distinct row per side need only those two rows. The rest, keys
-    whose copies disagree with each other, are counted field by field from value
-    multiplicities, again without producing the pairs.
+    Counted from value multiplicities, field by field, without producing a pair.
     """
-    profile = _tuple_profile(rows, keys, names).where(~_null_key(keys))
-    settled = (F.col("d_expected") <= 1) & (F.col("d_actual") <= 1)
-    pairs = F.col("n_expected") * F.col("n_actual")
-    simple = profile.where(settled).select(
-        *keys,
-        *[
-            F.when(F.col(f"e.{n}").eqNullSafe(F.col(f"a.{n}")), F.lit(0)).otherwise(pairs).alias(f"m{i}")
-            for i, n in enumerate(names)
-        ],
-    )
-    unsettled = profile.where(~settled & (pairs > 0)).select(*keys)
-    remaining = rows.join(unsettled, list(keys), "left_semi")
-    cells = remaining.select(
-        *keys, "n_expected", "n_actual",
-        F.explode(
-            F.array(*[
-                F.struct(
-                    F.lit(i).alias("field"),
-                    *[(F.col(n) if j == i else F.lit(None).cast(rows.schema[n].dataType)).alias(n)
-                      for j, n in enumerate(names)],
-                )
-                for i in range(len(names))
-            ])
-        ).alias("cell"),
-    ).select(*keys, "n_expected", "n_actual", "cell.*")
-    values = cells.groupBy(*keys, "field", *names).agg(
+    unsettled = profile.where(~_settled() & (F.col("n_expected") * F.col("n_actual") > 0) & ~_null_key(keys))
+    remaining = rows.join(unsettled.select(*keys), list(keys), "left_semi")
+    cells = F.array(*[
+        F.struct(
+            F.lit(i).alias("field"),
+            *[(F.col(n) if j == i else F.lit(None).cast(rows.schema[n].dataType)).alias(n) for j, n in enumerate(names)],
+        )
+        for i in range(len(names))
+    ])
+    spread = remaining.select(*keys, "n_expected", "n_actual", F.explode(cells).alias("cell"))
+    values = spread.select(*keys, "n_expected", "n_actual", "cell.*").groupBy(*keys, "field", *names).agg(
         F.sum("n_expected").alias("n_expected"), F.sum("n_actual").alias("n_actual")
     )
-    per_field = values.groupBy(*keys, "field").agg(
+    return values.groupBy(*keys, "field").agg(
         (F.sum("n_expected") * F.sum("n_actual") - F.sum(F.col("n_expected") * F.col("n_actual"))).alias("m")
     )
-    complex_ = per_field.groupBy(*keys).agg(
-        *[F.coalesce(F.sum(F.when(F.col("field") == i, F.col("m"))), F.lit(0)).alias(f"m{i}") for i in range(len(names))]
-    )
-    return simple.unionByName(complex_)
+
+
+def pair_report(source: DataFrame, target: DataFrame, keys: Sequence[str], mappings: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row for a pair of datasets, from one stacked pass over both.
+
+    ``missing_count`` and ``unexpected_count`` compare distinct keys null-safely;
+    ``m0..mN`` count differing joined cells per field; the duplicate counts are
+    those of each side by the same key.
+    """
+    rows, names = field_rows(source, target, keys, mappings)
+    profile = _key_profile(rows, keys, names)
+    counts = {
+        "missing_count": missing_key(), "unexpected_count": unexpected_key(),
+        "source_groups": (F.col("n_expected") > 1).cast("bigint"),
+        "source_rows": F.greatest(F.col("n_expected") - 1, F.lit(0)),
+        "target_groups": duplicate_key(), "target_rows": F.greatest(F.col("n_actual") - 1, F.lit(0)),
+    }
+    settled = sum_of(profile, **counts, **{f"m{i}": _simple_mismatch(keys, n) for i, n in enumerate(names)})
+    if not names:
+        return settled
+    valued = _value_mismatches(rows, profile, keys, names)
+    rest = sum_of(valued, **{f"m{i}": F.when(F.col("field") == i, F.col("m")) for i in range(len(names))})
+    stacked = settled.unionByName(rest, allowMissingColumns=True)
+    return stacked.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in settled.columns])
 
 
 def field_mismatch_counts(source, target, keys, mappings) -> DataFrame:
     """One row: differing joined cells per compared field."""
-    rows, names = field_rows(source, target, keys, mappings)
-    per_key = field_mismatch_by_key(rows, keys, names)
-    return per_key.agg(*[F.coalesce(F.sum(f"m{i}"), F.lit(0)).alias(f"m{i}") for i in range(len(names))])
+    return pair_report(source, target, keys, mappings).select(*[f"m{i}" for i in range(len(mappings))])
+
+
+def _first_differing_keys(source, target, keys, mapping, limit: int) -> DataFrame:
+    rows, names = field_rows(source, target, keys, [mapping])
+    profile = _key_profile(rows, keys, names)
+    simple = profile.where(_simple_mismatch(keys, names[0]) > 0).select(*keys)
+    valued = _value_mismatches(rows, profile, keys, names).where("m > 0").select(*keys)
+    order = [F.col(k).asc_nulls_last() for k in keys]
+    return simple.unionByName(valued).orderBy(*order).limit(limit)
 
 
 def field_mismatch_evidence(source, target, keys, mappings, index: int, limit: int) -> DataFrame:
     """The first ``limit`` differing joined cells of one field, in key order.
 
-    Only the first ``limit`` differing keys are looked at, and of each at most
-    ``limit + 1`` distinct values per side: enough to yield every requested cell,
-    and a bound on the pairs however many copies a key has.
+    The first ``limit`` differing keys are looked up, then only their rows are read
+    again, and of each key at most ``limit + 1`` distinct values per side: enough to
+    yield every requested cell, and a bound on the pairs however many copies there are.
     """
     mapping = mappings[index]
-    rows, names = field_rows(source, target, keys, [mapping])
-    differing = field_mismatch_by_key(rows, keys, names).where("m0 > 0")
-    first_keys = differing.orderBy(*[F.col(k).asc_nulls_last() for k in keys]).limit(limit).select(*keys)
-    chosen = rows.join(F.broadcast(first_keys), list(keys), "left_semi")
-
-    def distinct_values(count_column: str, value_name: str, n_name: str) -> DataFrame:
-        from pyspark.sql import Window
-
-        nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("f0").asc_nulls_last()))
-        return (
-            chosen.where(F.col(count_column) > 0)
-            .withColumn("nth", nth).where(F.col("nth") <= limit + 1)
-            .select(*keys, F.col("f0").alias(value_name), F.col(count_column).alias(n_name))
-        )
-
-    left = distinct_values("n_expected", "expected", "n_e")
-    right = distinct_values("n_actual", "actual", "n_a")
+    found = _first_differing_keys(source, target, keys, mapping, limit)
+    chosen = found.sparkSession.createDataFrame(found.collect(), found.schema)
+
+    def of_chosen(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(chosen), list(keys), "left_semi")
+
+    rows, _ = field_rows(of_chosen(source), of_chosen(target), keys, [mapping])
+    nth = F.row_number().over(Window.partitionBy(*keys, "side").orderBy(F.col("f0").asc_nulls_last()))
+    sides = F.explode(F.array(
+        F.struct(F.lit("e").alias("side"), F.col("n_expected").alias("n")),
+        F.struct(F.lit("a").alias("side"), F.col("n_actual").alias("n")),
+    )).alias("of")
+    values = rows.select(*keys, "f0", sides).select(*keys, "f0", "of.*").where("n > 0")
+    kept = values.withColumn("nth", nth).where(F.col("nth") <= limit + 1)
+    left = kept.where("side = 'e'").select(*keys, F.col("f0").alias("expected"), F.col("n").alias("n_e"))
+    right = kept.where("side = 'a'").select(*keys, F.col("f0").alias("actual"), F.col("n").alias("n_a"))
     cells = left.join(right, list(keys)).where(~F.col("expected").eqNullSafe(F.col("actual")))
     copies = F.least(F.col("n_e") * F.col("n_a"), F.lit(limit))
     listed = cells.select(

@@ -254,7 +254,7 @@ CAPTURED = datetime(2026, 1, 3, 12, tzinfo=timezone.utc)
 
 def customer_bundles(v: Inputs) -> DataFrame:
     """Exported documents, some with a field that version 1 refuses."""
-    people = v("customer").select("c_custkey", F.floor(F.col("c_custkey") * F.lit(0.04).cast("decimal(3,2)")).alias("bundle"))
+    people = v("customer").select("c_custkey", F.floor(F.col("c_custkey") / F.lit(25)).alias("bundle"))
     clock = F.lit(CAPTURED)
     header = people.select("bundle").distinct().select(
         "bundle", F.lit("ADF").alias("provider"), F.lit("workspace").alias("resource_id"), clock.alias("as_of"), F.lit(1).alias("batch_no"))
@@ -321,7 +321,7 @@ def _csv(v):
 def _contract_json(v):
     """Typed contract evidence; bundles that bring their own truth are refused."""
     rows = v("db_contract").select(
-        F.floor(F.col("record_id") * F.lit(0.04).cast("decimal(3,2)")).alias("bundle"), "record_id", "classification",
+        F.floor(F.col("record_id") / F.lit(25)).alias("bundle"), "record_id", "classification",
         F.col("amount").cast("string").alias("amount"))
     published = F.struct("record_id", "classification", "amount", F.lit("run-1").alias("run_id"))
     grouped = rows.groupBy("bundle").agg(F.collect_list(published).alias("db_publication"))
@@ -352,7 +352,7 @@ def _export(v):
 
 
 @query("s20_import_provenance", f"""
-    SELECT CAST(bundle AS VARCHAR) AS filename, to_json(list_sort(list('run-' || CAST(c_custkey AS VARCHAR)))) AS run_ids, TRUE AS hashed
+    SELECT CAST(bundle AS VARCHAR) AS filename, CAST(to_json(list_sort(list('run-' || CAST(c_custkey AS VARCHAR)))) AS VARCHAR) AS run_ids, TRUE AS hashed
     FROM {ACCEPTED} a GROUP BY bundle""")
 def _provenance(v):
     found = bundles.parse_bundles(customer_bundles(v))
@@ -365,9 +365,9 @@ def _provenance(v):
 # API pages
 
 @query("s21_page_records", """
-    SELECT crawl_id, page, pos, CASE WHEN text_key THEN '"' || CAST(order_id AS STRING) || '"' ELSE CAST(order_id AS STRING) END AS record_key
-    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY crawl_id, page ORDER BY pos) - 1 AS at FROM api_delivered) d""".replace(
-    "page, pos,", "page, CAST(at AS INT) AS pos,"))
+    SELECT crawl_id, page, CAST(ROW_NUMBER() OVER (PARTITION BY crawl_id, page ORDER BY pos) - 1 AS INT) AS pos,
+           CASE WHEN text_key THEN '"' || CAST(order_id AS STRING) || '"' ELSE CAST(order_id AS STRING) END AS record_key
+    FROM api_delivered""")
 def _records(v):
     return pages.page_records(api_tables(v)["api_attempts"], CRAWL).select("crawl_id", "page", "pos", "record_key")
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline import schemas
-from plumbline.functions.exprs import any_of, normalized_state
+from plumbline.functions.exprs import normalized_state
 
 # The limits and the field contract of evidence version 1.
 MAX_BYTES = 48 * 1024
@@ -170,6 +170,7 @@ class Evidence:
     documents: DataFrame
     sections: dict[str, DataFrame] = field(default_factory=dict)
     problems: DataFrame | None = None
+    run_sections: tuple[Section, ...] = ()
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -182,14 +183,22 @@ def with_hash(documents: DataFrame) -> DataFrame:
     return documents.withColumn("sha256", F.sha2("content", 256))
 
 
-def _problem_rows(df: DataFrame, section: str, position: Column, reasons: list[Column]) -> DataFrame:
-    listed = F.explode(F.array_compact(F.array(*reasons))).alias("reason")
-    return df.select("bundle", F.lit(section).alias("section"), position.cast("int").alias("pos"), listed)
+def _located(section: str, position: Column | None, reasons: list[Column]) -> Column:
+    """Reasons that apply, each with its place."""
+    place = F.lit(None).cast("int") if position is None else position
+    return F.transform(
+        F.array_compact(F.array(*reasons)),
+        lambda r: F.struct(F.lit(section).alias("section"), place.alias("pos"), r.alias("reason")),
+    )
+
 
+def _items(section: Section) -> Column:
+    return F.try_variant_get("document", f"$.{section.path}", "array<variant>")
 
-def _document_problems(parsed: DataFrame, allowed, required, extra: list[Column]) -> DataFrame:
+
+def _document_problems(allowed, required, extra: list[Column]) -> Column:
     document = F.col("document")
-    structural = [
+    return _located("document", None, [
         F.when(F.octet_length("content") > MAX_BYTES, F.lit("larger than 48 KiB")),
         F.when(document.isNull(), F.lit("invalid JSON")),
         unknown_field_problem(document, allowed),
@@ -200,56 +209,49 @@ def _document_problems(parsed: DataFrame, allowed, required, extra: list[Column]
         field_problem(document, "resource_id", _TEXT_OPTIONAL),
         field_problem(document, "as_of", Field("timestamp", required=False, nullable=True)),
         field_problem(document, "batch_no", Field("integer", required=False, nullable=True, maximum=MAX_INT)),
-    ]
-    return _problem_rows(parsed, "document", F.lit(None), structural + extra)
+        *extra,
+    ])
 
 
-def _section_items(parsed: DataFrame, path: str) -> DataFrame:
-    items = F.try_variant_get("document", f"$.{path}", "array<variant>")
-    return parsed.select("bundle", F.posexplode(items).alias("pos", "item"))
-
-
-def _section_problems(parsed: DataFrame, items: DataFrame, section: Section) -> list[DataFrame]:
-    item = F.col("item")
-    reasons = [unknown_field_problem(item, section.fields)] + [
-        field_problem(item, name, rule) for name, rule in section.fields.items()
-    ]
-    array_type = _type(F.col("document"), section.path)
-    size = F.size(F.try_variant_get("document", f"$.{section.path}", "array<variant>"))
+def _section_problems(section: Section) -> list[Column]:
+    """Problems of a section as a whole and of each of its items."""
+    items, array_type = _items(section), _type(F.col("document"), section.path)
     shape = [
         F.when(array_type.isNotNull() & ~array_type.startswith("ARRAY"), F.lit(f"not an array: {section.path}")),
-        F.when(size > section.limit, F.lit(f"more than {section.limit} rows: {section.path}")),
-    ]
-    found = [
-        _problem_rows(items, section.path, F.col("pos"), reasons),
-        _problem_rows(parsed, section.path, F.lit(None), shape),
+        F.when(F.size(items) > section.limit, F.lit(f"more than {section.limit} rows: {section.path}")),
     ]
     unique = UNIQUE_FIELDS.get(section.path)
     if unique:
-        repeated = items.groupBy("bundle", _text(item, unique).alias("id")).agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-        found.append(_problem_rows(repeated, section.path, F.lit(None), [F.lit(f"repeated {unique}")]))
-    return found
+        ids = F.array_compact(F.transform(items, lambda x: _text(x, unique)))
+        shape.append(F.when(F.size(F.array_distinct(ids)) < F.size(ids), F.lit(f"repeated {unique}")))
+
+    def judged(item: Column, position: Column) -> Column:
+        reasons = [unknown_field_problem(item, section.fields)]
+        reasons += [field_problem(item, name, rule) for name, rule in section.fields.items()]
+        return _located(section.path, position, reasons)
 
+    none = F.array().cast("array<struct<section:string,pos:int,reason:string>>")
+    return [_located(section.path, None, shape), F.coalesce(F.flatten(F.transform(items, judged)), none)]
 
-def _accept(parsed: DataFrame, sections, problem_sets: list[DataFrame], finish: Callable) -> Evidence:
+
+def _judge(documents: DataFrame, sections, allowed, required, extra: list[Column], finish: Callable) -> Evidence:
+    """Judge every document within its own row: a bundle is small, so no shuffle is needed."""
     total = reduce(
         lambda a, b: a + b,
-        [F.coalesce(F.size(F.try_variant_get("document", f"$.{s.path}", "array<variant>")), F.lit(0))
-         for s in sections if s.path.startswith("datasets.")],
+        [F.coalesce(F.size(_items(s)), F.lit(0)) for s in sections if s.path.startswith("datasets.")],
     )
-    problem_sets.append(_problem_rows(
-        parsed, "document", F.lit(None), [F.when(total > MAX_ROWS, F.lit(f"more than {MAX_ROWS} data rows"))]))
-    rows = {}
+    many = F.when(total > MAX_ROWS, F.lit(f"more than {MAX_ROWS} data rows"))
+    found = [_document_problems(allowed, required, [*extra, many])]
     for section in sections:
-        items = _section_items(parsed, section.path)
-        problem_sets += _section_problems(parsed, items, section)
-        rows[section.path] = items
-    problems = reduce(DataFrame.unionByName, problem_sets)
-    refused = problems.select("bundle").distinct()
-    accepted = {
-        s.path: finish(s, rows[s.path].join(refused, "bundle", "left_anti")) for s in sections
+        found += _section_problems(section)
+    parsed = documents.withColumn("document", F.try_parse_json("content"))
+    judged = parsed.withColumn("problems", F.concat(*found))
+    accepted = judged.where(F.size("problems") == 0).drop("problems")
+    problems = judged.select("bundle", F.explode("problems").alias("p")).select("bundle", "p.*")
+    rows = {
+        s.path: finish(s, accepted.select("bundle", F.posexplode(_items(s)).alias("pos", "item"))) for s in sections
     }
-    return Evidence(parsed.join(refused, "bundle", "left_anti"), accepted, problems)
+    return Evidence(accepted, rows, problems, tuple(s for s in sections if "run_id" in s.fields))
 
 
 def _typed_rows(section: Section, items: DataFrame) -> DataFrame:
@@ -267,15 +269,13 @@ def parse_bundles(documents: DataFrame) -> Evidence:
 
     A name used twice in one object makes the document invalid JSON, as NaN does.
     """
-    parsed = documents.withColumn("document", F.try_parse_json("content"))
     document = F.col("document")
     provider = F.when(
         ~F.coalesce((_type(document, "provider") == "STRING") & _text(document, "provider").isin(*PROVIDERS), F.lit(False)),
         F.lit("unsupported provider"))
     datasets = _value(document, "datasets")
     unknown = F.when(_type(document, "datasets").isNotNull(), unknown_field_problem(datasets, DATASETS))
-    problems = [_document_problems(parsed, DOCUMENT_FIELDS, REQUIRED_DOCUMENT_FIELDS, [provider, unknown])]
-    return _accept(parsed, SECTIONS, problems, _typed_rows)
+    return _judge(documents, SECTIONS, DOCUMENT_FIELDS, REQUIRED_DOCUMENT_FIELDS, [provider, unknown], _typed_rows)
 
 
 def _column_rule(name: str, spark_type: str) -> Field:
@@ -297,7 +297,6 @@ def contract_sections(lesson: str) -> tuple[Section, ...]:
 def parse_contract_bundles(documents: DataFrame, lesson: str) -> Evidence:
     """Validate contract evidence of one lesson; truth tables in it are refused."""
     provider_name, observed = CONTRACT_LESSONS[lesson]
-    parsed = documents.withColumn("document", F.try_parse_json("content"))
     document = F.col("document")
 
     def equals(path: str, *values: str) -> Column:
@@ -312,8 +311,8 @@ def parse_contract_bundles(documents: DataFrame, lesson: str) -> Evidence:
         unknown_field_problem(datasets, observed),
         *[F.when(_type(document, f"datasets.{t}").isNull(), F.lit(f"missing field: datasets.{t}")) for t in observed],
     ]
-    problems = [_document_problems(parsed, CONTRACT_DOCUMENT_FIELDS, CONTRACT_DOCUMENT_FIELDS, wrong)]
-    return _accept(parsed, contract_sections(lesson), problems, _typed_rows)
+    sections = contract_sections(lesson)
+    return _judge(documents, sections, CONTRACT_DOCUMENT_FIELDS, CONTRACT_DOCUMENT_FIELDS, wrong, _typed_rows)
 
 
 def read_csv_snapshots(spark: SparkSession, path: str) -> Evidence:
@@ -362,22 +361,21 @@ def check_csv_rows(raw: DataFrame) -> Evidence:
 
 
 def referenced_runs(evidence: Evidence) -> DataFrame:
-    """Every run id a bundle mentions, in any section."""
-    parts = [df.select("bundle", "run_id") for df in evidence.sections.values() if "run_id" in df.columns]
-    return reduce(DataFrame.unionByName, parts).where(F.col("run_id").isNotNull()).distinct()
+    """Every accepted document with the sorted run ids it mentions, in any section."""
+    mentioned = F.flatten(F.array(*[
+        F.coalesce(F.transform(_items(s), lambda x: _text(x, "run_id")), F.array().cast("array<string>"))
+        for s in evidence.run_sections
+    ]))
+    return evidence.documents.withColumn("run_ids", F.array_sort(F.array_distinct(F.array_compact(mentioned))))
 
 
 def provenance(evidence: Evidence, file_format: str, captured_at) -> DataFrame:
-    """One row per accepted bundle: content hash, sorted run ids, capture time.
-
-    A bundle is at most 400 rows, so its set of run ids is small.
-    """
-    runs = referenced_runs(evidence).groupBy("bundle").agg(F.array_sort(F.collect_set("run_id")).alias("run_ids"))
-    return evidence.documents.join(runs, "bundle", "left").select(
-        F.sha2(F.concat_ws("|", "bundle", "sha256"), 256).alias("import_id"),
-        F.to_json(F.coalesce("run_ids", F.array().cast("array<string>"))).alias("run_ids"),
-        F.col("bundle").alias("filename"), F.lit(file_format).alias("file_format"), "sha256",
-        F.lit(captured_at).alias("captured_at"), F.lit(1).alias("mapping_version"), F.col("content").alias("raw_content"),
+    """One row per accepted bundle: content hash, sorted run ids, capture time."""
+    return referenced_runs(evidence).select(
+        F.sha2(F.concat_ws("|", F.col("bundle").cast("string"), "sha256"), 256).alias("import_id"),
+        F.to_json("run_ids").alias("run_ids"), F.col("bundle").alias("filename"),
+        F.lit(file_format).alias("file_format"), "sha256", F.lit(captured_at).alias("captured_at"),
+        F.lit(1).alias("mapping_version"), F.col("content").alias("raw_content"),
     )
 
 
