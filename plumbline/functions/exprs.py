@@ -52,8 +52,9 @@ def utc_day(df: DataFrame, name: str) -> Column:
     """UTC calendar day of a timestamp column, whatever the session time zone."""
     if isinstance(df.schema[name].dataType, T.TimestampNTZType):
         return F.col(name).cast("date")
-    days = F.floor(F.unix_micros(name) / F.lit(MICROS_PER_DAY))
-    return F.date_add(F.lit("1970-01-01").cast("date"), days.cast("int"))
+    micros = F.unix_micros(name)
+    midnight = micros - F.pmod(micros, F.lit(MICROS_PER_DAY))
+    return F.date_add(F.lit("1970-01-01").cast("date"), (midnight / F.lit(MICROS_PER_DAY)).cast("int"))
 
 
 def epoch_micros(df: DataFrame, name: str) -> Column:

@@ -36,8 +36,8 @@ def kth_smallest(df: DataFrame, key: str, k: int, ranges: int = 4096) -> int:
         raise ValueError(f"{key} has no values")
     while lo < hi:
         width = -(-(hi - lo + 1) // ranges)
-        part = F.floor((F.col(key) - F.lit(lo)) / F.lit(width)) if width > 1 else F.col(key) - F.lit(lo)
-        inside = df.where(F.col(key).between(lo, hi)).groupBy(part.cast("bigint").alias("part"))
+        part = F.expr(f"(cast({key} as decimal(20,0)) - {lo}BD) div {width}BD")
+        inside = df.where(F.col(key).between(lo, hi)).groupBy(part.alias("part"))
         for row in inside.agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect():
             if k <= row.n:
                 lo, hi = lo + row.part * width, min(hi, lo + (row.part + 1) * width - 1)

@@ -119,7 +119,7 @@ def ordered_pairs(points: DataFrame, keys: Sequence[str], at: str, first: str, s
     """
     carried = [c for c in points.columns if c not in (*keys, at)]
     collapsed = points.groupBy(*keys, at).agg(*[F.sum(c).alias(c) for c in carried])
-    bucketed = collapsed.withColumn("_bucket", F.floor(F.col(at) / F.lit(bucket_width)))
+    bucketed = collapsed.withColumn("_bucket", F.expr(f"{at} div {bucket_width}L"))
     inside = Window.partitionBy(*keys, "_bucket").orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
     per_bucket = bucketed.withColumn("_seen", F.sum(first).over(inside)).groupBy(*keys, "_bucket").agg(
         F.sum(first).alias("_first"), F.sum(second).alias("_second"),
