@@ -15,6 +15,7 @@ or inner join, duplicates and NULL keys included.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -249,49 +250,62 @@ def field_mismatch_counts(source, target, keys, mappings) -> DataFrame:
     return pair_report(source, target, keys, mappings).select(*[f"m{i}" for i in range(len(mappings))])
 
 
-def _first_differing_keys(source, target, keys, mapping, limit: int) -> DataFrame:
-    rows, names = field_rows(source, target, keys, [mapping])
+def _first_differing_keys(rows, keys, names, rooms: dict[int, int]) -> DataFrame:
+    """For each field, the first keys with a differing cell, as many as there is room for."""
     profile = _key_profile(rows, keys, names)
-    simple = profile.where(_simple_mismatch(keys, names[0]) > 0).select(*keys)
-    valued = _value_mismatches(rows, profile, keys, names).where("m > 0").select(*keys)
+    valued = _value_mismatches(rows, profile, keys, names).where("m > 0")
     order = [F.col(k).asc_nulls_last() for k in keys]
-    return simple.unionByName(valued).orderBy(*order).limit(limit)
-
-
-def field_mismatch_evidence(source, target, keys, mappings, index: int, limit: int) -> DataFrame:
-    """The first ``limit`` differing joined cells of one field, in key order.
-
-    The first ``limit`` differing keys are looked up, then only their rows are read
-    again, and of each key at most ``limit + 1`` distinct values per side: enough to
-    yield every requested cell, and a bound on the pairs however many copies there are.
+    parts = []
+    for i, room in rooms.items():
+        simple = profile.where(_simple_mismatch(keys, names[i]) > 0).select(*keys)
+        both = simple.unionByName(valued.where(F.col("field") == i).select(*keys))
+        parts.append(both.orderBy(*order).limit(room).withColumn("field", F.lit(i)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def field_mismatch_evidence(source: DataFrame, target: DataFrame, keys: Sequence[str],
+                            mappings: Sequence[tuple[str, str]], rooms: dict[int, int]) -> DataFrame:
+    """Differing joined cells, the first ``rooms[i]`` of field ``i`` in key order.
+
+    One job finds the first differing keys of all asked fields. A second one reads
+    only the rows of those keys, and of each key and field at most ``room + 1``
+    distinct values per side: enough to yield every requested cell, and a bound on
+    the pairs however many copies a key has. ``expected`` and ``actual`` are structs
+    in which the field's own slot is filled.
     """
-    mapping = mappings[index]
-    found = _first_differing_keys(source, target, keys, mapping, limit)
+    rows, names = field_rows(source, target, keys, mappings)
+    found = _first_differing_keys(rows, keys, names, rooms)
     chosen = found.sparkSession.createDataFrame(found.collect(), found.schema)
+    chosen_keys = F.broadcast(chosen.select(*keys).distinct())
 
-    def of_chosen(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(chosen), list(keys), "left_semi")
-
-    rows, _ = field_rows(of_chosen(source), of_chosen(target), keys, [mapping])
-    nth = F.row_number().over(Window.partitionBy(*keys, "side").orderBy(F.col("f0").asc_nulls_last()))
-    sides = F.explode(F.array(
-        F.struct(F.lit("e").alias("side"), F.col("n_expected").alias("n")),
-        F.struct(F.lit("a").alias("side"), F.col("n_actual").alias("n")),
-    )).alias("of")
-    values = rows.select(*keys, "f0", sides).select(*keys, "f0", "of.*").where("n > 0")
-    kept = values.withColumn("nth", nth).where(F.col("nth") <= limit + 1)
-    left = kept.where("side = 'e'").select(*keys, F.col("f0").alias("expected"), F.col("n").alias("n_e"))
-    right = kept.where("side = 'a'").select(*keys, F.col("f0").alias("actual"), F.col("n").alias("n_a"))
-    cells = left.join(right, list(keys)).where(~F.col("expected").eqNullSafe(F.col("actual")))
-    copies = F.least(F.col("n_e") * F.col("n_a"), F.lit(limit))
+    few, _ = field_rows(
+        source.join(chosen_keys, list(keys), "left_semi"), target.join(chosen_keys, list(keys), "left_semi"), keys, mappings
+    )
+    slots = {
+        i: F.struct(*[(F.col(n) if j == i else F.lit(None).cast(few.schema[n].dataType)).alias(n) for j, n in enumerate(names)])
+        for i in rooms
+    }
+    spread = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("field"), F.lit(side).alias("side"), F.col(count).alias("n"), cell.alias("cell"))
+        for i, cell in slots.items() for side, count in (("e", "n_expected"), ("a", "n_actual"))
+    ])).alias("of")
+    place = [*keys, "field"]
+    values = few.select(*keys, spread).select(*keys, "of.*").where("n > 0").groupBy(*place, "side", "cell").agg(F.sum("n").alias("n"))
+    wanted = values.join(F.broadcast(chosen), place, "left_semi")
+    room = F.create_map(*[F.lit(x) for item in rooms.items() for x in item])[F.col("field")]
+    nth = F.row_number().over(Window.partitionBy(*place, "side").orderBy("cell"))
+    kept = wanted.withColumn("nth", nth).where(F.col("nth") <= room + 1)
+    left = kept.where("side = 'e'").select(*place, F.col("cell").alias("expected"), F.col("n").alias("n_e"))
+    right = kept.where("side = 'a'").select(*place, F.col("cell").alias("actual"), F.col("n").alias("n_a"))
+    cells = left.join(right, place).where(~F.col("expected").eqNullSafe(F.col("actual")))
+    copies = F.least(F.col("n_e") * F.col("n_a"), room.cast("bigint"))
     listed = cells.select(
-        *keys, "expected", "actual", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias("copy")
+        *place, "expected", "actual", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias("copy")
     )
-    order = [F.col(c).asc_nulls_last() for c in (*keys, "expected", "actual")]
-    return listed.orderBy(*order).limit(limit).select(
-        F.lit("FIELD_MISMATCH").alias("kind"), *keys,
-        F.lit(mapping[0]).alias("source_column"), F.lit(mapping[1]).alias("target_column"),
-        "expected", "actual",
+    order = [F.col(k).asc_nulls_last() for k in keys]
+    turn = F.row_number().over(Window.partitionBy("field").orderBy(*order, "expected", "actual"))
+    return listed.withColumn("turn", turn).where(F.col("turn") <= room).orderBy("field", "turn").select(
+        F.lit("FIELD_MISMATCH").alias("kind"), *keys, "field", "expected", "actual"
     )
 
 

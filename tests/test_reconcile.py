@@ -19,10 +19,6 @@ def random_sides(seed):
     return rows([None, 1, 2, 3, 4, 5]), rows([None, 1, 2, 3, 6, 7])
 
 
-def same(a, b):
-    return a == b
-
-
 @pytest.mark.parametrize("seed", range(3))
 def test_counts_equal_the_joins(spark, seed):
     left, right = random_sides(seed)
@@ -49,8 +45,9 @@ def test_evidence_is_ordered_bounded_and_complete(spark):
     s, t = (spark.createDataFrame(rows, "k long, x long, y string") for rows in (left, right))
     cells = sorted(a[0] for a in left for b in right if a[0] is not None and a[0] == b[0] and a[1] != b[1])
     for limit in (1, 5, 100):
-        found = reconcile.field_mismatch_evidence(s, t, ["k"], [("x", "x")], 0, limit).collect()
-        assert [r.k for r in found] == cells[:limit]
+        found = reconcile.field_mismatch_evidence(s, t, ["k"], [("x", "x"), ("y", "y")], {0: limit, 1: 3}).collect()
+        assert [r.k for r in found if r.field == 0] == cells[:limit]
+        assert sum(r.field == 1 for r in found) == 3
         assert all(r.expected != r.actual for r in found)
 
 
