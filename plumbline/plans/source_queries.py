@@ -501,9 +501,13 @@ def _q6(v):
 
 
 @query("q06_field_evidence", """
-    SELECT 'customer_id' AS field, s.order_id, CAST(s.customer_id AS VARCHAR) AS expected, CAST(t.customer_id AS VARCHAR) AS actual
-    FROM clean_orders s JOIN target_orders t ON s.order_id = t.order_id WHERE s.customer_id IS DISTINCT FROM t.customer_id
-    ORDER BY s.order_id, t.customer_id LIMIT 100""")
+    SELECT field, order_id, expected, actual FROM (
+        SELECT 1 AS turn, 'customer_id' AS field, s.order_id, CAST(s.customer_id AS VARCHAR) AS expected,
+               CAST(t.customer_id AS VARCHAR) AS actual
+        FROM clean_orders s JOIN target_orders t ON s.order_id = t.order_id WHERE s.customer_id IS DISTINCT FROM t.customer_id
+        UNION ALL SELECT 2, 'net_amount', s.order_id, CAST(s.net_amount AS VARCHAR), CAST(t.net_amount AS VARCHAR)
+        FROM clean_orders s JOIN target_orders t ON s.order_id = t.order_id WHERE s.net_amount IS DISTINCT FROM t.net_amount) cells
+    ORDER BY turn, order_id, actual NULLS FIRST LIMIT 100""")
 def _q6_evidence(v):
     frame = results_frame(v.spark, execute_rules([FIELD_RULE], rule_source(v), RULE_DATASETS))
     rows = frame.select(F.explode("evidence").alias("e"))
