@@ -386,20 +386,38 @@ def _json_value(df: DataFrame, name: str) -> Column:
     return (F.col(name).cast("string") if kind.startswith(("decimal", "date")) else F.col(name)).alias(name)
 
 
+def _section(path: str) -> Section:
+    return next(s for s in SECTIONS if s.path == path)
+
+
+def oversized_bundles(sections: dict[str, DataFrame]) -> DataFrame:
+    """Bundles with more rows in a section than a document may hold, as problems."""
+    found = []
+    for path, rows in sections.items():
+        limit = _section(path).limit
+        sizes = rows.groupBy("bundle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
+        found.append(sizes.select(
+            "bundle", F.lit(path).alias("section"), F.lit(None).cast("int").alias("pos"),
+            F.lit(f"more than {limit} rows: {path}").alias("reason")))
+    return reduce(DataFrame.unionByName, found)
+
+
 def export_bundles(header: DataFrame, sections: dict[str, DataFrame]) -> DataFrame:
     """JSON documents, one per bundle, that the reader above accepts again.
 
     ``header`` has one row per bundle: bundle, provider, resource_id, as_of and
-    batch_no. Money and times travel as text. Bundles beyond the limits come back
-    as problems when re-read, they are never cut.
+    batch_no. Money and times travel as text. Rows are gathered only for bundles
+    within the limits, so no group grows without bound; the others are not cut but
+    left to ``oversized_bundles``.
     """
-    out = header.select(
+    refused = oversized_bundles(sections).select("bundle").distinct()
+    out = header.join(refused, "bundle", "left_anti").select(
         "bundle", F.lit(1).alias("version"), *[_json_value(header, c) for c in ("provider", "resource_id", "as_of", "batch_no")]
     )
     for path, rows in sections.items():
-        contract = next(s for s in SECTIONS if s.path == path)
-        record = F.struct(*[_json_value(rows, c) for c in contract.fields])
-        lists = rows.groupBy("bundle").agg(F.array_sort(F.collect_list(record)).alias(f"rows:{path}"))
+        record = F.struct(*[_json_value(rows, c) for c in _section(path).fields])
+        within = rows.join(refused, "bundle", "left_anti")
+        lists = within.groupBy("bundle").agg(F.array_sort(F.collect_list(record)).alias(f"rows:{path}"))
         out = out.join(lists, "bundle", "left")
 
     def listed(path: str) -> Column:
@@ -415,9 +433,13 @@ def export_bundles(header: DataFrame, sections: dict[str, DataFrame]) -> DataFra
 
 
 def checked_export(header: DataFrame, sections: dict[str, DataFrame]) -> tuple[DataFrame, Evidence]:
-    """Exported documents together with what the reader makes of them."""
+    """Exported documents together with what the reader makes of them; refused bundles are listed."""
     documents = with_hash(export_bundles(header, sections))
-    return documents, parse_bundles(documents)
+    found = parse_bundles(documents)
+    refused = oversized_bundles(sections)
+    bundle_type = refused.schema["bundle"].dataType
+    problems = found.problems.withColumn("bundle", F.col("bundle").cast(bundle_type)).unionByName(refused)
+    return documents, Evidence(found.documents, found.sections, problems, found.run_sections)
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
