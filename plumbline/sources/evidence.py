@@ -114,32 +114,50 @@ def _text(item: Column, path: str) -> Column:
     return F.try_variant_get(item, f"$.{path}", "string")
 
 
-def _kind_ok(item: Column, path: str, rule: Field) -> Column:
-    found, text = _type(item, path), _text(item, path)
-    if rule.kind == "integer":
-        number = F.try_variant_get(item, f"$.{path}", "bigint")
-        return (found == "BIGINT") & number.between(0, rule.maximum)
+def _value_ok(kind: Column, found: Column, text: Column, number: Column, maximum: Column) -> Column:
+    """Whether a JSON value of type ``found`` is of the wanted kind."""
     is_text = found == "STRING"
-    if rule.kind == "text":
-        return is_text & F.length(text).between(1, 128) & ~text.rlike(r"[\x00-\x1f]")
-    if rule.kind == "timestamp":
-        return is_text & (F.length(text) <= 40) & text.rlike(ISO_WITH_OFFSET) & text.try_cast("timestamp").isNotNull()
-    if rule.kind == "date":
-        return is_text & text.rlike(r"^\d{4}-\d{2}-\d{2}$") & text.try_cast("date").isNotNull()
-    if rule.kind == "money":
-        return is_text & text.rlike(MONEY_PATTERN)
-    if rule.kind == "dataset":
-        return is_text & text.isin(*DATASETS)
-    raise ValueError(f"unknown field kind: {rule.kind}")
-
-
-def field_problem(item: Column, path: str, rule: Field) -> Column:
-    """A reason why the field is refused, or NULL."""
-    found = _type(item, path)
-    absent = F.when(F.lit(rule.required), F.lit(f"missing field: {path}"))
-    null = F.when(F.lit(not rule.nullable), F.lit(f"null field: {path}"))
-    bad = F.when(~F.coalesce(_kind_ok(item, path, rule), F.lit(False)), F.lit(f"invalid {rule.kind}: {path}"))
-    return F.when(found.isNull(), absent).when(found == "VOID", null).otherwise(bad)
+    dated = text.rlike(ISO_WITH_OFFSET) & (F.length(text) <= 40) & text.try_cast("timestamp").isNotNull()
+    ok = (
+        F.when(kind == "integer", (found == "BIGINT") & number.between(F.lit(0), maximum))
+        .when(kind == "text", is_text & F.length(text).between(1, 128) & ~text.rlike(r"[\x00-\x1f]"))
+        .when(kind == "timestamp", is_text & dated)
+        .when(kind == "date", is_text & text.rlike(r"^\d{4}-\d{2}-\d{2}$") & text.try_cast("date").isNotNull())
+        .when(kind == "money", is_text & text.rlike(MONEY_PATTERN))
+        .when(kind == "dataset", is_text & text.isin(*DATASETS))
+    )
+    return F.coalesce(ok, F.lit(False))
+
+
+def object_problems(item: Column, fields: dict[str, Field]) -> Column:
+    """Reasons why an object is refused: its shape, absent, unknown, null and ill-typed fields.
+
+    One expression judges every entry against a map of rules, so the plan does not
+    grow with the number of fields.
+    """
+    rules = F.create_map(*[
+        x for name, f in fields.items()
+        for x in (F.lit(name), F.struct(F.lit(f.kind).alias("kind"), F.lit(f.nullable).alias("nullable"),
+                                        F.lit(f.maximum).cast("bigint").alias("maximum")))
+    ])
+    required = F.array(*[F.lit(n) for n, f in fields.items() if f.required]).cast("array<string>")
+    members = F.try_variant_get(item, "$", "map<string,variant>")
+
+    def judged(entry: Column) -> Column:
+        rule, value = rules[entry["key"]], entry["value"]
+        found = F.schema_of_variant(value)
+        ok = _value_ok(
+            rule["kind"], found, F.try_variant_get(value, "$", "string"), F.try_variant_get(value, "$", "bigint"), rule["maximum"])
+        return (
+            F.when(rule.isNull(), F.lit("unknown field"))
+            .when(value.isNull() | (found == "VOID"),
+                  F.when(~rule["nullable"], F.concat(F.lit("null field: "), entry["key"])))
+            .when(~ok, F.concat(F.lit("invalid "), rule["kind"], F.lit(": "), entry["key"]))
+        )
+
+    absent = F.transform(F.array_except(required, F.map_keys(members)), lambda f: F.concat(F.lit("missing field: "), f))
+    listed = F.concat(F.array_compact(F.transform(F.map_entries(members), judged)), absent)
+    return F.when(members.isNull() | ~_is_object(item), F.array(F.lit("not an object"))).otherwise(listed)
 
 
 def _is_object(item: Column) -> Column:
@@ -183,11 +201,11 @@ def with_hash(documents: DataFrame) -> DataFrame:
     return documents.withColumn("sha256", F.sha2("content", 256))
 
 
-def _located(section: str, position: Column | None, reasons: list[Column]) -> Column:
-    """Reasons that apply, each with its place."""
+def _located(section: str, position: Column | None, reasons: Column) -> Column:
+    """Reasons, each with its place."""
     place = F.lit(None).cast("int") if position is None else position
     return F.transform(
-        F.array_compact(F.array(*reasons)),
+        F.array_compact(reasons),
         lambda r: F.struct(F.lit(section).alias("section"), place.alias("pos"), r.alias("reason")),
     )
 
@@ -196,9 +214,20 @@ def _items(section: Section) -> Column:
     return F.try_variant_get("document", f"$.{section.path}", "array<variant>")
 
 
+# Header fields with a simple kind; the sections are judged on their own.
+_HEADER = {
+    "resource_id": _TEXT_OPTIONAL, "as_of": _TIME_OPTIONAL,
+    "batch_no": Field("integer", required=False, nullable=True, maximum=MAX_INT),
+}
+
+
 def _document_problems(allowed, required, extra: list[Column]) -> Column:
     document = F.col("document")
-    return _located("document", None, [
+    header = F.map_filter(
+        F.try_variant_get(document, "$", "map<string,variant>"), lambda k, _: k.isin(*_HEADER)
+    )
+    stated = F.coalesce(object_problems(F.to_variant_object(header), _HEADER), F.array().cast("array<string>"))
+    shape = F.array(
         F.when(F.octet_length("content") > MAX_BYTES, F.lit("larger than 48 KiB")),
         F.when(document.isNull(), F.lit("invalid JSON")),
         unknown_field_problem(document, allowed),
@@ -206,11 +235,9 @@ def _document_problems(allowed, required, extra: list[Column]) -> Column:
         F.when(
             F.coalesce(_type(document, "version") != "BIGINT", F.lit(True))
             | (F.try_variant_get(document, "$.version", "bigint") != 1), F.lit("unsupported version")),
-        field_problem(document, "resource_id", _TEXT_OPTIONAL),
-        field_problem(document, "as_of", Field("timestamp", required=False, nullable=True)),
-        field_problem(document, "batch_no", Field("integer", required=False, nullable=True, maximum=MAX_INT)),
         *extra,
-    ])
+    )
+    return _located("document", None, F.when(document.isNull(), shape).otherwise(F.concat(shape, stated)))
 
 
 def _section_problems(section: Section) -> list[Column]:
@@ -226,12 +253,10 @@ def _section_problems(section: Section) -> list[Column]:
         shape.append(F.when(F.size(F.array_distinct(ids)) < F.size(ids), F.lit(f"repeated {unique}")))
 
     def judged(item: Column, position: Column) -> Column:
-        reasons = [unknown_field_problem(item, section.fields)]
-        reasons += [field_problem(item, name, rule) for name, rule in section.fields.items()]
-        return _located(section.path, position, reasons)
+        return _located(section.path, position, object_problems(item, section.fields))
 
     none = F.array().cast("array<struct<section:string,pos:int,reason:string>>")
-    return [_located(section.path, None, shape), F.coalesce(F.flatten(F.transform(items, judged)), none)]
+    return [_located(section.path, None, F.array(*shape)), F.coalesce(F.flatten(F.transform(items, judged)), none)]
 
 
 def _judge(documents: DataFrame, sections, allowed, required, extra: list[Column], finish: Callable) -> Evidence:

@@ -100,13 +100,15 @@ def test_export_reads_back(spark):
     found = evidence.parse_bundles(documents(spark, GOOD))
     header = spark.createDataFrame(
         [("b0", "Fabric", "workspace", datetime(2026, 1, 3, 12), 1)], "bundle string, provider string, resource_id string, as_of timestamp, batch_no int")
-    sections = {p: found.sections[p] for p in ("runs", "activities", "datasets.source")}
-    exported, again = evidence.checked_export(header, sections)
+    sections = fixtures.materialize(found.sections, ["runs", "activities", "datasets.source"])
+    exported = evidence.with_hash(evidence.export_bundles(header, sections))
+    stored = fixtures.materialize({"documents": exported}, ["documents"])["documents"]
+    again = evidence.parse_bundles(stored)
     assert again.problems.count() == 0
     for path, rows in sections.items():
         assert sorted(map(str, again.sections[path].drop("raw_evidence", "pos").collect())) == sorted(
             map(str, rows.drop("raw_evidence", "pos").collect()))
-    assert json.loads(exported.first().content)["datasets"]["source"][1]["amount"] is None
+    assert json.loads(stored.first().content)["datasets"]["source"][1]["amount"] is None
 
 
 def test_export_refuses_bundles_beyond_the_limits(spark):
