@@ -8,9 +8,9 @@ its problems are listed, one row each.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -181,12 +181,31 @@ def typed(item: Column, path: str, rule: Field) -> Column:
     return text.try_cast(cast) if cast else text
 
 
+class Sections(Mapping):
+    """Rows per section, each put together when it is first asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, path: str) -> DataFrame:
+        if path not in self._made:
+            self._made[path] = self._builders[path]()
+        return self._made[path]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 @dataclass
 class Evidence:
     """Accepted documents and rows per section, and the problems of refused bundles."""
 
     documents: DataFrame
-    sections: dict[str, DataFrame] = field(default_factory=dict)
+    sections: Mapping[str, DataFrame] = field(default_factory=dict)
     problems: DataFrame | None = None
     run_sections: tuple[Section, ...] = ()
 
@@ -273,10 +292,14 @@ def _judge(documents: DataFrame, sections, allowed, required, extra: list[Column
     judged = parsed.withColumn("problems", F.concat(*found))
     accepted = judged.where(F.size("problems") == 0).drop("problems")
     problems = judged.select("bundle", F.explode("problems").alias("p")).select("bundle", "p.*")
-    rows = {
-        s.path: finish(s, accepted.select("bundle", F.posexplode(_items(s)).alias("pos", "item"))) for s in sections
-    }
-    return Evidence(accepted, rows, problems, tuple(s for s in sections if "run_id" in s.fields))
+
+    def rows(section: Section) -> DataFrame:
+        return finish(section, accepted.select("bundle", F.posexplode(_items(section)).alias("pos", "item")))
+
+    return Evidence(
+        accepted, Sections({s.path: partial(rows, s) for s in sections}), problems,
+        tuple(s for s in sections if "run_id" in s.fields),
+    )
 
 
 def _typed_rows(section: Section, items: DataFrame) -> DataFrame:
