@@ -138,14 +138,6 @@ def key_difference(source, target, keys, by: By = ()) -> DataFrame:
     return one_sided.select(*by, kind.alias("kind"), *keys)
 
 
-def key_difference_counts(source, target, keys, by: By = ()) -> DataFrame:
-    per_key = key_presence(source, target, keys, by)
-    return per_key.groupBy(*by).agg(
-        F.count_if(F.col("in_source") & ~F.col("in_target")).alias("missing_count"),
-        F.count_if(F.col("in_target") & ~F.col("in_source")).alias("unexpected_count"),
-    )
-
-
 def duplicate_groups(df: DataFrame, keys: Sequence[str], by: By = ()) -> DataFrame:
     """Keys that occur more than once; NULL keys form one group."""
     return df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1")
@@ -245,11 +237,6 @@ def pair_report(source: DataFrame, target: DataFrame, keys: Sequence[str], mappi
     return stacked.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in settled.columns])
 
 
-def field_mismatch_counts(source, target, keys, mappings) -> DataFrame:
-    """One row: differing joined cells per compared field."""
-    return pair_report(source, target, keys, mappings).select(*[f"m{i}" for i in range(len(mappings))])
-
-
 def _first_differing_keys(rows, keys, names, rooms: dict[int, int]) -> DataFrame:
     """For each field, the first keys with a differing cell, as many as there is room for."""
     profile = _key_profile(rows, keys, names)

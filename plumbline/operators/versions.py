@@ -63,11 +63,6 @@ def guarded_apply(before: DataFrame, incoming: DataFrame, keys, version: str, by
     return updated.unionByName(inserted).select(*before.columns)
 
 
-def newer_only(existing: DataFrame, incoming: DataFrame, keys, version: str) -> DataFrame:
-    """Replace a key's rows when the incoming version exceeds the current maximum."""
-    return merge_versions(existing, incoming, keys, [version])
-
-
 def next_start(df: DataFrame, keys: Sequence[str], at: str, name: str = "next_start") -> DataFrame:
     """The following ``at`` within each key, NULL for the last.
 
