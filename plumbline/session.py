@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,14 +26,12 @@ def build_session(app_name: str = "plumbline", master: str | None = None, **conf
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the cluster's shared checkpoint directory.
+    """A new folder for intermediate tables, deleted when the driver ends.
 
-    ``spark.checkpoint.dir`` names the shared folder. Only a local master, where
-    driver and executors are one machine, may fall back to a temporary folder.
+    It lies in the shared folder that ``spark.checkpoint.dir`` names; where that is unset, in the warehouse.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="plumbline-")
-    return f"{base.rstrip('/')}/plumbline/{purpose}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/plumbline/{purpose}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
