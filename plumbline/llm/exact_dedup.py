@@ -11,7 +11,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.storage import buckets_for, clear_of, written
@@ -145,16 +145,14 @@ def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text")
     Rows are found again by key and digest; of rows equal in both, one stays (any of the longest).
     """
     found = duplicate_groups(docs, key, text)
-    k, d, n, t = clear_of(docs, "key_", "digest_", "points_", "turn_")
+    k, d, n, t, e = clear_of(docs, "key_", "digest_", "points_", "turn_", "of_")
     blank = F.translate(F.coalesce(F.col(text), F.lit("")), BLANK.decode(), "")
-    kept = found.where("kept").select(F.col(key).alias(k), F.col("text_sha256").alias(d), "row_no")
+    kept = found.where("kept").select(F.col(key).alias(k), F.col("text_sha256").alias(d))
     lone = found.groupBy(key).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > 1).limit(1).count() == 0
     if lone:
-        return docs.join(kept, docs[key].eqNullSafe(F.col(k)), "inner").select(*docs.columns)
+        return docs.join(kept.select(k), docs[key].eqNullSafe(F.col(k)), "inner").select(*docs.columns)
     keyed = docs.withColumn(d, F.sha2(blank.cast("binary"), 256)).withColumn(n, F.char_length(F.coalesce(F.col(text), F.lit(""))))
-    from pyspark.sql import Window
-
     first = F.row_number().over(Window.partitionBy(F.col(key), F.col(d)).orderBy(F.desc(n)))
-    kept = kept.select(k, F.col(d).alias("d2_"))
+    kept = kept.select(k, F.col(d).alias(e))
     joined = keyed.withColumn(t, first).where(F.col(t) == 1)
-    return joined.join(kept, joined[key].eqNullSafe(F.col(k)) & (joined[d] == F.col("d2_")), "inner").select(*docs.columns)
+    return joined.join(kept, joined[key].eqNullSafe(F.col(k)) & (joined[d] == F.col(e)), "inner").select(*docs.columns)

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.llm.components import components
 from plumbline.llm.storage import buckets_for, clear_of, written
@@ -108,6 +109,15 @@ def _sets_of(text: str, n: int):
     return run
 
 
+def _with_set_keys(text: str, n: int, a: str, b: str):
+    def run(batches):
+        for batch in batches:
+            keys = [set_key(members) for members in shingle_sets(batch, text, n)]
+            found = [pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, a, b])
+    return run
+
+
 def _packed_signatures(text: str, n: int, num: int, den: int, buckets: int):
     schema = pa.schema([("bucket", pa.int32()), ("sigs", pa.binary()), ("members", pa.binary())])
 
@@ -281,7 +291,7 @@ def similarity_classes(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, num: int = 4, den: int = 5,
     block_classes: int = BLOCK_CLASSES, block_members: int = BLOCK_MEMBERS,
 ) -> DataFrame:
-    """Adds ``n_shingles``, ``component_id`` and ``class_id`` to the key of every row.
+    """The key of every row with ``h1`` and ``h2`` (key of its set), ``n_shingles``, ``class_id`` and ``component_id``.
 
     Rows are linked when ``den * overlap >= num * union`` of their sets of distinct ``words``-word shingles
     (words: runs without ASCII white space, A-Z lower-cased). ``component_id`` is the smallest key reachable by links;
@@ -350,22 +360,21 @@ def similarity_classes(
     named = named.join(least, "root").select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "class_id", "component_id")
     found = sets.join(named, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & (F.col("n_shingles") > 0), "left")
     return found.select(
-        F.col("id").alias(key), "row_no", "n_shingles", F.coalesce("class_id", "row_no").alias("class_id"),
+        F.col("id").alias(key), "h1", "h2", "n_shingles", F.coalesce("class_id", "row_no").alias("class_id"),
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose key is the smallest of their component.
 
-    Texts without words are linked with nothing, so all stay. Repeated rows with the kept key count as one text
-    and one of them stays; rows with a null key stay only where their component has no other key.
+    Texts without words are linked with nothing, so each stays. Rows with the same key and set count as one text,
+    and any one of them stays; rows with a null key stay where their component has no other key.
     """
     found = similarity_classes(docs, key, text, words, num, den)
-    kept = found.where(F.col("component_id").eqNullSafe(F.col(key)))
-    k, e, r, c, x, y = clear_of(docs, "key_", "empty_", "rank_", "turn_", "h1_", "h2_")
-    keys = kept.select(F.col(key).alias(k), (F.col("n_shingles") == 0).alias(e)).groupBy(k).agg(F.max(e).alias(e))
-    repeated = docs.groupBy(key).agg(F.count(F.lit(1)).alias(r)).where(F.col(r) > 1).select(F.col(key).alias(c)).limit(1)
-    out = docs.join(keys, docs[key].eqNullSafe(F.col(k)), "inner")
-    if repeated.count():
-        out = out.dropDuplicates(docs.columns)
-    return out.select(*docs.columns)
+    k, a, b, x, y = clear_of(docs, "key_", "set_a", "set_b", "set_x", "set_y")
+    kept = found.where(F.col("component_id").eqNullSafe(F.col(key))).select(F.col(key).alias(k), F.col("h1").alias(a), F.col("h2").alias(b)).distinct()
+    if not docs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
+        return docs.join(kept.select(k), docs[key].eqNullSafe(F.col(k)), "inner").select(*docs.columns)
+    schema = T.StructType([*docs.schema, T.StructField(x, T.LongType()), T.StructField(y, T.LongType())])
+    keyed = docs.mapInArrow(_with_set_keys(text, words, x, y), schema).dropDuplicates([key, x, y])
+    return keyed.join(kept, keyed[key].eqNullSafe(F.col(k)) & (F.col(x) == F.col(a)) & (F.col(y) == F.col(b)), "inner").select(*docs.columns)

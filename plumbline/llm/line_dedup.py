@@ -21,10 +21,10 @@ def host_of(url: Column) -> Column:
 
 
 def lines_of(html: Column) -> Column:
-    """Text lines of a page, without markup and outer blanks; null and empty pages have none."""
+    """Text lines of a page, without markup and outer spaces; null and empty pages have none."""
     text = F.regexp_replace(F.regexp_replace(F.coalesce(html, F.lit("")), CODE, ""), COMMENT, "")
     text = F.regexp_replace(F.regexp_replace(text, BREAK, "\n"), TAG, "")
-    return F.filter(F.transform(F.split(text, "\n", -1), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def line_key(line: Column) -> Column:
@@ -67,12 +67,12 @@ def oracle(num: int = 3, den: int = 10, min_pages: int = 3) -> str:
         text = f"regexp_replace({text}, '{quoted[name]}', {to}, 'g')"
     return f"""
 WITH read AS (SELECT row_number() OVER () AS row_no, page_id, lower(regexp_extract(coalesce(url, ''), '{quoted["host"]}', 2)) AS host,
-    list_filter(list_transform(string_split({text}, chr(10)), x -> trim(x)), x -> x <> '') AS lines FROM pages),
+    list_filter(list_transform(string_split({text}, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '') AS lines FROM pages),
 totals AS (SELECT host, count(*) AS host_pages FROM read GROUP BY host),
 seen AS (SELECT DISTINCT row_no, host, unnest(lines) AS line FROM read),
 common AS (SELECT host, list(line) AS common FROM (SELECT s.host, line FROM seen s JOIN totals t ON s.host = t.host
     GROUP BY s.host, line, host_pages HAVING count(*) >= {min_pages} AND count(*) * {den} > host_pages * {num}) found GROUP BY host)
 SELECT page_id, r.host, host_pages, CAST(len(lines) AS BIGINT) AS n_lines,
-    CAST(len(list_filter(lines, x -> list_contains(coalesce(common, []), x))) AS BIGINT) AS n_dropped,
-    array_to_string(list_filter(lines, x -> NOT list_contains(coalesce(common, []), x)), chr(10)) AS text
+    CAST(len(list_filter(lines, lambda x: list_contains(coalesce(common, []), x))) AS BIGINT) AS n_dropped,
+    array_to_string(list_filter(lines, lambda x: NOT list_contains(coalesce(common, []), x)), chr(10)) AS text
 FROM read r JOIN totals t ON r.host = t.host LEFT JOIN common c ON r.host = c.host"""

@@ -84,7 +84,7 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tu
     while at < len(data):
         end = min(at + BLOCK, len(data))
         while end < len(data):  # a block ends where a word does
-            rest = ~is_word[data[end:end + BLOCK]]
+            rest = ~is_word[LOWER[data[end:end + BLOCK]]]
             if rest.any():
                 end += int(rest.argmax())
                 break
