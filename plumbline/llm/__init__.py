@@ -1,0 +1,7 @@
+"""Operators of a training-data pipeline. Their functions travel to the executors by value, so these need no copy of the package."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -9,6 +9,7 @@ thin them out. What is left are exact phrases or, within a slack, proximity matc
 from __future__ import annotations
 
 from collections.abc import Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -160,7 +161,7 @@ def _lookup(shared, slack: int, item_type: pa.DataType):
     span = pa.list_(pa.struct([("item", item_type), ("start", pa.int32()), ("end", pa.int32()), ("exact", pa.bool_())]))
 
     def run(batches):
-        windows = shared.value
+        windows = SimpleNamespace(**shared.value)
         for batch in batches:
             for ids, number, *row in zip(*(batch.column(c).to_pylist() for c in ("ids", "segment", "counts", "terms", "ends", "positions")), strict=True):
                 segment = Segment(windows, *row)
@@ -227,7 +228,7 @@ def benchmark_matches(
     schema = f"segment long, ordinal int, id {kind}, n_words long, spans array<struct<item:{item_kind},start:int,end:int,exact:boolean>>"
     found, passes = None, 0
     for windows in _slices(items, item, item_text, window):
-        shared = docs.sparkSession.sparkContext.broadcast(windows)
+        shared = docs.sparkSession.sparkContext.broadcast(vars(windows))
         part = index.mapInArrow(_lookup(shared, slack, item_type), schema)
         found, passes = part if found is None else found.unionByName(part), passes + 1
     if passes > 1:

@@ -196,6 +196,13 @@ class Model:
         self.strength = 1.0
         self.rounds: list[dict] = []  # tables by context, parent customers and tables, of hot tokens and of all
 
+    @classmethod
+    def of(cls, fields: dict) -> Model:
+        """A model from its fields; plain arrays are what travels."""
+        model = cls.__new__(cls)
+        vars(model).update(fields)
+        return model
+
     def parent(self, customers, tables, state: dict) -> np.ndarray:
         """P(token) in the parent restaurant."""
         d = self.discounts[1]
@@ -263,7 +270,7 @@ _TOTALS = pa.schema([("part", pa.int32()), ("sums", pa.binary())])
 def _totals(shared, seed: int, rounds: int):
     """What the last of ``rounds`` rounds adds up to: tables by context in parts, and on part -1 the rest."""
     def run(batches):
-        model = shared.value
+        model = Model.of(shared.value)
         by_context = np.zeros(CONTEXTS, np.int64)
         of_context = np.zeros(CONTEXTS, np.int64)
         rest = np.zeros(7 + 2 * HOT, np.int64)
@@ -299,7 +306,7 @@ def _added(key, table):
 
 
 def _add_up(customers: DataFrame, model: Model, seed: int, rounds: int) -> dict[int, np.ndarray]:
-    shared = customers.sparkSession.sparkContext.broadcast(model)
+    shared = customers.sparkSession.sparkContext.broadcast(vars(model))
     rows = customers.mapInArrow(_totals(shared, seed, rounds), "part int, sums binary").groupBy("part").applyInArrow(_added, "part int, sums binary")
     found = {r["part"]: np.frombuffer(r["sums"], np.int64) for r in rows.collect()}
     return found or {p: np.zeros(CONTEXTS // PARTS if p >= 0 else 7 + 2 * HOT, np.int64) for p in range(-1, 2 * PARTS)}
@@ -341,7 +348,7 @@ def _hot_scores(shared, seed: int, rounds: int, keep: int):
     schema = pa.schema([("entries", pa.binary()), ("values", pa.binary())])
 
     def run(batches):
-        model = shared.value
+        model = Model.of(shared.value)
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in _CUSTOMERS.names), strict=True):
                 bucket = Bucket(*row)
@@ -370,7 +377,7 @@ def hot_table(customers: DataFrame, model: Model, seed: int, rounds: int, keep:
         for i, p in enumerate(parent):
             out[i] += model.child(0, 0, contexts, p, state)
     out /= rounds - keep + 1
-    shared = customers.sparkSession.sparkContext.broadcast(model)
+    shared = customers.sparkSession.sparkContext.broadcast(vars(model))
     for row in customers.mapInArrow(_hot_scores(shared, seed, rounds, keep), "entries binary, values binary").toLocalIterator():
         out.ravel()[np.frombuffer(row["entries"], np.uint32)] = np.frombuffer(row["values"], np.float64)
     return np.log10(out).astype(np.float32)
@@ -382,7 +389,7 @@ _PARTIAL = [("place", pa.int64()), ("docs", pa.binary()), ("known", pa.binary())
 def _occurrences(shared, text: str, buckets: int):
     """Each text's tokens by bucket; hot ones are scored here, and come with the texts' keys under a bucket of their own."""
     def run(batches):
-        model, table = shared.value
+        model, table = Model.of(shared.value[0]), shared.value[1]
         place = TaskContext.get().partitionId() << 32
         flat = np.log10(model.trained + 0.5 * (model.vocabulary + 1))
         hot_base = np.log10(model.hot_counts + 0.5) - flat
@@ -422,7 +429,7 @@ def _looked_up(shared, seed: int, rounds: int, keep: int, key_type: pa.DataType)
         rows = occurrences.filter(pa.compute.is_null(occurrences["keys"]))
         if not rows.num_rows:
             return heads
-        model = shared.value
+        model = Model.of(shared.value)
         flat = np.log10(model.trained + 0.5 * (model.vocabulary + 1))
         packed = customers.to_pylist()
         bucket = Bucket(*(packed[0][c] for c in _CUSTOMERS.names)) if packed else Bucket(0, b"", b"", b"", b"")
@@ -511,7 +518,7 @@ def scored(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "text
     model = trained(customers, hot, int(vocabulary), seed, rounds)
     keep = min(burn_in + 1, rounds)
     table = hot_table(customers, model, seed, rounds, keep)
-    shared, with_table = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast((model, table))
+    shared, with_table = spark.sparkContext.broadcast(vars(model)), spark.sparkContext.broadcast((vars(model), table))
     partial = "place long, docs binary, known binary, base binary, score binary"
     lists = f"keys array<{kind}>, held array<boolean>, sizes array<long>"
     found = plain.mapInArrow(_occurrences(with_table, t, buckets), f"bucket int, tokens binary, ends binary, contexts binary, counts binary, {partial}, {lists}")
