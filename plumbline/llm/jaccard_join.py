@@ -1,9 +1,11 @@
 """Similarity self-join of texts on word n-gram sets by signature trees.
 
 1. Every text becomes its set of n-gram hashes; texts with equal sets form a class.
-2. Routing, without loss: for a band of set sizes, two linked sets differ in at most ``k`` members. The
-   hash space is cut into more than ``k`` segments, so one at least is equal on both sides. The segments' sums,
-   sent to hash buckets as packed arrays, join classes into clusters outside which no link can be.
+2. Routing, without loss: in one order of all members, rarest first, linked sets share one of their first
+   ``size - ceil(t * size) + 1`` members. These, sent to hash buckets as packed arrays, join classes into
+   clusters outside which no link can be. The order comes from two tables of bounded size over all texts: counts of the
+   most frequent members, and of words by cells of the hash range, for what a member's words let expect. What
+   the tables blur only makes clusters larger.
 3. Signature trees: within a cluster, nodes hold the OR of their sets' bitmaps and a size range. A dual
    traversal drops node pairs whose largest possible overlap is too small, and pairs already in one component.
    Large clusters are cut into blocks that share the cluster's first class; block pairs are compared only for
@@ -16,22 +18,25 @@ Set members are 64-bit hashes. Within two compared texts an accidental equality
 from __future__ import annotations
 
 from collections.abc import Iterator
-from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from plumbline.llm.components import components
 from plumbline.llm.storage import buckets_for, clear_of, written
-from plumbline.llm.words import mix, shingle_sets
+from plumbline.llm.words import leveled_sets, mix, shingle_sets, word_cells
 
-GROWTH = Fraction(8, 5)  # of set sizes from one band to the next
-SEEDS = 4
+FREQUENT = 2_000_000  # members at most whose counts are shared
+CELLS = 1 << 16  # of words, counted together
+MIN_COUNT = 4  # below it, members count as equally rare
+TOGETHER = 4_000_000  # members of texts looked at together
+SALT_SETS = 50_000  # sets of one member in one bucket
 LEAF, FAN = 16, 4
-BLOCK_CLASSES, BLOCK_MEMBERS = 1024, 4_000_000
+BLOCK_CLASSES, BLOCK_MEMBERS = 2048, 16_000_000  # of one task: 128 MB of members
 
 
 def set_key(members: np.ndarray) -> tuple[int, int]:
@@ -40,75 +45,144 @@ def set_key(members: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
-class Bands:
-    """Size bands and their numbers of segments for links with ``den * overlap >= num * union``."""
-
-    def __init__(self, num: int, den: int):
-        self.t = Fraction(num, den)
-        self.low, self.allowed, self.segments, self.partner = [1], [], [], []
-
-    def reach(self, size: int) -> None:
-        while self.low[-1] <= size:
-            low = self.low[-1]
-            high = max(low, int(low * GROWTH))
-            partner = int(high / self.t)
-            k = int((1 - self.t) / (1 + self.t) * (high + partner))
-            m = k + 1
-            for _ in range(8):  # room for segments that hold nothing
-                empty = m * float(np.exp(-low / m))
-                m = k + 1 + int(np.ceil(empty + 3 * np.sqrt(empty))) if k else 1
-            self.allowed.append(k)
-            self.segments.append(m)
-            self.partner.append(partner)
-            self.low.append(high + 1)
-
-    def of(self, size: int) -> list[int]:
-        """Bands whose segments a set of this size takes part in; a band without slack links equal sets only."""
-        self.reach(size)
-        own = int(np.searchsorted(self.low, size, "right")) - 1
-        out = []
-        for band in range(own, -1, -1):
-            if band != own and self.partner[band] < size:
-                break
-            if self.allowed[band]:
-                out.append(band)
-        return out
-
-
-def signatures(members: np.ndarray, bands: Bands) -> Iterator[np.ndarray]:
-    """Segment signatures; linked sets share one at least.
-
-    A set with more filled segments than allowed differences shares a filled one with every partner. Only
-    sets without that margin go on to another cut of the hash space, the last of which counts empty segments too.
-    """
-    for band in bands.of(len(members)):
-        m, k = bands.segments[band], bands.allowed[band]
-        for seed in range(SEEDS):
-            turned = members * np.uint64(0x9E3779B97F4A7C15 + 2 * seed)
-            segment = (((turned >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)).astype(np.int64)
-            sums = np.zeros(m, np.uint64)
-            np.add.at(sums, segment, members)
-            filled = np.bincount(segment, minlength=m) > 0
-            regular = int(filled.sum()) > k
-            keep = np.arange(m) if not regular and seed == SEEDS - 1 else np.flatnonzero(filled)
-            yield mix(sums[keep] + mix(keep.astype(np.uint64), 31 + seed + SEEDS * band), 7)
-            if regular:
-                break
-
-
-def _sets_of(text: str, n: int):
+class Order:
+    """All members in one order: by their shared count, then by how common their words are, then by hash."""
+
+    def __init__(self, members: np.ndarray, counts: np.ndarray):
+        at = np.argsort(members)
+        self.members, self.counts = members[at], counts[at]
+
+    def count(self, members: np.ndarray) -> np.ndarray:
+        if not len(self.members):
+            return np.zeros(len(members), np.int64)
+        at = np.searchsorted(self.members, members)
+        at[at == len(self.members)] = 0
+        return np.where(self.members[at] == members, self.counts[at], 0)
+
+    def prefix(self, members: np.ndarray, levels: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first members of an ascending set, as many as leave room for a link beyond them, and their counts."""
+        wanted = len(members) - -(-num * len(members) // den) + 1
+        order = np.argsort(levels, kind="stable")
+        members, levels = members[order], levels[order]
+        for looked_at in (2 * wanted, len(members)):
+            counts = self.count(members[:looked_at])
+            rare = np.flatnonzero(counts == 0)
+            if len(rare) >= wanted:
+                return members[rare[:wanted]], np.zeros(wanted, np.int64)
+        first = np.argsort(counts, kind="stable")[:wanted]
+        return members[first], counts[first]
+
+
+def word_levels(cells: np.ndarray) -> np.ndarray:
+    """Binary logarithm, in eighths, of the words counted in each cell."""
+    return np.minimum(255, 8 * np.log2(1 + cells)).astype(np.uint8)
+
+
+def _distinct_sets(batches, text: str, n: int, levels: np.ndarray) -> Iterator[list[tuple[int, np.ndarray, np.ndarray]]]:
+    """Groups of (first half of the key, members, levels) of the non-empty sets; copies within a group are left out."""
+    group, seen, held = [], set(), 0
+    for batch in batches:
+        for members, level in leveled_sets(batch, text, n, levels):
+            key = set_key(members)
+            if len(members) and key not in seen:
+                seen.add(key)
+                group.append((key[0], members, level))
+                held += len(members)
+                if held >= TOGETHER:
+                    yield group
+                    group, seen, held = [], set(), 0
+    if group:
+        yield group
+
+
+def _by_bucket(buckets: int, to: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """(bucket, bytes of each column) of the rows of every bucket."""
+    order = np.argsort(to, kind="stable")
+    to, columns = to[order], [c[order] for c in columns]
+    cuts = np.flatnonzero(np.r_[True, to[1:] != to[:-1], True]) if len(to) else [0]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        yield int(to[a]), *(c[a:b].tobytes() for c in columns)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+_COUNTED = pa.schema([("bucket", pa.int32()), ("members", pa.binary()), ("counts", pa.binary())])
+
+
+def _repeated_members(text: str, n: int, buckets: int):
+    """Members that several sets of a group have, with their counts, by bucket."""
     def run(batches):
+        for group in _distinct_sets(batches, text, n, np.zeros(2, np.uint8)):
+            members, counts = np.unique(np.concatenate([g[1] for g in group]), return_counts=True)
+            members, counts = members[counts > 1], counts[counts > 1]
+            yield _batch(list(_by_bucket(buckets, (members % np.uint64(buckets)).astype(np.int32), members, counts)), _COUNTED)
+    return run
+
+
+def _frequent_members(key, table):
+    """A bucket's members with their counts added up, from ``MIN_COUNT`` on, by power of two of the count."""
+    members = np.concatenate([np.frombuffer(x, np.uint64) for x in table["members"].to_pylist()])
+    counts = np.concatenate([np.frombuffer(x, np.int64) for x in table["counts"].to_pylist()])
+    members, place = np.unique(members, return_inverse=True)
+    counts = np.bincount(place, counts).astype(np.int64)
+    members, counts = members[counts >= MIN_COUNT], counts[counts >= MIN_COUNT]
+    level = np.log2(counts).astype(np.int32)
+    rows = list(_by_bucket(64, level, members, counts))
+    return pa.table({"level": pa.array([r[0] for r in rows], pa.int32()), "members": pa.array([r[1] for r in rows], pa.binary()), "counts": pa.array([r[2] for r in rows], pa.binary())})
+
+
+def member_order(texts: DataFrame, n: int, buckets: int) -> Order:
+    """The order of members by their counts over all texts. Only the ``FREQUENT`` most frequent, at most, come to the driver."""
+    found = texts.mapInArrow(_repeated_members("text", n, buckets), "bucket int, members binary, counts binary")
+    found = written(found.groupBy("bucket").applyInArrow(_frequent_members, "level int, members binary, counts binary"), "jaccard-frequent")
+    levels = found.groupBy("level").agg(F.sum(F.octet_length("members")).alias("bytes")).collect()
+    least, held = 64, 0
+    for level, size in sorted(levels, reverse=True):
+        held += size // 8
+        if held > FREQUENT:
+            break
+        least = level
+    rows = [(r["members"], r["counts"]) for r in found.where(F.col("level") >= least).toLocalIterator()]
+    return Order(*(np.concatenate([np.frombuffer(r[i], kind) for r in rows]) if rows else np.empty(0, kind) for i, kind in ((0, np.uint64), (1, np.int64))))
+
+
+def _sets_of(n: int, id_type: pa.DataType):
+    """Set keys and sizes of the texts, and after each batch a row with the cells of its words."""
+    schema = pa.schema([("id", id_type), ("h1", pa.int64()), ("h2", pa.int64()), ("n_shingles", pa.int64()), ("cells", pa.binary())])
+
+    def run(batches):
+        cells = np.zeros(CELLS, np.int64)
         for batch in batches:
             keys, sizes = [], []
-            for members in shingle_sets(batch, text, n):
+            for members in shingle_sets(batch, "text", n):
                 keys.append(set_key(members))
                 sizes.append(len(members))
+            cells += word_cells(batch, "text", CELLS)
             a, b = (pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1))
-            kept = batch.drop_columns([text])
-            yield pa.RecordBatch.from_arrays([*kept.columns, a, b, pa.array(sizes, pa.int64())], [*kept.schema.names, "h1", "h2", "n_shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), a, b, pa.array(sizes, pa.int64()), pa.nulls(len(keys), pa.binary())], schema=schema)
+        yield _batch([(None, None, None, None, cells.tobytes())], schema)
     return run
 
 
+def _added_cells(key, table):
+    out = np.zeros(CELLS, np.int64)
+    for part in table["cells"].to_pylist():
+        out += np.frombuffer(part, np.int64)
+    return pa.table({"cells": pa.array([out.tobytes()], pa.binary())})
+
+
+def counted_cells(counted: DataFrame) -> np.ndarray:
+    """Words in each cell over all texts; partial sums are added in groups before the driver adds those."""
+    out = np.zeros(CELLS, np.int64)
+    groups = counted.withColumn("lot", F.pmod(F.monotonically_increasing_id(), F.lit(64)))
+    for row in groups.groupBy("lot").applyInArrow(_added_cells, "cells binary").toLocalIterator():
+        out += np.frombuffer(row["cells"], np.int64)
+    return out
+
+
 def _with_set_keys(text: str, n: int, a: str, b: str):
     def run(batches):
         for batch in batches:
@@ -118,30 +192,28 @@ def _with_set_keys(text: str, n: int, a: str, b: str):
     return run
 
 
-def _packed_signatures(text: str, n: int, num: int, den: int, buckets: int):
-    schema = pa.schema([("bucket", pa.int32()), ("sigs", pa.binary()), ("members", pa.binary())])
+_PREFIXES = pa.schema([("bucket", pa.int32()), ("salted", pa.bool_()), ("members", pa.binary()), ("owners", pa.binary()), ("sizes", pa.binary())])
 
+
+def _prefixes(shared, text: str, n: int, num: int, den: int, buckets: int):
+    """First members of every set with the set's key and size, by bucket; sets of a very frequent one are spread."""
     def run(batches):
-        bands = Bands(num, den)
-        for batch in batches:
-            sigs, owners, seen = [], [], set()
-            for members in shingle_sets(batch, text, n):
-                if len(members):
-                    key = set_key(members)
-                    if key not in seen:  # copies within a batch send one set
-                        seen.add(key)
-                        for found in signatures(members, bands):
-                            sigs.append(found)
-                            owners.append(np.full(len(found), key[0], np.int64))
-            if not sigs:
-                continue
-            sig, owner = np.concatenate(sigs), np.concatenate(owners)
-            to = (sig % np.uint64(buckets)).astype(np.int32)
-            order = np.argsort(to, kind="stable")
-            sig, owner, to = sig[order], owner[order], to[order]
-            cuts = np.flatnonzero(np.r_[True, to[1:] != to[:-1], True])
-            rows = [(int(to[a]), sig[a:b].tobytes(), owner[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+        *frequent, levels = shared.value
+        order = Order(*frequent)
+        for group in _distinct_sets(batches, text, n, levels):
+            found = [order.prefix(members, level, num, den) for _, members, level in group]
+            sizes = [len(f[0]) for f in found]
+            member, count = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+            owner = np.repeat(np.array([g[0] for g in group], np.int64), sizes)
+            size = np.repeat(np.array([len(g[1]) for g in group], np.uint32), sizes)
+            spread = (1 + count // SALT_SETS).astype(np.uint64)
+            salt = mix(owner.astype(np.uint64), 17) % spread
+            to = (mix(member + salt * np.uint64(0x9E3779B97F4A7C15), 19) % np.uint64(buckets)).astype(np.int32)
+            rows = []
+            for salted in (False, True):
+                own = (spread > 1) == salted
+                rows += [(r[0], salted, *r[1:]) for r in _by_bucket(buckets, to[own], member[own], owner[own], size[own])]
+            yield _batch(rows, _PREFIXES)
     return run
 
 
@@ -163,15 +235,22 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
-def _shared(key, table):
-    """Classes of one bucket that share a signature, each with the smallest it is joined to there."""
-    sig = np.concatenate([np.frombuffer(x, np.uint64) for x in table["sigs"].to_pylist()])
-    member = np.concatenate([np.frombuffer(x, np.int64) for x in table["members"].to_pylist()])
-    order = np.argsort(sig, kind="stable")
-    sig, member = sig[order], member[order]
-    same = sig[1:] == sig[:-1]
-    a, b = _forest(member[1:][same], member[:-1][same]) if same.any() else (member[:0], member[:0])
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+def _shared(num: int, den: int):
+    """Classes of a bucket that share a member and differ little in size, each with the smallest it is joined to there."""
+    def run(key, table):
+        member, owner, size = (np.concatenate([np.frombuffer(x, kind) for x in table[c].to_pylist()])
+                               for c, kind in (("members", np.uint64), ("owners", np.int64), ("sizes", np.uint32)))
+        salted = np.repeat(table["salted"].to_numpy(), [len(x) // 8 for x in table["members"].to_pylist()])
+        order = np.lexsort((size, member))
+        member, owner, size, salted = member[order], owner[order], size[order].astype(np.int64), salted[order]
+        # sizes ascend: where a step is too large for a link, no link crosses it
+        same = (member[1:] == member[:-1]) & (den * size[:-1] >= num * size[1:])
+        a, b = owner[1:][same], owner[:-1][same]
+        if salted.any():  # the buckets of one member meet in a node that stands for it
+            a, b = np.r_[a, owner[salted]], np.r_[b, mix(member[salted], 23).astype(np.int64)]
+        a, b = _forest(a, b) if len(a) else (a, b)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return run
 
 
 class Tree:
@@ -302,17 +381,22 @@ def similarity_classes(
     spark = docs.sparkSession
     plain = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     kind = plain.schema["id"].dataType.simpleString()
-    sets = plain.mapInArrow(_sets_of("text", words), f"id {kind}, h1 long, h2 long, n_shingles long")
+    id_type = to_arrow_type(plain.schema["id"].dataType)
+    sets = plain.mapInArrow(_sets_of(words, id_type), f"id {kind}, h1 long, h2 long, n_shingles long, cells binary")
     sets = written(sets.withColumn("row_no", F.monotonically_increasing_id()), "jaccard-sets")
+    counted = sets.where("cells IS NOT NULL").select("cells")
+    sets = sets.where("cells IS NULL").drop("cells")
     total = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     classes = sets.where("n_shingles > 0").groupBy("h1", "h2").agg(
         F.min("row_no").alias("class_id"), F.min("id").alias("rep"), F.first("n_shingles").alias("members"))
     classes = written(classes, "jaccard-classes")
 
-    buckets = buckets_for(total // 3, 750_000, spark)
+    buckets = buckets_for(total // 5, 750_000, spark)
+    order = member_order(plain.select("text"), words, buckets)
+    order = spark.sparkContext.broadcast((order.members, order.counts, word_levels(counted_cells(counted))))
     packed = plain.select("text").mapInArrow(
-        _packed_signatures("text", words, num, den, buckets), "bucket int, sigs binary, members binary")
-    shared = packed.groupBy("bucket").applyInArrow(_shared, "a long, b long")
+        _prefixes(order, "text", words, num, den, buckets), "bucket int, salted boolean, members binary, owners binary, sizes binary")
+    shared = packed.groupBy("bucket").applyInArrow(_shared(num, den), "a long, b long")
     clusters = components(shared, "jaccard-clusters").select(F.col("node").alias("h1"), F.col("root").alias("cluster"))
     routed = written(classes.join(clusters, "h1"), "jaccard-routed")
 
@@ -321,16 +405,17 @@ def similarity_classes(
         F.min("class_id").alias("pivot"))
     routed = routed.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")))
     routed = written(routed, "jaccard-blocks")
-    texts = routed.join(
-        plain.select(F.col("id").alias("rep_id"), "text"), F.col("rep").eqNullSafe(F.col("rep_id")), "inner")
+    texts = written(routed.select("class_id", "rep").join(
+        plain.select(F.col("id").alias("rep_id"), "text"), F.col("rep").eqNullSafe(F.col("rep_id")), "inner").select("class_id", "text"), "jaccard-texts")
     bins = buckets_for(total, 8_000_000, spark)
     at = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).when(
         F.col("class_id") == F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block"))
     bin_of = F.pmod(F.xxhash64("cluster"), F.lit(bins))
     columns = ("unit", "cluster", "class_id", "h1", "h2", "label", "marked", "text")
-    units = texts.withColumn("at", F.explode(at)).withColumn(
+    units = routed.withColumn("at", F.explode(at)).withColumn(
         "unit", F.when(F.col("blocks") == 1, F.concat(F.lit("bin "), bin_of)).otherwise(F.concat_ws(" ", "cluster", "at")))
-    links = _trees(units.select(*columns[:5], F.col("class_id").alias("label"), F.lit(True).alias("marked"), "text"), words, num, den)
+    units = units.select(*columns[:5], F.col("class_id").alias("label"), F.lit(True).alias("marked"))
+    links = _trees(units.join(texts, "class_id").select(*columns), words, num, den)
     links = written(links, "jaccard-links")
     roots = components(links, "jaccard-components")
 
@@ -348,9 +433,8 @@ def similarity_classes(
             here = F.transform(span("chunks"), lambda c: F.struct(F.col("block").alias("x"), c.alias("y"), F.lit(False).alias("marked")))
             minor = F.transform(span("blocks"), lambda b: F.struct(b.alias("x"), F.col("chunk").alias("y"), F.lit(True).alias("marked")))
             placed = both.withColumn("place", F.explode(here)).unionByName(both.where("minor").withColumn("place", F.explode(minor)))
-            placed = placed.groupBy("cluster", "class_id", "h1", "h2", "rep", "label", "place.x", "place.y").agg(F.max("place.marked").alias("marked"))
-            later = placed.join(plain.select(F.col("id").alias("rep_id"), "text"), F.col("rep").eqNullSafe(F.col("rep_id")))
-            later = later.withColumn("unit", F.concat_ws(" ", "cluster", "x", "y"))
+            placed = placed.groupBy("cluster", "class_id", "h1", "h2", "label", "place.x", "place.y").agg(F.max("place.marked").alias("marked"))
+            later = placed.join(texts, "class_id").withColumn("unit", F.concat_ws(" ", "cluster", "x", "y"))
             more = written(_trees(later.select(*columns), words, num, den), "jaccard-links")
             roots = components(links.unionByName(more), "jaccard-components")
 

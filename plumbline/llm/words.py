@@ -121,25 +121,64 @@ def slabs(batch: pa.RecordBatch, column: str, size: int = 1 << 19) -> Iterator[t
         at = end
 
 
+def _shingles(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the ``n`` words from each place on."""
+    whole = len(hashes) - n + 1
+    rolled = np.zeros(max(whole, 0), np.uint64)
+    for j in range(n if whole > 0 else 0):
+        rolled *= np.uint64(_BASE)
+        rolled += hashes[j:j + whole]
+    return mix(rolled, n)
+
+
+def _as_one(hashes: np.ndarray) -> np.ndarray:
+    """One hash of all words, which are fewer than a shingle's."""
+    one = np.zeros(1, np.uint64)
+    for h in hashes:
+        one = one * np.uint64(_BASE) + h
+    return mix(one, len(hashes))
+
+
 def shingle_sets(batch: pa.RecordBatch, column: str, n: int, is_word: np.ndarray = NOT_SPACE) -> Iterator[np.ndarray]:
     """Each row's sorted distinct ``n``-word shingles; all its words as one where it has fewer, nothing without words."""
     for _, part in slabs(batch, column):
         hashes, counts = hash_words(*text_bytes(part.column(column)), is_word)
-        whole = len(hashes) - n + 1
-        rolled = np.zeros(max(whole, 0), np.uint64)
-        for j in range(n if whole > 0 else 0):
-            rolled *= np.uint64(_BASE)
-            rolled += hashes[j:j + whole]
-        rolled = mix(rolled, n)
+        rolled = _shingles(hashes, n)
         at = 0
         for count in counts.tolist():
             if count >= n:
                 yield np.unique(rolled[at:at + count - n + 1])
-            elif count:
-                one = np.zeros(1, np.uint64)
-                for j in range(count):
-                    one = one * np.uint64(_BASE) + hashes[at + j:at + j + 1]
-                yield mix(one, count)
             else:
-                yield np.empty(0, np.uint64)
+                yield _as_one(hashes[at:at + count]) if count else hashes[:0]
             at += count
+
+
+def leveled_sets(
+    batch: pa.RecordBatch, column: str, n: int, levels: np.ndarray, is_word: np.ndarray = NOT_SPACE,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The sets of :func:`shingle_sets` with the sum of the words' ``levels`` for each member."""
+    shift = np.uint64(64 - (len(levels) - 1).bit_length())
+    for _, part in slabs(batch, column):
+        hashes, counts = hash_words(*text_bytes(part.column(column)), is_word)
+        rolled = _shingles(hashes, n)
+        own = levels[(hashes >> shift).astype(np.int64)].astype(np.uint16)
+        sums = np.zeros(len(rolled), np.uint16)
+        for j in range(n if len(rolled) else 0):
+            sums += own[j:j + len(rolled)]
+        at = 0
+        for count in counts.tolist():
+            if count >= n:
+                members, first = np.unique(rolled[at:at + count - n + 1], return_index=True)
+                yield members, sums[at:at + count - n + 1][first]
+            else:
+                yield (_as_one(hashes[at:at + count]), np.zeros(1, np.uint16)) if count else (hashes[:0], sums[:0])
+            at += count
+
+
+def word_cells(batch: pa.RecordBatch, column: str, cells: int, is_word: np.ndarray = NOT_SPACE) -> np.ndarray:
+    """Number of words that fall into each cell of the hash range."""
+    out = np.zeros(cells, np.int64)
+    for _, part in slabs(batch, column):
+        hashes, _ = hash_words(*text_bytes(part.column(column)), is_word)
+        out += np.bincount((hashes >> np.uint64(64 - (cells - 1).bit_length())).astype(np.int64), minlength=cells)
+    return out

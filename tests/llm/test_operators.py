@@ -351,17 +351,29 @@ def test_families_around_the_limit(shared, block):
 
 @settings(max_examples=60, deadline=None)
 @given(st.integers(0, 10_000), st.integers(1, 400), st.integers(0, 40))
-def test_linked_sets_share_a_signature(seed, size, edits):
+def test_linked_sets_share_a_first_member(seed, size, edits):
     rng = np.random.default_rng(seed)
     a = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
     b = np.unique(np.r_[a[rng.permutation(len(a))[min(edits // 2, len(a) - 1):]], rng.integers(0, 1 << 64, edits - edits // 2, dtype=np.uint64)])
+    listed = rng.permutation(np.unique(np.r_[a, b]))[:int(rng.integers(0, 2 * size))]
+    order = jaccard_join.Order(listed, rng.integers(4, 9, len(listed)))
     for num, den in ((85, 100), (4, 5), (1, 2)):
         common = len(np.intersect1d(a, b))
-        if den * common >= num * (len(a) + len(b) - common) and len(np.setxor1d(a, b)):
-            x, y = (set(np.concatenate(list(jaccard_join.signatures(s, jaccard_join.Bands(num, den)))).tolist()) for s in (a, b))
+        if den * common >= num * (len(a) + len(b) - common):
+            x, y = (set(order.prefix(s, (s % np.uint64(3)).astype(np.uint16), num, den)[0].tolist()) for s in (a, b))
             assert x & y
 
 
+def test_very_frequent_members_are_spread(documents, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SALT_SETS", 3)
+    monkeypatch.setattr(jaccard_join, "TOGETHER", 5_000)
+    monkeypatch.setattr(jaccard_join, "MIN_COUNT", 2)
+    texts = sorted((r["doc_id"], r["text"]) for r in documents.collect())
+    roots, _ = brute.components([t for _, t in texts], 4, 3, 5)
+    found = {r["doc_id"]: r["component_id"] for r in rows(jaccard_join.similarity_classes(documents, words=4, num=3, den=5))}
+    assert found == {texts[i][0]: texts[roots[i]][0] for i in range(len(texts))}
+
+
 def test_odd_rows_in_the_join(odd, none):
     found = rows(jaccard_join.similarity_classes(odd))
     roots, sets = brute.components([r[1] for r in ODD], 5, 4, 5)
