@@ -26,7 +26,8 @@ CONTEXTS = 1 << CONTEXT_BITS
 HOT = 64  # tokens at most that are spread by context and scored from a shared table of HOT x CONTEXTS entries
 HOT_SHARE = 1 / 500
 SPREAD = 64  # parts by context of a hot token
-BUCKET_TOKENS = 3_000_000
+BUCKET_TOKENS = 2_000_000
+SLAB = 6 << 20  # text bytes looked at together
 ROUNDS, BURN_IN = 4, 2  # the rounds after the burn-in are averaged
 EXACT = 64  # customers of a dish up to which its tables are drawn from their exact conditional distribution
 PARTS = 64  # of the contexts, in which totals are added up
@@ -65,7 +66,7 @@ def _frequent(text: str):
     """Tokens that make up a batch's ``HOT_SHARE`` or more, and on the key 0 the number of tokens."""
     def run(batches):
         for batch in batches:
-            for _, part in slabs(batch, text, 16 << 20):
+            for _, part in slabs(batch, text, SLAB):
                 tokens, _, _ = tokens_of(part, text)
                 found, counts = np.unique(tokens, return_counts=True)
                 many = counts >= max(2, HOT_SHARE * len(tokens))
@@ -126,7 +127,7 @@ _CUSTOMERS = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("to
 def _bigrams(text: str, hot: np.ndarray, buckets: int):
     def run(batches):
         for batch in batches:
-            for _, part in slabs(batch, text, 32 << 20):
+            for _, part in slabs(batch, text, SLAB):
                 tokens, contexts, _ = tokens_of(part, text)
                 words, ends, contexts, counts = grouped(tokens, contexts, np.ones(len(tokens), np.uint32))
                 tokens = np.repeat(words, np.diff(ends, prepend=0))
@@ -164,7 +165,7 @@ def draw_tables(rng, customers, others, base, discount: float, strength: float,
     tables = np.ones(len(customers), np.int64)
     for c in range(2, EXACT + 1):
         at = np.flatnonzero(customers == c)
-        for part in np.array_split(at, max(1, len(at) * c // 2_000_000)):
+        for part in np.array_split(at, max(1, len(at) * c // 400_000)):
             if not len(part):
                 continue
             steps = np.log((strength + discount * (others[part, None] + np.arange(c))) * base[part, None])
@@ -275,8 +276,8 @@ def _totals(shared, seed: int, rounds: int):
         of_context = np.zeros(CONTEXTS, np.int64)
         rest = np.zeros(7 + 2 * HOT, np.int64)
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in _CUSTOMERS.names), strict=True):
-                bucket = Bucket(*row)
+            for i in range(batch.num_rows):
+                bucket = Bucket(*(batch.column(c)[i].as_py() for c in _CUSTOMERS.names))
                 tables, sent, above = bucket.replay(model, seed, rounds, rounds)[-1]
                 own, hot = bucket.hot_places(model)
                 cold = np.ones(len(bucket.words), bool)
@@ -350,8 +351,8 @@ def _hot_scores(shared, seed: int, rounds: int, keep: int):
     def run(batches):
         model = Model.of(shared.value)
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in _CUSTOMERS.names), strict=True):
-                bucket = Bucket(*row)
+            for i in range(batch.num_rows):
+                bucket = Bucket(*(batch.column(c)[i].as_py() for c in _CUSTOMERS.names))
                 own, hot = bucket.hot_places(model)
                 if not len(own):
                     continue
@@ -360,8 +361,7 @@ def _hot_scores(shared, seed: int, rounds: int, keep: int):
                 at = np.flatnonzero(number[bucket.word] >= 0)
                 which, contexts = number[bucket.word[at]], bucket.contexts[at]
                 total = np.zeros(len(at))
-                for i, (tables, _, _) in enumerate(bucket.replay(model, seed, rounds, keep), keep):
-                    state = model.rounds[i]
+                for (tables, _, _), state in zip(bucket.replay(model, seed, rounds, keep), model.rounds[keep:], strict=True):
                     parent = model.parent(state["hot_customers"], state["hot_tables"], state)[which]
                     total += model.child(bucket.counts[at], tables[at], contexts, parent, state)
                 yield _batch([((which * CONTEXTS + contexts).astype(np.uint32).tobytes(), (total / (rounds - keep + 1)).astype(np.float64).tobytes())], schema)
@@ -394,7 +394,7 @@ def _occurrences(shared, text: str, buckets: int):
         flat = np.log10(model.trained + 0.5 * (model.vocabulary + 1))
         hot_base = np.log10(model.hot_counts + 0.5) - flat
         for batch in batches:
-            for _, piece in slabs(batch, text, 32 << 20):
+            for _, piece in slabs(batch, text, SLAB):
                 for start in range(0, piece.num_rows, 1 << 16):
                     part = piece.slice(start, 1 << 16)
                     tokens, contexts, sizes = tokens_of(part, text)
