@@ -15,7 +15,6 @@ from plumbline.sources.store import Store
 
 Tables = dict[str, DataFrame]
 
-MAX_STEPS = 100
 STATE = ["event_id", "order_id", "event_at", "net_amount"]
 KEY, ORDER = ["order_id"], ["event_at", "event_id"]
 
@@ -59,52 +58,66 @@ class IncrementalLoad:
     A step writes only its batch's newest row per key, into the folder of that
     batch. Reading takes the greatest version over all folders, so a replay
     rewrites one folder with the same rows and the full target is never rewritten.
+    All state is in the store: a new object goes on where the last one ended.
     """
 
     def __init__(self, store: Store, events: DataFrame, name: str = "incremental"):
         self.store, self.events, self.name = store, events, name
-        self.steps: list[dict] = []
-        self.generation = uuid.uuid4().hex
 
-    def _folder(self) -> str:
-        return f"{self.store.path(self.name)}/{self.generation}"
+    def _generation(self) -> str | None:
+        return self.store.current_snapshot(self.name)
+
+    def _folder(self, generation: str) -> str:
+        return f"{self.store.path(self.name)}/{generation}"
+
+    def _log(self, generation: str) -> str:
+        return f"{self.name}.steps/{generation}"
+
+    @property
+    def steps(self) -> list[dict]:
+        generation = self._generation()
+        return self.store.log(self._log(generation), "incremental_steps") if generation else []
 
     def target(self) -> DataFrame:
-        if not self.steps:
+        return self._loaded(self._generation(), self.steps)
+
+    def _loaded(self, generation: str | None, steps: list[dict]) -> DataFrame:
+        if not steps:
             return self.events.select(*STATE).limit(0)
         schema = self.events.select(*STATE).schema
-        loaded = sorted({s["batch_no"] for s in self.steps})
-        paths = [f"{self._folder()}/batch_no={b}" for b in loaded]
+        paths = [f"{self._folder(generation)}/batch_no={b}" for b in sorted({s["batch_no"] for s in steps})]
         return latest_by(self.store.spark.read.schema(schema).parquet(*paths), KEY, ORDER)
 
     def advance(self, action: str) -> dict | None:
         if action == "RESET":
-            self.steps, self.generation = [], uuid.uuid4().hex
+            self.store.mark(self.name, uuid.uuid4().hex)
             return None
         if action not in ("NEXT", "REPLAY"):
             raise LoadError(f"unknown action: {action}")
-        if len(self.steps) >= MAX_STEPS:
-            raise LoadError(f"reset after {MAX_STEPS} steps")
-        last = max((s["batch_no"] for s in self.steps), default=0)
+        if self._generation() is None:
+            self.store.mark(self.name, uuid.uuid4().hex)
+        generation = self._generation()
+        steps = self.store.log(self._log(generation), "incremental_steps")
+        last = max((s["batch_no"] for s in steps), default=0)
         batch_no = last + 1 if action == "NEXT" else last
         batch = self.events.where(F.col("batch_no") == batch_no)
         facts = batch.agg(F.count(F.lit(1)).alias("n"), F.max("arrived_at").alias("cutoff")).first()
         if batch_no < 1 or facts.n == 0:
             raise LoadError("no next batch, or no batch to replay")
         latest_by(batch.select(*STATE), KEY, ORDER).write.mode("overwrite").parquet(
-            f"{self._folder()}/batch_no={batch_no}")
+            f"{self._folder(generation)}/batch_no={batch_no}")
         step = {
-            "step_no": len(self.steps) + 1, "batch_no": batch_no, "operation": action, "execution_status": "SUCCESS",
+            "step_no": len(steps) + 1, "batch_no": batch_no, "operation": action, "execution_status": "SUCCESS",
             "selected_events": facts.n, "target_rows": 0, "watermark": facts.cutoff,
         }
-        self.steps.append(step)
-        step["target_rows"] = self.target().count()
-        self.store.append(f"{self.name}.steps", [step], "incremental_steps")
+        step["target_rows"] = self._loaded(generation, [*steps, step]).count()
+        self.store.append(self._log(generation), [step], "incremental_steps")
         return step
 
     @property
     def as_of(self):
-        return self.steps[-1]["watermark"] if self.steps else None
+        steps = self.steps
+        return steps[-1]["watermark"] if steps else None
 
 
 # Text amounts: quarantine, mapping, guarded upsert
@@ -115,9 +128,11 @@ def split_amounts(source: DataFrame) -> tuple[DataFrame, DataFrame]:
     return flagged.where("_ok").drop("_ok"), flagged.where(~F.col("_ok")).drop("_ok")
 
 
-def rejects(bad: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """One reject per order, however often the row is loaded."""
+def rejects(bad: DataFrame, existing: DataFrame | None = None, unmapped: DataFrame | None = None) -> DataFrame:
+    """One reject per order and reason, however often the row is loaded."""
     fresh = bad.select("order_id", F.lit("INVALID_AMOUNT").alias("reason"))
+    if unmapped is not None:
+        fresh = fresh.unionByName(unmapped.select("order_id", F.lit("UNMAPPED_CODE").alias("reason")))
     return (fresh if existing is None else existing.unionByName(fresh)).distinct()
 
 
@@ -126,84 +141,109 @@ def unmapped_codes(good: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def map_and_price(good: DataFrame, customers: DataFrame) -> DataFrame:
-    """Customer ids from the mapping and exact net amounts."""
-    mapping = customers.groupBy("customer_code").agg(F.max("customer_id").alias("customer_id"))
+    """Customer ids from the mapping and exact net amounts; the id is null where the code has no mapping.
+
+    A code that maps to several customers stops the job.
+    """
+    ids = customers.groupBy("customer_code").agg(F.min("customer_id").alias("customer_id"), F.max("customer_id").alias("other"))
+    single = F.coalesce(F.col("customer_id") == F.col("other"), F.lit(True))
+    mapping = ids.select("customer_code", F.when(single, F.col("customer_id")).otherwise(
+        F.raise_error(F.concat(F.lit("several customers for code "), F.col("customer_code")))).alias("customer_id"))
     net = text_amount("gross_text") - text_amount("discount_text")
-    return good.join(mapping, "customer_code").select(
+    return good.join(mapping, "customer_code", "left").select(
         "order_id", "customer_id", net.cast("decimal(18,2)").alias("net_amount"), "event_id"
     )
 
 
 def load_text_orders(source: DataFrame, customers: DataFrame, batch_no: int, policy: str = "merge",
-                     existing: DataFrame | None = None, existing_rejects: DataFrame | None = None
+                     existing: DataFrame | None = None, existing_rejects: DataFrame | None = None, after: int = 0,
                      ) -> tuple[DataFrame, DataFrame]:
-    """Target and rejects after loading the batches up to ``batch_no``.
+    """Target and rejects after loading the batches beyond ``after`` and up to ``batch_no``.
 
-    The newest event per order wins, so loading a batch again changes nothing.
+    The newest event per order wins, so loading a batch again changes nothing. Every row is in
+    the target or rejected: malformed amounts and codes without mapping have reasons of their own.
     ``etl_append`` and ``etl_skip_late`` are labelled defects.
     """
-    visible = source.where(F.col("arrived_batch") <= batch_no)
+    visible = source.where((F.col("arrived_batch") > after) & (F.col("arrived_batch") <= batch_no))
     good, bad = split_amounts(visible)
     if policy == "etl_skip_late":
         first = visible.agg(F.min_by("order_id", "event_id")).scalar()
         good = good.where(~((F.col("arrived_batch") > 1) & (F.col("order_id") == first)))
     priced = map_and_price(good, customers)
-    loaded = priced if existing is None else existing.unionByName(priced)
+    mapped, unmapped = priced.where("customer_id IS NOT NULL"), priced.where("customer_id IS NULL")
+    loaded = mapped if existing is None else existing.unionByName(mapped)
     target = loaded if policy == "etl_append" else latest_by(loaded, ["order_id"], ["event_id"])
-    return target, rejects(bad, existing_rejects)
+    return target, rejects(bad, existing_rejects, unmapped)
 
 
 class TextOrderLoad:
     """RUN, RECOVER, NEXT, REPLAY and RESET over published snapshots, with a step log.
 
-    The checkpoint of a step is the batch it has loaded. A code without mapping
-    stops the step before anything is published.
+    The checkpoint of a step is the batch it has loaded; a step reads only the batches beyond the last
+    one's, a replay the last one. A code without mapping stops the step before anything is published.
+    All state is in the store: a new object goes on where the last one ended.
     """
 
     def __init__(self, store: Store, source: DataFrame, customers: DataFrame, last_batch: int, name: str = "etl"):
         self.store, self.source, self.customers = store, source, customers
         self.last_batch, self.name = last_batch, name
-        self.steps: list[dict] = []
-        self.batch_no = 0
 
     def target(self) -> DataFrame:
-        return self.store.current(f"{self.name}.target")
+        return self.store.current_part(self.name, "target")
 
     def rejected(self) -> DataFrame:
-        return self.store.current(f"{self.name}.rejects")
+        return self.store.current_part(self.name, "rejects")
+
+    def _log(self) -> str | None:
+        generation = self.store.current_snapshot(f"{self.name}.generation")
+        return f"{self.name}.steps/{generation}" if generation else None
+
+    @property
+    def steps(self) -> list[dict]:
+        log = self._log()
+        return self.store.log(log, "etl_steps") if log else []
+
+    @property
+    def batch_no(self) -> int:
+        steps = self.steps
+        return steps[-1]["checkpoint"] if steps else 0
 
     def advance(self, action: str) -> dict | None:
         if action == "RESET":
-            self.steps, self.batch_no = [], 0
+            self.store.mark(f"{self.name}.generation", uuid.uuid4().hex)
             return None
-        if len(self.steps) >= MAX_STEPS:
-            raise LoadError(f"reset after {MAX_STEPS} steps")
+        steps = self.steps
+        done = steps[-1]["checkpoint"] if steps else 0
         if action == "NEXT":
-            self.batch_no = min(self.batch_no + 1, self.last_batch)
-        elif action in ("RUN", "RECOVER"):
-            self.batch_no = self.last_batch
-        elif action != "REPLAY":
+            after, upto = done, min(done + 1, self.last_batch)
+        elif action == "RECOVER":
+            after, upto = done, self.last_batch
+        elif action == "RUN":
+            after, upto = 0, self.last_batch
+        elif action == "REPLAY":
+            after, upto = done - 1, done
+        else:
             raise LoadError(f"unknown action: {action}")
-        good, _ = split_amounts(self.source.where(F.col("arrived_batch") <= self.batch_no))
+        good, _ = split_amounts(self.source.where((F.col("arrived_batch") > after) & (F.col("arrived_batch") <= upto)))
         missing = [r[0] for r in unmapped_codes(good, self.customers).orderBy("customer_code").limit(20).collect()]
         if missing:
             raise LoadError(f"customer codes without mapping, first ones: {missing}")
-        before = (self.target(), self.rejected()) if self.steps and action != "RUN" else (None, None)
-        target, bad = load_text_orders(self.source, self.customers, self.batch_no, existing=before[0],
-                                       existing_rejects=before[1])
-        snapshot = uuid.uuid4().hex
-        self.store.publish(f"{self.name}.target", target, snapshot)
-        self.store.publish(f"{self.name}.rejects", bad, snapshot)
+        before = (self.target(), self.rejected()) if steps and action != "RUN" else (None, None)
+        target, bad = load_text_orders(self.source, self.customers, upto, existing=before[0],
+                                       existing_rejects=before[1], after=after)
+        if self._log() is None:
+            self.store.mark(f"{self.name}.generation", uuid.uuid4().hex)
+        self.store.publish_together(self.name, {"target": target, "rejects": bad}, uuid.uuid4().hex)
         step = {
-            "step_no": len(self.steps) + 1, "operation": action, "execution_status": "SUCCESS",
-            "target_rows": self.target().count(), "rejected_rows": self.rejected().count(), "checkpoint": self.batch_no,
+            "step_no": len(steps) + 1, "operation": action, "execution_status": "SUCCESS",
+            "target_rows": self.target().count(), "rejected_rows": self.rejected().count(), "checkpoint": upto,
         }
-        self.steps.append(step)
-        self.store.append(f"{self.name}.steps", [step], "etl_steps")
+        self.store.append(self._log(), [step], "etl_steps")
         return step
 
     def state(self, last: int = 20) -> dict:
-        return {"batch_no": self.batch_no, "steps": self.steps[-last:]}
+        steps = self.steps
+        return {"batch_no": steps[-1]["checkpoint"] if steps else 0, "steps": steps[-last:]}
 
 
 # Layered and contract publications

@@ -535,9 +535,9 @@ def _event_watermark(v):
     FROM replay_ranked WHERE rn = 1 AND order_id < (SELECT COUNT(*) FROM customer)""")
 def _upsert(v):
     """Loading batch one and then both batches equals loading both at once."""
-    mapped = v("replay_source").join(v("etl_customers").select("customer_code"), "customer_code", "left_semi")
-    first, rejected = loads.load_text_orders(mapped, v("etl_customers"), 1)
-    target, _ = loads.load_text_orders(mapped, v("etl_customers"), 2, existing=first, existing_rejects=rejected)
+    source, customers = v("replay_source"), v("etl_customers")
+    first, rejected = loads.load_text_orders(source, customers, 1)
+    target, _ = loads.load_text_orders(source, customers, 2, existing=first, existing_rejects=rejected)
     return target
 
 
@@ -569,6 +569,35 @@ def _unmapped(v):
     return loads.unmapped_codes(v("etl_source"), v("etl_customers").where(F.col("customer_id") % 7 != 0))
 
 
+@query("m07_unmapped_rejects", f"""
+    SELECT order_id, 'INVALID_AMOUNT' AS reason FROM etl_source WHERE {BAD_TEXT}
+    UNION SELECT order_id, 'UNMAPPED_CODE' FROM etl_source WHERE NOT ({BAD_TEXT}) AND customer_code NOT IN
+    (SELECT customer_code FROM etl_customers WHERE customer_id % 7 <> 0)""")
+def _unmapped_rejects(v):
+    """No row is lost when codes have no mapping."""
+    return loads.load_text_orders(v("etl_source"), v("etl_customers").where(F.col("customer_id") % 7 != 0), 3)[1]
+
+
+@query("m02_reopened_target", f"SELECT {STATE} FROM {MERGED.format('')} r WHERE rn = 1")
+def _reopened(v):
+    """A second load object goes on where the first one stopped."""
+    store, events = Store(v.spark, work_dir(v.spark, "incremental")), v.stored("incremental_events")
+    loads.IncrementalLoad(store, events).advance("NEXT")
+    for action in ("NEXT", "REPLAY", "NEXT"):
+        loads.IncrementalLoad(store, events).advance(action)
+    return loads.IncrementalLoad(store, events).target()
+
+
+@query("m08_reopened_replay", "SELECT order_id, customer_id, net_amount, event_id FROM etl_good_target")
+def _reopened_replay(v):
+    """A second load object replays and goes on over the published snapshot."""
+    store = Store(v.spark, work_dir(v.spark, "etl"))
+    reopened = lambda: loads.TextOrderLoad(store, v("etl_source"), v("etl_customers"), 3)
+    for action in ("RUN", "REPLAY", "NEXT", "RECOVER"):
+        reopened().advance(action)
+    return reopened().target()
+
+
 @query("m08_checkpoint_log", f"""
     SELECT 1 AS step_no, 'RUN' AS operation, COUNT(*) FILTER (WHERE NOT ({BAD_TEXT})) AS target_rows,
            COUNT(*) FILTER (WHERE {BAD_TEXT}) AS rejected_rows, 3 AS checkpoint FROM etl_source

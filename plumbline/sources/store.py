@@ -92,13 +92,34 @@ class Store:
         data = [tuple(row.get(f.name) for f in schema) for row in rows]
         self.spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(self.path(table))
 
+    def log(self, table: str, schema_of: str) -> list[dict]:
+        """The rows of a step log in order."""
+        rows = self._read_or_empty(schemas.struct(schema_of), self.path(table)).orderBy("step_no").collect()
+        return [r.asDict() for r in rows]
+
     # Snapshots
 
+    def mark(self, table: str, snapshot_id: str) -> None:
+        """Make a written snapshot the current one, by one manifest row."""
+        row = self.spark.createDataFrame([(table, snapshot_id, now())], MANIFEST)
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/_published")
+
+    def publish_together(self, name: str, parts: dict[str, DataFrame], snapshot_id: str) -> None:
+        """Write several tables, then make all of them current by the same row."""
+        for part, df in parts.items():
+            df.write.mode("overwrite").parquet(f"{self.path(name)}.{part}/snapshot={snapshot_id}")
+        self.mark(name, snapshot_id)
+
+    def current_part(self, name: str, part: str) -> DataFrame:
+        snapshot_id = self.current_snapshot(name)
+        if snapshot_id is None:
+            raise LookupError(f"{name} has no published snapshot")
+        return self.spark.read.parquet(f"{self.path(name)}.{part}/snapshot={snapshot_id}")
+
     def publish(self, table: str, df: DataFrame, snapshot_id: str) -> None:
         """Write a whole new snapshot, then make it the current one."""
         df.write.mode("overwrite").parquet(f"{self.path(table)}/snapshot={snapshot_id}")
-        row = self.spark.createDataFrame([(table, snapshot_id, now())], MANIFEST)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/_published")
+        self.mark(table, snapshot_id)
 
     def published(self) -> DataFrame:
         return self._read_or_empty(MANIFEST, f"{self.root}/_published")

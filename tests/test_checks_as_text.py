@@ -57,9 +57,11 @@ def test_only_queries_run(spark):
     tables = {"t": spark.range(3)}
     for text in ("DROP TABLE t", "INSERT INTO t VALUES (1)", "CREATE VIEW w AS SELECT 1", "SELECT 1; SELECT 2"):
         assert run_check_text(text, tables).error == "SQL_ERROR"
-    for bad in ("", "x" * 20_000, "SELECT '\0'"):
+    for bad in ("", "  ", "SELECT '\0'"):
         with pytest.raises(ValueError):
             certify.normalize_check(bad)
+    long_list = ", ".join(map(str, range(5_000)))
+    assert sql_check(f"SELECT COUNT(*) AS n FROM t WHERE id IN ({long_list});", tables).first().n == 3
     assert sql_check("SELECT COUNT(*) AS n FROM t", tables).first().n == 3
 
 
