@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -36,6 +36,7 @@ MIN_COUNT = 4  # below it, members count as equally rare
 TOGETHER = 4_000_000  # members of texts looked at together
 SALT_SETS = 50_000  # sets of one member in one bucket
 LEAF, FAN = 16, 4
+FILTER_BITS = 1 << 28  # of the filter of wanted keys, at most
 BLOCK_CLASSES, BLOCK_MEMBERS = 2048, 16_000_000  # of one task: 128 MB of members
 
 
@@ -366,6 +367,51 @@ def _trees(units: DataFrame, n: int, num: int, den: int) -> DataFrame:
     return units.groupBy("unit").applyInArrow(_tree_links(n, num, den), "a long, b long")
 
 
+def _marked_bits(step: int):
+    """A part of the filter: its bits as bytes."""
+    def run(key, table):
+        bits = np.zeros(step, bool)
+        bits[table["at"].to_numpy() % step] = True
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+    return run
+
+
+def _places(key: str, size: int) -> list[Column]:
+    """Two places of a key in a filter of ``size`` bits."""
+    return [F.pmod(F.xxhash64(F.lit(salt), key), F.lit(size)) for salt in (3, 4)]
+
+
+def _may_be_wanted(shared, columns: list[str]):
+    def run(batches):
+        bits = shared.value
+        for batch in batches:
+            a, b = (batch.column(c).to_numpy() for c in ("place_a", "place_b"))
+            held = [(bits[x >> 3] >> (7 - (x & 7)).astype(np.uint8)) & 1 for x in (a, b)]
+            yield batch.select(columns).filter(pa.array((held[0] & held[1]).astype(bool)))
+    return run
+
+
+def _with_texts(units: DataFrame, plain: DataFrame) -> DataFrame:
+    """The rows of ``units`` with the text of their ``rep``.
+
+    A Bloom filter of the keys wanted, of at most ``FILTER_BITS``, keeps most other texts out of the shuffle; what it lets through
+    by mistake, the join drops.
+    """
+    spark = units.sparkSession
+    units = written(units, "jaccard-units")
+    size = 1 << max(16, min(FILTER_BITS.bit_length() - 1, (16 * units.count()).bit_length()))
+    step = size // 64
+    at = units.select(F.explode(F.array(*_places("rep", size))).alias("at")).distinct().withColumn("part", F.expr(f"at div {step}"))
+    bits = np.zeros(size // 8, np.uint8)
+    for row in at.groupBy("part").applyInArrow(_marked_bits(step), "part long, bits binary").toLocalIterator():
+        bits[row["part"] * step // 8:(row["part"] + 1) * step // 8] = np.frombuffer(row["bits"], np.uint8)
+    a, b = _places("id", size)
+    kind = plain.schema["id"].dataType.simpleString()
+    texts = plain.select(F.col("id").alias("rep_id"), "text", a.alias("place_a"), b.alias("place_b"))
+    texts = texts.mapInArrow(_may_be_wanted(spark.sparkContext.broadcast(bits), ["rep_id", "text"]), f"rep_id {kind}, text string")
+    return units.join(texts, F.col("rep").eqNullSafe(F.col("rep_id")), "inner")
+
+
 def similarity_classes(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, num: int = 4, den: int = 5,
     block_classes: int = BLOCK_CLASSES, block_members: int = BLOCK_MEMBERS,
@@ -405,8 +451,6 @@ def similarity_classes(
         F.min("class_id").alias("pivot"))
     routed = routed.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")))
     routed = written(routed, "jaccard-blocks")
-    texts = written(routed.select("class_id", "rep").join(
-        plain.select(F.col("id").alias("rep_id"), "text"), F.col("rep").eqNullSafe(F.col("rep_id")), "inner").select("class_id", "text"), "jaccard-texts")
     bins = buckets_for(total, 8_000_000, spark)
     at = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).when(
         F.col("class_id") == F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block"))
@@ -414,8 +458,8 @@ def similarity_classes(
     columns = ("unit", "cluster", "class_id", "h1", "h2", "label", "marked", "text")
     units = routed.withColumn("at", F.explode(at)).withColumn(
         "unit", F.when(F.col("blocks") == 1, F.concat(F.lit("bin "), bin_of)).otherwise(F.concat_ws(" ", "cluster", "at")))
-    units = units.select(*columns[:5], F.col("class_id").alias("label"), F.lit(True).alias("marked"))
-    links = _trees(units.join(texts, "class_id").select(*columns), words, num, den)
+    units = units.select(*columns[:5], F.col("class_id").alias("label"), F.lit(True).alias("marked"), "rep")
+    links = _trees(_with_texts(units, plain).select(*columns), words, num, den)
     links = written(links, "jaccard-links")
     roots = components(links, "jaccard-components")
 
@@ -433,9 +477,9 @@ def similarity_classes(
             here = F.transform(span("chunks"), lambda c: F.struct(F.col("block").alias("x"), c.alias("y"), F.lit(False).alias("marked")))
             minor = F.transform(span("blocks"), lambda b: F.struct(b.alias("x"), F.col("chunk").alias("y"), F.lit(True).alias("marked")))
             placed = both.withColumn("place", F.explode(here)).unionByName(both.where("minor").withColumn("place", F.explode(minor)))
-            placed = placed.groupBy("cluster", "class_id", "h1", "h2", "label", "place.x", "place.y").agg(F.max("place.marked").alias("marked"))
-            later = placed.join(texts, "class_id").withColumn("unit", F.concat_ws(" ", "cluster", "x", "y"))
-            more = written(_trees(later.select(*columns), words, num, den), "jaccard-links")
+            placed = placed.groupBy("cluster", "class_id", "h1", "h2", "label", "rep", "place.x", "place.y").agg(F.max("place.marked").alias("marked"))
+            placed = placed.withColumn("unit", F.concat_ws(" ", "cluster", "x", "y"))
+            more = written(_trees(_with_texts(placed, plain).select(*columns), words, num, den), "jaccard-links")
             roots = components(links.unionByName(more), "jaccard-components")
 
     named = classes.join(roots, F.col("class_id") == F.col("node"), "left").select(
