@@ -144,3 +144,11 @@ def json_key(document: Column, field: str) -> Column:
     """Comparable text of a JSON value: 101 and "101" stay different, null is NULL."""
     value = F.variant_get(document, f"$.{field}", "variant")
     return F.when(json_has_value(document, field), F.to_json(value))
+
+
+def run_problems(started: str, ended: str, rows: str) -> Column:
+    """Codes of what no run record may state: a negative row count, an end without a start or before it."""
+    begin, end = F.col(started), F.col(ended)
+    return F.array_compact(F.array(
+        F.when(F.col(rows) < 0, F.lit("negative_rows")), F.when(end.isNotNull() & begin.isNull(), F.lit("end_without_start")),
+        F.when(end < begin, F.lit("end_before_start"))))

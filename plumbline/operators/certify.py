@@ -2,59 +2,48 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.contracts import QualityStatus
-from plumbline.operators.previews import Preview, PreviewLimits, preview
+from plumbline.operators.previews import Shown, preview
 
 Tables = dict[str, DataFrame]
 LABEL = "variant_id"
-MAX_COUNT = 2**63 - 1
 
 
 class ResultContract(ValueError):
-    """A check has to return one row with one count named violation_count."""
+    """The result of a check isn't one whole count from 0 on, named violation_count."""
 
 
 def violation_count(result: DataFrame) -> int:
-    """The count of a check result, or ResultContract when it is not a proper count."""
-    if result.columns != ["violation_count"]:
-        raise ResultContract("return one column named violation_count")
-    rows = result.limit(2).collect()
-    if len(rows) != 1:
-        raise ResultContract("return one row")
-    return checked_count(rows[0][0])
-
-
-def checked_count(value) -> int:
-    try:
-        number = int(value)
-        exact = not isinstance(value, bool) and number == value
-    except (TypeError, ValueError, OverflowError):
-        exact = False
-    if not exact or not 0 <= number <= MAX_COUNT:
-        raise ResultContract("violation_count must be a non-negative 64-bit integer")
-    return number
-
-
-def normalize_check(text: str) -> str:
-    """The check without outer blanks and one closing semicolon."""
-    body = text.strip() if isinstance(text, str) else ""
-    if not body or "\0" in body:
-        raise ValueError("a check is non-empty text without NUL characters")
-    return body.removesuffix(";").rstrip()
+    """The count of a check result. Spark judges type and value: what has no exact BIGINT from 0 on is no count."""
+    kinds = {f.name: f.dataType for f in result.schema}
+    if list(kinds) != ["violation_count"] or not isinstance(kinds["violation_count"], T.NumericType):
+        raise ResultContract(f"expected one numeric column violation_count, found {result.schema.simpleString()}")
+    value = F.col("violation_count")
+    whole = value.try_cast("bigint")
+    found = result.select(F.when((whole >= 0) & (whole.cast("decimal(38,6)") == value.try_cast("decimal(38,6)")), whole)).take(2)
+    if len(found) != 1 or found[0][0] is None:
+        raise ResultContract("expected one row with a whole count from 0 on")
+    return found[0][0]
 
 
 def sql_check(text: str, tables: Tables) -> DataFrame:
-    """An ad-hoc SELECT over named tables.
+    """An ad-hoc SELECT over named tables; blank text is a ValueError.
 
-    The text runs as a subquery, so anything but a query is refused by the parser.
+    The text, up to a last semicolon, runs as a subquery, so anything but a query is refused by the parser.
     """
-    body = normalize_check(text)
+    body = re.sub(r"\s*;?\s*$", "", text)
+    if "\0" in text or body.strip() == "":
+        raise ValueError("no query in the text")
     spark = next(iter(tables.values())).sparkSession
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
@@ -65,13 +54,12 @@ def sql_check(text: str, tables: Tables) -> DataFrame:
             spark.catalog.dropTempView(name)
 
 
-def run_check_text(text: str, tables: Tables, limits: PreviewLimits = PreviewLimits()) -> Preview:
-    """Bounded result of an ad-hoc check; a failing query is an ERROR result."""
-    normalize_check(text)
+def run_check_text(text: str, tables: Tables, **bounds: int) -> Shown:
+    """The first rows of an ad-hoc check; a query that fails gives the error SQL_ERROR."""
     try:
-        return preview(sql_check(text, tables), limits)
-    except Exception:  # noqa: BLE001 - details of the data stay out of the result
-        return Preview("ERROR", error="SQL_ERROR")
+        return preview(sql_check(text, tables), **bounds)
+    except (PySparkException, Py4JJavaError):  # details of the data stay out of the result
+        return Shown(error="SQL_ERROR")
 
 
 def stack_variants(variants: Mapping[str, Tables], names: list[str]) -> tuple[Tables, DataFrame]:

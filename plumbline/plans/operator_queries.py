@@ -132,7 +132,7 @@ def _json(v):
     FROM orders ORDER BY orders.o_orderkey LIMIT 51""")
 def _cells(v):
     ordered = v("orders").select("o_orderkey", "o_orderpriority").orderBy("o_orderkey")
-    return previews.preview_frame(ordered, previews.PreviewLimits(max_rows=50, cell_chars=4))
+    return previews.preview_frame(ordered, rows=50, chars=4)
 
 
 # Joins

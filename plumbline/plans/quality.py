@@ -8,10 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.contracts import (
-    CheckResult, DatasetRegistry, DatasetSpec, QualityStatus, ValidationSuite, fold_statuses, validate_suite,
-)
-from plumbline.operators.rules import execute_rules, to_json
+from plumbline.contracts import CheckResult, Dataset, QualityStatus, Suite, suite_problems, worst
+from plumbline.operators.rules import Catalog, execute_rules, to_json
 from plumbline.operators.versions import latest_by
 from plumbline.plans.orders import current_runs, log_run, resolve_success, stage_count
 from plumbline.plans.suites import ORDERS_DATASETS, ORDERS_SUITE
@@ -28,11 +26,11 @@ class StoreSource:
     def __init__(self, store: Store, run_id: str):
         self.store, self.run_id = store, run_id
 
-    def frame(self, spec: DatasetSpec) -> DataFrame:
-        return self.store.read_run(spec.name, self.run_id) if spec.run_scoped else self.store.read(spec.name)
+    def frame(self, spec: Dataset) -> DataFrame:
+        return self.store.read_run(spec.table, self.run_id) if spec.run_scoped else self.store.read(spec.table)
 
-    def columns(self, spec: DatasetSpec):
-        return self.store.columns(spec.name, self.run_id if spec.run_scoped else None)
+    def columns(self, spec: Dataset):
+        return self.store.columns(spec.table, self.run_id if spec.run_scoped else None)
 
     def stage_count(self, stage_name: str) -> int | None:
         return stage_count(self.store, self.run_id, stage_name)
@@ -47,9 +45,10 @@ class QualityRun:
     results: tuple[CheckResult, ...]
 
 
-def run_quality_suite(store: Store, run_id: str | None = None, suite: ValidationSuite = ORDERS_SUITE,
-                      registry: DatasetRegistry = ORDERS_DATASETS) -> QualityRun:
-    validate_suite(suite, registry)
+def run_quality_suite(store: Store, run_id: str | None = None, suite: Suite = ORDERS_SUITE,
+                      registry: Catalog = ORDERS_DATASETS) -> QualityRun:
+    if problems := suite_problems(suite, registry):
+        raise ValueError(problems)
     resolved = resolve_success(store, run_id)
     if resolved is None:
         raise RunNotReady("no matching successful run")
@@ -63,11 +62,11 @@ def run_quality_suite(store: Store, run_id: str | None = None, suite: Validation
 
     log("RUNNING")
     results = execute_rules(suite.rules, StoreSource(store, resolved), registry)
-    status = fold_statuses(r.status for r in results)
+    status = worst(r.status for r in results)
     if results:
         store.append("metadata.validation_results", [{
-            "validation_run_id": validation_id, "rule_id": r.rule_id, "dataset_id": r.dataset_id,
-            "check_type": str(r.check_type), "status": str(r.status), "expected": to_json(r.expected),
+            "validation_run_id": validation_id, "rule_id": r.rule.id, "dataset_id": r.rule.dataset_id,
+            "check_type": str(r.rule.check_type), "status": str(r.status), "expected": to_json(r.expected),
             "actual": to_json(r.actual), "evidence": [to_json(e) for e in r.evidence], "error": r.error,
         } for r in results])
     log(str(status), now())

@@ -3,21 +3,17 @@
 from __future__ import annotations
 
 from plumbline import schemas
-from plumbline.contracts import (
-    ColumnExpectation, CountMode, DatasetRegistry, DatasetSpec, FieldMapping, FieldReconciliationRule,
-    KeyReconciliationRule, NotNullRule, RecordCountRule, SchemaRule, UniquenessRule, ValidationSuite,
-)
+from plumbline.contracts import Dataset, Suite, catalog, not_null, record_count, same_fields, same_keys, schema_of, unique
 
 
-def _datasets(target_schema: str) -> DatasetRegistry:
-    summed = {"count_mode": CountMode.SUM, "count_column": "order_count"}
-    return DatasetRegistry((
-        DatasetSpec("bronze_orders", "bronze", "orders"),
-        DatasetSpec("silver_orders", "silver", "orders"),
-        DatasetSpec("gold_daily_sales", "gold", "daily_sales", **summed),
-        DatasetSpec("target_orders", target_schema, "orders_report"),
-        DatasetSpec("target_daily_sales", target_schema, "daily_sales_report", **summed),
-    ))
+def _datasets(target_schema: str) -> dict[str, Dataset]:
+    return catalog(
+        Dataset("bronze_orders", "bronze.orders"),
+        Dataset("silver_orders", "silver.orders"),
+        Dataset("gold_daily_sales", "gold.daily_sales", counted_by="order_count"),
+        Dataset("target_orders", f"{target_schema}.orders_report"),
+        Dataset("target_daily_sales", f"{target_schema}.daily_sales_report", counted_by="order_count"),
+    )
 
 
 ORDERS_DATASETS = _datasets("target")
@@ -58,31 +54,31 @@ _PAIRS = (
 )
 
 
-def _expected_columns(dataset_id: str) -> tuple[ColumnExpectation, ...]:
-    declared = schemas.struct(ORDERS_DATASETS.get(dataset_id).name)
-    return tuple(ColumnExpectation(f.name, schemas.type_name(f.dataType), f.nullable) for f in declared)
+def _expected_columns(dataset_id: str) -> list[tuple[str, str, bool]]:
+    declared = schemas.struct(ORDERS_DATASETS[dataset_id].table)
+    return [(f.name, schemas.type_name(f.dataType), f.nullable) for f in declared]
 
 
-BASIC_SUITE = ValidationSuite("orders_basic_v1", (
-    *(RecordCountRule(f"count_{d}", d) for d in ORDERS_DATASETS.ids),
-    *(UniquenessRule(rule, dataset, (key,)) for rule, (dataset, key) in _UNIQUE.items()),
-    *(NotNullRule(rule, dataset, columns) for rule, (dataset, columns) in _REQUIRED.items()),
-    *(SchemaRule(rule, dataset, _expected_columns(dataset)) for rule, dataset in _SCHEMA.items()),
+BASIC_SUITE = Suite("orders_basic_v1", (
+    *(record_count(f"count_{d}", d) for d in ORDERS_DATASETS),
+    *(unique(rule, dataset, columns=(key,)) for rule, (dataset, key) in _UNIQUE.items()),
+    *(not_null(rule, dataset, columns=columns) for rule, (dataset, columns) in _REQUIRED.items()),
+    *(schema_of(rule, dataset, columns=_expected_columns(dataset)) for rule, dataset in _SCHEMA.items()),
 ))
 
 RECONCILIATION_RULES = tuple(
     rule
     for name, source, target, key, fields in _PAIRS
     for rule in (
-        KeyReconciliationRule(f"keys_{name}", source, target, (key,)),
-        FieldReconciliationRule(f"fields_{name}", source, target, (key,), tuple(FieldMapping(f, f) for f in fields)),
+        same_keys(f"keys_{name}", source, target, key=(key,)),
+        same_fields(f"fields_{name}", source, target, key=(key,), fields=[(f, f) for f in fields]),
     )
 )
 
-ORDERS_SUITE = ValidationSuite("orders_quality_v2", BASIC_SUITE.rules + RECONCILIATION_RULES)
+ORDERS_SUITE = Suite("orders_quality_v2", BASIC_SUITE.rules + RECONCILIATION_RULES)
 
 # The damaged copies are nullable on purpose, so their schema rules are left out.
-FAULT_SUITE = ValidationSuite("orders_fault_v1", tuple(
+FAULT_SUITE = Suite("orders_fault_v1", tuple(
     rule for rule in ORDERS_SUITE.rules if rule.id not in ("schema_target_orders", "schema_target_daily")
 ))
 

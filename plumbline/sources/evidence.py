@@ -18,10 +18,7 @@ from pyspark.sql import functions as F
 from plumbline import schemas
 from plumbline.functions.exprs import normalized_state
 
-# The limits and the field contract of evidence version 1.
-MAX_BYTES = 48 * 1024
-MAX_ROWS = 400
-MAX_DATASET_ROWS = 100
+# The field contract of evidence version 1.
 MAX_INT, MAX_LONG = 2**31 - 1, 2**63 - 1
 PROVIDERS = ("Fabric", "ADF", "OneLake")
 DATASETS = ("source", "bronze", "silver", "target")
@@ -61,7 +58,6 @@ class Field:
 class Section:
     path: str
     fields: dict[str, Field]
-    limit: int
 
 
 _TEXT, _TEXT_NULL = Field("text"), Field("text", nullable=True)
@@ -75,12 +71,12 @@ RECORD = {
 }
 RUNS = Section("runs", {
     "run_id": _TEXT, "execution_status": _TEXT_OPTIONAL, "started_at": _TIME_OPTIONAL, "ended_at": _TIME_OPTIONAL,
-}, 101)
+})
 STEPS = Section("steps", {
     "step_no": Field("integer", maximum=MAX_INT), "operation": _TEXT, "run_id": _TEXT, "execution_status": _TEXT_NULL,
     "batch_no": Field("integer", nullable=True, maximum=MAX_INT), "target_rows": Field("integer", nullable=True),
     "watermark": Field("timestamp", nullable=True),
-}, 100)
+})
 SECTIONS = (
     RUNS,
     Section("activities", {
@@ -88,15 +84,15 @@ SECTIONS = (
         "source_dataset": Field("dataset", required=False, nullable=True),
         "target_dataset": Field("dataset", required=False, nullable=True),
         "rows_read": _INT_OPTIONAL, "rows_written": _INT_OPTIONAL,
-    }, 30),
-    *(Section(f"datasets.{name}", RECORD, MAX_DATASET_ROWS) for name in DATASETS),
-    Section("schema", {"dataset": Field("dataset"), "column_name": _TEXT, "data_type": _TEXT}, 40),
+    }),
+    *(Section(f"datasets.{name}", RECORD) for name in DATASETS),
+    Section("schema", {"dataset": Field("dataset"), "column_name": _TEXT, "data_type": _TEXT}),
     Section("manifest", {
         "partition_key": _TEXT, "file_key": _TEXT, "row_count": _INT_OPTIONAL, "snapshot_at": _TIME_OPTIONAL, "run_id": _TEXT,
-    }, 50),
+    }),
     Section("references", {
         "dataset_id": _TEXT, "reference_id": _TEXT, "observed_at": _TIME_OPTIONAL, "run_id": _TEXT,
-    }, 20),
+    }),
     STEPS,
 )
 UNIQUE_FIELDS = {"runs": "run_id", "steps": "step_no"}
@@ -247,7 +243,6 @@ def _document_problems(allowed, required, extra: list[Column]) -> Column:
     )
     stated = F.coalesce(object_problems(F.to_variant_object(header), _HEADER), F.array().cast("array<string>"))
     shape = F.array(
-        F.when(F.octet_length("content") > MAX_BYTES, F.lit("larger than 48 KiB")),
         F.when(document.isNull(), F.lit("invalid JSON")),
         unknown_field_problem(document, allowed),
         *[F.when(_type(document, f).isNull(), F.lit(f"missing field: {f}")) for f in required],
@@ -264,7 +259,6 @@ def _section_problems(section: Section) -> list[Column]:
     items, array_type = _items(section), _type(F.col("document"), section.path)
     shape = [
         F.when(array_type.isNotNull() & ~array_type.startswith("ARRAY"), F.lit(f"not an array: {section.path}")),
-        F.when(F.size(items) > section.limit, F.lit(f"more than {section.limit} rows: {section.path}")),
     ]
     unique = UNIQUE_FIELDS.get(section.path)
     if unique:
@@ -279,13 +273,8 @@ def _section_problems(section: Section) -> list[Column]:
 
 
 def _judge(documents: DataFrame, sections, allowed, required, extra: list[Column], finish: Callable) -> Evidence:
-    """Judge every document within its own row: a bundle is small, so no shuffle is needed."""
-    total = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.size(_items(s)), F.lit(0)) for s in sections if s.path.startswith("datasets.")],
-    )
-    many = F.when(total > MAX_ROWS, F.lit(f"more than {MAX_ROWS} data rows"))
-    found = [_document_problems(allowed, required, [*extra, many])]
+    """Judge every document within its own row, whatever its size; bundles too large for a cell come as record lines."""
+    found = [_document_problems(allowed, required, extra)]
     for section in sections:
         found += _section_problems(section)
     parsed = documents.withColumn("document", F.try_parse_json("content"))
@@ -335,8 +324,7 @@ def contract_sections(lesson: str) -> tuple[Section, ...]:
     """Sections of contract evidence; contract tables are never among them."""
     observed = CONTRACT_LESSONS[lesson][1]
     tables = tuple(
-        Section(f"datasets.{t}", {f.name: _column_rule(f.name, f.dataType.simpleString()) for f in schemas.struct(t)},
-                MAX_DATASET_ROWS)
+        Section(f"datasets.{t}", {f.name: _column_rule(f.name, f.dataType.simpleString()) for f in schemas.struct(t)})
         for t in observed
     )
     return (*tables, RUNS, STEPS)
@@ -438,34 +426,19 @@ def _section(path: str) -> Section:
     return next(s for s in SECTIONS if s.path == path)
 
 
-def oversized_bundles(sections: dict[str, DataFrame]) -> DataFrame:
-    """Bundles with more rows in a section than a document may hold, as problems."""
-    found = []
-    for path, rows in sections.items():
-        limit = _section(path).limit
-        sizes = rows.groupBy("bundle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
-        found.append(sizes.select(
-            "bundle", F.lit(path).alias("section"), F.lit(None).cast("int").alias("pos"),
-            F.lit(f"more than {limit} rows: {path}").alias("reason")))
-    return reduce(DataFrame.unionByName, found)
-
-
 def export_bundles(header: DataFrame, sections: dict[str, DataFrame]) -> DataFrame:
     """JSON documents, one per bundle, that the reader above accepts again.
 
     ``header`` has one row per bundle: bundle, provider, resource_id, as_of and
-    batch_no. Money and times travel as text. Rows are gathered only for bundles
-    within the limits, so no group grows without bound; the others are not cut but
-    left to ``oversized_bundles``.
+    batch_no. Money and times travel as text. Nothing is left out; a document is one
+    value, so bundles with many rows go out by ``record_lines``, which gathers nothing.
     """
-    refused = oversized_bundles(sections).select("bundle").distinct()
-    out = header.join(refused, "bundle", "left_anti").select(
+    out = header.select(
         "bundle", F.lit(1).alias("version"), *[_json_value(header, c) for c in ("provider", "resource_id", "as_of", "batch_no")]
     )
     for path, rows in sections.items():
         record = F.struct(*[_json_value(rows, c) for c in _section(path).fields])
-        within = rows.join(refused, "bundle", "left_anti")
-        lists = within.groupBy("bundle").agg(F.array_sort(F.collect_list(record)).alias(f"rows:{path}"))
+        lists = rows.groupBy("bundle").agg(F.array_sort(F.collect_list(record)).alias(f"rows:{path}"))
         out = out.join(lists, "bundle", "left")
 
     def listed(path: str) -> Column:
@@ -480,16 +453,61 @@ def export_bundles(header: DataFrame, sections: dict[str, DataFrame]) -> DataFra
     return out.select("bundle", content.alias("content"))
 
 
-def checked_export(header: DataFrame, sections: dict[str, DataFrame]) -> tuple[DataFrame, Evidence]:
-    """Exported documents together with what the reader makes of them; refused bundles are listed."""
-    documents = with_hash(export_bundles(header, sections))
-    found = parse_bundles(documents)
-    refused = oversized_bundles(sections)
-    bundle_type = refused.schema["bundle"].dataType
-    problems = found.problems.withColumn("bundle", F.col("bundle").cast(bundle_type)).unionByName(refused)
-    return documents, Evidence(found.documents, found.sections, problems, found.run_sections)
-
-
 def write_documents(documents: DataFrame, path: str) -> None:
-    """One JSON document per line; each is at most 48 KiB."""
+    """One JSON document per line."""
     documents.select("content").write.mode("overwrite").text(path)
+
+
+# Record lines: one JSON object per line with a bundle's id, a section and one record of it.
+
+HEADER = Section("header", {"version": Field("integer", maximum=1), "provider": _TEXT, **_HEADER, "as_of": Field("timestamp", nullable=True)})
+
+
+def record_lines(header: DataFrame, sections: Mapping[str, DataFrame]) -> DataFrame:
+    """Every record of every bundle as a line of JSON, the header as a section of its own. No rows are brought together."""
+    headed = header.withColumn("version", F.lit(1))
+    lines = []
+    for section, rows in [(HEADER, headed), *((_section(p), rows) for p, rows in sections.items())]:
+        record = F.struct(*[_json_value(rows, c) for c in section.fields])
+        line = F.struct(F.col("bundle").cast("string").alias("bundle"), F.lit(section.path).alias("section"), record.alias("record"))
+        lines.append(rows.select(F.to_json(line, {"ignoreNullFields": "false"}).alias("value")))
+    return reduce(DataFrame.unionByName, lines)
+
+
+def parse_records(lines: DataFrame) -> Evidence:
+    """Validate and type record lines (column ``value``) of bundles of any size.
+
+    Each record is judged in its own row; ids that may not repeat and the one header a bundle needs are counted. A
+    bundle with any problem is refused whole. ``documents`` has one row per accepted bundle. Lines that name no bundle
+    belong to the bundle NULL, which is never accepted.
+    """
+    known = (HEADER, *SECTIONS)
+    line, item, section = F.try_parse_json("value"), F.col("item"), F.col("section")
+    records = lines.select(line.alias("line")).select(
+        _text(F.col("line"), "bundle").alias("bundle"), _text(F.col("line"), "section").alias("section"),
+        F.try_variant_get("line", "$.record", "variant").alias("item"))
+    reasons = F.array(F.lit("unknown section"))
+    for s in known:
+        own = object_problems(item, s.fields)
+        if s is HEADER:
+            own = F.array_append(own, F.when(~F.coalesce(_text(item, "provider").isin(*PROVIDERS), F.lit(False)), F.lit("unsupported provider")))
+            own = F.array_append(own, F.when(F.try_variant_get(item, "$.version", "bigint") != 1, F.lit("unsupported version")))
+        reasons = F.when(section == s.path, own).otherwise(reasons)
+    reasons = F.when(F.col("bundle").isNull(), F.array(F.lit("no bundle named"))).when(item.isNull(), F.array(F.lit("not an object"))).otherwise(reasons)
+    judged = records.withColumn("reasons", F.array_compact(reasons))
+    place = F.lit(None).cast("int").alias("pos")
+    found = [judged.select("bundle", "section", place, F.explode("reasons").alias("reason"))]
+    for path, name in UNIQUE_FIELDS.items():
+        ids = records.where((section == path) & _text(item, name).isNotNull()).groupBy("bundle", _text(item, name).alias("id"))
+        twice = ids.agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bundle").distinct()
+        found.append(twice.select("bundle", F.lit(path).alias("section"), place, F.lit(f"repeated {name}").alias("reason")))
+    headers = records.groupBy("bundle").agg(F.count_if(section == "header").alias("n"))
+    found.append(headers.where("n <> 1").select("bundle", F.lit("header").alias("section"), place, F.lit("not one header").alias("reason")))
+    problems = reduce(DataFrame.unionByName, found)
+    refused = problems.select("bundle").distinct()
+    good = judged.where("bundle IS NOT NULL").join(refused, "bundle", "left_anti").select("bundle", "section", place, "item")
+
+    def rows(s: Section) -> DataFrame:
+        return _typed_rows(s, good.where(section == s.path).drop("section"))
+
+    return Evidence(rows(HEADER), Sections({s.path: partial(rows, s) for s in SECTIONS}), problems)

@@ -59,13 +59,14 @@ def test_only_queries_run(spark):
         assert run_check_text(text, tables).error == "SQL_ERROR"
     for bad in ("", "  ", "SELECT '\0'"):
         with pytest.raises(ValueError):
-            certify.normalize_check(bad)
+            certify.sql_check(bad, tables)
     long_list = ", ".join(map(str, range(5_000)))
     assert sql_check(f"SELECT COUNT(*) AS n FROM t WHERE id IN ({long_list});", tables).first().n == 3
     assert sql_check("SELECT COUNT(*) AS n FROM t", tables).first().n == 3
 
 
 def test_preview_limits(spark):
+    assert len(previews.preview(spark.range(150), rows=120).rows) == 120
     shown = previews.preview(spark.range(150))
     assert len(shown.rows) == 100 and shown.truncated
     assert not previews.preview(spark.range(100)).truncated
@@ -75,7 +76,7 @@ def test_preview_limits(spark):
     many = spark.range(1).selectExpr(*[f"id AS c{i}" for i in range(21)])
     assert previews.preview(many).error == "COLUMN_LIMIT"
     with pytest.raises(ValueError):
-        previews.PreviewLimits(max_rows=101)
+        previews.preview(many, rows=0)
 
 
 def test_half_subset_is_exact_for_sparse_keys(spark):

@@ -5,7 +5,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.contracts import QualityStatus, ValidationSuite
+from plumbline.contracts import QualityStatus, Suite
 from plumbline.functions.exprs import net_amount
 from plumbline.plans import fault_runs, orders
 from plumbline.plans.quality import RunNotReady, inspect_quality, run_quality_suite
@@ -67,7 +67,7 @@ def test_suite_passes_on_a_clean_run_and_changes_only_the_quality_status(store,
     run = orders.inspect_run(store, run_id)
     assert (run["execution_status"], run["data_quality_status"]) == ("SUCCESS", "PASS")
     assert len(inspect_quality(store, run_id)["results"]) == 26
-    empty = run_quality_suite(store, run_id, ValidationSuite("empty", ()))
+    empty = run_quality_suite(store, run_id, Suite("empty", ()))
     assert empty.status is QualityStatus.NOT_RUN
 
 
@@ -78,7 +78,7 @@ def test_a_fault_fails_its_rules_and_leaves_the_report_alone(store, run_id, scen
     with pytest.raises(fault_runs.FaultState):
         fault_runs.apply_fault(store, "duplicate_order", run_id)
     quality = fault_runs.check_fault(store, fault["fault_run_id"])
-    failing = {r.rule_id for r in quality.results if r.status is QualityStatus.FAIL}
+    failing = {r.rule.id for r in quality.results if r.status is QualityStatus.FAIL}
     assert failing >= set(EXPECTED_FAILURES[scenario])
     first = fault_runs.reset_fault(store, fault["fault_run_id"])
     again = fault_runs.reset_fault(store, fault["fault_run_id"])
