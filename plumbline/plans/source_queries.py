@@ -786,7 +786,7 @@ def _expected_rules(v):
              "target_daily_sales": layered.daily_report(gold)}, {"SOURCE": v("source_orders").agg(F.count(F.lit(1)))})
         rules = [r for r in FAULT_SUITE.rules if r.id in named]
         found = execute_rules(rules, source, FAULT_DATASETS)
-        rows.append((scenario, all(r.status is QualityStatus.FAIL for r in found)))
+        rows.append((scenario, all(r.status == "FAIL" for r in found)))
     return v.spark.createDataFrame(rows, "scenario_id string, failed_as_expected boolean")
 
 
@@ -858,11 +858,11 @@ gap_query("C30", "e01_reference_evidence_gaps", "reference_undated")
 
 @query("e02_contract_evidence_gaps", """
     SELECT gap FROM (
-        SELECT 'run execution or timestamps are unknown' AS gap,
+        SELECT 'runs_unknown' AS gap,
                (SELECT bool_or(execution_status = 'UNKNOWN' OR started_at IS NULL OR ended_at IS NULL) FROM cloud_runs) AS found
-        UNION ALL SELECT 'referenced run evidence is missing', EXISTS (SELECT 1 FROM az_files f WHERE f.run_id NOT IN (SELECT run_id FROM cloud_runs))
+        UNION ALL SELECT 'run_reference_missing', EXISTS (SELECT 1 FROM az_files f WHERE f.run_id NOT IN (SELECT run_id FROM cloud_runs))
                OR EXISTS (SELECT 1 FROM cloud_steps s WHERE s.run_id NOT IN (SELECT run_id FROM cloud_runs))
-        UNION ALL SELECT 'file capture time is unknown or beyond the clock',
+        UNION ALL SELECT 'capture_beyond_clock',
                (SELECT bool_or(observed_at IS NULL OR observed_at > (SELECT as_of FROM cloud_context)) FROM az_files)) g
     WHERE found""")
 def _contract_gaps(v):
