@@ -14,6 +14,9 @@ BREAK = rf"(?i)</?({BLOCKS})([ \t\r\n/][^>]*)?>"
 TAG = r"<[^>]*>"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#@]*@)?([^/?#:]*)"
 
+PARTS = 64  # over which a large host's lines and pages are dealt
+LARGE = 200  # a large host has more than one of so many pages, so there are fewer than that
+
 
 def host_of(url: Column) -> Column:
     """Lower-cased host of an address; empty where it has none."""
@@ -32,6 +35,22 @@ def line_key(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b"))
 
 
+def large_hosts(totals: DataFrame) -> Column:
+    """Whether ``host`` has more than one of ``LARGE`` pages; fewer than ``LARGE`` names come to the driver."""
+    least = totals.agg((F.sum("host_pages") / LARGE).alias("least"))
+    return F.col("host").isin([r["host"] for r in totals.where(F.col("host_pages") > least.scalar()).select("host").collect()])
+
+
+def dealt(rows: DataFrame, large: Column, by: str) -> DataFrame:
+    """Rows with the part of their host that they fall in."""
+    return rows.withColumn("part", F.when(large, F.pmod(F.xxhash64(by), F.lit(PARTS))).otherwise(0).cast("int"))
+
+
+def every_part(hosts: DataFrame, large: Column) -> DataFrame:
+    """One row for each part of a host."""
+    return hosts.withColumn("part", F.explode(F.when(large, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))))
+
+
 def without_boilerplate(
     pages: DataFrame, num: int = 3, den: int = 10, min_pages: int = 3, key: str = "page_id", url: str = "url", html: str = "html",
 ) -> DataFrame:
@@ -41,17 +60,19 @@ def without_boilerplate(
     at least; a line repeated on a page counts once. Returns ``key``, ``host``, ``host_pages``, ``n_lines``, ``n_dropped``
     and ``text`` (lines kept, one a row of text). Rows are pages, so repeated rows count each; null and malformed addresses
     share the empty host; null pages have no lines. Other columns are not read; an empty table gives no rows.
-    Counts are combined before they are shuffled, by (host, line), so neither a large host nor a common line meets in one task. A
+    Counts are combined before they are shuffled, by (host, line), and large hosts' lines and pages
+    are dealt over ``PARTS`` parts where they meet the host's total and boilerplate, so neither a large host nor a common line meets in one task. A
     host's boilerplate has at most (its lines a page) * den / num entries, so it travels as one array to the pages.
     """
     read = pages.select(F.col(key).alias("id"), host_of(F.col(url)).alias("host"), lines_of(F.col(html)).alias("lines"))
     seen = read.select("host", F.explode(F.array_distinct(F.transform("lines", line_key))).alias("line"))
     counted = seen.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
     totals = pages.select(host_of(F.col(url)).alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    common = counted.join(totals, "host").where(F.col("n") * den > F.col("host_pages") * num)
+    large = large_hosts(totals)
+    common = dealt(counted, large, "line").join(every_part(totals, large), ["host", "part"]).where(F.col("n") * den > F.col("host_pages") * num)
     common = common.groupBy("host").agg(F.collect_list("line").alias("common"))
-    sites = totals.join(common, "host", "left").select(F.col("host").alias("site"), "host_pages", "common")
-    joined = read.join(sites, F.col("host") == F.col("site"), "left")
+    sites = every_part(totals.join(common, "host", "left"), large)
+    joined = dealt(read, large, "lines").join(sites, ["host", "part"], "left")
     known = F.coalesce("common", F.array().cast("array<struct<a:bigint,b:bigint>>"))
     joined = joined.withColumn("kept", F.filter("lines", lambda x: ~F.array_contains(known, line_key(x))))
     return joined.select(
