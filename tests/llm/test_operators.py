@@ -401,6 +401,25 @@ def test_bounds_are_optimal():
             assert len(found) <= k and cost(found) == best
 
 
+def test_one_long_text_leaves_the_other_bounds(shared, monkeypatch):
+    lengths = [1 + (i * i * 7919) % 3001 for i in range(600)] + [50_000_000]
+    frame = shared.createDataFrame([(x,) for x in lengths], "n long")
+    count = Counter(lengths)
+    distinct = sorted(count)
+    upto = np.concatenate([[0], np.cumsum([count[x] for x in distinct])])
+    cost = [0.0] + [float("inf")] * len(distinct)
+    for _ in range(4):
+        cost = [0.0] + [min(cost[i] + distinct[j - 1] * (upto[j] - upto[i]) for i in range(j)) for j in range(1, len(cost))]
+    padded = lambda bounds: sum(min(b for b in bounds if b >= x) for x in lengths)
+    bounds = packing.length_bounds(frame, "n", 4)
+    assert len(bounds) == 4 and padded(bounds) == cost[-1]
+    monkeypatch.setattr(packing, "LENGTHS", 100)
+    for digits in (13, 6):
+        monkeypatch.setattr(packing, "DIGITS", digits)
+        # the long text's own bucket can't hide an error in the others
+        assert padded(packing.length_bounds(frame, "n", 4)) - 50_000_000 <= (cost[-1] - 50_000_000) * (1 + 2 ** (1 - digits))
+
+
 @pytest.mark.parametrize("part_rows", [10, 50_000])
 def test_packed_batches(documents, odd, none, part_rows):
     for docs in (documents, odd):
