@@ -11,7 +11,8 @@ from plumbline.llm.storage import written
 from plumbline.llm.words import LOWER, slabs, text_bytes
 
 FEATURES = 1 << 16
-TRAIN_ROWS = 4000  # labelled rows, about, that the text model is fitted on
+BLOCK = 1 << 12  # trigrams whose counts are added up together
+HELD = 64  # languages whose counts a task holds
 UNKNOWN = "und"
 _LETTER = np.zeros(256, bool)
 _LETTER[ord("a"):ord("z") + 1] = True
@@ -30,26 +31,60 @@ def trigrams(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return number, letter[:-2].astype(np.int8) + letter[1:-1] + letter[2:] >= 2
 
 
-def _fit(key, table):
-    """Trigram counts of one language's texts."""
-    counts = np.zeros(FEATURES, np.int64)
-    for text in table["text"].to_pylist():
-        number, counted = trigrams(np.frombuffer((text or "").encode(), np.uint8))
-        counts += np.bincount(number[counted], minlength=FEATURES)
-    return pa.table({"label": [key[0].as_py()], "counts": pa.array([counts.astype(np.int64).tobytes()], pa.binary())})
-
-
-def text_model(labelled: DataFrame, key: str, text: str, label: str, train_rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
+def _rows_trigrams(offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and one past the last of each text's own places among ``n`` trigrams: none across two texts."""
+    return np.minimum(offsets[:-1], n), np.minimum(np.maximum(offsets[1:] - 2, offsets[:-1]), n)
+
+
+def _counts(batches):
+    """Trigram counts by label and block of trigrams; a label has its first block whatever its texts."""
+    def blocks(held):
+        for label, counts in held.items():
+            own = [b for b in range(FEATURES // BLOCK) if not b or counts[b * BLOCK:(b + 1) * BLOCK].any()]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([label] * len(own), pa.string()), pa.array(own, pa.int32()),
+                pa.array([counts[b * BLOCK:(b + 1) * BLOCK].tobytes() for b in own], pa.binary())], ["label", "block", "counts"])
+
+    held = {}
+    for batch in batches:
+        for _, part in slabs(batch, "text"):
+            data, offsets = text_bytes(part.column("text"))
+            number, counted = trigrams(data)
+            first, last = _rows_trigrams(offsets, len(number))
+            code = part.column("label").dictionary_encode()
+            row = np.repeat(np.arange(part.num_rows), np.diff(offsets))[:len(number)]
+            own = np.flatnonzero(counted & (np.arange(len(number)) < last[row]))
+            labels = code.indices.to_numpy()[row[own]]
+            order = np.argsort(labels, kind="stable")
+            cuts = np.searchsorted(labels[order], np.arange(len(code.dictionary) + 1))
+            for label, a, b in zip(code.dictionary.to_pylist(), cuts[:-1], cuts[1:], strict=True):
+                if label not in held and len(held) == HELD:
+                    yield from blocks(held)
+                    held = {}
+                held[label] = held.get(label, 0) + np.bincount(number[own[order[a:b]]], minlength=FEATURES)
+    yield from blocks(held)
+
+
+def _added(key, table):
+    sums = np.zeros(BLOCK, np.int64)
+    for part in table["counts"].to_pylist():
+        sums += np.frombuffer(part, np.int64)
+    return pa.table({"label": pa.array([key[0].as_py()], pa.string()), "block": pa.array([key[1].as_py()], pa.int32()), "counts": pa.array([sums.tobytes()], pa.binary())})
+
+
+def text_model(labelled: DataFrame, key: str, text: str, label: str) -> tuple[list[str], np.ndarray]:
     """Languages and the log probabilities of trigrams in each, with a last row for texts in none (all trigrams alike).
 
-    Fitted on about ``train_rows`` rows, those whose hashed key falls lowest. Only the counts of each language come to the driver.
+    Fitted on all labelled rows, so every label met is a language, however rare. Counts are added up in the tasks before the
+    shuffle; the sums of each language come to the driver. ``key`` plays no part: repeated rows and null keys are rows like others.
     """
-    known = labelled.where(F.col(label).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(label).alias("label"))
-    bound = min(1.0, train_rows / max(1, known.count()))
-    sample = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(bound * (1 << 30)))
-    rows = sample.groupBy("label").applyInArrow(_fit, "label string, counts binary").collect()
-    names = sorted(r["label"] for r in rows)
-    counts = {r["label"]: np.frombuffer(r["counts"], np.int64) for r in rows}
+    known = labelled.where(F.col(label).isNotNull()).select(F.col(text).alias("text"), F.col(label).alias("label"))
+    kind = "label string, block int, counts binary"
+    rows = known.mapInArrow(_counts, kind).groupBy("label", "block").applyInArrow(_added, kind).collect()
+    names = sorted({r["label"] for r in rows})
+    counts = {n: np.zeros(FEATURES, np.int64) for n in names}
+    for r in rows:
+        counts[r["label"]][r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = np.frombuffer(r["counts"], np.int64)
     logs = [np.log((counts[n] + 0.1) / (counts[n].sum() + 0.1 * FEATURES)) for n in names]
     return names, np.array([*logs, np.full(FEATURES, -np.log(FEATURES))], np.float32)
 
@@ -62,8 +97,7 @@ def _score(shared, text: str):
             for _, part in slabs(batch, text):
                 data, offsets = text_bytes(part.column(text))
                 number, counted = trigrams(data)
-                last = np.minimum(np.maximum(offsets[1:] - 2, offsets[:-1]), len(number))  # none across two texts
-                first = np.minimum(offsets[:-1], len(number))
+                first, last = _rows_trigrams(offsets, len(number))
                 upto = np.concatenate([[0], np.cumsum(counted)])
                 counted_all.append(upto[last] - upto[first])
                 own = np.empty((len(first), len(model)))
@@ -158,14 +192,14 @@ def evidence_of_pages(pages: DataFrame) -> DataFrame:
         F.regexp_extract(host, r"\.([^.]+)$", 1).alias("suffix"), host.alias("host"))
 
 
-def in_known_language(docs: DataFrame, key: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS) -> DataFrame:
+def in_known_language(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, whose language is accepted.
 
     Rows are told apart by key; a key with an accepted row keeps all its rows, so repeated rows stay repeated.
     """
     from plumbline.llm.storage import clear_of
 
-    languages, model = text_model(docs, key, text, "lang", train_rows)
+    languages, model = text_model(docs, key, text, "lang")
     found = fused(evidence_of_documents(docs, key, text), languages, model)
     (k,) = clear_of(docs, "key_")
     good = found.where("accepted").select(F.col("id").alias(k)).distinct()

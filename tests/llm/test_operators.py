@@ -482,5 +482,26 @@ def test_host_priors_are_smoothed_upwards(shared, documents):
     assert found[-1] == "fr" and found[-2] in ("de", "fr")
 
 
+def test_rare_languages_and_null_keys_are_fitted(shared):
+    """One text in about 20,000 of a language of its own, with and without keys."""
+    rare = "zxq vwx qqz xwv zvq wxz " * 20
+    common = ["the cat sat on the mat with the hat " * 3, "le chat est sur la table avec le chien " * 3]
+    texts = [(i, common[i % 2], ("en", "fr")[i % 2]) for i in range(20_000)] + [(20_001, rare, "zz"), (20_002, None, "yy")]
+    docs = shared.createDataFrame(texts, "id long, text string, lang string").repartition(3)
+    for keys in (F.col("id"), F.lit(None).cast("long")):
+        languages, model = language.text_model(docs.withColumn("id", keys), "id", "text", "lang")
+        assert languages == ["en", "fr", "yy", "zz"]
+    counted = Counter()
+    for _, text, lang in texts:
+        if lang == "en":
+            number, own = language.trigrams(np.frombuffer(text.encode(), np.uint8))
+            counted.update(number[own].tolist())
+    total = sum(counted.values()) + 0.1 * language.FEATURES
+    assert model[0] == pytest.approx(np.log((np.array([counted[i] for i in range(language.FEATURES)]) + 0.1) / total), rel=1e-5)
+    asked = shared.createDataFrame([(-1, rare, None, None, None), (-2, common[0], None, None, None)], "id long, text string, declared string, suffix string, host string")
+    found = {r["id"]: (r["lang_found"], r["accepted"]) for r in rows(language.fused(asked, languages, model))}
+    assert found == {-1: ("zz", True), -2: ("en", True)}
+
+
 def test_every_operator_has_its_query():
     assert [q.split("_")[0] for q in queries.QUERIES] == [*(f"op{i}" for i in range(1, 11)), "pipeline"]
