@@ -1,13 +1,15 @@
 """Hierarchical Pitman-Yor bigram model: seating sampled by Gibbs over the whole training part, scores for every text.
 
-A token's context is the token before it, hashed into ``CONTEXTS`` restaurants that share one parent, the restaurant of
-single tokens, whose base is uniform over the vocabulary and one unknown token. Training tokens are the customers; of a
-dish (token) in a restaurant the state is its number of tables, each of which sends a customer to the parent.
+A token's context is the token before it. Every context, told apart by its 64-bit hash, is a restaurant of its own; all share one
+parent, the restaurant of single tokens, whose base is uniform over the vocabulary and one unknown token. Training tokens are the
+customers; of a dish (token) in a restaurant the state is its number of tables, each of which sends a customer to the parent.
 
-How it is spread: training bigrams, counted per Arrow batch, go to buckets by token, so that a token's parent dish is in the
+How it is spread: bigrams, counted per Arrow batch, go to buckets by token, so that a token's parent dish is in the
 bucket of its restaurants. The few most frequent tokens are spread by context as well. Buckets sweep side by side with the
-table totals of the round before; what a round shares is bounded: totals of ``CONTEXTS`` restaurants and ``HOT`` tokens. A round is
+table totals of the round before. Totals of contexts are a table: each bucket sends one partial sum for each of its contexts, parts
+of the contexts add them up, and each bucket gets the totals of its own contexts back; nothing is broadcast but totals of ``HOT`` tokens. A round is
 drawn from its bucket and number alone, so later jobs draw it again instead of keeping it, and a lost executor changes nothing.
+Bigrams met in held-out texts only are dishes without customers: they make sure that a bucket has the totals of every context it scores.
 """
 
 from __future__ import annotations
@@ -21,16 +23,15 @@ from pyspark.sql import functions as F
 from plumbline.llm.storage import clear_of, written
 from plumbline.llm.words import NOT_SPACE, hash_words, mix, slabs, text_bytes
 
-CONTEXT_BITS = 16
-CONTEXTS = 1 << CONTEXT_BITS
-HOT = 64  # tokens at most that are spread by context and scored from a shared table of HOT x CONTEXTS entries
-HOT_SHARE = 1 / 500
+HOT = 64  # tokens at most that are spread by context
+HOT_SHARE = 1 / 500  # of all tokens; bigrams with that share are scored where they are met, from a shared table
 SPREAD = 64  # parts by context of a hot token
 BUCKET_TOKENS = 2_000_000
 SLAB = 6 << 20  # text bytes looked at together
 ROUNDS, BURN_IN = 4, 2  # the rounds after the burn-in are averaged
 EXACT = 64  # customers of a dish up to which its tables are drawn from their exact conditional distribution
-PARTS = 64  # of the contexts, in which totals are added up
+PART_BITS = 6  # at least, of the context's hash: parts in which totals are added up
+PART_PAIRS = 1 << 20  # bigrams in a part, about
 END = np.uint64(0x5EED0FE0D)
 START = np.uint64(0x5EED057A7)
 
@@ -50,7 +51,7 @@ def tokens_of(batch: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray,
     if len(tokens):
         before[1:] = tokens[:-1]
         before[np.concatenate([[0], ends[:-1] + 1])] = START
-    return tokens, (mix(before, 9) >> np.uint64(64 - CONTEXT_BITS)).astype(np.uint16), sizes
+    return tokens, mix(before, 9), sizes
 
 
 def bucket_of(tokens: np.ndarray, contexts: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
@@ -58,45 +59,57 @@ def bucket_of(tokens: np.ndarray, contexts: np.ndarray, hot: np.ndarray, buckets
     place = np.searchsorted(hot, tokens)
     place[place == len(hot)] = 0
     is_hot = hot[place] == tokens if len(hot) else np.zeros(len(tokens), bool)
-    spread = np.where(is_hot, contexts % np.uint16(SPREAD) + np.uint16(1), 0).astype(np.uint64)
+    spread = np.where(is_hot, contexts % np.uint64(SPREAD) + np.uint64(1), np.uint64(0))
     return (mix(tokens + spread * np.uint64(0x9E3779B97F4A7C15), 13) % np.uint64(buckets)).astype(np.int32)
 
 
 def _frequent(text: str):
-    """Tokens that make up a batch's ``HOT_SHARE`` or more, and on the key 0 the number of tokens."""
+    """Tokens, and bigrams, that make up a batch's ``HOT_SHARE`` or more, and on the token 0 the number of tokens."""
     def run(batches):
         for batch in batches:
             for _, part in slabs(batch, text, SLAB):
-                tokens, _, _ = tokens_of(part, text)
+                tokens, contexts, _ = tokens_of(part, text)
+                least = max(2, HOT_SHARE * len(tokens))
                 found, counts = np.unique(tokens, return_counts=True)
-                many = counts >= max(2, HOT_SHARE * len(tokens))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.r_[found[many], np.uint64(0)].astype(np.int64)), pa.array(np.r_[counts[many], len(tokens)])], ["token", "n"])
+                many = counts >= least
+                rows = [(0, None, len(tokens)), *((t, None, n) for t, n in zip(found[many].astype(np.int64).tolist(), counts[many].tolist(), strict=True))]
+                for token in found[many]:
+                    before, counts = np.unique(contexts[tokens == token], return_counts=True)
+                    own = counts >= least
+                    rows += [(int(token.astype(np.int64)), c, n) for c, n in zip(before[own].astype(np.int64).tolist(), counts[own].tolist(), strict=True)]
+                yield _batch(rows, pa.schema([("token", pa.int64()), ("context", pa.int64()), ("n", pa.int64())]))
     return run
 
 
-def frequent_tokens(docs: DataFrame, text: str) -> tuple[int, np.ndarray]:
-    """The number of tokens, and the ``HOT`` most frequent that make up ``HOT_SHARE`` or more. They only decide where work goes."""
-    sums = docs.select(text).mapInArrow(_frequent(text), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    rows = sums.orderBy(F.desc(F.col("token") == 0), F.desc("n"), "token").limit(HOT + 1).collect()
+def frequent(docs: DataFrame, text: str) -> tuple[int, np.ndarray, np.ndarray]:
+    """The number of tokens, the ``HOT`` most frequent that make up ``HOT_SHARE`` or more, and the bigrams that do, as rows of
+    (token, context). They only decide where work goes."""
+    sums = docs.select(text).mapInArrow(_frequent(text), "token long, context long, n long").groupBy("token", "context").agg(F.sum("n").alias("n"))
+    most = 1 + 2 * int(1 / HOT_SHARE)  # no more can have that share
+    rows = sums.orderBy(F.desc(F.col("token") == 0), F.desc("n"), "token", "context").limit(most).collect()
     total = next((r["n"] for r in rows if r["token"] == 0), 0)
-    hot = [r["token"] for r in rows if r["token"] != 0 and r["n"] >= HOT_SHARE * total]
-    return total, np.sort(np.array(hot, np.int64).astype(np.uint64))
+    rows = [r for r in rows if r["token"] != 0 and r["n"] >= HOT_SHARE * total]
+    hot = [r["token"] for r in rows if r["context"] is None][:HOT]
+    pairs = sorted((r["token"] % (1 << 64), r["context"] % (1 << 64)) for r in rows if r["context"] is not None)
+    return total, np.sort(np.array(hot, np.int64).astype(np.uint64)), np.array(pairs, np.uint64).reshape(-1, 2)
+
+
+def frequent_tokens(docs: DataFrame, text: str) -> tuple[int, np.ndarray]:
+    """The number of tokens and the hot tokens of :func:`frequent`."""
+    return frequent(docs, text)[:2]
 
 
 # Customers: distinct (token, context) with counts, by bucket
 
 def grouped(tokens: np.ndarray, contexts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct tokens ascending, ends of their rows, contexts ascending in a token, and added counts."""
-    words, number = np.unique(tokens, return_inverse=True)
-    key = (number.astype(np.uint64) << np.uint64(CONTEXT_BITS)) | contexts
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    firsts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
-    added = np.add.reduceat(counts[order], firsts) if len(key) else counts
-    key = key[firsts]
-    ends = np.searchsorted(key, (np.arange(len(words), dtype=np.uint64) + np.uint64(1)) << np.uint64(CONTEXT_BITS))
-    return words, ends, (key & np.uint64(CONTEXTS - 1)).astype(np.uint16), added
+    order = np.lexsort((contexts, tokens))
+    tokens, contexts = tokens[order], contexts[order]
+    new = np.r_[True, tokens[1:] != tokens[:-1]] if len(tokens) else np.empty(0, bool)
+    firsts = np.flatnonzero(new | np.r_[True, contexts[1:] != contexts[:-1]]) if len(tokens) else np.empty(0, np.int64)
+    added = np.add.reduceat(counts[order], firsts) if len(tokens) else counts
+    starts = np.flatnonzero(new[firsts])
+    return tokens[firsts][starts], np.r_[starts[1:], len(firsts)] if len(starts) else starts, contexts[firsts], added
 
 
 def _rows_by_bucket(tokens, contexts, values, hot, buckets):
@@ -113,7 +126,7 @@ def _rows_by_bucket(tokens, contexts, values, hot, buckets):
 
 def _unpacked(tokens: bytes, ends: bytes, contexts: bytes, values: bytes, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     runs = np.diff(np.frombuffer(ends, np.uint32).astype(np.int64), prepend=0)
-    return np.repeat(np.frombuffer(tokens, np.uint64), runs), np.frombuffer(contexts, np.uint16), np.frombuffer(values, kind)
+    return np.repeat(np.frombuffer(tokens, np.uint64), runs), np.frombuffer(contexts, np.uint64), np.frombuffer(values, kind)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -124,12 +137,14 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 _CUSTOMERS = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("tokens", "ends", "contexts", "counts"))])
 
 
-def _bigrams(text: str, hot: np.ndarray, buckets: int):
+def _bigrams(text: str, hot: np.ndarray, buckets: int, held: str | None = None):
+    """Bigrams with their counts; those of rows where ``held`` is true count 0."""
     def run(batches):
         for batch in batches:
             for _, part in slabs(batch, text, SLAB):
-                tokens, contexts, _ = tokens_of(part, text)
-                words, ends, contexts, counts = grouped(tokens, contexts, np.ones(len(tokens), np.uint32))
+                tokens, contexts, sizes = tokens_of(part, text)
+                trains = np.ones(len(sizes), np.uint32) if held is None else 1 - np.array(part.column(held)).astype(np.uint32)
+                words, ends, contexts, counts = grouped(tokens, contexts, np.repeat(trains, sizes))
                 tokens = np.repeat(words, np.diff(ends, prepend=0))
                 yield _batch(list(_rows_by_bucket(tokens, contexts, counts.astype(np.uint32), hot, buckets)), _CUSTOMERS)
     return run
@@ -159,10 +174,10 @@ def log_stirling(discount: float, most: int) -> np.ndarray:
 def draw_tables(rng, customers, others, base, discount: float, strength: float, stirling: np.ndarray) -> np.ndarray:
     """New numbers of tables for dishes with ``customers``, given ``others`` tables of the restaurant and the parent's probability.
 
-    Up to ``EXACT`` customers: from P(t | rest) ~ S(c, t) * prod_k<t (strength + discount * (others + k)) * base^t. Beyond, the
+    None without customers. Up to ``EXACT`` customers: from P(t | rest) ~ S(c, t) * prod_k<t (strength + discount * (others + k)) * base^t. Beyond, the
     dish's customers leave and sit down again one after the other; the tables' arrivals are drawn directly.
     """
-    tables = np.ones(len(customers), np.int64)
+    tables = np.minimum(customers, 1).astype(np.int64)
     for c in range(2, EXACT + 1):
         at = np.flatnonzero(customers == c)
         for part in np.array_split(at, max(1, len(at) * c // 400_000)):
@@ -188,15 +203,35 @@ def draw_tables(rng, customers, others, base, discount: float, strength: float,
     return tables
 
 
+class TableTotals:
+    """Totals of contexts, looked up on the driver in the table of a round."""
+
+    def __init__(self, table: DataFrame, which: int):
+        self.table, self.which = table, which
+
+    def __getitem__(self, contexts: np.ndarray) -> np.ndarray:
+        sought, inverse = np.unique(contexts, return_inverse=True)
+        out = np.zeros(len(sought), np.int64)
+        for row in self.table.where("bucket = -1 AND part >= 0").toLocalIterator():
+            found = np.frombuffer(row["contexts"], np.uint64)
+            _, at, own = np.intersect1d(sought, found, assume_unique=True, return_indices=True)
+            out[at] = np.frombuffer(row["sums"], np.int64).reshape(-1, len(found))[self.which, own]
+        return out[inverse]
+
+
 class Model:
-    """What all buckets share: sizes, discounts, and the totals of each round so far."""
+    """What all buckets share: sizes, discounts, and the totals of each round so far; those of contexts are tables."""
 
-    def __init__(self, hot: np.ndarray, vocabulary: int, trained: int, of_context: np.ndarray, discounts: tuple[float, float], hot_counts: np.ndarray):
+    def __init__(self, hot: np.ndarray, vocabulary: int, trained: int, of_context: TableTotals | None, discounts: tuple[float, float], hot_counts: np.ndarray):
         self.hot, self.vocabulary, self.trained, self.of_context, self.discounts = hot, vocabulary, trained, of_context, discounts
         self.hot_counts = hot_counts  # training counts of the hot tokens
         self.strength = 1.0
         self.rounds: list[dict] = []  # tables by context, parent customers and tables, of hot tokens and of all
 
+    def fields(self) -> dict:
+        """What travels: all but the totals of contexts."""
+        return vars(self) | {"of_context": None, "rounds": [s | {"by_context": None} for s in self.rounds]}
+
     @classmethod
     def of(cls, fields: dict) -> Model:
         """A model from its fields; plain arrays are what travels."""
@@ -227,7 +262,7 @@ class Bucket:
         self.ends = np.frombuffer(ends, np.uint32).astype(np.int64)
         self.starts = np.concatenate([[0], self.ends[:-1]]) if len(self.ends) else self.ends
         self.word = np.repeat(np.arange(len(self.words)), self.ends - self.starts)
-        self.contexts = np.frombuffer(contexts, np.uint16).astype(np.int64)
+        self.contexts = np.frombuffer(contexts, np.uint64)
         self.counts = np.frombuffer(counts, np.int64)
 
     def sums(self, values: np.ndarray) -> np.ndarray:
@@ -246,8 +281,9 @@ class Bucket:
         """Draws ``rounds`` rounds; returns (tables, parent customers, parent tables) after those from ``keep`` on."""
         stirling = [log_stirling(d, EXACT) for d in model.discounts] if rounds else []
         own, hot = self.hot_places(model)
-        tables = np.ones(len(self.counts), np.int64)
-        sent, above = self.sums(tables), np.ones(len(self.words), np.int64)
+        tables = np.minimum(self.counts, 1)
+        sent = self.sums(tables)
+        above = np.minimum(sent, 1)
         out = [(tables, sent, above)] if keep == 0 else []
         for i in range(rounds):
             state = model.rounds[i]
@@ -265,57 +301,101 @@ class Bucket:
         return out
 
 
-_TOTALS = pa.schema([("part", pa.int32()), ("sums", pa.binary())])
-
-
-def _totals(shared, seed: int, rounds: int):
-    """What the last of ``rounds`` rounds adds up to: tables by context in parts, and on part -1 the rest."""
+_TOTALS = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("contexts", pa.binary()), ("sums", pa.binary())])
+_TOTALS_KIND = "bucket int, part int, contexts binary, sums binary"
+
+
+def _placed(customers: dict, totals: pa.Table | None, fields: dict) -> tuple[Bucket, Model, np.ndarray]:
+    """A bucket whose contexts are numbers, the model with the totals of those, and the contexts' hashes by number."""
+    model = Model.of(fields)
+    bucket = Bucket(*(customers[c] for c in _CUSTOMERS.names))
+    distinct, bucket.contexts = np.unique(bucket.contexts, return_inverse=True)
+    rounds = [[] for _ in model.rounds]
+    for r in sorted(totals.select(["round", "part", "sums"]).to_pylist(), key=lambda r: r["part"]) if totals is not None else []:
+        rounds[r["round"]].append(np.frombuffer(r["sums"], np.int64).reshape(1 if r["round"] else 2, -1))
+    sums = [np.concatenate(parts, axis=1) for parts in rounds]
+    if sums:
+        model.of_context = sums[0][1]
+        model.rounds = [s | {"by_context": own[0].astype(float)} for s, own in zip(model.rounds, sums, strict=True)]
+    return bucket, model, distinct
+
+
+def _sums(customers: dict, totals: pa.Table | None, fields: dict, seed: int, rounds: int, bits: int) -> pa.RecordBatch:
+    """What a bucket adds after ``rounds`` rounds: tables (at first customers as well) by context in parts, and on part -1 the rest."""
+    bucket, model, distinct = _placed(customers, totals, fields)
+    tables, sent, above = bucket.replay(model, seed, rounds, rounds)[-1]
+    own, hot = bucket.hot_places(model)
+    cold = np.ones(len(bucket.words), bool)
+    cold[own] = False
+    rest = np.zeros(7 + 2 * HOT, np.int64)
+    rest[:2] = sent.sum(), above[cold].sum()
+    rest[7 + hot] = sent[own]
+    by_context = [np.bincount(bucket.contexts, tables, len(distinct))]
+    if not rounds:
+        by_context.append(np.bincount(bucket.contexts, bucket.counts, len(distinct)))
+        rest[2:7] = bucket.counts.sum(), (bucket.counts == 1).sum(), (bucket.counts == 2).sum(), (sent[cold] == 1).sum(), (sent[cold] == 2).sum()
+        rest[7 + HOT + hot] = bucket.sums(bucket.counts)[own]
+    by_context = np.array(by_context).astype(np.int64)
+    part = (distinct >> np.uint64(64 - bits)).astype(np.int64)
+    cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else [0]
+    rows = [(bucket.number, -1, b"", rest.tobytes())]
+    rows += [(bucket.number, int(part[a]), distinct[a:b].tobytes(), by_context[:, a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return _batch(rows, _TOTALS)
+
+
+def _first_sums(shared, seed: int, bits: int):
     def run(batches):
-        model = Model.of(shared.value)
-        by_context = np.zeros(CONTEXTS, np.int64)
-        of_context = np.zeros(CONTEXTS, np.int64)
-        rest = np.zeros(7 + 2 * HOT, np.int64)
         for batch in batches:
-            for i in range(batch.num_rows):
-                bucket = Bucket(*(batch.column(c)[i].as_py() for c in _CUSTOMERS.names))
-                tables, sent, above = bucket.replay(model, seed, rounds, rounds)[-1]
-                own, hot = bucket.hot_places(model)
-                cold = np.ones(len(bucket.words), bool)
-                cold[own] = False
-                by_context += np.bincount(bucket.contexts, tables, CONTEXTS).astype(np.int64)
-                rest[:2] += sent.sum(), above[cold].sum()
-                np.add.at(rest[7:7 + HOT], hot, sent[own])
-                if not rounds:
-                    of_context += np.bincount(bucket.contexts, bucket.counts, CONTEXTS).astype(np.int64)
-                    rest[2:7] += bucket.counts.sum(), (bucket.counts == 1).sum(), (bucket.counts == 2).sum(), (sent[cold] == 1).sum(), (sent[cold] == 2).sum()
-                    np.add.at(rest[7 + HOT:], hot, bucket.sums(bucket.counts)[own])
-        step = CONTEXTS // PARTS
-        rows = [(-1, rest.tobytes())]
-        rows += [(p, by_context[p * step:(p + 1) * step].tobytes()) for p in range(PARTS)]
-        if not rounds:
-            rows += [(PARTS + p, of_context[p * step:(p + 1) * step].tobytes()) for p in range(PARTS)]
-        yield _batch(rows, _TOTALS)
+            for row in batch.to_pylist():
+                yield _sums(row, None, shared.value, seed, 0, bits)
     return run
 
 
-def _added(key, table):
-    sums = None
-    for part in table["sums"].to_pylist():
-        found = np.frombuffer(part, np.int64)
-        sums = found.copy() if sums is None else sums + found
-    return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([sums.tobytes()], pa.binary())})
-
-
-def _add_up(customers: DataFrame, model: Model, seed: int, rounds: int) -> dict[int, np.ndarray]:
-    shared = customers.sparkSession.sparkContext.broadcast(vars(model))
-    rows = customers.mapInArrow(_totals(shared, seed, rounds), "part int, sums binary").groupBy("part").applyInArrow(_added, "part int, sums binary")
-    found = {r["part"]: np.frombuffer(r["sums"], np.int64) for r in rows.collect()}
-    return found or {p: np.zeros(CONTEXTS // PARTS if p >= 0 else 7 + 2 * HOT, np.int64) for p in range(-1, 2 * PARTS)}
+def _next_sums(shared, seed: int, rounds: int, bits: int):
+    def run(key, customers, totals):
+        (row,) = customers.to_pylist()
+        return pa.Table.from_batches([_sums(row, totals, shared.value, seed, rounds, bits)])
+    return run
 
 
-def _state(model: Model, found: dict[int, np.ndarray], rng) -> dict:
+def _added(key, table):
+    """A part's totals on bucket -1, and of each bucket's contexts in its order."""
+    part, buckets = key[0].as_py(), table["bucket"].to_pylist()
+    sums = [np.frombuffer(x, np.int64) for x in table["sums"].to_pylist()]
+    if part < 0:
+        return pa.Table.from_batches([_batch([(-1, part, b"", np.sum(sums, axis=0).tobytes())], _TOTALS)])
+    contexts = [np.frombuffer(x, np.uint64) for x in table["contexts"].to_pylist()]
+    found, inverse = np.unique(np.concatenate(contexts), return_inverse=True)
+    sums = np.concatenate([x.reshape(-1, len(c)) for x, c in zip(sums, contexts, strict=True)], axis=1)
+    totals = np.array([np.bincount(inverse, row, len(found)) for row in sums]).astype(np.int64)
+    ends = np.cumsum([len(c) for c in contexts])
+    rows = [(-1, part, found.tobytes(), totals.tobytes())]
+    rows += [(b, part, b"", totals[:, inverse[end - len(c):end]].tobytes()) for b, c, end in zip(buckets, contexts, ends, strict=True)]
+    return pa.Table.from_batches([_batch(rows, _TOTALS)])
+
+
+def _with_totals(customers: DataFrame, model: Model):
+    """Each bucket's customers with the totals of its contexts in all rounds so far."""
+    totals = None
+    for i, state in enumerate(model.rounds):
+        own = state["by_context"].table.where("bucket >= 0").select("bucket", F.lit(i).alias("round"), "part", "sums")
+        totals = own if totals is None else totals.unionAll(own)
+    return customers.groupBy("bucket").cogroup(totals.groupBy("bucket"))
+
+
+def _add_up(customers: DataFrame, model: Model, seed: int, rounds: int, bits: int) -> tuple[DataFrame, np.ndarray]:
+    """The table of totals after ``rounds`` rounds, and the rest."""
+    shared = customers.sparkSession.sparkContext.broadcast(model.fields())
+    rows = (_with_totals(customers, model).applyInArrow(_next_sums(shared, seed, rounds, bits), _TOTALS_KIND) if rounds
+            else customers.mapInArrow(_first_sums(shared, seed, bits), _TOTALS_KIND))
+    table = written(rows.groupBy("part").applyInArrow(_added, _TOTALS_KIND), "pitman-yor-totals")
+    rest = table.where("part = -1").first()
+    return table, np.frombuffer(rest["sums"], np.int64) if rest else np.zeros(7 + 2 * HOT, np.int64)
+
+
+def _state(model: Model, table: DataFrame, rest: np.ndarray, rng) -> dict:
     """A round's shared state; parent tables of the hot tokens, which no bucket has whole, are drawn here."""
-    rest, n = found[-1], len(model.hot)
+    n = len(model.hot)
     sent = rest[7:7 + n]
     before = model.rounds[-1]["tables"] if model.rounds else float(rest[1] + n)
     base = np.full(n, 1 / (model.vocabulary + 1))
@@ -323,95 +403,111 @@ def _state(model: Model, found: dict[int, np.ndarray], rng) -> dict:
     above = draw_tables(rng, sent, np.full(n, before), base, d, model.strength, log_stirling(d, EXACT)) if model.rounds else (sent > 0).astype(np.int64)
     above = np.where(sent > 0, above, 0)
     return {
-        "by_context": np.concatenate([found[p] for p in range(PARTS)]).astype(float), "customers": float(rest[0]),
+        "by_context": TableTotals(table, 0), "customers": float(rest[0]),
         "tables": float(rest[1] + above.sum()), "hot_customers": sent.astype(float), "hot_tables": above.astype(float)}
 
 
 def trained(customers: DataFrame, hot: np.ndarray, vocabulary: int, seed: int, rounds: int) -> Model:
     """Runs the rounds. Discounts come from the numbers of dishes with one and with two customers, as in Kneser-Ney smoothing."""
-    model = Model(hot, vocabulary, 0, np.zeros(CONTEXTS, np.int64), (0.5, 0.5), np.zeros(len(hot), np.int64))
-    found = _add_up(customers, model, seed, 0)
-    rest = found[-1]
+    pairs = customers.agg(F.coalesce(F.sum(F.octet_length("contexts")), F.lit(0))).first()[0] // 8
+    bits = max(PART_BITS, int(pairs // PART_PAIRS).bit_length())
+    model = Model(hot, vocabulary, 0, None, (0.5, 0.5), np.zeros(len(hot), np.int64))
+    table, rest = _add_up(customers, model, seed, 0, bits)
     ratio = lambda one, two: float(np.clip(one / max(1, one + 2 * two), 0.1, 0.9))
-    model = Model(hot, vocabulary, int(rest[2]), np.concatenate([found[PARTS + p] for p in range(PARTS)]),
-                  (ratio(rest[3], rest[4]), ratio(rest[5], rest[6])), rest[7 + HOT:7 + HOT + len(hot)].copy())
-    model.rounds.append(_state(model, found, np.random.default_rng([seed, 0])))
+    model = Model(hot, vocabulary, int(rest[2]), TableTotals(table, 1), (ratio(rest[3], rest[4]), ratio(rest[5], rest[6])), rest[7 + HOT:7 + HOT + len(hot)].copy())
+    model.rounds.append(_state(model, table, rest, np.random.default_rng([seed, 0])))
     for i in range(1, rounds + 1):
-        found = _add_up(customers, model, seed, i)
-        model.rounds.append(_state(model, found, np.random.default_rng([seed, 0, i])))
+        table, rest = _add_up(customers, model, seed, i, bits)
+        model.rounds.append(_state(model, table, rest, np.random.default_rng([seed, 0, i])))
     return model
 
 
 # Scores
 
-def _hot_scores(shared, seed: int, rounds: int, keep: int):
-    """Entries of the shared table: the averaged probability of hot tokens in the contexts that trained them."""
-    schema = pa.schema([("entries", pa.binary()), ("values", pa.binary())])
+_SCORES = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("tokens", "ends", "contexts", "logs", "counts"))])
 
-    def run(batches):
-        model = Model.of(shared.value)
-        for batch in batches:
-            for i in range(batch.num_rows):
-                bucket = Bucket(*(batch.column(c)[i].as_py() for c in _CUSTOMERS.names))
-                own, hot = bucket.hot_places(model)
-                if not len(own):
-                    continue
-                number = np.full(len(bucket.words), -1)
-                number[own] = hot
-                at = np.flatnonzero(number[bucket.word] >= 0)
-                which, contexts = number[bucket.word[at]], bucket.contexts[at]
-                total = np.zeros(len(at))
-                for (tables, _, _), state in zip(bucket.replay(model, seed, rounds, keep), model.rounds[keep:], strict=True):
-                    parent = model.parent(state["hot_customers"], state["hot_tables"], state)[which]
-                    total += model.child(bucket.counts[at], tables[at], contexts, parent, state)
-                yield _batch([((which * CONTEXTS + contexts).astype(np.uint32).tobytes(), (total / (rounds - keep + 1)).astype(np.float64).tobytes())], schema)
+
+def _pair_scores(shared, seed: int, rounds: int, keep: int):
+    """log10 of the averaged probability of each bigram of a bucket, and its tokens' training counts."""
+    def run(key, customers, totals):
+        (row,) = customers.to_pylist()
+        bucket, model, _ = _placed(row, totals, shared.value)
+        own, hot = bucket.hot_places(model)
+        mean = np.zeros(len(bucket.counts))
+        for (tables, sent, above), state in zip(bucket.replay(model, seed, rounds, keep), model.rounds[keep:], strict=True):
+            customers, parent_tables = sent.astype(float), above.astype(float)
+            customers[own], parent_tables[own] = state["hot_customers"][hot], state["hot_tables"][hot]
+            parent = model.parent(customers, parent_tables, state)
+            mean += model.child(bucket.counts, tables, bucket.contexts, parent[bucket.word], state)
+        counts = bucket.sums(bucket.counts)
+        counts[own] = model.hot_counts[hot]
+        logs = np.log10(mean / (rounds - keep + 1))
+        return pa.Table.from_batches([_batch([(bucket.number, row["tokens"], row["ends"], row["contexts"], logs.tobytes(), counts.tobytes())], _SCORES)])
     return run
 
 
-def hot_table(customers: DataFrame, model: Model, seed: int, rounds: int, keep: int) -> np.ndarray:
-    """log10 of the averaged probability of each hot token in each context: HOT x CONTEXTS numbers, whatever the corpus."""
-    contexts = np.arange(CONTEXTS)
-    out = np.zeros((len(model.hot), CONTEXTS))
-    for state in model.rounds[keep:]:
-        parent = model.parent(state["hot_customers"], state["hot_tables"], state)
-        for i, p in enumerate(parent):
-            out[i] += model.child(0, 0, contexts, p, state)
-    out /= rounds - keep + 1
-    shared = customers.sparkSession.sparkContext.broadcast(vars(model))
-    for row in customers.mapInArrow(_hot_scores(shared, seed, rounds, keep), "entries binary, values binary").toLocalIterator():
-        out.ravel()[np.frombuffer(row["entries"], np.uint32)] = np.frombuffer(row["values"], np.float64)
-    return np.log10(out).astype(np.float32)
+class Scores:
+    """A bucket's bigrams with their scores."""
+
+    def __init__(self, number: int, tokens: bytes, ends: bytes, contexts: bytes, logs: bytes, counts: bytes):
+        self.words, self.counts = np.frombuffer(tokens, np.uint64), np.frombuffer(counts, np.int64)
+        word = np.repeat(np.arange(len(self.words)), np.diff(np.frombuffer(ends, np.uint32).astype(np.int64), prepend=0))
+        self.distinct, number = np.unique(np.frombuffer(contexts, np.uint64), return_inverse=True)
+        self.keys, self.logs = (word << 32) | number, np.frombuffer(logs, np.float64)
+
+    def at(self, words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+        """Places of bigrams (number of the word, context), which the bucket has."""
+        return np.searchsorted(self.keys, (words << 32) | np.searchsorted(self.distinct, contexts))
+
+
+def _shared_pairs(pairs: np.ndarray):
+    """Score and training count of the ``pairs`` that a bucket has, with their numbers."""
+    schema = pa.schema([("number", pa.int32()), ("log", pa.float64()), ("n", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                own = Scores(*(row[c] for c in _SCORES.names))
+                word = np.searchsorted(own.words, pairs[:, 0])
+                has = (word < len(own.words)) & np.isin(pairs[:, 0], own.words) & np.isin(pairs[:, 1], own.distinct)
+                for i in np.flatnonzero(has):
+                    (at,) = own.at(word[i:i + 1], pairs[i:i + 1, 1])
+                    if at < len(own.keys) and own.keys[at] == (int(word[i]) << 32 | int(np.searchsorted(own.distinct, pairs[i, 1]))):
+                        rows.append((int(i), float(own.logs[at]), int(own.counts[word[i]])))
+            yield _batch(rows, schema)
+    return run
 
 
 _PARTIAL = [("place", pa.int64()), ("docs", pa.binary()), ("known", pa.binary()), ("base", pa.binary()), ("score", pa.binary())]
 
 
 def _occurrences(shared, text: str, buckets: int):
-    """Each text's tokens by bucket; hot ones are scored here, and come with the texts' keys under a bucket of their own."""
+    """Each text's tokens by bucket; those of shared bigrams are scored here, and come with the texts' keys under a bucket of their own."""
     def run(batches):
-        model, table = Model.of(shared.value[0]), shared.value[1]
+        fields, pairs, logs, counts = shared.value
+        model = Model.of(fields)
         place = TaskContext.get().partitionId() << 32
         flat = np.log10(model.trained + 0.5 * (model.vocabulary + 1))
-        hot_base = np.log10(model.hot_counts + 0.5) - flat
         for batch in batches:
             for _, piece in slabs(batch, text, SLAB):
                 for start in range(0, piece.num_rows, 1 << 16):
                     part = piece.slice(start, 1 << 16)
                     tokens, contexts, sizes = tokens_of(part, text)
                     docs = np.repeat(np.arange(len(sizes)), sizes)
-                    at = np.searchsorted(model.hot, tokens)
-                    at[at == len(model.hot)] = 0
-                    is_hot = model.hot[at] == tokens if len(model.hot) else np.zeros(len(tokens), bool)
-                    n = part.num_rows
-                    which, own = at[is_hot], docs[is_hot]
-                    sums = [np.bincount(own, w, n) for w in (
-                        (model.hot_counts[which] > 0).astype(float), hot_base[which], table[which, contexts[is_hot].astype(np.int64)].astype(float))]
+                    which = np.full(len(tokens), -1)
+                    maybe = np.flatnonzero(np.isin(tokens, pairs[:, 0]))
+                    for i, (token, context) in enumerate(pairs):
+                        which[maybe[(tokens[maybe] == token) & (contexts[maybe] == context)]] = i
+                    is_hot, n = which >= 0, part.num_rows
+                    which, own = which[is_hot], docs[is_hot]
+                    sums = [np.bincount(own, w, n) for w in ((counts[which] > 0).astype(float), np.log10(counts[which] + 0.5) - flat, logs[which])]
                     head = (buckets + place % buckets, None, None, None, None, place, np.arange(n, dtype=np.uint16).tobytes(),
                             sums[0].astype(np.uint32).tobytes(), sums[1].tobytes(), sums[2].tobytes(), part.column("key").to_pylist(),
                             part.column("held").to_pylist(), sizes.tolist())
-                    cold = ~is_hot
-                    order = np.argsort(tokens[cold], kind="stable")
-                    rows = _rows_by_bucket(tokens[cold][order], contexts[cold][order], docs[cold][order].astype(np.uint16), model.hot[:0], buckets)
+                    cold = np.flatnonzero(~is_hot)
+                    cold = cold[np.argsort(tokens[cold], kind="stable")]
+                    rows = _rows_by_bucket(tokens[cold], contexts[cold], docs[cold].astype(np.uint16), model.hot, buckets)
                     yield _batch([head, *((*row, place, *[None] * 7) for row in rows)], _occurrence_schema(part.column("key").type))
                     place += 1
     return run
@@ -421,49 +517,27 @@ def _occurrence_schema(key: pa.DataType) -> pa.Schema:
     return pa.schema([*_CUSTOMERS, *_PARTIAL, ("keys", pa.list_(key)), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64()))])
 
 
-def _looked_up(shared, seed: int, rounds: int, keep: int, key_type: pa.DataType):
+def _looked_up(trained: int, vocabulary: int, key_type: pa.DataType):
     schema = pa.schema([*_PARTIAL, ("keys", pa.list_(key_type)), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64()))])
 
-    def run(key, occurrences, customers):
+    def run(key, occurrences, scores):
         heads = occurrences.filter(pa.compute.is_valid(occurrences["keys"])).select(schema.names).cast(schema)
         rows = occurrences.filter(pa.compute.is_null(occurrences["keys"]))
         if not rows.num_rows:
             return heads
-        model = Model.of(shared.value)
-        flat = np.log10(model.trained + 0.5 * (model.vocabulary + 1))
-        packed = customers.to_pylist()
-        bucket = Bucket(*(packed[0][c] for c in _CUSTOMERS.names)) if packed else Bucket(0, b"", b"", b"", b"")
-        states = model.rounds[keep:]
-        seats = bucket.replay(model, seed, rounds, keep)
-        parents = [model.parent(sent, above, s) for (_, sent, above), s in zip(seats, states, strict=True)]
-        unknown = [float(model.parent(0.0, 0.0, s)) for s in states]
-        totals = bucket.sums(bucket.counts)
-        keys = (bucket.word << CONTEXT_BITS) | bucket.contexts
+        flat = np.log10(trained + 0.5 * (vocabulary + 1))
+        (own,) = scores.to_pylist()
+        own = Scores(*(own[c] for c in _SCORES.names))
         out = []
         for row in zip(*(rows[c].to_pylist() for c in ("tokens", "ends", "contexts", "counts", "place")), strict=True):
-            words, ends = np.frombuffer(row[0], np.uint64), np.frombuffer(row[1], np.uint32).astype(np.int64)
-            runs = np.diff(ends, prepend=0)
-            at = np.searchsorted(bucket.words, words)
-            at[at == len(bucket.words)] = 0
-            has = bucket.words[at] == words if len(bucket.words) else np.zeros(len(words), bool)
-            count = np.where(has, totals[at] if len(totals) else 0, 0)
-            number, known = np.repeat(at, runs), np.repeat(has, runs)
-            contexts = np.frombuffer(row[2], np.uint16).astype(np.int64)
-            sought = (number << CONTEXT_BITS) | contexts
-            dish = np.searchsorted(keys, sought)
-            dish[dish == len(keys)] = 0
-            seated = known & (keys[dish] == sought) if len(keys) else known
-            mean = np.zeros(len(contexts))
-            c = np.where(seated, bucket.counts[dish] if len(keys) else 0, 0)
-            for (tables, _, _), parent, p0, state in zip(seats, parents, unknown, states, strict=True):
-                p = np.where(known, parent[number] if len(parent) else p0, p0)
-                mean += model.child(c, np.where(seated, tables[dish] if len(keys) else 0, 0), contexts, p, state)
+            runs = np.diff(np.frombuffer(row[1], np.uint32).astype(np.int64), prepend=0)
+            word = np.repeat(np.searchsorted(own.words, np.frombuffer(row[0], np.uint64)), runs)
+            score = own.logs[own.at(word, np.frombuffer(row[2], np.uint64))]
+            count = own.counts[word]
             docs = np.frombuffer(row[3], np.uint16).astype(np.int64)
-            found = np.unique(docs)
-            local = np.searchsorted(found, docs)
-            base = np.repeat(np.log10(count + 0.5) - flat, runs)
-            out.append((row[4], found.astype(np.uint16).tobytes(), np.bincount(local, known).astype(np.uint32).tobytes(),
-                        np.bincount(local, base).tobytes(), np.bincount(local, np.log10(mean / len(states))).tobytes(), None, None, None))
+            found, local = np.unique(docs, return_inverse=True)
+            out.append((row[4], found.astype(np.uint16).tobytes(), np.bincount(local, count > 0).astype(np.uint32).tobytes(),
+                        np.bincount(local, np.log10(count + 0.5) - flat).tobytes(), np.bincount(local, score).tobytes(), None, None, None))
         found = pa.Table.from_batches([_batch(out, schema)])
         return pa.concat_tables([heads, found]) if heads.num_rows else found
     return run
@@ -504,38 +578,41 @@ def scored(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "text
     plain = docs.select(F.col(key).alias("key"), F.coalesce(held, F.lit(False)).alias("held"), F.col(text).alias(t))
     kind = plain.schema["key"].dataType.simpleString()
     key_type = to_arrow_type(plain.schema["key"].dataType)
-    total, hot = frequent_tokens(plain, t)
+    total, hot, pairs = frequent(plain, t)
     buckets = max(12, -(-total // BUCKET_TOKENS))
-    packed = plain.where(~F.col("held")).select(t).mapInArrow(_bigrams(t, hot, buckets), "bucket int, tokens binary, ends binary, contexts binary, counts binary")
-    customers = written(packed.groupBy("bucket").applyInArrow(_merged, "bucket int, tokens binary, ends binary, contexts binary, counts binary"), "pitman-yor-customers")
-
-    at_hot = set(hot.astype(np.int64).tolist())
-    vocabulary = customers.select((F.octet_length("tokens") / 8).cast("long").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    if at_hot:  # hot tokens are in several buckets
-        repeats = customers.select("tokens").mapInArrow(_hot_seen(hot), "seen binary").collect()
-        seen = np.array([np.frombuffer(r["seen"], np.int64) for r in repeats]).reshape(-1, len(hot)).sum(axis=0)
-        vocabulary += int((np.minimum(seen, 1) - seen).sum())
-    model = trained(customers, hot, int(vocabulary), seed, rounds)
+    kind_of = lambda names: "bucket int, " + ", ".join(f"{c} binary" for c in names.names[1:])
+    packed = plain.select(t, "held").mapInArrow(_bigrams(t, hot, buckets, "held"), kind_of(_CUSTOMERS))
+    customers = written(packed.groupBy("bucket").applyInArrow(_merged, kind_of(_CUSTOMERS)), "pitman-yor-customers")
+
+    seen = [np.frombuffer(r["seen"], np.int64) for r in customers.mapInArrow(_known(hot), "seen binary").collect()]
+    seen = np.sum(seen, axis=0) if seen else np.zeros(len(hot) + 1, np.int64)
+    vocabulary = int(seen[-1] + np.minimum(seen[:-1], 1).sum())
+    model = trained(customers, hot, vocabulary, seed, rounds)
     keep = min(burn_in + 1, rounds)
-    table = hot_table(customers, model, seed, rounds, keep)
-    shared, with_table = spark.sparkContext.broadcast(vars(model)), spark.sparkContext.broadcast((vars(model), table))
+    shared = spark.sparkContext.broadcast(model.fields())
+    judged = written(_with_totals(customers, model).applyInArrow(_pair_scores(shared, seed, rounds, keep), kind_of(_SCORES)), "pitman-yor-scores")
+    logs, counts = np.zeros(len(pairs)), np.zeros(len(pairs), np.int64)
+    for r in judged.mapInArrow(_shared_pairs(pairs), "number int, log double, n long").collect() if len(pairs) else []:
+        logs[r["number"]], counts[r["number"]] = r["log"], r["n"]
+    with_pairs = spark.sparkContext.broadcast((model.fields(), pairs, logs, counts))
     partial = "place long, docs binary, known binary, base binary, score binary"
     lists = f"keys array<{kind}>, held array<boolean>, sizes array<long>"
-    found = plain.mapInArrow(_occurrences(with_table, t, buckets), f"bucket int, tokens binary, ends binary, contexts binary, counts binary, {partial}, {lists}")
-    looked_up = found.groupBy("bucket").cogroup(customers.groupBy("bucket")).applyInArrow(
-        _looked_up(shared, seed, rounds, keep, key_type), f"{partial}, {lists}")
+    found = plain.mapInArrow(_occurrences(with_pairs, t, buckets), f"{kind_of(_CUSTOMERS)}, {partial}, {lists}")
+    looked_up = found.groupBy("bucket").cogroup(judged.groupBy("bucket")).applyInArrow(
+        _looked_up(model.trained, vocabulary, key_type), f"{partial}, {lists}")
     scores = looked_up.groupBy("place").applyInArrow(
         _summed(key_type), f"key {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scores.select(
         F.col("key").alias(key), "held_out", "n_tokens", "n_known", F.lit(model.trained).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def _hot_seen(hot: np.ndarray):
-    """Per batch of buckets, in how many each hot token is."""
+def _known(hot: np.ndarray):
+    """Per bucket, which hot tokens it trains, and how many others."""
     def run(batches):
         for batch in batches:
-            seen = np.zeros(len(hot), np.int64)
-            for tokens in batch.column(0).to_pylist():
-                seen += np.isin(hot, np.frombuffer(tokens, np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array([seen.tobytes()], pa.binary())], ["seen"])
+            for row in batch.to_pylist():
+                bucket = Bucket(*(row[c] for c in _CUSTOMERS.names))
+                words = bucket.words[bucket.sums(bucket.counts) > 0]
+                seen = np.isin(hot, words)
+                yield pa.RecordBatch.from_arrays([pa.array([np.r_[seen, len(words) - seen.sum()].astype(np.int64).tobytes()], pa.binary())], ["seen"])
     return run

@@ -174,6 +174,44 @@ def test_probabilities_sum_to_one(shared):
             assert p.sum() + rest == pytest.approx(1)
 
 
+@pytest.mark.parametrize("pair", [False, True])
+def test_each_context_is_a_restaurant_of_its_own(shared, documents, pair):
+    """Before the first round all dishes have one table, so the scores follow from counts alone."""
+    docs = documents.select("doc_id", "text")
+    if pair:  # one very common pair, scored from the shared table
+        docs = docs.unionByName(shared.createDataFrame([(10_000 + i, "so zu " * 200) for i in range(20)], "doc_id long, text string"))
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1
+    texts = {r["doc_id"]: ["\0start"] + brute.words(r["text"]) + ["\0end"] for r in docs.collect()}
+    train = Counter(p for i, t in texts.items() if brute.crc(str(i)) % 5 != 1 for p in zip(t, t[1:]))
+    customers, sent, total, tables = Counter(), Counter(), Counter(), Counter()
+    for (before, word), n in train.items():
+        customers[word] += n
+        sent[word] += 1
+        total[before] += n
+        tables[before] += 1
+    ratio = lambda c: min(0.9, max(0.1, (one := sum(n == 1 for n in c.values())) / max(1, one + 2 * sum(n == 2 for n in c.values()))))
+    _, hot = pitman_yor.frequent_tokens(docs, "text")
+    names = words_by_hash([w for t in texts.values() for w in t[1:-1]])
+    cold = {w: n for w, n in sent.items() if w not in {names.get(h, "\0end") for h in hot.tolist()}}
+    d, above, s, v = ratio(train), ratio(cold), 1.0, len(customers)
+
+    def p(before, word):
+        parent = (sent[word] - above * (word in sent) + (s + above * v) / (v + 1)) / (s + sum(sent.values()))
+        return (max(0, train[before, word] - d) + (s + d * tables[before]) * parent) / (s + total[before]) if total[before] else parent
+
+    found = {r["doc_id"]: r["score"] for r in rows(pitman_yor.scored(docs, held, rounds=0))}
+    expected = {i: sum(np.log10(p(*x)) for x in zip(t, t[1:])) for i, t in texts.items()}
+    assert found == pytest.approx(expected, rel=1e-9)
+
+
+def words_by_hash(texts):
+    import pyarrow as pa
+
+    distinct = sorted(set(texts))
+    hashes, _ = words.hash_words(*words.text_bytes(pa.array(distinct, pa.string())), words.NOT_SPACE)
+    return dict(zip(hashes.tolist(), distinct, strict=True))
+
+
 def test_tables_follow_their_conditional_distribution():
     d, strength, base, others, c = 0.6, 1.0, 0.2, 3.0, 6
     table = pitman_yor.log_stirling(d, pitman_yor.EXACT)
