@@ -21,8 +21,8 @@ def stratified_shards(
 ) -> DataFrame:
     """Every row's shard and slot, each shard with the mixture of sources that the table has.
 
-    Rows of a source are shuffled by a seeded hash of the key and ranked; the row of rank r of n stands at (r + 0.5) / n
-    of the whole. All rows in that order are cut into ``shards`` runs, so counts differ by one at most, and a source's count in
+    Rows of a source are shuffled by a seeded hash of the key and ranked; the row of rank r of n stands at (r + f) / n
+    of the whole, with a seeded f from 0 to 1 for each source, so that sources of few rows spread over all shards. All rows in that order are cut into ``shards`` runs, so counts differ by one at most, and a source's count in
     a shard differs from its share by at most a row or two. ``slot`` runs from 0 without gaps. Returns ``key``, ``size``
     (UTF-8 bytes of the text and 8; null: 8), ``text_crc32`` (null: of nothing, 0), ``law``, ``shard``, ``slot`` and
     ``grown_shard`` (null under this law). A null source is a source of its own; null keys and repeated rows are rows like
@@ -37,7 +37,8 @@ def stratified_shards(
     bits = part_bits(docs.count(), part_rows)
     order = [F.col(c) for c in ("turn", "doc_id", "text_crc32", "size")]
     inside = ranked(rows, ["source"], F.shiftrightunsigned("turn", 64 - bits).cast("int"), order, "rank", "of")
-    inside = inside.withColumn("place", (F.col("rank") + 0.5) / F.col("of")).withColumn("lot", F.xxhash64(F.lit(seed), "source"))
+    inside = inside.withColumn("lot", F.xxhash64(F.lit(seed), "source"))
+    inside = inside.withColumn("place", (F.col("rank") + F.shiftrightunsigned("lot", 11) * 2.0**-53) / F.col("of"))
     order = [F.col(c) for c in ("place", "lot", "source", "turn", "doc_id", "text_crc32", "size")]
     placed = ranked(inside, [], F.floor(F.col("place") * (1 << bits)).cast("int"), order, "position", "all_rows")
     shard = F.expr(f"position * {shards} div all_rows")

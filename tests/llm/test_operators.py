@@ -314,6 +314,14 @@ def test_shards_match_the_mixture(documents, part_rows):
         assert all(abs(mine[s] - n / 24) < 2 for s, n in sources.items())
 
 
+def test_many_sources_of_one_row_are_spread(shared):
+    docs = shared.range(3000).select(
+        F.col("id").alias("doc_id"), F.lit("text").alias("text"),
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit("only"), "id")).otherwise(F.lit("large")).alias("source"))
+    found = Counter(r["shard"] for r in rows(sharding.stratified_shards(docs, shards=10)) if r["doc_id"] % 3 == 0)
+    assert sum(found.values()) == 1000 and all(60 <= found[i] <= 140 for i in range(10))
+
+
 def test_shards_of_odd_rows(odd, none):
     found = rows(sharding.stratified_shards(odd, shards=5))
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in found) == Counter((r[0], len((r[1] or "").encode()) + 8, brute.crc(r[1])) for r in ODD)
