@@ -195,12 +195,17 @@ def evidence_of_pages(pages: DataFrame) -> DataFrame:
 def in_known_language(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, whose language is accepted.
 
-    Rows are told apart by key; a key with an accepted row keeps all its rows, so repeated rows stay repeated.
+    Rows are told apart by key, text (its SHA-256), declared language and host, which decide, so each row's own decision
+    takes effect, whatever rows share its key; repeated rows stay repeated.
     """
     from plumbline.llm.storage import clear_of
 
     languages, model = text_model(docs, key, text, "lang")
-    found = fused(evidence_of_documents(docs, key, text), languages, model)
-    (k,) = clear_of(docs, "key_")
-    good = found.where("accepted").select(F.col("id").alias(k)).distinct()
-    return docs.join(good, docs[key].eqNullSafe(F.col(k)), "left_semi")
+    names = clear_of(docs, "key_", "digest_", "declared_", "host_")
+    digest = lambda column: F.unhex(F.sha2(F.coalesce(F.col(column), F.lit("")).cast("binary"), 256))
+    found = fused(evidence_of_documents(docs, key, text).withColumn("digest", digest("text")), languages, model)
+    own = [F.col(c).alias(n) for c, n in zip(("id", "digest", "declared", "host"), names, strict=True)]
+    good = found.where("accepted").select(*own).distinct()
+    k, d, lang, host = (F.col(n) for n in names)
+    same = docs[key].eqNullSafe(k) & (digest(text) == d) & docs["lang"].eqNullSafe(lang) & docs["source"].eqNullSafe(host)
+    return docs.join(good, same, "left_semi")

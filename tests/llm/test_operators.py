@@ -515,6 +515,13 @@ def test_junk_is_rejected_and_odd_rows_have_a_result(documents, odd, none):
     assert list(language.in_known_language(odd).columns) == odd.columns and rows(language.in_known_language(none)) == []
 
 
+def test_rows_that_share_a_key_are_judged_one_by_one(shared, documents):
+    good = documents.select("text", "lang", "source").limit(40).withColumn("doc_id", F.when(F.col("lang") == "en", F.lit(1).cast("long")))
+    junk = shared.createDataFrame([("1 2 3", "en", "x", None), ("", None, "x", 1), (None, None, None, None)], good.schema)
+    found = rows(language.in_known_language(good.unionByName(junk)))
+    assert {r["text"] for r in found} <= {r["text"] for r in good.collect()} and len(found) >= 0.9 * good.count()
+
+
 def test_host_priors_are_smoothed_upwards(shared, documents):
     """A new host of a suffix leans to the suffix's language, an old one to its own."""
     languages, model = language.text_model(documents, "doc_id", "text", "lang")
