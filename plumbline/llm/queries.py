@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat, decontaminate, exact_dedup, jaccard_join, language, line_dedup, packing, pitman_yor, sharding, token_counts
+from plumbline.llm import (
+    byte_bpe, chat, decontaminate, exact_dedup, jaccard_join, language, line_dedup, packing, pitman_yor, sharding, token_alignment,
+    token_counts,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,6 +130,25 @@ def op10_language_fusion(spark: SparkSession, folder: str) -> DataFrame:
         F.col("lang_found").alias("lang"), "confidence", "accepted")
 
 
+@_query
+def op11_segment_tree_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    found = byte_bpe.encoded(_read(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(byte_bpe.id_bytes(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decoded(F.col("ids"), ranks), 256).alias("decoded_sha256"))
+
+
+@_query
+def op13_pointer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.alignment_scores(token_alignment.stored(token_alignment.aligned(_read(spark, folder, "documents"), *paths)))
+
+
 @_query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
