@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import re
+from collections import ChainMap
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ from plumbline.llm.words import slabs
 STRETCH = 1 << 20  # characters of a long text looked at together
 KNOWN_BYTES = 96 << 20  # of remembered units, their ids and what Python adds to them
 KNOWN_UNIT = 256  # characters of the longest remembered unit
+TOGETHER = 64  # bytes of the longest unit that is merged together with others
+FOREST = 1 << 13  # units merged together
 NONE = 1 << 62
 
 # Letters and numbers that the regex module knows and the library's older Unicode tables don't.
@@ -49,13 +52,23 @@ class Units:
         self.later = re.compile(f"[{_members(LATER_LETTERS)}{_members(LATER_NUMBERS)}]")
         self.cut = regex.compile(r"(?<=\S)(?=\s)")
 
+    def _has_later(self, part: str) -> bool:
+        if part.isascii():
+            return False
+        try:
+            part.encode("latin-1")
+            return False
+        except UnicodeEncodeError:
+            return bool(self.later.search(part))
+
     def of(self, text: str):
+        """The matches in order, a list for each stretch."""
         at = 0
         while at < len(text):
             end = at + STRETCH
             step = self.cut.search(text, end) if end < len(text) else None
             part = text[at:step.start() if step else len(text)]
-            yield (self.older if self.later.search(part) else self.plain).findall(part)
+            yield (self.older if self._has_later(part) else self.plain).findall(part)
             at += len(part)
 
 
@@ -122,36 +135,161 @@ def merged(unit: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class Pairs:
+    """Rank of the token that two tokens make, as a hash table over whole arrays of pairs."""
+
+    ABSENT = np.int32(2**31 - 1)
+
+    def __init__(self, ranks: dict[bytes, int]):
+        keys, values = [], []
+        find = ranks.get
+        self.stop = max(ranks.values()) + 1  # stands where no token is
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left = find(token[:cut])
+                if left is not None:
+                    right = find(token[cut:])
+                    if right is not None:
+                        keys.append(left * (self.stop + 1) + right)
+                        values.append(rank)
+        self.bits = max(4, (2 * len(keys)).bit_length())
+        self.keys = np.full((1 << self.bits) + 1, -1, np.int64)
+        self.values = np.full((1 << self.bits) + 1, self.ABSENT, np.int32)
+        left, found = np.array(keys, np.int64), np.array(values, np.int32)
+        slot = self._slot(left)
+        while len(left):  # every key goes on to the next slot until it has one of its own
+            free = np.flatnonzero(self.keys[slot] == -1)
+            _, first = np.unique(slot[free], return_index=True)
+            took = free[first]
+            self.keys[slot[took]], self.values[slot[took]] = left[took], found[took]
+            rest = np.ones(len(left), bool)
+            rest[took] = False
+            left, found, slot = left[rest], found[rest], (slot[rest] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        wanted = left.astype(np.int64) * (self.stop + 1) + right
+        slot = self._slot(wanted)
+        seen = self.keys[slot]
+        out = np.where(seen == wanted, self.values[slot], self.ABSENT)
+        open_ = np.flatnonzero((seen != wanted) & (seen != -1))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & ((1 << self.bits) - 1)
+            seen = self.keys[slot[open_]]
+            hit = seen == wanted[open_]
+            out[open_[hit]] = self.values[slot[open_[hit]]]
+            open_ = open_[~hit & (seen != -1)]
+        return out
+
+
+def merged_together(units: list[bytes], width: int, pairs: Pairs, single: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all units in order, and how many each has: :func:`merged` for units of up to ``width`` bytes side by side.
+
+    Each unit has a segment tree of ``width`` leaves, one row of a matrix; a round takes the root of every tree that still has
+    a pair, and updates the three leaves of each merge and the nodes above them for all trees at once.
+    """
+    count, absent = len(units), Pairs.ABSENT
+    lengths = np.fromiter(map(len, units), np.int64, count)
+    ids = np.full((count, width + 2), pairs.stop, np.int32)  # the last two columns: behind the end, and before the begin
+    inside = np.arange(width) < lengths[:, None]
+    ids[:, :width][inside] = single[np.frombuffer(b"".join(units), np.uint8)]
+    alive = inside.copy()
+    after = np.tile(np.minimum(np.arange(1, width + 3), width), (count, 1))
+    before = np.tile(np.concatenate([[width + 1], np.arange(width + 1)]), (count, 1))
+    shift = width.bit_length()
+    place = (1 << shift) - 1
+
+    def key(rank: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return np.where(rank == absent, absent, rank << shift | at).astype(np.int32)
+
+    tree = np.full((count, 2 * width), absent, np.int32)
+    leaf = np.arange(width)
+    tree[:, width:] = key(pairs.rank(ids[:, :width].ravel(), ids[:, 1:width + 1].ravel()), np.tile(leaf, count)).reshape(count, width)
+    node = width
+    while node > 1:
+        tree[:, node // 2:node] = np.minimum(tree[:, node:2 * node:2], tree[:, node + 1:2 * node:2])
+        node //= 2
+
+    flat_ids, flat_after, flat_before, flat_alive, flat_tree = (m.reshape(-1) for m in (ids, after, before, alive, tree))
+    rows = np.flatnonzero(tree[:, 1] != absent)
+    while len(rows):
+        best = tree[rows, 1]
+        at, wide, narrow, top = best & place, rows * (width + 2), rows * width, rows * 2 * width
+        gone = flat_after[wide + at]
+        end = flat_after[wide + gone]
+        merged_id = best >> shift
+        flat_ids[wide + at] = merged_id
+        flat_after[wide + at] = end
+        flat_before[wide + end] = at
+        flat_alive[narrow + gone] = False
+        previous = flat_before[wide + at]
+        first = previous == width + 1
+        left = key(pairs.rank(flat_ids[wide + previous], merged_id), previous)
+        own = key(pairs.rank(merged_id, flat_ids[wide + end]), at)
+        flat_tree[top + width + gone] = absent
+        flat_tree[top + width + at] = own
+        kept = np.flatnonzero(~first)
+        flat_tree[(top + width + previous)[kept]] = left[kept]
+        base = np.concatenate([top, top, top[kept]])
+        node = np.concatenate([gone, at, previous[kept]]) + width
+        while True:
+            node >>= 1
+            if not node[0]:
+                break
+            spot = base + 2 * node
+            flat_tree[base + node] = np.minimum(flat_tree[spot], flat_tree[spot + 1])
+        rows = rows[tree[rows, 1] != absent]
+    return ids[:, :width][alive], alive.sum(axis=1)
+
+
 class Encoder:
     """Ids of texts as little-endian 32-bit numbers; short units are remembered up to a number of bytes."""
 
     def __init__(self, path: str, pattern: str):
         self.ranks, self.units = read_ranks(path), Units(pattern)
+        self.pairs = Pairs(self.ranks)
+        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.known: dict[str, bytes] = {}
         self.held = 0
 
-    def unit(self, unit: str) -> bytes:
-        return np.array(merged(unit.encode(), self.ranks), "<i4").tobytes()
-
-    def ids(self, text: str) -> bytes:
-        out = []
-        for units in self.units.of(text):
-            if self.held > KNOWN_BYTES:
-                self.known.clear()
-                self.held = 0
-            known, long = self.known, {}
-            for unit in set(units).difference(known):
-                found = self.unit(unit)
-                if len(unit) <= KNOWN_UNIT:
-                    known[unit] = found
-                    self.held += 4 * len(unit) + len(found) + 200
-                else:
-                    long[unit] = found
-            if long:
-                out.extend(known[u] if u in known else long[u] for u in units)
+    def encode(self, units) -> dict[str, bytes]:
+        """Ids of different units: those that are tokens, short ones together by width, long ones one by one."""
+        out: dict[str, bytes] = {}
+        by_width: dict[int, list[tuple[str, bytes]]] = {}
+        for unit in units:
+            spelled = unit.encode()
+            if spelled in self.ranks:
+                out[unit] = self.ranks[spelled].to_bytes(4, "little")
+            elif len(spelled) <= TOGETHER:
+                by_width.setdefault(1 << (len(spelled) - 1).bit_length(), []).append((unit, spelled))
             else:
-                out.append(b"".join(map(known.__getitem__, units)))
-        return b"".join(out)
+                out[unit] = np.array(merged(spelled, self.ranks), "<i4").tobytes()
+        for width, several in by_width.items():
+            for at in range(0, len(several), FOREST):
+                part = several[at:at + FOREST]
+                ids, counts = merged_together([spelled for _, spelled in part], width, self.pairs, self.single)
+                data, ends = ids.astype("<i4").tobytes(), (4 * np.cumsum(counts)).tolist()
+                start = 0
+                for (unit, _), end in zip(part, ends, strict=True):
+                    out[unit] = data[start:end]
+                    start = end
+        return out
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        if self.held > KNOWN_BYTES:
+            self.known.clear()
+            self.held = 0
+        cut = [list(self.units.of(text)) for text in texts]
+        fresh = {u for parts in cut for units in parts for u in units}.difference(self.known)
+        found = self.encode(fresh)
+        short = found if max(map(len, fresh), default=0) <= KNOWN_UNIT else {u: ids for u, ids in found.items() if len(u) <= KNOWN_UNIT}
+        self.known.update(short)
+        self.held += sum(4 * len(u) + len(ids) + 200 for u, ids in short.items())
+        known = self.known if len(short) == len(found) else ChainMap(self.known, found)
+        return [b"".join([known[u] for units in parts for u in units]) for parts in cut]
 
 
 def _encoded(path: str, pattern: str, text: str):
@@ -159,7 +297,7 @@ def _encoded(path: str, pattern: str, text: str):
         encoder = Encoder(path, pattern)
         for batch in batches:
             for _, part in slabs(batch, text, 1 << 20):
-                found = [encoder.ids(t or "") for t in part.column(text).to_pylist()]
+                found = encoder.ids([t or "" for t in part.column(text).to_pylist()])
                 ends = np.zeros(len(found) + 1, np.int32)
                 np.cumsum([len(ids) // 4 for ids in found], out=ends[1:])
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), "<i4"), pa.int32()))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import (
-    byte_bpe, chat, decontaminate, exact_dedup, jaccard_join, language, line_dedup, packing, pitman_yor, sharding, token_alignment,
+    byte_bpe, chat, decontaminate, exact_dedup, hard_negatives, jaccard_join, language, line_dedup, packing, pitman_yor, sharding, token_alignment,
     token_counts,
 )
 
@@ -141,6 +141,34 @@ def op11_segment_tree_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(byte_bpe.decoded(F.col("ids"), ranks), 256).alias("decoded_sha256"))
 
 
+@_query
+def op12_residue_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    table = _read(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.components(table.withColumn("label", label), "vec_id", "embedding", "label")
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op12_residue_hard_negatives"] = """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS whole
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, a.label AS anchor_label, r.vec_id, r.label,
+        CAST(list_sum(list_transform(list_zip(a.whole, r.whole), z -> z[1] * z[2])) AS BIGINT) AS score
+    FROM usable a JOIN usable r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = anchor_label
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> s.anchor_label
+    AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 3"""
+
+
 @_query
 def op13_pointer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
