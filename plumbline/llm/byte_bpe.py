@@ -15,10 +15,11 @@ from plumbline.llm.storage import clear_of
 from plumbline.llm.words import slabs
 
 STRETCH = 1 << 20  # characters of a long text looked at together
-KNOWN_BYTES = 96 << 20  # of remembered units, their ids and what Python adds to them
+KNOWN_BYTES = 64 << 20  # of remembered units, their ids and what Python adds to them
 KNOWN_UNIT = 256  # characters of the longest remembered unit
 TOGETHER = 64  # bytes of the longest unit that is merged together with others
 FOREST = 1 << 13  # units merged together
+SPELLED = 1 << 16  # ids decoded together
 NONE = 1 << 62
 
 # Letters and numbers that the regex module knows and the library's older Unicode tables don't.
@@ -356,8 +357,13 @@ def decoded(ids: Column, ranks: str) -> Column:
             raise ValueError("an id isn't in the rank file")
         ends = np.zeros(len(flat) + 1, np.int64)
         np.cumsum(starts[flat + 1] - starts[flat], out=ends[1:])
-        place = np.arange(ends[-1]) + np.repeat(starts[flat] - ends[:-1], np.diff(ends))
-        return _binary(data[place], ends[offsets])
+        out = np.empty(ends[-1], np.uint8)
+        for at in range(0, len(flat), SPELLED):
+            some = flat[at:at + SPELLED]
+            own = ends[at:at + SPELLED + 1]
+            place = np.arange(own[0], own[-1]) + np.repeat(starts[some] - own[:-1], np.diff(own))
+            np.take(data, place, out=out[own[0]:own[-1]])
+        return _binary(out, ends[offsets])
 
     return spelled(ids)
 

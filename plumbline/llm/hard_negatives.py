@@ -79,7 +79,7 @@ def _blocks(size: int, width: int, extra: tuple[str, ...]):
         names = ("row_no", "vec_id", "label", *extra)
         # null ids and scores come as the largest number: they order last and are told from others when read back
         numbers = [table.column(n).fill_null(np.iinfo(np.int64).max).to_numpy().astype(np.int64) for n in names]
-        return [int(numbers[0][0]), len(matrix), *[n.tobytes() for n in numbers], matrix.tobytes()]
+        return [len(matrix), *[n.tobytes() for n in numbers], matrix.tobytes()]
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -98,8 +98,8 @@ def _blocks(size: int, width: int, extra: tuple[str, ...]):
 
     def record(held):
         values = packed(pa.Table.from_batches(held))
-        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * (len(values) - 2)]
-        names = ["block", "n", "row_nos", "vec_ids", "labels", *extra, "matrix"]
+        kinds = [pa.int64(), *[pa.binary()] * (len(values) - 1)]
+        names = ["n", "row_nos", "vec_ids", "labels", *extra, "matrix"]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names)
 
     return run
@@ -107,8 +107,8 @@ def _blocks(size: int, width: int, extra: tuple[str, ...]):
 
 def _packed(rows: DataFrame, size: int, width: int, extra: tuple[str, ...] = ()) -> DataFrame:
     fields = "".join(f"{n} binary, " for n in ("row_nos", "vec_ids", "labels", *extra))
-    return rows.select("row_no", "vec_id", "label", *extra, "whole").mapInArrow(
-        _blocks(size, width, extra), f"block long, n long, {fields}matrix binary")
+    packed = rows.select("row_no", "vec_id", "label", *extra, "whole").mapInArrow(_blocks(size, width, extra), f"n long, {fields}matrix binary")
+    return packed.withColumn("block", F.monotonically_increasing_id())
 
 
 def _meetings(anchors: DataFrame, rows: DataFrame, cells: int) -> DataFrame:

@@ -165,11 +165,11 @@ def test_odd_vectors(shared):
 
 
 def test_many_blocks_and_repeated_vectors(shared, monkeypatch):
-    for name, size in (("ANCHOR_BLOCK", 3), ("ROW_BLOCK", 16), ("TILE", 5), ("CELL", 2)):
+    for name, size in (("ANCHOR_BLOCK", 3), ("ROW_BLOCK", 40), ("TILE", 17), ("CELL", 2)):
         monkeypatch.setattr(hard_negatives, name, size)
     rng = random.Random(5)
-    rows = [(i, [rng.gauss(0, 0.3) for _ in range(6)], rng.randrange(3)) for i in range(400)]
-    rows += [(1000 + i, rows[7][1], 1) for i in range(200)]  # a third under one vector
+    rows = [(i, [rng.gauss(0, 0.3) for _ in range(6)], rng.randrange(3)) for i in range(170)]
+    rows += [(1000 + i, rows[7][1], 1) for i in range(80)]  # a third under one vector
     assert run_mining(shared, rows) == mined(single(rows))
 
 
