@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 
 from plumbline.contracts import QualityStatus
 from plumbline.operators.previews import Shown, preview
+from plumbline.session import work_dir
 
 Tables = dict[str, DataFrame]
 LABEL = "variant_id"
@@ -80,6 +82,43 @@ def count_variants(check: Callable, variants: Mapping[str, Tables], names: list[
     return check(stacked, by=(LABEL,), labels=labels)
 
 
+def near_keys(clean: Tables, domains: Mapping[str, str], more: Mapping[str, list[DataFrame]], each: int = 4) -> dict[str, DataFrame]:
+    """Per key column: the lowest and highest ``each`` keys of its tables, and ``more`` keys that edits address."""
+    found: dict[str, DataFrame] = {}
+    for key in dict.fromkeys(domains.values()):
+        ends = []
+        for table in (t for t, k in domains.items() if k == key):
+            keys = clean[table].select(key).where(F.col(key).isNotNull()).distinct()
+            ends += [keys.orderBy(F.col(key)).limit(each), keys.orderBy(F.col(key).desc()).limit(each)]
+        found[key] = reduce(DataFrame.unionByName, [*ends, *more.get(key, [])]).distinct()
+    return found
+
+
+def count_by_difference(check: Callable, clean: Tables, domains: Mapping[str, str], more: Mapping[str, list[DataFrame]],
+                        variants: Callable[[Tables], Mapping[str, Tables]], labels: list[str]) -> DataFrame:
+    """The check's count for every variant, where the check is a sum over keys and every edit touches few of them.
+
+    The clean tables are counted once. Variants are made of the rows of the keys near the edits only (``domains`` tells the key
+    of each table; other tables stay whole), and a variant's count is the clean one, less that of the clean rows near by,
+    plus that of the edited rows near by. The cost of a variant is that of the touched keys, whatever the size of the tables.
+    """
+    spark = next(iter(clean.values())).sparkSession
+    folder = work_dir(spark, "near")
+    near = dict(clean)
+    for key, keys in near_keys(clean, domains, more).items():
+        listed = spark.createDataFrame(keys.collect(), keys.schema)
+        for table in (t for t, k in domains.items() if k == key):
+            clean[table].join(F.broadcast(listed), key, "left_semi").select(*clean[table].columns).write.parquet(f"{folder}/{table}")
+            near[table] = spark.read.schema(clean[table].schema).parquet(f"{folder}/{table}")
+    before = "the clean rows"
+    names = list(domains) + [t for t in clean if t not in domains]
+    found = count_variants(check, {before: near, **variants(near)}, names)
+    whole = check(clean).select(F.col("violation_count").alias("whole"))
+    rest = found.where(F.col(LABEL) == before).select("violation_count").scalar()
+    return found.where(F.col(LABEL) != before).select(
+        LABEL, (whole.select("whole").scalar() - rest + F.col("violation_count")).alias("violation_count"))
+
+
 @dataclass(frozen=True)
 class Case:
     variant: str

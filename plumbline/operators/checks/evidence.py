@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.exprs import any_of, distinct_from, epoch_micros
+from plumbline.operators.ranges import ordered_pairs
 from plumbline.operators.reconcile import (
     diff_and_duplicates, diff_count, duplicate_count, unmatched_rows, weighted_left_violations,
 )
 from plumbline.operators.rollups import sum_by
 from plumbline.operators.scope import By, attach, count_where, sum_of, totals
-from plumbline.operators.versions import latest_by, ordered_pairs, rank_struct
+from plumbline.operators.versions import latest_by, rank_struct
 
 Tables = dict[str, DataFrame]
 
 RECORD = ["customer_id", "amount", "event_id", "updated_at"]
-_DAY = 86_400_000_000
 
 
 def latest_visible(t: Tables, by: By = ()) -> DataFrame:
@@ -164,7 +164,7 @@ def reference_freshness(t: Tables, by: By = (), labels=None) -> DataFrame:
     ages = seen.where(known & ~undated & F.col("age").isNotNull()).select(
         *on, (F.col("age") - 1).alias("t"), F.lit(0).alias("a"), F.lit(1).alias("b")
     )
-    late = ordered_pairs(limits.unionByName(ages), on, "t", "a", "b", _DAY)
+    late = ordered_pairs(limits.unionByName(ages), on, "t", "a", "b")
     undated_pairs = F.when(known, F.col("n_expected") * F.col("n_bad")).otherwise(F.lit(0))
     return totals([
         sum_of(per_key, by, unmatched_references=unmatched_rows(keys), undated_references=undated_pairs),

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.exprs import any_of, minutes
+from plumbline.functions.exprs import epoch_micros
+from plumbline.operators.ranges import contained_pairs, join_keys, ordered_pairs
 from plumbline.operators.reconcile import diff_and_duplicates, diff_count
 from plumbline.operators.scope import By, attach, sum_of, totals
 from plumbline.operators.versions import latest_by, overlap_pairs, type1_current, type2_history
@@ -25,35 +28,51 @@ def incremental_load(t: Tables, by: By = (), labels=None) -> DataFrame:
     return totals([found], by, labels)
 
 
-def freshness_pairs(requirements: DataFrame, observations: DataFrame, by: By = ()) -> DataFrame:
-    """Requirement and observation combinations with their number and a ``violated`` flag.
+_FAR = 4_000_000_000_000_000_000
+
+
+def freshness_counts(requirements: DataFrame, observations: DataFrame, by: By = ()) -> DataFrame:
+    """Per dataset: ``n``, its requirements times observations (or requirements alone), and ``violated``, those not fresh.
 
-    Observations are reduced to distinct rows before the join, and a requirement
-    without any observation is a row of its own. Observations no requirement asks
-    for are ignored.
+    A successful observation is fresh for a requirement when both its instants lie in the window that the limit leaves
+    before the clock. With the earlier and the later instant of each observation, the fresh pairs are those whose later one is not
+    after the window, less those whose earlier one is before it, plus those that reach out on both sides: two
+    ordered-pair counts and one containment count, so no pair is built however many rows a dataset has.
     """
-    seen_columns = ["last_success_at", "last_event_at", "execution_status"]
-    wanted = requirements.groupBy(*by, "dataset_id", "as_of", "sla_minutes").agg(F.count(F.lit(1)).alias("n_r"))
-    seen = observations.groupBy(*by, "dataset_id", *seen_columns).agg(F.count(F.lit(1)).alias("n_o"))
     on = [*by, "dataset_id"]
-    moments = ("last_success_at", "last_event_at")
-    limit = minutes("sla_minutes")
-    violated = any_of([
-        ~F.col("execution_status").eqNullSafe(F.lit("SUCCESS")),
-        *[F.col(m).isNull() for m in moments],
-        *[F.col(m) > F.col("as_of") for m in moments],
-        *[(F.col("as_of") - F.col(m)) > limit for m in moments],
-    ])
-    met = wanted.join(seen, on).select(
-        *on, "as_of", "sla_minutes", *seen_columns,
-        (F.col("n_r") * F.col("n_o")).alias("n"), F.coalesce(violated, F.lit(False)).alias("violated"),
-    )
-    unmet = wanted.join(observations.select(*on).distinct(), on, "left_anti").select(
-        *on, "as_of", "sla_minutes",
-        *[F.lit(None).cast(observations.schema[c].dataType).alias(c) for c in seen_columns],
-        F.col("n_r").alias("n"), F.lit(True).alias("violated"),
-    )
-    return met.unionByName(unmet)
+    moments = [epoch_micros(observations, m) for m in ("last_success_at", "last_event_at")]
+    usable = (F.col("execution_status") == "SUCCESS") & F.col("last_success_at").isNotNull() & F.col("last_event_at").isNotNull()
+    seen = observations.where(F.col("dataset_id").isNotNull()).select(
+        *on, F.coalesce(usable, F.lit(False)).alias("usable"), F.least(*moments).alias("lo"), F.greatest(*moments).alias("hi"))
+    clock = epoch_micros(requirements, "as_of")
+    wanted = requirements.select(
+        *on, F.coalesce(clock - F.col("sla_minutes").cast("bigint") * 60_000_000, F.lit(-_FAR)).alias("low"),
+        F.coalesce(clock, F.lit(_FAR)).alias("high"))
+
+    none, one = F.lit(0), F.lit(1)
+    sizes = wanted.select(*on, one.alias("r"), none.alias("o")).unionByName(
+        seen.select(*on, none.alias("r"), one.alias("o"))).groupBy(*on).agg(F.sum("r").alias("r"), F.sum("o").alias("o")).where("r > 0")
+
+    def edges(rows: DataFrame, part: int, at: Column, first: int) -> DataFrame:
+        return rows.select(*on, F.lit(part).alias("part"), at.alias("t"), F.lit(first).alias("seen"), F.lit(1 - first).alias("wanted"))
+
+    fit, asked = seen.where("usable"), wanted.where(F.col("dataset_id").isNotNull())
+    points = reduce(DataFrame.unionByName, [
+        edges(fit, 0, F.col("hi"), 1), edges(asked, 0, F.col("high"), 0),
+        edges(fit, 1, F.col("lo") + 1, 1), edges(asked, 1, F.col("low"), 0)])
+    sides = ordered_pairs(points, [*on, "part"], "t", "seen", "wanted").select(
+        *on, (F.col("pairs") * (1 - 2 * F.col("part"))).alias("fresh"))
+    # Few observations are both too old and ahead of some clock; only those can reach out on both sides.
+    extent = asked.groupBy(*on).agg(F.max("low").alias("low"), F.min("high").alias("high"))
+    wide = fit.join(extent, on).where("lo < low AND hi > high").select(
+        *on, F.lit(True).alias("outer"), F.col("lo").alias("x"), F.col("hi").alias("y"), one.alias("w"))
+    narrow = asked.join(wide.select(*on).distinct(), on, "left_semi").select(
+        *on, F.lit(False).alias("outer"), F.col("low").alias("x"), F.col("high").alias("y"), one.alias("w"))
+    around = contained_pairs(wide.unionByName(narrow), on).select(*on, F.col("pairs").alias("fresh"))
+    fresh = sides.unionByName(around).groupBy(*on).agg(F.sum("fresh").alias("fresh"))
+    counted = join_keys(sizes, fresh, on)
+    n = F.when(F.col("o") > 0, F.col("r") * F.col("o")).otherwise(F.col("r"))
+    return counted.select(*on, n.alias("n"), (n - F.coalesce("fresh", F.lit(0))).alias("violated"))
 
 
 def freshness(t: Tables, by: By = (), labels=None) -> DataFrame:
@@ -61,8 +80,8 @@ def freshness(t: Tables, by: By = (), labels=None) -> DataFrame:
 
     An age of exactly the limit is fresh; one microsecond more is not.
     """
-    pairs = freshness_pairs(t["freshness_requirements"], t["freshness_observations"], by)
-    return totals([sum_of(pairs, by, not_fresh=F.when(F.col("violated"), F.col("n")))], by, labels)
+    counted = freshness_counts(t["freshness_requirements"], t["freshness_observations"], by)
+    return totals([sum_of(counted, by, not_fresh=F.col("violated"))], by, labels)
 
 
 def type1_customers(t: Tables, by: By = (), labels=None) -> DataFrame:

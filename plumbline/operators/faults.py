@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions.exprs import net_amount
 from plumbline.operators.previews import half_subset
@@ -230,6 +231,28 @@ def _join_zero(t, name, alternate) -> Tables:
     }
 
 
+# Clean control of C07-C13: other keys, other days, the same state
+
+@scenario("adv_shifted")
+def _moved(t, name, alternate) -> Tables:
+    """Every id, dataset name, day and instant moves by the same step, so that nothing is out of place."""
+    def step(column: T.StructField) -> Column | None:
+        value, kind = F.col(column.name), column.dataType
+        if isinstance(kind, T.LongType) and column.name.endswith("_id"):
+            return value + 10_000
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            return value + F.make_dt_interval(days=F.lit(5))
+        if isinstance(kind, T.DateType):
+            return F.date_add(value, 5)
+        return F.concat(value, F.lit("_v2")) if column.name == "dataset_id" else None
+
+    def moved(df: DataFrame) -> DataFrame:
+        steps = {c.name: step(c) for c in df.schema}
+        return df.withColumns({name: value for name, value in steps.items() if value is not None})
+
+    return {table: moved(df) for table, df in t.items()}
+
+
 # Latest version and type-1 customers
 
 def _version_fault(t, name, source, target, key, at, value) -> Tables:

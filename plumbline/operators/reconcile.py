@@ -15,7 +15,6 @@ or inner join, duplicates and NULL keys included.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -190,35 +189,34 @@ def _simple_mismatch(keys: Sequence[str], name: str) -> Column:
     return F.when(_settled() & differs & ~_null_key(keys), pairs).otherwise(F.lit(0))
 
 
-def _value_mismatches(rows: DataFrame, profile: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Per key whose copies disagree with each other, and field: differing joined cells.
+def _disagreeing_values(rows: DataFrame, profile: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Per key whose copies disagree with each other, field and value: its rows on each side.
 
-    Counted from value multiplicities, field by field, without producing a pair.
+    ``cell`` is a struct in which the field's own slot is filled.
     """
     unsettled = profile.where(~_settled() & (F.col("n_expected") * F.col("n_actual") > 0) & ~_null_key(keys))
     remaining = rows.join(unsettled.select(*keys), list(keys), "left_semi")
     cells = F.array(*[
-        F.struct(
-            F.lit(i).alias("field"),
-            *[(F.col(n) if j == i else F.lit(None).cast(rows.schema[n].dataType)).alias(n) for j, n in enumerate(names)],
-        )
-        for i in range(len(names))
-    ])
-    spread = remaining.select(*keys, "n_expected", "n_actual", F.explode(cells).alias("cell"))
-    values = spread.select(*keys, "n_expected", "n_actual", "cell.*").groupBy(*keys, "field", *names).agg(
-        F.sum("n_expected").alias("n_expected"), F.sum("n_actual").alias("n_actual")
-    )
-    return values.groupBy(*keys, "field").agg(
-        (F.sum("n_expected") * F.sum("n_actual") - F.sum(F.col("n_expected") * F.col("n_actual"))).alias("m")
-    )
+        F.struct(F.lit(i).alias("field"), _slot(rows, names, i, n).alias("cell")) for i, n in enumerate(names)])
+    spread = remaining.select(*keys, "n_expected", "n_actual", F.explode(cells).alias("of"))
+    return spread.select(*keys, "n_expected", "n_actual", "of.*").groupBy(*keys, "field", "cell").agg(
+        F.sum("n_expected").alias("n_expected"), F.sum("n_actual").alias("n_actual"))
+
 
+def _slot(rows: DataFrame, names: Sequence[str], place: int, column: str) -> Column:
+    """A struct of all compared fields in which only one is filled, from ``column``."""
+    return F.struct(*[
+        (F.col(column) if j == place else F.lit(None).cast(rows.schema[n].dataType)).alias(n) for j, n in enumerate(names)])
 
-def pair_report(source: DataFrame, target: DataFrame, keys: Sequence[str], mappings: Sequence[tuple[str, str]]) -> DataFrame:
-    """One row for a pair of datasets, from one stacked pass over both.
 
-    ``missing_count`` and ``unexpected_count`` compare distinct keys null-safely;
-    ``m0..mN`` count differing joined cells per field; the duplicate counts are
-    those of each side by the same key.
+def pair_report(source: DataFrame, target: DataFrame, keys: Sequence[str], mappings: Sequence[tuple[str, str]],
+                evidence: int = 0) -> DataFrame:
+    """One row of counts for a pair of datasets and, where asked for, the first differing cells of each field.
+
+    Both come from one stacked pass over both sides. ``missing_count`` and ``unexpected_count`` compare distinct keys
+    null-safely; ``m0..mN`` count differing joined cells per field; the duplicate counts are those of each side by the
+    same key. With ``evidence``, further rows (whose counts are NULL) have ``field``, ``key``, ``expected`` and ``actual`` of the
+    first so many cells of each field; see :func:`_first_cells`.
     """
     rows, names = field_rows(source, target, keys, mappings)
     profile = _key_profile(rows, keys, names)
@@ -231,69 +229,55 @@ def pair_report(source: DataFrame, target: DataFrame, keys: Sequence[str], mappi
     settled = sum_of(profile, **counts, **{f"m{i}": _simple_mismatch(keys, n) for i, n in enumerate(names)})
     if not names:
         return settled
-    valued = _value_mismatches(rows, profile, keys, names)
+    values = _disagreeing_values(rows, profile, keys, names)
+    valued = values.groupBy(*keys, "field").agg(
+        (F.sum("n_expected") * F.sum("n_actual") - F.sum(F.col("n_expected") * F.col("n_actual"))).alias("m"))
     rest = sum_of(valued, **{f"m{i}": F.when(F.col("field") == i, F.col("m")) for i in range(len(names))})
     stacked = settled.unionByName(rest, allowMissingColumns=True)
-    return stacked.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in settled.columns])
+    report = stacked.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in settled.columns])
+    if not evidence:
+        return report
+    return report.unionByName(_first_cells(rows, profile, values, keys, names, evidence), allowMissingColumns=True)
 
 
-def _first_differing_keys(rows, keys, names, rooms: dict[int, int]) -> DataFrame:
-    """For each field, the first keys with a differing cell, as many as there is room for."""
-    profile = _key_profile(rows, keys, names)
-    valued = _value_mismatches(rows, profile, keys, names).where("m > 0")
-    order = [F.col(k).asc_nulls_last() for k in keys]
-    parts = []
-    for i, room in rooms.items():
-        simple = profile.where(_simple_mismatch(keys, names[i]) > 0).select(*keys)
-        both = simple.unionByName(valued.where(F.col("field") == i).select(*keys))
-        parts.append(both.orderBy(*order).limit(room).withColumn("field", F.lit(i)))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def field_mismatch_evidence(source: DataFrame, target: DataFrame, keys: Sequence[str],
-                            mappings: Sequence[tuple[str, str]], rooms: dict[int, int]) -> DataFrame:
-    """Differing joined cells, the first ``rooms[i]`` of field ``i`` in key order.
-
-    One job finds the first differing keys of all asked fields. A second one reads
-    only the rows of those keys, and of each key and field at most ``room + 1``
-    distinct values per side: enough to yield every requested cell, and a bound on
-    the pairs however many copies a key has. ``expected`` and ``actual`` are structs
-    in which the field's own slot is filled.
+def _first_cells(rows: DataFrame, profile: DataFrame, values: DataFrame, keys: Sequence[str], names: Sequence[str], most: int) -> DataFrame:
+    """The first ``most`` differing cells of every field, by key, then by expected and actual value, copies one by one.
+
+    A key whose rows agree on each side has one value a side. Of the others ``most + 1`` values a side are enough to yield every
+    cell asked for. Limits are on row numbers, which Spark applies in each task before its shuffle: whatever the number of
+    differing keys or of a key's values, a task sends no more than the limit on.
     """
-    rows, names = field_rows(source, target, keys, mappings)
-    found = _first_differing_keys(rows, keys, names, rooms)
-    chosen = found.sparkSession.createDataFrame(found.collect(), found.schema)
-    chosen_keys = F.broadcast(chosen.select(*keys).distinct())
+    def one(i: int, count: str, side: str) -> Column:
+        return F.array(F.struct(_slot(rows, names, i, f"{side}_{names[i]}").alias("cell"), F.col(count).alias("n")))
+
+    single = F.array_compact(F.array(*[
+        F.when(_simple_mismatch(keys, name) > 0, F.struct(
+            F.lit(i).alias("field"), one(i, "n_expected", "e").alias("e"), one(i, "n_actual", "a").alias("a")))
+        for i, name in enumerate(names)]))
+    simple = profile.select(*keys, F.explode(single).alias("of")).select(*keys, "of.*")
+
+    sides = values.select(*keys, "field", "cell", F.explode(F.array(
+        F.struct(F.lit("e").alias("side"), F.col("n_expected").alias("n")), F.struct(F.lit("a").alias("side"), F.col("n_actual").alias("n")),
+    )).alias("of")).select(*keys, "field", "cell", "of.*").where("n > 0")
+    nth = F.row_number().over(Window.partitionBy(*keys, "field", "side").orderBy("cell"))
+    few = sides.withColumn("nth", nth).where(F.col("nth") <= most + 1)
+    held = F.struct("cell", "n")
+    several = few.groupBy(*keys, "field").agg(*[
+        F.sort_array(F.collect_list(F.when(F.col("side") == s, held))).alias(s) for s in ("e", "a")])
+    alike = (F.size("e") == 1) & (F.size("a") == 1) & F.col("e")[0]["cell"].eqNullSafe(F.col("a")[0]["cell"])
+    differing = simple.unionByName(several.where(~alike))
 
-    few, _ = field_rows(
-        source.join(chosen_keys, list(keys), "left_semi"), target.join(chosen_keys, list(keys), "left_semi"), keys, mappings
-    )
-    slots = {
-        i: F.struct(*[(F.col(n) if j == i else F.lit(None).cast(few.schema[n].dataType)).alias(n) for j, n in enumerate(names)])
-        for i in rooms
-    }
-    spread = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("field"), F.lit(side).alias("side"), F.col(count).alias("n"), cell.alias("cell"))
-        for i, cell in slots.items() for side, count in (("e", "n_expected"), ("a", "n_actual"))
-    ])).alias("of")
-    place = [*keys, "field"]
-    values = few.select(*keys, spread).select(*keys, "of.*").where("n > 0").groupBy(*place, "side", "cell").agg(F.sum("n").alias("n"))
-    wanted = values.join(F.broadcast(chosen), place, "left_semi")
-    room = F.create_map(*[F.lit(x) for item in rooms.items() for x in item])[F.col("field")]
-    nth = F.row_number().over(Window.partitionBy(*place, "side").orderBy("cell"))
-    kept = wanted.withColumn("nth", nth).where(F.col("nth") <= room + 1)
-    left = kept.where("side = 'e'").select(*place, F.col("cell").alias("expected"), F.col("n").alias("n_e"))
-    right = kept.where("side = 'a'").select(*place, F.col("cell").alias("actual"), F.col("n").alias("n_a"))
-    cells = left.join(right, place).where(~F.col("expected").eqNullSafe(F.col("actual")))
-    copies = F.least(F.col("n_e") * F.col("n_a"), room.cast("bigint"))
-    listed = cells.select(
-        *place, "expected", "actual", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias("copy")
-    )
     order = [F.col(k).asc_nulls_last() for k in keys]
+    by_key = F.row_number().over(Window.partitionBy("field").orderBy(*order))
+    first = differing.withColumn("place", by_key).where(F.col("place") <= most)
+    crossed = first.select(*keys, "field", F.explode("e").alias("x"), "a").select(*keys, "field", "x", F.explode("a").alias("y")).where(
+        ~F.col("x.cell").eqNullSafe(F.col("y.cell")))
+    copies = F.sequence(F.lit(1).cast("bigint"), F.least(F.col("x.n") * F.col("y.n"), F.lit(most).cast("bigint")))
+    cells = crossed.select(
+        *keys, "field", F.col("x.cell").alias("expected"), F.col("y.cell").alias("actual"), F.explode(copies).alias("copy"))
     turn = F.row_number().over(Window.partitionBy("field").orderBy(*order, "expected", "actual"))
-    return listed.withColumn("turn", turn).where(F.col("turn") <= room).orderBy("field", "turn").select(
-        F.lit("FIELD_MISMATCH").alias("kind"), *keys, "field", "expected", "actual"
-    )
+    return cells.withColumn("turn", turn).where(F.col("turn") <= most).select(
+        "field", "turn", F.struct(*keys).alias("key"), "expected", "actual")
 
 
 def weighted_left_violations(left, right, left_keys, right_keys, left_bad, right_bad, by: By = (),

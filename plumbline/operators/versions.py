@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.exprs import epoch_micros
+from plumbline.operators.ranges import contained_pairs, next_value, ordered_pairs
 from plumbline.operators.scope import By, sum_of
 
 
@@ -64,27 +65,8 @@ def guarded_apply(before: DataFrame, incoming: DataFrame, keys, version: str, by
 
 
 def next_start(df: DataFrame, keys: Sequence[str], at: str, name: str = "next_start") -> DataFrame:
-    """The following ``at`` within each key, NULL for the last.
-
-    Rows are windowed per key and day, and the first instants of the days are
-    chained per key. A key with a very long history is thus split over its days
-    instead of being sorted by one task.
-    """
-    day = F.col(at).cast("date")
-    dated = df.withColumn("_day", day)
-    within = Window.partitionBy(*keys, "_day").orderBy(F.col(at).asc_nulls_last())
-    inner = dated.withColumn("_next", F.lead(at).over(within))
-    days = dated.groupBy(*keys, "_day").agg(F.min(at).alias("_first"))
-    chain = Window.partitionBy(*keys).orderBy(F.col("_day").asc_nulls_last())
-    following = days.withColumn("_next_day", F.lead("_first").over(chain)).select(*keys, "_day", "_next_day")
-    marks = [*keys, "_day"]
-    right = following.select(*[F.col(c).alias(f"_r_{c}") for c in marks], "_next_day")
-    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in marks]
-    condition = same[0]
-    for term in same[1:]:
-        condition = condition & term
-    joined = inner.join(right, condition, "left")
-    return joined.select(*df.columns, F.coalesce("_next", "_next_day").alias(name))
+    """The following ``at`` within each key, NULL for the last; a long key is ordered in ranges and carried between them."""
+    return next_value(df, keys, at, name)
 
 
 def type1_current(changes: DataFrame, by: By = ()) -> DataFrame:
@@ -103,37 +85,10 @@ def type2_history(changes: DataFrame, by: By = ()) -> DataFrame:
     )
 
 
-def ordered_pairs(points: DataFrame, keys: Sequence[str], at: str, first: str, second: str,
-                  bucket_width: int, **sums: Column) -> DataFrame:
-    """Per key: ``pairs``, the (first, second) pairs with first's instant <= second's.
-
-    ``points`` carries counts of both kinds at integer instants. Prefix sums run
-    within fixed-width buckets, bucket totals are chained per key, and no pair is
-    ever built; a hot key is split over its buckets. ``sums`` are further sums over
-    the instants of a key.
-    """
-    carried = [c for c in points.columns if c not in (*keys, at)]
-    collapsed = points.groupBy(*keys, at).agg(*[F.sum(c).alias(c) for c in carried])
-    bucketed = collapsed.withColumn("_bucket", F.expr(f"{at} div {bucket_width}L"))
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
-    per_bucket = bucketed.withColumn("_seen", F.sum(first).over(inside)).groupBy(*keys, "_bucket").agg(
-        F.sum(first).alias("_first"), F.sum(second).alias("_second"),
-        F.sum(F.col(second) * F.col("_seen")).alias("_inside"),
-        *[F.sum(value).alias(name) for name, value in sums.items()],
-    )
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_first").over(earlier), F.lit(0))
-    return per_bucket.withColumn("_pairs", F.col("_inside") + F.col("_second") * before).groupBy(*keys).agg(
-        F.sum("_pairs").alias("pairs"), *[F.sum(name).alias(name) for name in sums]
-    )
-
-
-_DAY = 86_400_000_000
 _FOREVER = 4_000_000_000_000_000_000
-_OFFSET = 1 << 61
 
 
-def _regular_overlaps(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _regular_overlaps(spans: DataFrame, keys: Sequence[str], largest: int) -> DataFrame:
     """Overlapping pairs among spans that do not end before they start.
 
     Two such spans are disjoint when one ends by the start of the other, so
@@ -145,43 +100,21 @@ def _regular_overlaps(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     regular = spans.where("e >= s")
     edge = F.explode(F.array(
-        F.struct(F.col("s").alias("t"), F.lit(0).alias("ends"), F.lit(1).alias("starts"),
-                 (F.col("e") == F.col("s")).cast("int").alias("empty")),
-        F.struct(F.col("e").alias("t"), F.lit(1).alias("ends"), F.lit(0).alias("starts"), F.lit(0).alias("empty")),
+        F.struct(F.col("s").alias("t"), F.lit(0).alias("ends"), F.lit(1).alias("starts")),
+        F.struct(F.col("e").alias("t"), F.lit(1).alias("ends"), F.lit(0).alias("starts")),
     ))
     points = regular.select(*keys, edge.alias("edge")).select(*keys, "edge.*").where(F.col("t") < _FOREVER)
-    counted = ordered_pairs(
-        points, keys, "t", "ends", "starts", _DAY,
-        size=F.col("starts"), repaid=F.expr("empty + empty * (empty - 1) div 2"),
-    )
-    return counted.select(*keys, F.expr("size * (size - 1) div 2 - pairs + repaid").alias("n"))
-
+    counted = ordered_pairs(points, keys, "t", "ends", "starts", largest=2 * largest, size=F.col("starts"))
+    empty = regular.where("e = s").groupBy(*keys, "s").agg(F.count(F.lit(1)).alias("c"))
+    repaid = empty.select(*keys, F.expr("c + c * (c - 1) div 2").alias("n"))
+    return counted.select(*keys, F.expr("size * (size - 1) div 2 - pairs").alias("n")).unionByName(repaid)
 
-def _inverted_overlaps(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Overlapping pairs of a span that ends before it starts and one that strictly contains it.
 
-    That is a count over two inequalities. The start order is split into halves at
-    every binary digit; a container is left of a probe in exactly one split, and
-    within it the second inequality is an ordered-pair count. Only keys that have
-    such a span take part.
-    """
-    affected = spans.where("e < s").select(*keys).distinct()
-    rows = spans.join(affected, list(keys), "left_semi").withColumn("outer", F.expr("e >= s"))
-    # A container is placed at its start and has to outlast the probe's start.
-    rows = rows.select(
-        *keys, "outer", F.when(F.col("outer"), F.col("s")).otherwise(F.col("e")).alias("x"),
-        F.when(F.col("outer"), F.col("e")).otherwise(F.col("s")).alias("y"),
-    )
-    level = F.explode(F.sequence(F.lit(0), F.lit(61))).alias("level")
-    digits = rows.select(*keys, "y", "outer", (F.col("x") + _OFFSET).alias("x"), level)
-    halves = digits.where((F.expr("shiftright(x, level) & 1L") == 0) == F.col("outer")).select(
-        *keys, "level", F.expr("shiftright(shiftright(x, level), 1)").alias("block"),
-        # Ending after an instant means ending at the next one or later.
-        F.when(F.col("outer"), F.col("y") - 1).otherwise(F.col("y")).alias("t"),
-        F.when(F.col("outer"), 0).otherwise(1).alias("probes"), F.when(F.col("outer"), 1).otherwise(0).alias("containers"),
-    )
-    counted = ordered_pairs(halves, [*keys, "level", "block"], "t", "probes", "containers", _DAY)
-    return counted.select(*keys, F.col("pairs").alias("n"))
+def _inverted_overlaps(spans: DataFrame, keys: Sequence[str], largest: int) -> DataFrame:
+    """Overlapping pairs of a span that ends before it starts and one that strictly contains it."""
+    rows = spans.withColumn("outer", F.expr("e >= s")).select(
+        *keys, "outer", F.least("s", "e").alias("x"), F.greatest("s", "e").alias("y"), F.lit(1).alias("w"))
+    return contained_pairs(rows, keys, largest).select(*keys, F.col("pairs").alias("n"))
 
 
 def overlap_pairs(history: DataFrame, key: str = "customer_id", version: str = "version_id", start: str = "valid_from",
@@ -189,7 +122,8 @@ def overlap_pairs(history: DataFrame, key: str = "customer_id", version: str = "
     """Pairs of versions of one key whose half-open validity overlaps, each pair once.
 
     Pairs are told apart by version id, so rows that share one are no pair: the
-    pairs inside such groups are counted along and taken off.
+    pairs inside such groups are counted along and taken off. One first job tells how large the keys are, and
+    whether repeated versions and spans that end before they start have to be looked at.
     """
     known = history.where(F.col(version).isNotNull() & F.col(start).isNotNull() & F.col(key).isNotNull())
     spans = known.select(
@@ -197,13 +131,16 @@ def overlap_pairs(history: DataFrame, key: str = "customer_id", version: str = "
         F.coalesce(epoch_micros(known, end), F.lit(_FOREVER)).alias("e"),
     )
     marks = [*by, "k", "v"]
-    repeated = spans.groupBy(*marks).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(*marks)
-    marked = spans.join(repeated.withColumn("again", F.lit(True)), marks, "left")
-    whole = F.struct(F.lit(-1).cast("bigint").alias("v"), F.lit(1).alias("sign"))
-    inner = F.when(F.col("again"), F.struct("v", F.lit(-1).alias("sign")))
-    stacked = marked.select(
-        *by, "k", "s", "e", F.explode(F.array_compact(F.array(whole, inner))).alias("of")
-    ).select(*by, "k", "of.v", "of.sign", "s", "e")
+    versions = spans.groupBy(*marks).agg(F.count(F.lit(1)).alias("c"), F.count_if(F.expr("e < s")).alias("inverted"))
+    by_key = versions.groupBy(*by, "k").agg(F.sum("c").alias("n"), F.max("c").alias("c"), F.sum("inverted").alias("inverted"))
+    found = by_key.agg(F.max("n").alias("n"), F.max("c").alias("c"), F.max(F.expr("IF(inverted > 0, n, 0)")).alias("inverted")).first()
+
+    stacked = spans.withColumn("sign", F.lit(1)).withColumn("v", F.lit(None).cast(spans.schema["v"].dataType))
+    if (found.c or 0) > 1:
+        again = spans.join(versions.where("c > 1").select(*marks), marks, "left_semi").withColumn("sign", F.lit(-1))
+        stacked = stacked.unionByName(again)
     groups = [*marks, "sign"]
-    counted = _regular_overlaps(stacked, groups).unionByName(_inverted_overlaps(stacked, groups))
+    counted = _regular_overlaps(stacked, groups, found.n or 0)
+    if found.inverted:
+        counted = counted.unionByName(_inverted_overlaps(stacked, groups, found.inverted))
     return sum_of(counted, by, **{name: F.col("sign") * F.col("n")})

@@ -13,6 +13,7 @@ from plumbline.operators.versions import latest_by
 from plumbline.plans.orders import resolve_success
 from plumbline.plans.quality import QualityRun, run_quality_suite
 from plumbline.plans.suites import EXPECTED_FAILURES, FAULT_DATASETS, FAULT_SUITE
+from plumbline.sources.commits import CommitConflict
 from plumbline.sources.store import Store, now
 
 REPORTS = {
@@ -52,6 +53,23 @@ def _log(store: Store, fault: dict) -> dict:
     return row
 
 
+def _claim(store: Store, run_id: str, fault_run_id: str) -> None:
+    claims = store.commits(f"faults/{run_id}")
+    held = claims.head()
+    if held and held.body["holder"]:
+        raise FaultState(f"run {run_id} already has an applied fault")
+    try:
+        claims.commit({"holder": fault_run_id}, held.number if held else 0)
+    except CommitConflict as lost:
+        raise FaultState(f"run {run_id} already has an applied fault") from lost
+
+
+def _release(store: Store, run_id: str, fault_run_id: str) -> None:
+    held = store.commits(f"faults/{run_id}").head()
+    if held and held.body["holder"] == fault_run_id:
+        store.commits(f"faults/{run_id}").commit({"holder": None}, held.number)
+
+
 def _evidence(scenario: str, before, clean) -> dict:
     after = {
         "missing_order": None, "duplicate_order": [before, before], "null_net_amount": {**before, "net_amount": None},
@@ -66,7 +84,8 @@ def _evidence(scenario: str, before, clean) -> dict:
 def apply_fault(store: Store, scenario: str, run_id: str | None = None) -> dict:
     """Copy the run's reports, damage the copy, keep what was done as evidence.
 
-    The published reports are never touched, and a run carries one fault at a time.
+    The published reports are never touched, and a run carries one fault at a time: a commit claims the run before
+    anything is written, and of two that claim it one gets a FaultState. A fault that can't be written gives its claim back.
     """
     from decimal import Decimal
 
@@ -75,19 +94,22 @@ def apply_fault(store: Store, scenario: str, run_id: str | None = None) -> dict:
     resolved = resolve_success(store, run_id)
     if resolved is None:
         raise FaultState("no matching successful run")
-    applied = current_faults(store).where((F.col("pipeline_run_id") == resolved) & (F.col("status") == "APPLIED"))
-    if applied.limit(1).count():
-        raise FaultState(f"run {resolved} already has an applied fault")
     report = store.read_run("target.orders_report", resolved).drop("run_id")
     first = report.orderBy(F.col("order_id").asc_nulls_last()).limit(1).collect()
     if not first:
         raise FaultState("the run has no target orders")
-    damaged = inject({"target_orders": report}, scenario)["target_orders"]
-    store.write_run("fault_workspace.orders_report", damaged, resolved)
-    store.write_run("fault_workspace.daily_sales_report", store.read_run("target.daily_sales_report", resolved), resolved)
+    fault_run_id = uuid.uuid4().hex
+    _claim(store, resolved, fault_run_id)
+    try:
+        damaged = inject({"target_orders": report}, scenario)["target_orders"]
+        store.write_run("fault_workspace.orders_report", damaged, resolved)
+        store.write_run("fault_workspace.daily_sales_report", store.read_run("target.daily_sales_report", resolved), resolved)
+    except Exception:
+        _release(store, resolved, fault_run_id)
+        raise
     evidence = _evidence(scenario, first[0].asDict(), Decimal("0.01"))
     return _log(store, {
-        "fault_run_id": uuid.uuid4().hex, "pipeline_run_id": resolved, "scenario_id": scenario, "status": "APPLIED",
+        "fault_run_id": fault_run_id, "pipeline_run_id": resolved, "scenario_id": scenario, "status": "APPLIED",
         "mutation_evidence": to_json(evidence), "validation_run_id": None, "applied_at": now(), "reset_at": None,
     })
 
@@ -110,4 +132,5 @@ def reset_fault(store: Store, fault_run_id: str) -> dict:
         return fault
     for copy in REPORTS.values():
         store.write_run(copy, store.read_run(copy, fault["pipeline_run_id"]).limit(0), fault["pipeline_run_id"])
+    _release(store, fault["pipeline_run_id"], fault_run_id)
     return _log(store, {**fault, "status": "RESET", "reset_at": now()})

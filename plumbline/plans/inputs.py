@@ -250,6 +250,11 @@ VIEWS: dict[str, str] = {
                     ELSE c_custkey END AS rows_read,
                CASE WHEN c_custkey % 4 = 0 THEN (SELECT COUNT(*) FROM cloud_target) ELSE c_custkey END AS rows_written
         FROM customer""",
+    "timed_activities": """
+        SELECT a.activity_id, CASE WHEN a.rows_read % 17 = 0 THEN -a.rows_read - 1 ELSE a.rows_read END AS rows_read,
+               CASE WHEN a.rows_written % 13 = 0 THEN NULL WHEN a.rows_written % 11 = 0 THEN r.ended_at + INTERVAL '1' MINUTE
+                    ELSE r.started_at END AS started_at, r.ended_at
+        FROM cloud_activities a JOIN cloud_runs r ON a.run_id = r.run_id""",
     "cloud_steps": """
         SELECT CAST(r_regionkey + 1 AS INT) AS step_no, 'RECOVER' AS operation,
                'run-' || CAST(r_regionkey AS STRING) AS run_id, 'SUCCESS' AS execution_status, CAST(r_regionkey AS INT) AS batch_no,
@@ -289,6 +294,51 @@ VIEWS: dict[str, str] = {
                'run-1' AS run_id
         FROM events WHERE user_id % 17 <> 0""",
     "reference_context": "SELECT MAX(ts) AS as_of FROM events",
+    # Suites of rules, one per part size
+    "declared_rules": """
+        SELECT CASE WHEN p_size = 7 THEN 'Suite 7' ELSE 'suite_' || CAST(p_size AS STRING) END AS suite_id, p_partkey AS place,
+               CASE WHEN p_partkey % 41 = 0 THEN ' ' WHEN p_partkey % 9 = 0 THEN 'rule_again' ELSE 'rule_' || CAST(p_partkey AS STRING) END AS rule_id,
+               CASE WHEN p_partkey % 4 = 0 THEN 'RECORD_COUNT' WHEN p_partkey % 4 = 1 THEN 'NOT_NULL' WHEN p_partkey % 4 = 2 THEN 'KEY_RECONCILIATION'
+                    ELSE 'FIELD_RECONCILIATION' END AS kind,
+               CAST(CASE WHEN p_partkey % 29 = 0 THEN 0 WHEN p_partkey % 31 = 0 THEN 101 ELSE 20 END AS INT) AS evidence FROM part""",
+    "declared_datasets": """
+        SELECT suite_id, place, 'part_' || CAST(place % 10 AS STRING) AS dataset_id FROM declared_rules
+        UNION ALL SELECT suite_id, place, 'part_' || CAST((place + 1) % 10 AS STRING) FROM declared_rules
+        WHERE (place % 4 >= 2 AND place % 53 <> 0) OR place % 59 = 0""",
+    "declared_columns": """
+        SELECT suite_id, place, CASE WHEN place % 19 = 0 THEN 'No Name' ELSE 'c' || CAST(place % 7 AS STRING) END AS column_name
+        FROM declared_rules WHERE place % 43 <> 0
+        UNION ALL SELECT suite_id, place, 'c' || CAST(place % 6 AS STRING) FROM declared_rules WHERE place % 23 = 0""",
+    "declared_catalog": """
+        SELECT DISTINCT 'part_' || CAST(p_partkey % 9 AS STRING) AS dataset_id, 'orders' AS table_name FROM part
+        UNION ALL SELECT DISTINCT 'part_3', 'customers' FROM part UNION ALL SELECT DISTINCT 'Part 9', 'customers' FROM part""",
+    # Evidence without a flaw
+    "sound_runs": """
+        SELECT DISTINCT run_id, 'SUCCESS' AS execution_status, (SELECT as_of FROM cloud_context) - INTERVAL '1' HOUR AS started_at,
+               (SELECT as_of FROM cloud_context) AS ended_at, '{}' AS raw_evidence FROM cloud_source""",
+    "sound_activities": """
+        SELECT 'pull-' || run_id AS activity_id, run_id, CAST(NULL AS STRING) AS dependency_id, 'SUCCESS' AS execution_status,
+               'source' AS source_dataset, 'bronze' AS target_dataset, (SELECT COUNT(*) FROM cloud_latest) AS rows_read,
+               (SELECT COUNT(*) FROM cloud_latest) AS rows_written, '{}' AS raw_evidence FROM (SELECT DISTINCT run_id FROM cloud_source) p
+        UNION ALL SELECT 'send-' || run_id, run_id, 'pull-' || run_id, 'SUCCESS', 'silver', 'target', (SELECT COUNT(*) FROM cloud_latest),
+               (SELECT COUNT(*) FROM cloud_latest), '{}' FROM (SELECT DISTINCT run_id FROM cloud_source) s""",
+    "sound_schema": """
+        SELECT DISTINCT p_brand AS dataset, 'amount' AS column_name, 'numeric(14,2)' AS data_type FROM part
+        UNION ALL SELECT DISTINCT p_brand, 'order_id', 'bigint' FROM part
+        UNION ALL SELECT DISTINCT p_brand, p_type, 'text' FROM part""",
+    "sound_manifest": """
+        SELECT partition_key, partition_key || '/' || CAST(part_no AS STRING) AS file_key, row_count, snapshot_at, 'run-1' AS run_id
+        FROM cloud_files""",
+    "sound_partitions": "SELECT partition_key, CAST(SUM(row_count) AS BIGINT) AS row_count FROM cloud_files GROUP BY partition_key",
+    "sound_required_references": """
+        SELECT event_type AS dataset_id, 'ref-' || CAST(user_id AS STRING) AS reference_id, CAST(10 + user_id % 50 AS INT) AS sla_minutes
+        FROM events GROUP BY event_type, user_id""",
+    "sound_references": """
+        SELECT dataset_id, reference_id, (SELECT as_of FROM cloud_context) - sla_minutes * INTERVAL '1' MINUTE AS observed_at, 'run-1' AS run_id
+        FROM sound_required_references""",
+    "sound_steps": """
+        SELECT CAST(1 AS INT) AS step_no, 'INITIAL' AS operation, 'run-1' AS run_id, 'SUCCESS' AS execution_status, batch_no,
+               (SELECT COUNT(*) FROM cloud_latest) AS target_rows, as_of AS watermark FROM cloud_context""",
     # Contracts
     "db_source": """
         SELECT c_custkey AS record_id, CASE WHEN c_custkey % 13 = 0 THEN 0 ELSE c_custkey + 1 END AS customer_id,

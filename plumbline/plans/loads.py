@@ -7,10 +7,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions.exprs import amounts_ok, classification, text_amount
+from plumbline.operators.ranges import RANGE_ROWS, with_ranges
 from plumbline.operators.rollups import region_report
 from plumbline.operators.versions import first_version_merge, guarded_apply, latest_by, merge_versions
+from plumbline.sources.commits import StepLog
 from plumbline.sources.store import Store
 
 Tables = dict[str, DataFrame]
@@ -70,25 +73,35 @@ class IncrementalLoad:
     def _folder(self, generation: str) -> str:
         return f"{self.store.path(self.name)}/{generation}"
 
-    def _log(self, generation: str) -> str:
-        return f"{self.name}.steps/{generation}"
+    def log(self, generation: str | None = None) -> StepLog | None:
+        """The step log of the current generation; none before the first step."""
+        generation = generation or self._generation()
+        return self.store.steps(f"{self.name}.steps/{generation}", "incremental_steps") if generation else None
+
+    def _last(self) -> dict | None:
+        log = self.log()
+        return next(iter(log.last()), None) if log else None
 
     @property
     def steps(self) -> list[dict]:
-        generation = self._generation()
-        return self.store.log(self._log(generation), "incremental_steps") if generation else []
+        """The newest steps, oldest first; ``log().frame()`` has all of them."""
+        log = self.log()
+        return log.last(log.KEEP) if log else []
 
     def target(self) -> DataFrame:
-        return self._loaded(self._generation(), self.steps)
+        last = self._last()
+        return self._loaded(self._generation(), last["batch_no"] if last else 0)
 
-    def _loaded(self, generation: str | None, steps: list[dict]) -> DataFrame:
-        if not steps:
+    def _loaded(self, generation: str | None, upto: int) -> DataFrame:
+        """The merge over the folders of the batches that steps have loaded: the numbers from 1 on."""
+        if not upto:
             return self.events.select(*STATE).limit(0)
-        schema = self.events.select(*STATE).schema
-        paths = [f"{self._folder(generation)}/batch_no={b}" for b in sorted({s["batch_no"] for s in steps})]
-        return latest_by(self.store.spark.read.schema(schema).parquet(*paths), KEY, ORDER)
+        schema = self.events.select(*STATE).schema.add("batch_no", T.IntegerType())
+        folders = self.store.spark.read.schema(schema).parquet(self._folder(generation))
+        return latest_by(folders.where(F.col("batch_no") <= upto).select(*STATE), KEY, ORDER)
 
     def advance(self, action: str) -> dict | None:
+        """One step. Of two objects that take the same step one goes on; the other one gets a CommitConflict."""
         if action == "RESET":
             self.store.mark(self.name, uuid.uuid4().hex)
             return None
@@ -97,8 +110,9 @@ class IncrementalLoad:
         if self._generation() is None:
             self.store.mark(self.name, uuid.uuid4().hex)
         generation = self._generation()
-        steps = self.store.log(self._log(generation), "incremental_steps")
-        last = max((s["batch_no"] for s in steps), default=0)
+        log = self.log(generation)
+        before = next(iter(log.last()), {"step_no": 0, "batch_no": 0})
+        last = before["batch_no"]
         batch_no = last + 1 if action == "NEXT" else last
         batch = self.events.where(F.col("batch_no") == batch_no)
         facts = batch.agg(F.count(F.lit(1)).alias("n"), F.max("arrived_at").alias("cutoff")).first()
@@ -106,18 +120,15 @@ class IncrementalLoad:
             raise LoadError("no next batch, or no batch to replay")
         latest_by(batch.select(*STATE), KEY, ORDER).write.mode("overwrite").parquet(
             f"{self._folder(generation)}/batch_no={batch_no}")
-        step = {
-            "step_no": len(steps) + 1, "batch_no": batch_no, "operation": action, "execution_status": "SUCCESS",
-            "selected_events": facts.n, "target_rows": 0, "watermark": facts.cutoff,
-        }
-        step["target_rows"] = self._loaded(generation, [*steps, step]).count()
-        self.store.append(self._log(generation), [step], "incremental_steps")
-        return step
+        return log.append({
+            "step_no": before["step_no"] + 1, "batch_no": batch_no, "operation": action, "execution_status": "SUCCESS",
+            "selected_events": facts.n, "target_rows": self._loaded(generation, max(batch_no, last)).count(), "watermark": facts.cutoff,
+        })
 
     @property
     def as_of(self):
-        steps = self.steps
-        return steps[-1]["watermark"] if steps else None
+        last = self._last()
+        return last["watermark"] if last else None
 
 
 # Text amounts: quarantine, mapping, guarded upsert
@@ -180,7 +191,8 @@ class TextOrderLoad:
     """RUN, RECOVER, NEXT, REPLAY and RESET over published snapshots, with a step log.
 
     The checkpoint of a step is the batch it has loaded; a step reads only the batches beyond the last
-    one's, a replay the last one. A code without mapping stops the step before anything is published.
+    one's, a replay the last one. A code without mapping stops the step before anything is published, and so does
+    another step that was published meanwhile.
     All state is in the store: a new object goes on where the last one ended.
     """
 
@@ -194,26 +206,32 @@ class TextOrderLoad:
     def rejected(self) -> DataFrame:
         return self.store.current_part(self.name, "rejects")
 
-    def _log(self) -> str | None:
+    def log(self) -> StepLog | None:
+        """The step log of the current generation; none before the first step."""
         generation = self.store.current_snapshot(f"{self.name}.generation")
-        return f"{self.name}.steps/{generation}" if generation else None
+        return self.store.steps(f"{self.name}.steps/{generation}", "etl_steps") if generation else None
 
     @property
     def steps(self) -> list[dict]:
-        log = self._log()
-        return self.store.log(log, "etl_steps") if log else []
+        """The newest steps, oldest first; ``log().frame()`` has all of them."""
+        log = self.log()
+        return log.last(log.KEEP) if log else []
+
+    def _last(self) -> dict | None:
+        log = self.log()
+        return next(iter(log.last()), None) if log else None
 
     @property
     def batch_no(self) -> int:
-        steps = self.steps
-        return steps[-1]["checkpoint"] if steps else 0
+        last = self._last()
+        return last["checkpoint"] if last else 0
 
     def advance(self, action: str) -> dict | None:
         if action == "RESET":
             self.store.mark(f"{self.name}.generation", uuid.uuid4().hex)
             return None
-        steps = self.steps
-        done = steps[-1]["checkpoint"] if steps else 0
+        last, parent = self._last(), self.store.version(self.name)
+        done = last["checkpoint"] if last else 0
         if action == "NEXT":
             after, upto = done, min(done + 1, self.last_batch)
         elif action == "RECOVER":
@@ -228,22 +246,21 @@ class TextOrderLoad:
         missing = [r[0] for r in unmapped_codes(good, self.customers).orderBy("customer_code").limit(20).collect()]
         if missing:
             raise LoadError(f"customer codes without mapping, first ones: {missing}")
-        before = (self.target(), self.rejected()) if steps and action != "RUN" else (None, None)
+        before = (self.target(), self.rejected()) if last and action != "RUN" else (None, None)
         target, bad = load_text_orders(self.source, self.customers, upto, existing=before[0],
                                        existing_rejects=before[1], after=after)
-        if self._log() is None:
+        if self.log() is None:
             self.store.mark(f"{self.name}.generation", uuid.uuid4().hex)
-        self.store.publish_together(self.name, {"target": target, "rejects": bad}, uuid.uuid4().hex)
-        step = {
-            "step_no": len(steps) + 1, "operation": action, "execution_status": "SUCCESS",
+        self.store.publish_together(self.name, {"target": target, "rejects": bad}, uuid.uuid4().hex, parent)
+        return self.log().append({
+            "step_no": (last["step_no"] if last else 0) + 1, "operation": action, "execution_status": "SUCCESS",
             "target_rows": self.target().count(), "rejected_rows": self.rejected().count(), "checkpoint": upto,
-        }
-        self.store.append(self._log(), [step], "etl_steps")
-        return step
+        })
 
     def state(self, last: int = 20) -> dict:
-        steps = self.steps
-        return {"batch_no": steps[-1]["checkpoint"] if steps else 0, "steps": steps[-last:]}
+        log = self.log()
+        steps = log.last(last) if log else []
+        return {"batch_no": steps[-1]["checkpoint"] if steps else 0, "steps": steps}
 
 
 # Layered and contract publications
@@ -317,14 +334,31 @@ def step_summary(steps: DataFrame, last: int = 20) -> DataFrame:
     return steps.orderBy(F.col("step_no").desc()).limit(last).orderBy("step_no")
 
 
+def _until(per_batch: DataFrame, value: str, strictly: bool) -> DataFrame:
+    """Per batch: the greatest ``value`` of the batches up to it, or before it; ranges of batches carry theirs on.
+
+    One row stands for a batch. Batches are cut into ranges, each range is ordered by itself, and the greatest value of the
+    ranges before is added from one row a range.
+    """
+    largest = per_batch.agg(F.count(F.lit(1))).first()[0]
+    ranged = with_ranges(per_batch.withColumn("_all", F.lit(0)), ["_all"], "batch_no", largest)
+    upto = Window.partitionBy("_range").orderBy("batch_no").rowsBetween(Window.unboundedPreceding, -1 if strictly else 0)
+    inside = ranged.withColumn("_inside", F.max(value).over(upto))
+    if largest <= RANGE_ROWS:
+        return inside.withColumn("until", F.col("_inside")).drop("_all", "_range", "_inside")
+    tops = ranged.groupBy("_range").agg(F.max(value).alias("_top"))
+    earlier = tops.alias("t").join(tops.select(F.col("_range").alias("_r"), F.col("_top").alias("_b")), F.col("_r") < F.col("t._range"))
+    carried = earlier.groupBy("_range").agg(F.max("_b").alias("_carried"))
+    joined = inside.join(F.broadcast(carried), "_range", "left")
+    return joined.withColumn("until", F.greatest("_inside", "_carried")).drop("_all", "_range", "_inside", "_carried")
+
+
 def running_watermark(events: DataFrame) -> DataFrame:
     """Arrival cutoff after each batch: the greatest arrival so far."""
     cutoffs = events.groupBy("batch_no").agg(
         F.max("arrived_at").alias("cutoff"), F.count(F.lit(1)).alias("selected_events")
     )
-    return cutoffs.withColumn(
-        "watermark", F.max("cutoff").over(Window.orderBy("batch_no").rowsBetween(Window.unboundedPreceding, 0))
-    )
+    return _until(cutoffs, "cutoff", strictly=False).withColumnRenamed("until", "watermark")
 
 
 def late_events(events: DataFrame) -> DataFrame:
@@ -334,6 +368,5 @@ def late_events(events: DataFrame) -> DataFrame:
     would be skipped.
     """
     newest = events.groupBy("batch_no").agg(F.max("event_at").alias("newest"))
-    before = Window.orderBy("batch_no").rowsBetween(Window.unboundedPreceding, -1)
-    marks = newest.select("batch_no", F.max("newest").over(before).alias("seen_until"))
+    marks = _until(newest, "newest", strictly=True).select("batch_no", F.col("until").alias("seen_until"))
     return events.join(marks, "batch_no").where(F.col("event_at") < F.col("seen_until")).drop("seen_until")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plumbline import schemas
@@ -10,9 +11,10 @@ from plumbline.operators import previews, reconcile, rollups, scope, versions
 from plumbline.operators.checks import evidence, history
 from plumbline.operators.faults import first_keys, hit_by
 from plumbline.plans import loads
-from plumbline.plans.check_queries import DAILY, NOT_FRESH, OVERLAPS
+from plumbline.plans.check_queries import DAILY, OVERLAPS, PER_DATASET
 from plumbline.plans.registry import query, sql_diff
 from plumbline.session import work_dir
+from plumbline.sources.commits import StepLog
 from plumbline.sources.store import Store
 
 # Projections and predicates
@@ -185,13 +187,9 @@ def _aggregate_diff(v):
     return reconcile.diff_count(grouped, v("target_order_totals"), ["order_id"], ["net_amount"])
 
 
-@query("j07_left_outer_requirements", f"""
-    SELECT r.dataset_id, COUNT(*) AS n, COUNT(*) FILTER (WHERE {NOT_FRESH}) AS violated
-    FROM freshness_requirements r LEFT JOIN freshness_observations o ON r.dataset_id = o.dataset_id GROUP BY r.dataset_id""")
+@query("j07_left_outer_requirements", PER_DATASET)
 def _left(v):
-    pairs = history.freshness_pairs(v("freshness_requirements"), v("freshness_observations"))
-    return pairs.groupBy("dataset_id").agg(
-        F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("violated"), F.col("n"))), F.lit(0)).alias("violated"))
+    return history.freshness_counts(v("freshness_requirements"), v("freshness_observations"))
 
 
 @query("j08_self_join_dependencies", """
@@ -611,6 +609,19 @@ def _checkpoints(v):
         "step_no int, operation string, target_rows bigint, rejected_rows bigint, checkpoint int")
 
 
+@query("m08_compacted_log", """
+    SELECT e.batch_no AS step_no, COUNT(*) AS selected_events, (SELECT COUNT(*) FROM incremental_events) AS all_events, 3 AS newest
+    FROM incremental_events e GROUP BY e.batch_no""")
+def _compacted(v):
+    """Steps folded into segments of two; a reader gets all of them from segments and files, and the newest from one file."""
+    counts = v("incremental_events").groupBy("batch_no").agg(F.count(F.lit(1)).alias("n")).orderBy("batch_no")
+    log = StepLog(v.spark, work_dir(v.spark, "log"), schemas.struct("incremental_steps"), every=2)
+    for r in counts.collect():
+        log.append({"step_no": r.batch_no, "batch_no": r.batch_no, "operation": "NEXT", "execution_status": "SUCCESS", "selected_events": r.n})
+    total = F.sum("selected_events").over(Window.partitionBy("operation"))
+    return log.frame().select("step_no", "selected_events", total.alias("all_events"), F.lit(log.last()[0]["step_no"]).alias("newest"))
+
+
 CLOUD_FIELDS = "order_id, customer_id, amount, updated_at, event_id, batch_no, run_id"
 
 

@@ -6,12 +6,12 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.exprs import net_amount
 from plumbline.operators.previews import latest_success
-from plumbline.operators.rollups import row_total, stage_metrics, utc_daily_sales
+from plumbline.operators.rollups import stage_metrics, utc_daily_sales
 from plumbline.operators.rules import to_json
 from plumbline.operators.versions import latest_by
 from plumbline.sources.store import Store, now
@@ -56,37 +56,39 @@ def seed_source(store: Store, customers: DataFrame, orders: DataFrame) -> None:
     store.write("source.orders", orders)
 
 
+def _total(name: str) -> Column:
+    return F.coalesce(F.sum(name), F.lit(0)).cast("decimal(18,2)").alias("net_revenue")
+
+
+def _rows() -> Column:
+    return F.count(F.lit(1)).alias("row_count")
+
+
 def _source(store: Store, run_id: str) -> StageOutcome:
     m = stage_metrics(store.read("source.orders").withColumn("net_amount", net_amount())).first()
     return StageOutcome("SOURCE", m.row_count, {"net_revenue": str(m.net_revenue)})
 
 
 def _bronze(store: Store, run_id: str) -> StageOutcome:
-    store.write_run("bronze.orders", bronze_rows(store.read("source.orders")), run_id)
-    return StageOutcome("BRONZE", row_total(store.read_run("bronze.orders", run_id)).first().n, {})
+    m = store.write_run("bronze.orders", bronze_rows(store.read("source.orders")), run_id, _rows())
+    return StageOutcome("BRONZE", m["row_count"], {})
 
 
 def _silver(store: Store, run_id: str) -> StageOutcome:
-    store.write_run("silver.orders", silver_rows(store.read_run("bronze.orders", run_id)), run_id)
-    m = stage_metrics(store.read_run("silver.orders", run_id)).first()
-    return StageOutcome("SILVER", m.row_count, {"net_revenue": str(m.net_revenue)})
+    m = store.write_run("silver.orders", silver_rows(store.read_run("bronze.orders", run_id)), run_id, _rows(), _total("net_amount"))
+    return StageOutcome("SILVER", m["row_count"], {"net_revenue": str(m["net_revenue"])})
 
 
 def _gold(store: Store, run_id: str) -> StageOutcome:
-    store.write_run("gold.daily_sales", gold_rows(store.read_run("silver.orders", run_id)), run_id)
-    m = store.read_run("gold.daily_sales", run_id).agg(
-        F.count(F.lit(1)).alias("days"), F.coalesce(F.sum("order_count"), F.lit(0)).alias("orders"),
-        F.coalesce(F.sum("net_revenue"), F.lit(0)).cast("decimal(18,2)").alias("net"),
-    ).first()
-    return StageOutcome("GOLD", m.days, {"order_count": m.orders, "net_revenue": str(m.net), "grain": "UTC day"})
+    orders = F.coalesce(F.sum("order_count"), F.lit(0)).alias("orders")
+    m = store.write_run("gold.daily_sales", gold_rows(store.read_run("silver.orders", run_id)), run_id, _rows(), orders, _total("net_revenue"))
+    return StageOutcome("GOLD", m["row_count"], {"order_count": m["orders"], "net_revenue": str(m["net_revenue"]), "grain": "UTC day"})
 
 
 def _target(store: Store, run_id: str) -> StageOutcome:
-    store.write_run("target.orders_report", order_report(store.read_run("silver.orders", run_id)), run_id)
-    store.write_run("target.daily_sales_report", daily_report(store.read_run("gold.daily_sales", run_id)), run_id)
-    m = stage_metrics(store.read_run("target.orders_report", run_id)).first()
-    days = row_total(store.read_run("target.daily_sales_report", run_id)).first().n
-    return StageOutcome("TARGET", m.row_count, {"daily_rows": days, "net_revenue": str(m.net_revenue)})
+    m = store.write_run("target.orders_report", order_report(store.read_run("silver.orders", run_id)), run_id, _rows(), _total("net_amount"))
+    days = store.write_run("target.daily_sales_report", daily_report(store.read_run("gold.daily_sales", run_id)), run_id, _rows())
+    return StageOutcome("TARGET", m["row_count"], {"daily_rows": days["row_count"], "net_revenue": str(m["net_revenue"])})
 
 
 STAGE_STEPS: dict[str, Callable[[Store, str], StageOutcome]] = {

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.contracts import STATUSES, Dataset, catalog, not_null, record_count, same_fields, same_keys, schema_of, unique, worst
-from plumbline.functions.exprs import epoch_micros, net_amount
-from plumbline.operators import certify, faults, verdicts
+from plumbline.functions.exprs import epoch_micros, net_amount, run_problems
+from plumbline.operators import certify, verdicts
 from plumbline.operators.checks import CHECKS
 from plumbline.operators.faults import inject, rebuild
+from plumbline.operators import suites
 from plumbline.operators.rules import FrameSource, execute_rules, results_frame
 from plumbline.plans import fault_runs, loads, orders as layered
 from plumbline.plans.check_queries import CRAWL, api_tables, landed_attempts
@@ -22,7 +24,9 @@ from plumbline.plans.suites import EXPECTED_FAILURES
 from plumbline.session import work_dir
 from plumbline.sources import evidence as bundles
 from plumbline.sources import generator, pages
+from plumbline.sources.commits import CommitConflict
 from plumbline.sources.store import Store
+from plumbline.streaming import keyed
 from plumbline.streaming import merge as stream
 
 Tables = dict[str, DataFrame]
@@ -225,6 +229,26 @@ def _snapshot(v):
     return first
 
 
+@query("s04_conflicting_commit", """
+    SELECT 1 AS step, 'first' AS writer, 'published' AS outcome, 1 AS version, COUNT(*) FILTER (WHERE order_id % 3 = 0) AS n FROM clean_orders
+    UNION ALL SELECT 2, 'second', 'conflict', 1, COUNT(*) FILTER (WHERE order_id % 3 = 0) FROM clean_orders
+    UNION ALL SELECT 3, 'second', 'published', 2, COUNT(*) FILTER (WHERE order_id % 3 = 1) FROM clean_orders""")
+def _conflict(v):
+    """Two writers on one parent: the first one commits, the second one learns of it, reads on and publishes on the new parent."""
+    store, rows, told = Store(v.spark, work_dir(v.spark, "snapshots")), v("clean_orders"), []
+    parent = store.version("target.orders")
+    for step, (writer, rest, on) in enumerate((("first", 0, parent), ("second", 1, parent), ("second", 1, None)), 1):
+        try:
+            store.publish("target.orders", rows.where(F.col("order_id") % 3 == rest), f"{writer}{step}", store.version("target.orders") if on is None else on)
+            outcome = "published"
+        except CommitConflict:
+            outcome = "conflict"
+        told.append(store.current("target.orders").agg(
+            F.lit(step).alias("step"), F.lit(writer).alias("writer"), F.lit(outcome).alias("outcome"),
+            F.lit(store.version("target.orders")).alias("version"), F.count(F.lit(1)).alias("n")))
+    return reduce(DataFrame.unionByName, told)
+
+
 @query("s15_clean_baseline", "SELECT order_date, order_count, net_revenue FROM gold_daily_sales")
 def _baseline(v):
     return rebuild({"source_orders": v("source_orders")})["target_daily_sales"]
@@ -249,8 +273,8 @@ ACCEPTED = f"""(SELECT * FROM {BUNDLES} b WHERE bundle NOT IN (SELECT bundle FRO
 CAPTURED = datetime(2026, 1, 3, 12, tzinfo=timezone.utc)
 
 
-def customer_bundles(v: Inputs) -> DataFrame:
-    """Exported documents, some with a field that version 1 refuses."""
+def customer_records(v: Inputs) -> tuple[DataFrame, Tables]:
+    """Headers and records of bundles, some with a field that version 1 refuses."""
     people = v("customer").select("c_custkey", F.floor(F.col("c_custkey") / F.lit(25)).alias("bundle"))
     clock = F.lit(CAPTURED)
     header = people.select("bundle").distinct().select(
@@ -265,19 +289,23 @@ def customer_bundles(v: Inputs) -> DataFrame:
         F.lit(None).cast("string").alias("dependency_id"), F.lit("Completed").alias("execution_status"),
         F.when(key % 307 == 9, F.lit("elsewhere")).otherwise(F.lit("source")).alias("source_dataset"), F.lit("target").alias("target_dataset"),
         F.when(key % 211 == 7, F.lit(-1)).otherwise(key).alias("rows_read"), key.alias("rows_written"))
-    return bundles.with_hash(bundles.export_bundles(header, {"runs": runs, "activities": activities}))
+    return header, {"runs": runs, "activities": activities}
+
+
+def customer_bundles(v: Inputs) -> DataFrame:
+    """The bundles as one document each."""
+    return bundles.with_hash(bundles.export_bundles(*customer_records(v)))
 
 
 @query("s16_evidence_json", f"""
     SELECT bundle, activity_id, run_id, 'SUCCESS' AS execution_status, c_custkey AS rows_read FROM {ACCEPTED} a""")
 def _json(v):
-    """Documents written as files, read back, judged and typed."""
+    """Record lines written as text, read back, judged and typed; a bundle with a refused record is refused whole."""
     path = work_dir(v.spark, "bundles")
-    customer_bundles(v).select("bundle", "content").write.partitionBy("bundle").mode("overwrite").text(path)
-    read = bundles.read_documents(v.spark, f"{path}/*/*")
-    named = read.withColumn("bundle", F.regexp_extract("bundle", "bundle=([0-9]+)", 1).cast("bigint"))
-    found = bundles.parse_bundles(named)
-    return found.sections["activities"].select("bundle", "activity_id", "run_id", "execution_status", "rows_read")
+    header, sections = customer_records(v)
+    bundles.record_lines(header, sections).write.text(path)
+    found = bundles.parse_records(v.spark.read.text(path))
+    return found.sections["activities"].select(F.col("bundle").cast("bigint").alias("bundle"), "activity_id", "run_id", "execution_status", "rows_read")
 
 
 @query("v01_evidence_problems", f"""
@@ -425,6 +453,52 @@ def _stream(v):
     return stream.merged(v.spark, f"{root}/target", schema, keys, order)
 
 
+@query("m01_stream_state", """
+    SELECT event_id, order_id, event_at, net_amount FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id
+        ORDER BY event_at DESC NULLS FIRST, event_id DESC NULLS FIRST) AS rn FROM incremental_events) r WHERE rn = 1""")
+def _stream_state(v):
+    """The stream stops and starts again between the batches; the last one is late and the first one comes twice."""
+    return keyed_stream(v)[0]
+
+
+def keyed_stream(v: Inputs) -> tuple[DataFrame, DataFrame]:
+    root = work_dir(v.spark, "keyed")
+    columns = ["event_id", "order_id", "event_at", "net_amount"]
+    events = v("incremental_events")
+    schema = events.select(*columns).schema
+    for batches in ((3,), (1, 2), (1,)):
+        events.where(F.col("batch_no").isin(*batches)).select(*columns).write.mode("append").parquet(f"{root}/landed")
+        arriving = stream.read_events(v.spark, f"{root}/landed", schema)
+        keyed.start_keyed_merge(arriving, f"{root}/changes", f"{root}/checkpoint", ["order_id"], ["event_at", "event_id"]).awaitTermination()
+    return keyed.current(v.spark, f"{root}/checkpoint", ["order_id"]).select(*columns), keyed.batch_summary(v.spark, f"{root}/changes")
+
+
+@query("m01_stream_batches", """
+    WITH arrived AS (SELECT *, CASE WHEN batch_no = 3 THEN 0 ELSE 1 END AS batch_id FROM incremental_events),
+    ranked AS (SELECT a.*, ROW_NUMBER() OVER (PARTITION BY order_id, batch_id ORDER BY event_at DESC NULLS FIRST, event_id DESC NULLS FIRST) AS rn
+        FROM arrived a),
+    best AS (SELECT * FROM ranked WHERE rn = 1),
+    stored AS (SELECT b.batch_id, s.order_id, MAX(s.event_at) AS event_at FROM (SELECT DISTINCT batch_id FROM arrived) b
+        JOIN best s ON s.batch_id < b.batch_id GROUP BY b.batch_id, s.order_id),
+    winner AS (SELECT w.batch_id, w.order_id, w.event_at, MAX(s.event_id) AS event_id FROM stored w
+        JOIN best s ON s.order_id = w.order_id AND s.event_at = w.event_at AND s.batch_id < w.batch_id GROUP BY w.batch_id, w.order_id, w.event_at),
+    judged AS (SELECT a.batch_id, a.order_id, w.order_id IS NULL AS fresh,
+            w.order_id IS NOT NULL AND (a.event_at < w.event_at OR (a.event_at = w.event_at AND a.event_id < w.event_id)) AS late
+        FROM arrived a LEFT JOIN winner w ON a.batch_id = w.batch_id AND a.order_id = w.order_id),
+    per_key AS (SELECT batch_id, order_id, COUNT(*) AS n, SUM(CAST(late AS INT)) AS late, BOOL_OR(fresh) AS fresh, BOOL_AND(late) AS kept
+        FROM judged GROUP BY batch_id, order_id)
+    SELECT CAST(batch_id AS BIGINT) AS batch_id, CAST(SUM(n) AS BIGINT) AS rows, CAST(SUM(late) AS BIGINT) AS late, CAST(0 AS BIGINT) AS repeated,
+        COUNT(*) FILTER (WHERE fresh) AS new, COUNT(*) FILTER (WHERE NOT fresh AND NOT kept) AS replaced, COUNT(*) FILTER (WHERE kept) AS kept
+    FROM per_key GROUP BY batch_id
+    UNION ALL SELECT 2, COUNT(*), COUNT(*) - COUNT(*) FILTER (WHERE stored_now), COUNT(*) FILTER (WHERE stored_now), 0, 0, COUNT(DISTINCT order_id)
+    FROM (SELECT e.order_id, r.event_id IS NOT NULL AS stored_now FROM incremental_events e LEFT JOIN
+        (SELECT event_id FROM (SELECT event_id, ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY event_at DESC NULLS FIRST, event_id DESC NULLS FIRST) AS rn
+         FROM incremental_events) x WHERE rn = 1) r ON e.event_id = r.event_id WHERE e.batch_no = 1) again""")
+def _stream_batches(v):
+    """What each batch did: late rows lose, and the repeated batch changes nothing."""
+    return keyed_stream(v)[1]
+
+
 # Rules
 
 RULE_DATASETS = catalog(
@@ -474,16 +548,72 @@ def _q3(v):
     return _extract(results_frame(v.spark, results), customer_id="$.null_counts.customer_id", net_amount="$.null_counts.net_amount")
 
 
-@query("q04_schema", """
-    SELECT 'right' AS rule_id, 'PASS' AS status, (SELECT COUNT(*) FROM target_orders) AS checked_rows
-    UNION ALL SELECT 'wrong', 'FAIL', (SELECT COUNT(*) FROM target_orders)""")
+# The columns of a given table as DuckDB tells them, in the names that rules use.
+STORED = """(SELECT column_name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'integer' WHEN 'DOUBLE' THEN 'double'
+    WHEN 'VARCHAR' THEN 'text' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE column_type END AS kind FROM (DESCRIBE SELECT * FROM {0}))"""
+WANTED = {
+    "right": (("p_partkey", "bigint"), ("p_name", "text"), ("p_brand", "text"), ("p_type", "text"), ("p_size", "integer"), ("p_retailprice", "double")),
+    "wrong": (("p_partkey", "bigint"), ("p_name", "bigint"), ("p_brand", "text"), ("p_colour", "text"), ("p_size", "text")),
+}
+
+
+def _wanted_sql(rule_id: str) -> str:
+    values = ", ".join(f"('{name}', '{kind}')" for name, kind in WANTED[rule_id])
+    return f"""SELECT '{rule_id}' AS rule_id, COALESCE(w.column_name, s.column_name) AS column_name,
+        CASE WHEN s.column_name IS NULL THEN 'absent' WHEN w.column_name IS NULL THEN 'extra' ELSE 'different' END AS reason,
+        w.kind AS expected, s.kind AS actual
+        FROM (VALUES {values}) w(column_name, kind) FULL JOIN {STORED.format('part')} s ON w.column_name = s.column_name
+        WHERE w.kind IS DISTINCT FROM s.kind"""
+
+
+@query("q04_schema", f"""
+    SELECT r.rule_id, CASE WHEN d.column_name IS NULL THEN 'PASS' ELSE 'FAIL' END AS status, d.column_name, d.reason, d.expected, d.actual
+    FROM (VALUES ('right'), ('wrong')) r(rule_id) LEFT JOIN ({" UNION ALL ".join(_wanted_sql(r) for r in WANTED)}) d ON r.rule_id = d.rule_id""")
 def _q4(v):
-    right = tuple((n, t, True) for n, t in (
-        ("order_id", "bigint"), ("customer_id", "bigint"), ("ordered_at", "timestamp_ntz"), ("net_amount", "numeric")))
-    wrong = (*right[:3], ("net_amount", "double", True))
-    results = execute_rules([schema_of("right", "target", columns=right), schema_of("wrong", "target", columns=wrong)], rule_source(v), RULE_DATASETS)
-    return results_frame(v.spark, results).select("rule_id", "status").withColumn(
-        "checked_rows", v("target_orders").agg(F.count(F.lit(1))).scalar())
+    """Columns that are absent, extra or of another type, one row of evidence each."""
+    source = FrameSource({"parts": v("part")})
+    rules = [schema_of(name, "parts", columns=[(c, kind, True) for c, kind in columns]) for name, columns in WANTED.items()]
+    frame = results_frame(v.spark, execute_rules(rules, source, catalog(Dataset("parts", "part", run_scoped=False))))
+    rows = frame.select("rule_id", "status", F.explode_outer("evidence").alias("e"))
+
+    def at(path: str):
+        return F.get_json_object("e", path)
+
+    return rows.select(
+        "rule_id", "status", at("$.column").alias("column_name"), at("$.reason").alias("reason"), at("$.expected[0]").alias("expected"),
+        at("$.actual[0]").alias("actual"))
+
+
+@query("q07_suite_problems", """
+    WITH rules AS (SELECT *, kind IN ('KEY_RECONCILIATION', 'FIELD_RECONCILIATION') AS paired FROM declared_rules),
+    named AS (SELECT suite_id, place, COUNT(*) AS n FROM declared_datasets GROUP BY suite_id, place),
+    listed AS (SELECT suite_id, place, COUNT(*) AS n, COUNT(DISTINCT column_name) AS different,
+        BOOL_AND(regexp_matches(column_name, '^[a-z_][a-z0-9_]*$')) AS plain FROM declared_columns GROUP BY suite_id, place)
+    SELECT DISTINCT suite_id, CAST(NULL AS BIGINT) AS place, 'suite id is not a plain name' AS problem FROM rules
+        WHERE NOT regexp_matches(suite_id, '^[a-z_][a-z0-9_]*$')
+    UNION ALL SELECT suite_id, place, 'blank rule id' FROM rules WHERE TRIM(rule_id) = ''
+    UNION ALL SELECT suite_id, place, 'evidence is not between 1 and 100' FROM rules WHERE paired AND (evidence < 1 OR evidence > 100)
+    UNION ALL SELECT suite_id, place, 'rule id used again' FROM rules r WHERE TRIM(rule_id) <> '' AND EXISTS
+        (SELECT 1 FROM rules e WHERE e.suite_id = r.suite_id AND e.rule_id = r.rule_id AND e.place < r.place)
+    UNION ALL SELECT suite_id, place, 'no such dataset: ' || dataset_id FROM declared_datasets
+        WHERE dataset_id NOT IN (SELECT dataset_id FROM declared_catalog)
+    UNION ALL SELECT r.suite_id, r.place, 'wrong number of datasets' FROM rules r LEFT JOIN named n ON r.suite_id = n.suite_id AND r.place = n.place
+        WHERE COALESCE(n.n, 0) <> CASE WHEN paired THEN 2 ELSE 1 END
+    UNION ALL SELECT r.suite_id, r.place, 'no columns' FROM rules r WHERE kind <> 'RECORD_COUNT' AND NOT EXISTS
+        (SELECT 1 FROM listed l WHERE l.suite_id = r.suite_id AND l.place = r.place)
+    UNION ALL SELECT r.suite_id, r.place, 'column used again' FROM rules r JOIN listed l ON r.suite_id = l.suite_id AND r.place = l.place
+        WHERE kind <> 'RECORD_COUNT' AND l.different < l.n
+    UNION ALL SELECT r.suite_id, r.place, 'column is not a plain name' FROM rules r JOIN listed l ON r.suite_id = l.suite_id AND r.place = l.place
+        WHERE kind <> 'RECORD_COUNT' AND NOT l.plain""")
+def _q7(v):
+    return suites.suite_problems(v("declared_rules"), v("declared_datasets"), v("declared_columns"), v("declared_catalog"))
+
+
+@query("q07_catalog_problems", """
+    SELECT dataset_id, 'dataset id used again' AS problem FROM declared_catalog GROUP BY dataset_id HAVING COUNT(*) > 1
+    UNION ALL SELECT DISTINCT dataset_id, 'dataset id is not a plain name' FROM declared_catalog WHERE NOT regexp_matches(dataset_id, '^[a-z_][a-z0-9_]*$')""")
+def _q7_catalog(v):
+    return suites.catalog_problems(v("declared_catalog"))
 
 
 @query("q05_key_reconciliation", """
@@ -560,74 +690,18 @@ def _q9(v):
 
 
 @query("q11_run_invariants", """
-    SELECT run_id, ended_at < started_at AS ends_early, ended_at IS NULL AS open FROM cloud_runs""")
+    SELECT activity_id, problem FROM (
+        SELECT activity_id, rows_read, started_at, ended_at, 'negative_rows' AS problem FROM timed_activities WHERE rows_read < 0
+        UNION ALL SELECT activity_id, rows_read, started_at, ended_at, 'end_without_start' FROM timed_activities
+            WHERE ended_at IS NOT NULL AND started_at IS NULL
+        UNION ALL SELECT activity_id, rows_read, started_at, ended_at, 'end_before_start' FROM timed_activities WHERE ended_at < started_at) p""")
 def _q11(v):
-    return v("cloud_runs").select(
-        "run_id", (F.col("ended_at") < F.col("started_at")).alias("ends_early"), F.col("ended_at").isNull().alias("open"))
+    """Every activity with the times of its run, some of them impossible."""
+    timed = v("timed_activities")
+    return timed.select("activity_id", F.explode(run_problems("started_at", "ended_at", "rows_read")).alias("problem"))
 
 
-# Faults and certification over whole tables
-
-def certified(check: str, name: str, names: list[str], counts: dict[str, int], build, scenarios: dict[str, str] | None = None):
-    """Counts per variant from one grouped job, against independently stated ones."""
-    values = ", ".join(f"('{k}', {n})" for k, n in counts.items())
-    oracle = (f"SELECT variant_id, CAST(n AS BIGINT) AS violation_count, CAST(n AS BIGINT) AS expected_count, 'PASS' AS status "
-              f"FROM (VALUES {values}) c(variant_id, n)")
-
-    @query(name, oracle)
-    def run(v: Inputs) -> DataFrame:
-        clean = build(v)
-        variants = {k: inject(clean, (scenarios or {}).get(k, k)) for k in counts}
-        found = certify.count_variants(CHECKS[check], variants, names)
-        stated = v.spark.createDataFrame(list(counts.items()), "variant_id string, expected_count bigint")
-        return certify.judged(found, stated)
-
-    return run
-
-
-def clean_orders(v: Inputs) -> Tables:
-    return rebuild({"source_orders": v("source_orders")})
-
-
-ORDERS = ["source_orders", "target_orders", "gold_daily_sales", "target_daily_sales"]
-certified("C01", "f01_missing_and_swapped", ORDERS[:2], {"clean": 0, "missing": 1, "swapped": 2}, clean_orders)
-certified("C04", "f02_duplicates", ["target_orders"], {
-    "clean": 0, "duplicate_order": 1, "duplicate_last": 1, "duplicate_twice": 2, "duplicate_triple": 1}, clean_orders)
-certified("C03", "f03_null_amounts", ["target_orders"], {"clean": 0, "null_net_amount": 1, "null_last": 1, "null_two": 2}, clean_orders)
-certified("C05", "f04_wrong_amounts", ORDERS[:2], {
-    "clean": 0, "wrong_net_amount": 1, "wrong_last": 1, "wrong_two": 2, "null_net_amount": 1}, clean_orders)
-certified("C06", "f05_equal_count_swap", ORDERS, {"clean": 0, "swapped": 2}, clean_orders)
-certified("C02", "f06_invalid_customers", ["target_orders"], {
-    "invalid_customer": 1, "invalid_customer_last": 1, "invalid_customer_two": 2}, lambda v: {
-    **clean_orders(v), "target_orders": clean_orders(v)["target_orders"].withColumn("customer_id", F.col("customer_id") + 1)})
-certified("C06", "f07_daily_and_mixed", ORDERS, {
-    "clean": 0, "daily_wrong": 1, "daily_missing": 1, "mixed_order_faults": 7}, clean_orders)
-certified("C06", "f08_clean_controls", ORDERS, {"clean": 0, "clean_subset": 0, "clean_zero": 0}, clean_orders)
-certified("C07", "f09_join_grain", ["order_lines", "target_order_totals"], {
-    "clean": 0, "join_fanout": 1, "join_fanout_two": 2, "join_missing": 1, "join_unexpected": 1, "join_null": 1, "join_zero": 0},
-    lambda v: {"order_lines": v("order_lines"), "target_order_totals": v("line_totals")})
-
-
-def clean_versions(v: Inputs) -> Tables:
-    from plumbline.operators.versions import latest_by, type1_current, type2_history
-
-    changes = v("source_customer_changes")
-    return {
-        "source_order_events": v("source_order_events"),
-        "target_current_orders": latest_by(v("source_order_events"), ["order_id"], ["updated_at", "event_id"]),
-        "source_customer_changes": changes, "target_customers_current": type1_current(changes),
-        "target_customer_history": type2_history(changes),
-    }
-
-
-certified("C08", "f10_stale_versions", ["source_order_events", "target_current_orders"], {
-    "clean": 0, "latest_stale": 1, "latest_stale_two": 2, "latest_missing": 1, "latest_null": 1}, clean_versions)
-certified("C12", "f10_stale_customers", ["source_customer_changes", "target_customers_current"], {
-    "clean": 0, "scd1_stale": 1, "scd1_missing": 1, "scd1_null": 1}, clean_versions)
-certified("C09", "f11_utc_days", ["source_time_orders", "target_utc_daily"], {
-    "clean": 0, "utc_connection_zone": 0, "utc_missing": 1, "utc_null": 1},
-    lambda v: {"source_time_orders": v("source_time_orders"), "target_utc_daily": v("clean_utc_daily")})
-
+# Faults and certification
 
 @query("f11_local_days", """
     SELECT CAST(ordered_at + INTERVAL '7' HOUR AS DATE) AS order_date, COUNT(*) AS order_count,
@@ -650,87 +724,6 @@ def _policies(v):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def fresh(v: Inputs) -> Tables:
-    clock = v("events").agg(F.max("ts").alias("as_of"))
-    needs = v("freshness_requirements").select("dataset_id", "as_of", F.expr("sla_minutes + cast(crc32(dataset_id) % 1000 as int) as sla_minutes"))
-    from plumbline.operators.scope import attach
-
-    seen = attach(v("freshness_requirements").select("dataset_id"), clock)
-    observed = seen.select(
-        "dataset_id", F.expr("as_of - interval '1' minute").alias("last_success_at"), F.expr("as_of - interval '2' minute").alias("last_event_at"),
-        F.lit("SUCCESS").alias("execution_status"))
-    return {"freshness_requirements": needs, "freshness_observations": observed}
-
-
-certified("C11", "f13_freshness", ["freshness_requirements", "freshness_observations"], {
-    "clean": 0, "fresh_boundary": 0, "fresh_stale": 1, "fresh_load_stale": 1, "fresh_missing": 1, "fresh_null": 1, "fresh_future": 1,
-    "fresh_failed": 1, "fresh_multiple": 2}, fresh)
-certified("C13", "f14_history_faults", ["source_customer_changes", "target_customer_history"], {
-    "clean": 0, "scd2_missing": 1, "scd2_two_current": 2, "scd2_duplicate": 3, "scd2_wrong_tier": 1, "scd2_gap": 1},
-    lambda v: clean_versions(v))
-
-
-def clean_etl(v: Inputs) -> Tables:
-    context = v("etl_context").withColumn("batch_no", F.lit(3))
-    return faults.etl_outputs({"etl_context": context, "etl_customers": v("etl_customers"), "etl_source": v("etl_source")})
-
-
-def clean_text_etl(v: Inputs) -> Tables:
-    context = v("etl_context").withColumn("batch_no", F.lit(3))
-    return faults.etl_outputs({"etl_context": context, "etl_customers": v("etl_customers"), "etl_source": v("etl_clean_source")})
-
-
-certified("C16", "f15_quarantine_faults", ["etl_source", "etl_target", "etl_rejects"], {
-    "clean": 0, "etl_drop_reject": 1, "etl_accept_invalid": 1}, clean_etl)
-certified("C15", "f15_transform_faults", ["etl_source", "etl_target"], {
-    "clean": 0, "etl_null_amount": 1, "etl_rounding": 1}, clean_text_etl)
-certified("C14", "f15_mapping_faults", ["etl_source", "etl_customers", "etl_target"], {
-    "clean": 0, "etl_wrong_mapping": 1, "etl_missing": 1}, clean_text_etl)
-
-
-def clean_layers(v: Inputs) -> Tables:
-    context = v("cloud_context")
-    base = v.tables("cloud_context", "cloud_source", "cloud_expected_schema", "cloud_expected_partitions")
-    return {
-        **base, **loads.publish_layers(base["cloud_source"], context.select("batch_no").scalar(), context.select("as_of").scalar()),
-        "cloud_schema": base["cloud_expected_schema"],
-    }
-
-
-LAYER_TABLES = ["cloud_context", "cloud_source", "cloud_bronze", "cloud_silver", "cloud_target"]
-certified("C25", "f17_layer_faults", LAYER_TABLES, {
-    "cloud_clean": 0, "cloud_layer_swap": 2, "cloud_layer_amount": 1, "cloud_layer_duplicate": 1}, clean_layers)
-certified("C27", "f17_publish_faults", LAYER_TABLES, {
-    "cloud_clean": 0, "cloud_copy_missing": 1, "cloud_copy_swap": 2, "cloud_replay_duplicate": 1}, clean_layers)
-
-
-def clean_contracts(v: Inputs) -> Tables:
-    run = F.lit("run-1").alias("run_id")
-    return {
-        "db_contract": v("db_contract"), "db_publication": v("db_contract").select("*", run),
-        "db_expected_after": v("db_expected_after"), "db_after": v("db_expected_after").select("*", run),
-        "sy_expected_fact": v("sy_expected_fact"), "sy_fact": v("sy_expected_fact").select("*", run),
-        "az_expected_files": v("az_expected_files"),
-        "az_files": v("az_expected_files").select("*", v("cloud_context").select("as_of").scalar().alias("observed_at"), run),
-        "cloud_context": v("cloud_context"), "az_required_access": v("az_required_access"),
-        "az_access": v("az_required_access").select(
-            "*", F.lit("ALLOWED").alias("outcome"), v("cloud_context").select("as_of").scalar().alias("observed_at"), run),
-    }
-
-
-certified("C31", "f18_publication_faults", ["db_contract", "db_publication"], {
-    "f_clean": 0, "f_lost": 1, "f_classification": 1, "f_duplicate_publication": 1}, clean_contracts)
-certified("C32", "f18_version_faults", ["db_expected_after", "db_after"], {
-    "f_clean": 0, "f_stale_overwrite": 1, "f_duplicate_replay": 1, "f_unintended_delete": 1}, clean_contracts)
-certified("C33", "f18_fact_faults", ["sy_expected_fact", "sy_fact"], {
-    "f_clean": 0, "f_fact_missing": 1, "f_fact_unexpected": 1, "f_dimension_mapping": 1}, clean_contracts)
-certified("C35", "f18_file_faults", ["az_expected_files", "az_files"], {
-    "f_clean": 0, "f_file_missing": 1, "f_file_unexpected": 1, "f_file_duplicate": 1, "f_file_route": 1}, clean_contracts)
-certified("C36", "f18_access_faults", ["cloud_context", "az_required_access", "az_access"], {
-    "f_clean": 0, "f_access_denied": 1, "f_access_identity": 1, "f_access_scope": 1, "f_access_missing": 1, "f_access_future": 1},
-    clean_contracts)
-
-
 @query("f16_page_faults", """
     SELECT 'api_missing_page' AS scenario, COUNT(*) - 1 AS records, COUNT(DISTINCT order_id) - 1 AS ids FROM api_expected
     UNION ALL SELECT 'api_duplicate_page', COUNT(*) + 1, COUNT(DISTINCT order_id) FROM api_expected
@@ -804,7 +797,7 @@ def _result(v):
     UNION ALL SELECT 'null_net_amount', 'FAIL', 0, 1 UNION ALL SELECT 'missing', 'PASS', 1, 1""")
 def _independent(v):
     """A check that only counts rows misses a null: its count is right for one defect and wrong for the other."""
-    clean = clean_orders(v)
+    clean = rebuild({"source_orders": v("source_orders")})
     variants = {k: inject(clean, k) for k in ("clean", "null_net_amount", "missing")}
     text = "SELECT (SELECT COUNT(*) FROM source_orders) - (SELECT COUNT(*) FROM target_orders) AS violation_count"
     cases = certify.certify_text(text, variants, {"clean": 0, "null_net_amount": 1, "missing": 1})

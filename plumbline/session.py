@@ -28,10 +28,15 @@ def build_session(app_name: str = "plumbline", master: str | None = None, **conf
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for intermediate tables, deleted when the driver ends.
 
-    It lies in the shared folder that ``spark.checkpoint.dir`` names; where that is unset, in the warehouse.
+    It lies in the shared folder that ``spark.checkpoint.dir`` names; where that is unset, in the warehouse. A warehouse on
+    the driver's own disk is no place for tables that executors of a cluster write, and is refused.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    base = shared or spark.conf.get("spark.sql.warehouse.dir")
     path = f"{base.rstrip('/')}/plumbline/{purpose}-{uuid.uuid4().hex}"
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not shared and files.getScheme() == "file" and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share: {base} is a local disk")
+    files.deleteOnExit(folder)
     return path

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.exprs import json_key, json_type_ok
-from plumbline.operators.scope import attach
+from plumbline.operators.ranges import join_keys, largest_key, previous_row, running_sum
+from plumbline.session import work_dir
 
 ATTEMPT_SCHEMA = T.StructType([
     T.StructField("page", T.LongType()),
@@ -35,21 +36,63 @@ def write_attempts(attempts: DataFrame, path: str) -> None:
     attempts.write.mode("overwrite").json(path)
 
 
-def page_records(attempts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Items of the pages fetched with status 200, up to the first page that ends the crawl.
+def chained_pages(pages: DataFrame, by: Sequence[str] = (), first_page: int = 1) -> DataFrame:
+    """Pages that a crawl reaches from its first page through ``next_page``, each once: the crawl's own order.
 
-    A crawl ends at a page whose final attempt failed or that names no next page.
+    ``pages`` has ``page`` and ``next_page`` of the pages that were fetched. A page that isn't there, or was reached before, ends
+    the crawl. Runs of pages that name their direct successor become one link each; the links are followed by pointer
+    doubling, so a crawl of n links takes log2(n) joins, and a table whose crawls are single runs takes none.
     """
-    final = attempts.where("final").select(
-        *by, "page", "status",
-        F.when(F.col("status") == 200, F.try_parse_json("body")).alias("document"),
-    )
+    known = pages.groupBy(*by, "page").agg(F.min("next_page").alias("next_page"))
+    jumps = known.where("next_page <> page + 1").select(*by, F.col("next_page").alias("page")).distinct()
+    entered = join_keys(known, jumps.withColumn("entered", F.lit(True)), [*by, "page"])
+    largest = largest_key(known, by) if by else known.count()
+    everything = [*by] or ["_all"]
+    placed = entered if by else entered.withColumn("_all", F.lit(0))
+    behind = previous_row(placed, everything, "page", ["next_page"], largest)
+    follows = (F.col("_prev_page") == F.col("page") - 1) & (F.col("_prev_next_page") == F.col("page"))
+    heads = behind.withColumn("head", (F.coalesce(F.col("entered"), F.lit(False)) | ~F.coalesce(follows, F.lit(False))).cast("int"))
+    runs = running_sum(heads, everything, "page", "head", "run", largest).select(*by, "page", "next_page", "run")
+    links = runs.groupBy(*by, "run").agg(F.min("page").alias("page"), F.max_by("next_page", "page").alias("next_page"))
+    starts = links.select(*by, F.col("page").alias("next_page"), F.col("run").alias("follower"))
+    pointers = join_keys(links, starts, [*by, "next_page"]).select(*by, "run", "page", "follower")
+    reached = pointers.where(F.col("page") == first_page).select(*by, "run")
+    pointers = pointers.where(F.col("follower").isNotNull()).select(*by, "run", "follower")
+    if not pointers.isEmpty():
+        reached = _followed(reached, pointers, by)
+    return join_keys(runs, reached, [*by, "run"], "inner").select(*by, "page")
+
+
+def _followed(reached: DataFrame, pointers: DataFrame, by: Sequence[str]) -> DataFrame:
+    """All runs on the way from the reached ones. Each round knows twice as many of them and points twice as far."""
+    reached = _stored(reached)
+    while True:
+        pointers = _stored(pointers)
+        further = join_keys(pointers, reached, [*by, "run"], "inner").select(*by, F.col("follower").alias("run"))
+        grown = _stored(reached.unionByName(further).distinct())
+        if grown.count() == reached.count():
+            return grown
+        reached = grown
+        ahead = pointers.select(*by, F.col("run").alias("follower"), F.col("follower").alias("beyond"))
+        pointers = join_keys(pointers, ahead, [*by, "follower"], "inner").select(*by, "run", F.col("beyond").alias("follower"))
+
+
+def _stored(frame: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder, so that a round doesn't repeat the rounds before it."""
+    path = work_dir(frame.sparkSession, "crawl")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def page_records(attempts: DataFrame, by: Sequence[str] = (), first_page: int = 1) -> DataFrame:
+    """Items of the pages that the crawl reaches: from its first page on, each page names the next one.
+
+    A crawl ends at a page whose final attempt failed, that names no next page or one that didn't land, or that leads
+    back to a page it has been to. Pages that no reached page names don't count.
+    """
+    final = attempts.where("final").where(F.col("status") == 200).select(*by, "page", F.try_parse_json("body").alias("document"))
     follows = F.try_variant_get("document", "$.next_page", "bigint")
-    stops = ~F.col("status").eqNullSafe(F.lit(200)) | follows.isNull()
-    last = final.groupBy(*by).agg(F.min(F.when(stops, F.col("page"))).alias("last_page"))
-    inside = attach(final, last, by).where(
-        (F.col("status") == 200) & (F.col("last_page").isNull() | (F.col("page") <= F.col("last_page")))
-    )
+    inside = join_keys(final, chained_pages(final.select(*by, "page", follows.alias("next_page")), by, first_page), [*by, "page"], "left_semi")
     items = F.posexplode(F.try_variant_get("document", "$.items", "array<variant>")).alias("pos", "item")
     rows = inside.select(*by, "page", items)
     return rows.withColumn("record_key", json_key(F.col("item"), "order_id"))

@@ -1,22 +1,16 @@
-"""Layer tables as Parquet folders: one folder per run or snapshot, published by a manifest row."""
+"""Layer tables as Parquet folders: one folder per run or snapshot, published by a numbered commit."""
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline import schemas
-
-MANIFEST = T.StructType([
-    T.StructField("table_name", T.StringType()),
-    T.StructField("snapshot_id", T.StringType()),
-    T.StructField("published_at", T.TimestampType()),
-])
-
+from plumbline.sources.commits import Commit, CommitConflict, Commits, StepLog
 
 def now() -> datetime:
     return datetime.now(timezone.utc)
@@ -27,8 +21,9 @@ class Store:
 
     A run or snapshot is written to its own folder, so a repeated write replaces
     only itself and readers of other runs never notice. Spark has no transaction
-    over several Parquet folders: a snapshot counts only once its manifest row,
-    written last, is there.
+    over several Parquet folders: a snapshot counts only once its commit, written
+    last, is there. Commits of a table are numbered, and a number can be taken once, so
+    of two writers on one parent one wins and the other one learns of it.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -48,10 +43,15 @@ class Store:
 
     # Run-scoped layer tables
 
-    def write_run(self, table: str, df: DataFrame, run_id: str) -> None:
+    def write_run(self, table: str, df: DataFrame, run_id: str, *metrics: Column) -> dict:
+        """Write a run's rows. Aggregates in ``metrics`` are observed by the write itself: nothing is read again."""
         declared = schemas.struct(table)
-        columns = [F.col(f.name).cast(f.dataType) for f in declared if f.name != "run_id"]
-        df.select(*columns).write.mode("overwrite").parquet(f"{self.path(table)}/run_id={run_id}")
+        rows = df.select(*[F.col(f.name).cast(f.dataType) for f in declared if f.name != "run_id"])
+        seen = Observation()
+        if metrics:
+            rows = rows.observe(seen, *metrics)
+        rows.write.mode("overwrite").parquet(f"{self.path(table)}/run_id={run_id}")
+        return seen.get if metrics else {}
 
     def read_run(self, table: str, run_id: str) -> DataFrame:
         return self.read(table).where(F.col("run_id") == run_id)
@@ -92,23 +92,40 @@ class Store:
         data = [tuple(row.get(f.name) for f in schema) for row in rows]
         self.spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(self.path(table))
 
-    def log(self, table: str, schema_of: str) -> list[dict]:
-        """The rows of a step log in order."""
-        rows = self._read_or_empty(schemas.struct(schema_of), self.path(table)).orderBy("step_no").collect()
-        return [r.asDict() for r in rows]
+    def steps(self, table: str, schema_of: str) -> StepLog:
+        """A log whose steps are numbered commits."""
+        return StepLog(self.spark, self.path(table), schemas.struct(schema_of))
 
     # Snapshots
 
-    def mark(self, table: str, snapshot_id: str) -> None:
-        """Make a written snapshot the current one, by one manifest row."""
-        row = self.spark.createDataFrame([(table, snapshot_id, now())], MANIFEST)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/_published")
+    def commits(self, table: str) -> Commits:
+        return Commits(self.spark, f"{self.root}/_commits/{table}")
+
+    def mark(self, table: str, snapshot_id: str, parent: int | None = None) -> Commit:
+        """Make a written snapshot the current one, by one commit.
 
-    def publish_together(self, name: str, parts: dict[str, DataFrame], snapshot_id: str) -> None:
-        """Write several tables, then make all of them current by the same row."""
+        With ``parent``, the number of the commit that the snapshot was made from (0: none), a commit in between is a
+        CommitConflict. Without it the snapshot replaces whatever is current: a writer that loses reads on and tries again.
+        """
+        body = {"snapshot_id": snapshot_id, "published_at": now()}
+        if parent is not None:
+            return self.commits(table).commit(body, parent)
+        while True:
+            try:
+                return self.commits(table).commit(body, self.version(table))
+            except CommitConflict:
+                continue
+
+    def version(self, table: str) -> int:
+        """The number of the current commit, 0 before the first one."""
+        head = self.commits(table).head()
+        return head.number if head else 0
+
+    def publish_together(self, name: str, parts: dict[str, DataFrame], snapshot_id: str, parent: int | None = None) -> Commit:
+        """Write several tables, then make all of them current by the same commit."""
         for part, df in parts.items():
             df.write.mode("overwrite").parquet(f"{self.path(name)}.{part}/snapshot={snapshot_id}")
-        self.mark(name, snapshot_id)
+        return self.mark(name, snapshot_id, parent)
 
     def current_part(self, name: str, part: str) -> DataFrame:
         snapshot_id = self.current_snapshot(name)
@@ -116,18 +133,14 @@ class Store:
             raise LookupError(f"{name} has no published snapshot")
         return self.spark.read.parquet(f"{self.path(name)}.{part}/snapshot={snapshot_id}")
 
-    def publish(self, table: str, df: DataFrame, snapshot_id: str) -> None:
+    def publish(self, table: str, df: DataFrame, snapshot_id: str, parent: int | None = None) -> Commit:
         """Write a whole new snapshot, then make it the current one."""
         df.write.mode("overwrite").parquet(f"{self.path(table)}/snapshot={snapshot_id}")
-        self.mark(table, snapshot_id)
-
-    def published(self) -> DataFrame:
-        return self._read_or_empty(MANIFEST, f"{self.root}/_published")
+        return self.mark(table, snapshot_id, parent)
 
     def current_snapshot(self, table: str) -> str | None:
-        mine = self.published().where(F.col("table_name") == table)
-        last = mine.orderBy(F.col("published_at").desc(), F.col("snapshot_id").desc()).limit(1).collect()
-        return last[0].snapshot_id if last else None
+        head = self.commits(table).head()
+        return head.body["snapshot_id"] if head else None
 
     def current(self, table: str) -> DataFrame:
         snapshot_id = self.current_snapshot(table)

@@ -5,8 +5,9 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 
 from plumbline.contracts import QualityStatus
-from plumbline.operators.certify import certify
+from plumbline.operators.certify import certify, count_by_difference, count_variants
 from plumbline.operators.checks import CHECKS
+from plumbline.operators.faults import inject
 from tests import fixtures
 
 
@@ -20,3 +21,21 @@ def test_variant_counts(spark, check):
     cases = certify(CHECKS[check], variants, names, expected)
     assert {c.variant: c.count for c in cases} == expected
     assert {c.status for c in cases} == {QualityStatus.PASS}
+
+
+@pytest.mark.parametrize("check,domains", [
+    ("C06", {"source_orders": "order_id", "target_orders": "order_id", "gold_daily_sales": "order_date", "target_daily_sales": "order_date"}),
+    ("C08", {"source_order_events": "order_id", "target_current_orders": "order_id"}),
+    ("C35", {"az_expected_files": "file_id", "az_files": "file_id"}),
+])
+def test_counts_by_difference_equal_whole_counts(spark, check, domains):
+    """On tables with a key that holds a third of the rows, and far more keys than lie near the edits."""
+    expected = {v: n for v, n in fixtures.COUNTS[check].items() if not v.startswith(("alt__", "f_sh", "f_z", "adv_", "clean_"))}
+    clean = {n: fixtures.build(spark, check, "f_clean" if check == "C35" else "clean")[n] for n in domains}
+
+    def variants(tables):
+        return {v: inject(tables, v) for v in expected}
+
+    found = count_by_difference(CHECKS[check], clean, domains, {}, variants, list(expected)).collect()
+    whole = count_variants(CHECKS[check], variants(clean), list(domains)).collect()
+    assert {r.variant_id: r.violation_count for r in found} == {r.variant_id: r.violation_count for r in whole} == expected

@@ -1,7 +1,9 @@
 """Evidence documents: what is accepted, what is refused and why, and the way back out."""
 
+import hashlib
 import json
 from datetime import datetime, timezone
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,14 +13,24 @@ from plumbline.sources import evidence
 from tests import fixtures
 from tests.fixtures import frame
 
-RECORD = {"order_id": 1, "customer_id": 101, "amount": "1.01", "updated_at": "2026-01-01T07:00:00+00:00", "event_id": 1,
-          "batch_no": 1, "run_id": "run-1"}
-GOOD = {
-    "version": 1, "provider": "Fabric", "resource_id": "workspace", "as_of": "2026-01-03T12:00:00+00:00", "batch_no": 1, "steps": [],
-    "runs": [{"run_id": "run-1", "execution_status": "Succeeded", "started_at": "2026-01-03T11:50:00Z", "ended_at": None}],
-    "activities": [{"activity_id": "copy-1", "run_id": "run-1", "execution_status": "Odd", "source_dataset": "source", "rows_read": 4}],
-    "datasets": {"source": [RECORD, {**RECORD, "order_id": 2, "amount": None}]},
-}
+CAPTURED = datetime(2033, 5, 9, 21, 15)
+
+
+def record(i=1, **changes):
+    return {"order_id": 40 + i, "customer_id": 7 * i, "amount": f"{i}.5", "updated_at": f"2033-05-0{i}T18:45:00Z", "event_id": 900 + i,
+            "batch_no": 2, "run_id": f"nightly-{i % 2}", **changes}
+
+
+def document(**changes):
+    """Two runs, an activity without rows written, and records in two layers."""
+    base = {
+        "version": 1, "provider": "ADF", "resource_id": "factory-9", "as_of": "2033-05-09T21:15:00+00:00", "batch_no": 2, "steps": [],
+        "runs": [{"run_id": f"nightly-{i}", "execution_status": word, "started_at": f"2033-05-09T2{i}:05:00+01:00", "ended_at": None}
+                 for i, word in enumerate(("Completed", "Cancelled"))],
+        "activities": [{"activity_id": "pull", "run_id": "nightly-0", "execution_status": "Queued", "source_dataset": "source", "rows_read": 3}],
+        "datasets": {"source": [record(1), record(2, amount=None), record(3)], "target": [record(3)]},
+    }
+    return {k: v for k, v in {**base, **changes}.items() if v is not ...}
 
 
 def documents(spark, *contents):
@@ -26,84 +38,79 @@ def documents(spark, *contents):
     return evidence.with_hash(spark.createDataFrame(rows, "bundle string, content string"))
 
 
-def reasons(spark, document):
-    found = evidence.parse_bundles(documents(spark, document))
-    return sorted(r.reason for r in found.problems.collect())
-
-
-def test_good_document_is_typed(spark):
-    found = evidence.parse_bundles(documents(spark, GOOD))
-    assert found.problems.count() == 0
-    run = found.sections["runs"].first()
-    assert (run.execution_status, run.ended_at) == ("SUCCESS", None)
-    assert run.started_at == datetime(2026, 1, 3, 11, 50)
-    assert found.sections["activities"].first().execution_status == "UNKNOWN"
-    rows = found.sections["datasets.source"].orderBy("order_id").collect()
-    assert [str(r.amount) for r in rows] == ["1.01", "None"]
-
-
-def with_record(**changes):
-    return {**GOOD, "datasets": {"source": [{**RECORD, **changes}]}}
-
-
-REFUSED = [
-    ("{not json", "invalid JSON"),
-    ('{"version": 1, "version": 1, "provider": "Fabric", "as_of": null}', "invalid JSON"),
-    ({**GOOD, "extra": 1}, "unknown field"),
-    ({**GOOD, "version": 2}, "unsupported version"),
-    ({**GOOD, "version": True}, "unsupported version"),
-    ({**GOOD, "provider": "Other"}, "unsupported provider"),
-    ({k: v for k, v in GOOD.items() if k != "as_of"}, "missing field: as_of"),
-    ({**GOOD, "as_of": "2026-01-03T12:00:00"}, "invalid timestamp: as_of"),
-    ({**GOOD, "runs": GOOD["runs"] * 2}, "repeated run_id"),
-    ({**GOOD, "runs": {}}, "not an array: runs"),
-    ({**GOOD, "datasets": {"gold": []}}, "unknown field"),
-    (with_record(order_id=True), "invalid integer: order_id"),
-    (with_record(order_id=-1), "invalid integer: order_id"),
-    (with_record(order_id=1.0), "invalid integer: order_id"),
-    (with_record(amount=1.01), "invalid money: amount"),
-    (with_record(amount="1.001"), "invalid money: amount"),
-    (with_record(updated_at="2026-01-01"), "invalid timestamp: updated_at"),
-    (with_record(run_id=""), "invalid text: run_id"),
-    (with_record(run_id="a\u0001"), "invalid text: run_id"),
-    (with_record(note="x"), "unknown field"),
-]
+def reasons(spark, content):
+    return sorted(r.reason for r in evidence.parse_bundles(documents(spark, content)).problems.collect())
+
+
+def test_a_sound_document_is_typed(spark):
+    found = evidence.parse_bundles(documents(spark, document()))
+    assert found.problems.isEmpty()
+    runs = {r.run_id: r for r in found.sections["runs"].collect()}
+    assert {k: r.execution_status for k, r in runs.items()} == {"nightly-0": "SUCCESS", "nightly-1": "CANCELLED"}
+    assert runs["nightly-1"].started_at == datetime(2033, 5, 9, 20, 5) and runs["nightly-0"].ended_at is None
+    assert [r.execution_status for r in found.sections["activities"].collect()] == ["UNKNOWN"]
+    assert {r.order_id: r.amount for r in found.sections["datasets.source"].collect()} == {41: Decimal("1.50"), 42: None, 43: Decimal("3.50")}
+    assert found.sections["datasets.target"].count() == 1
+
+
+# What a document may not be, by the reason that is given. ``...`` leaves a field out.
+NOT_JSON = ("[1, 2", '{"provider": "ADF", "provider": "ADF", "version": 1}')
+WRONG_HEADERS = {
+    "unknown field": [{"comment": ""}, {"datasets": {"archive": []}}],
+    "unsupported version": [{"version": 0}, {"version": True}, {"version": "1"}],
+    "unsupported provider": [{"provider": "Cron"}],
+    "missing field: as_of": [{"as_of": ...}],
+    "invalid timestamp: as_of": [{"as_of": "2033-05-09T21:15:00"}, {"as_of": 5}],
+    "repeated run_id": [{"runs": document()["runs"] + document()["runs"][:1]}],
+    "not an array: runs": [{"runs": {"run_id": "nightly-0"}}],
+}
+WRONG_RECORDS = {
+    "invalid integer: order_id": [{"order_id": False}, {"order_id": -7}, {"order_id": 41.0}, {"order_id": "41"}],
+    "invalid money: amount": [{"amount": 1.5}, {"amount": "0.125"}, {"amount": "1,5"}],
+    "invalid timestamp: updated_at": [{"updated_at": "2033-05-01"}],
+    "invalid text: run_id": [{"run_id": ""}, {"run_id": "line\u0007"}],
+    "unknown field": [{"colour": "red"}],
+}
 
 
 def test_refused_documents(spark):
-    found = evidence.parse_bundles(documents(spark, GOOD, *[d for d, _ in REFUSED]))
-    reasons_of = {}
+    refused = [(text, "invalid JSON") for text in NOT_JSON]
+    refused += [(document(**change), reason) for reason, changes in WRONG_HEADERS.items() for change in changes]
+    refused += [(document(datasets={"source": [record(1), record(2, **change)]}), reason)
+                for reason, changes in WRONG_RECORDS.items() for change in changes]
+    found = evidence.parse_bundles(documents(spark, document(), *[d for d, _ in refused]))
+    told: dict = {}
     for r in found.problems.collect():
-        reasons_of.setdefault(r.bundle, set()).add(r.reason)
-    for i, (_, reason) in enumerate(REFUSED, 1):
-        assert reason in reasons_of[f"b{i}"], (i, reason, reasons_of.get(f"b{i}"))
+        told.setdefault(r.bundle, set()).add(r.reason)
+    for i, (_, reason) in enumerate(refused, 1):
+        assert reason in told[f"b{i}"], (i, reason, told.get(f"b{i}"))
     assert {r.bundle for r in found.documents.select("bundle").collect()} == {"b0"}
     assert {r.bundle for r in found.sections["datasets.source"].collect()} == {"b0"}
 
 
 def test_repeated_step(spark):
-    step = {"step_no": 1, "operation": "RUN", "run_id": "run-1", "execution_status": "SUCCESS", "batch_no": 1, "target_rows": 1, "watermark": None}
-    assert reasons(spark, {**GOOD, "steps": [step, step]}) == ["repeated step_no"]
+    steps = [{"step_no": n, "operation": "LOAD", "run_id": "nightly-0", "execution_status": "FAILED", "batch_no": 2, "target_rows": n, "watermark": None}
+             for n in (4, 5, 4)]
+    assert reasons(spark, document(steps=steps)) == ["repeated step_no"]
 
 
 def test_a_document_with_thousands_of_rows_is_accepted(spark):
-    large = {**GOOD, "datasets": {"source": [{**RECORD, "order_id": i} for i in range(3000)]}}
+    large = document(datasets={"source": [record(i % 9 + 1, order_id=i) for i in range(3000)]})
     found = evidence.parse_bundles(documents(spark, large))
-    assert found.problems.count() == 0 and found.sections["datasets.source"].count() == 3000
+    assert found.problems.isEmpty() and found.sections["datasets.source"].count() == 3000
 
 
 def test_provenance_hash_and_run_ids(spark):
-    found = evidence.parse_bundles(documents(spark, GOOD))
-    row = evidence.provenance(found, "json", datetime(2026, 1, 1, tzinfo=timezone.utc)).first()
-    import hashlib
-    assert row.sha256 == hashlib.sha256(json.dumps(GOOD).encode()).hexdigest()
-    assert json.loads(row.run_ids) == ["run-1"] and row.mapping_version == 1
+    found = evidence.parse_bundles(documents(spark, document()))
+    row = evidence.provenance(found, "json", CAPTURED.replace(tzinfo=timezone.utc)).first()
+    assert row.sha256 == hashlib.sha256(json.dumps(document()).encode()).hexdigest()
+    assert sorted(json.loads(row.run_ids)) == ["nightly-0", "nightly-1"] and row.mapping_version == 1
 
 
 def test_export_reads_back(spark):
-    found = evidence.parse_bundles(documents(spark, GOOD))
+    found = evidence.parse_bundles(documents(spark, document()))
     header = spark.createDataFrame(
-        [("b0", "Fabric", "workspace", datetime(2026, 1, 3, 12), 1)], "bundle string, provider string, resource_id string, as_of timestamp, batch_no int")
+        [("b0", "ADF", "factory-9", CAPTURED, 2)], "bundle string, provider string, resource_id string, as_of timestamp, batch_no int")
     sections = fixtures.materialize(found.sections, ["runs", "activities", "datasets.source"])
     exported = evidence.with_hash(evidence.export_bundles(header, sections))
     stored = fixtures.materialize({"documents": exported}, ["documents"])["documents"]
@@ -117,7 +124,7 @@ def test_export_reads_back(spark):
 
 def test_record_lines_carry_bundles_of_any_size(spark):
     header = spark.createDataFrame(
-        [(b, "Fabric", None, datetime(2026, 1, 3, 12), 1) for b in ("small", "large", "again")],
+        [(b, "Fabric", None, CAPTURED, 1) for b in ("small", "large", "again")],
         "bundle string, provider string, resource_id string, as_of timestamp, batch_no int")
     columns = spark.range(3000).selectExpr("'large' AS bundle", "'source' AS dataset", "concat('c', id) AS column_name", "'text' AS data_type")
     columns = columns.unionByName(columns.limit(1).withColumn("bundle", F.lit("small")))
@@ -132,29 +139,30 @@ def test_record_lines_carry_bundles_of_any_size(spark):
         ("again", "repeated run_id"), ("odd", "unknown section"), ("odd", "not one header"), (None, "no bundle named"), (None, "not one header")}
 
 
-CSV_HEADER = "dataset,order_id,customer_id,amount,updated_at,event_id,batch_no,run_id\n"
-CSV_ROW = "source,1,101,1.01,2026-01-01T07:00:00+00:00,1,1,run-1\n"
+def csv_text(*records):
+    """Records with their dataset as a file; the header is fixed by the format."""
+    names = ["dataset", *record()]
+    return "\n".join([",".join(names), *[",".join(str(r[n]) for n in names) for r in records], ""])
 
 
 def test_csv_files_are_refused_whole(spark, tmp_path):
-    (tmp_path / "good.csv").write_text(CSV_HEADER + CSV_ROW + CSV_ROW.replace("source", "target"))
-    (tmp_path / "bad.csv").write_text(CSV_HEADER + CSV_ROW + CSV_ROW.replace("1.01", "1,5x").replace("source,1,", "gold,one,"))
+    good = {**record(1), "dataset": "source"}
+    (tmp_path / "kept.csv").write_text(csv_text(good, {**record(2), "dataset": "target"}, {**record(3), "dataset": "source"}))
+    (tmp_path / "refused.csv").write_text(csv_text(good, {**record(2), "dataset": "archive", "order_id": "two", "amount": "x"}))
     found = evidence.read_csv_snapshots(spark, str(tmp_path))
-    assert found.sections["datasets.source"].count() == 1 and found.sections["datasets.target"].count() == 1
-    assert {r.bundle.rsplit("/", 1)[1] for r in found.problems.collect()} == {"bad.csv"}
+    assert found.sections["datasets.source"].count() == 2 and found.sections["datasets.target"].count() == 1
+    assert {r.bundle.rsplit("/", 1)[1] for r in found.problems.collect()} == {"refused.csv"}
 
 
 def test_contract_evidence_cannot_bring_its_own_truth(spark):
     lesson = "lab_031_databricks_classification"
-    row = {"record_id": 1, "classification": "ACCEPTED", "amount": "1.00", "run_id": "run-1"}
-    good = {"version": 1, "kind": "foundations", "lab_id": lesson, "contract_id": "standard", "provider": "Databricks",
-            "resource_id": "r", "as_of": "2026-02-01T12:00:00Z", "batch_no": 1, "runs": [], "steps": [],
-            "datasets": {"db_source": [], "db_publication": [row]}}
-    truth = {**good, "datasets": {**good["datasets"], "db_contract": []}}
-    found = evidence.parse_contract_bundles(documents(spark, good, truth, {**good, "contract_id": "own"}), lesson)
+    rows = [{"record_id": i, "classification": "REJECTED", "amount": f"{i}.25", "run_id": "nightly-0"} for i in (6, 7)]
+    sound = {"version": 1, "kind": "foundations", "lab_id": lesson, "contract_id": "standard", "provider": "Databricks", "resource_id": "cluster-4",
+             "as_of": "2033-05-09T21:15:00Z", "batch_no": 1, "runs": [], "steps": [], "datasets": {"db_source": [], "db_publication": rows}}
+    with_truth = {**sound, "datasets": {**sound["datasets"], "db_contract": rows[:1]}}
+    found = evidence.parse_contract_bundles(documents(spark, sound, with_truth, {**sound, "contract_id": "mine"}), lesson)
     assert {r.bundle for r in found.documents.collect()} == {"b0"}
-    published = found.sections["datasets.db_publication"].first()
-    assert (published.record_id, str(published.amount)) == (1, "1.00")
+    assert {r.record_id: r.amount for r in found.sections["datasets.db_publication"].collect()} == {6: Decimal("6.25"), 7: Decimal("7.25")}
 
 
 # Verdicts
@@ -179,8 +187,8 @@ def test_clean_evidence_has_no_gap_and_each_defect_has_one(spark):
 def access_tables(spark, variant):
     tables = fixtures.contract(spark, "C36", variant)
     clock = fixtures.CONTRACT_CLOCK
-    return {**tables, "cloud_runs": frame(spark, "cloud_runs", [("run-1", "SUCCESS", clock, clock, "{}")]),
-            "cloud_steps": frame(spark, "cloud_steps", [(1, "INITIAL", "run-1", "SUCCESS", 1, 2, clock)])}
+    return {**tables, "cloud_runs": frame(spark, "cloud_runs", [(fixtures.RUN, "SUCCESS", clock, clock, "{}")]),
+            "cloud_steps": frame(spark, "cloud_steps", [(1, "INITIAL", fixtures.RUN, "SUCCESS", 1, 3, clock)])}
 
 
 @pytest.mark.parametrize("variant,state", [

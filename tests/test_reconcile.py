@@ -45,12 +45,23 @@ def test_evidence_is_ordered_bounded_and_complete(spark):
     s, t = (spark.createDataFrame(rows, "k long, x long, y string") for rows in (left, right))
     cells = sorted(a[0] for a in left for b in right if a[0] is not None and a[0] == b[0] and a[1] != b[1])
     for limit in (1, 5, 100):
-        found = reconcile.field_mismatch_evidence(s, t, ["k"], [("x", "x"), ("y", "y")], {0: limit, 1: 3}).collect()
-        assert [r.k for r in found if r.field == 0] == cells[:limit]
-        assert sum(r.field == 1 for r in found) == 3
+        rows = reconcile.pair_report(s, t, ["k"], [("x", "x"), ("y", "y")], evidence=limit).collect()
+        found = sorted((r for r in rows if r.turn is not None), key=lambda r: (r.field, r.turn))
+        assert sum(r.m0 is not None for r in rows) == 1
+        assert [r.key.k for r in found if r.field == 0] == cells[:limit]
+        assert sum(r.field == 1 for r in found) <= limit
         assert all(r.expected != r.actual for r in found)
 
 
+def test_evidence_of_one_key_with_thousands_of_copies_stays_bounded(spark):
+    s = spark.range(3000).selectExpr("7L AS k", "id % 1500 AS x")
+    t = spark.range(2000).selectExpr("7L AS k", "id % 1000 + 1 AS x")
+    rows = reconcile.pair_report(s, t, ["k"], [("x", "x")], evidence=5).collect()
+    first = [(r.expected.f0, r.actual.f0) for r in sorted((r for r in rows if r.turn), key=lambda r: r.turn)]
+    assert first == [(0, 1)] * 4 + [(0, 2)]
+    assert next(r.m0 for r in rows if r.m0 is not None) == 3000 * 2000 - 2 * 2 * 1000
+
+
 def test_null_keys_match_in_key_sets_and_never_in_joins(spark):
     s = spark.createDataFrame([(None, 1), (1, 1)], "k long, x long")
     t = spark.createDataFrame([(None, 1), (1, 1)], "k long, x long")
