@@ -13,9 +13,10 @@ DEPTH = 64  # components whose residue products are added before they are reduce
 # Primes below 2**10. A residue is at most 510 in size, so DEPTH products stay below 2**24 and float32 holds them exactly.
 PRIMES = (1021, 1019, 1013, 1009, 997, 991)
 ANCHOR_BLOCK = 1 << 10  # anchors in one block
-ROW_BLOCK = 1 << 13  # rows in one block
+ROW_BLOCK = 1 << 12  # rows in one block
 TILE = 1 << 11  # rows of a block that are scored at a time
-CELL = 64  # row blocks that meet the anchors under one key
+SCORES = 1 << 28  # that one task computes, about, where there are more
+LEAST = 1 << 22  # scores that are worth a task of their own
 
 
 class Residues:
@@ -111,11 +112,28 @@ def _packed(rows: DataFrame, size: int, width: int, extra: tuple[str, ...] = ())
     return packed.withColumn("block", F.monotonically_increasing_id())
 
 
-def _meetings(anchors: DataFrame, rows: DataFrame, cells: int) -> DataFrame:
-    """Every anchor block with every block of rows: a cell holds its own blocks of rows, and each anchor block goes to all cells."""
-    right = rows.select(F.pmod(F.xxhash64("block"), F.lit(cells)).alias("cell"), *[F.col(c).alias(f"r_{c}") for c in rows.columns])
-    left = anchors.withColumn("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))))
-    return left.join(right, "cell").drop("cell")
+def _grid(anchors: int, rows: int, tasks: int) -> tuple[int, int]:
+    """Cells of rows and groups of anchors: one task for each pair, sized by its scores, and so that neither side is repeated more than it has to be."""
+    scores = max(1, anchors * rows)
+    wanted = max(-(-scores // SCORES), min(tasks, -(-scores // LEAST)))
+    cells = max(1, min(round((wanted * rows / max(1, anchors)) ** 0.5), -(-rows // ROW_BLOCK), wanted))
+    return cells, max(1, min(-(-wanted // cells), -(-anchors // ANCHOR_BLOCK)))
+
+
+def _meetings(anchors: DataFrame, rows: DataFrame, cells: int, groups: int) -> DataFrame:
+    """Every anchor block with every block of rows: blocks of rows go to their cell once for each group of anchors, and the
+    other way round. Tasks are dealt out by number, since few bytes make much work."""
+    def dealt(block: str, parts: int):
+        return F.pmod(F.xxhash64(block), F.lit(parts))
+
+    def all_of(parts: int):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))
+
+    right = rows.select(*[F.col(c).alias(f"r_{c}") for c in rows.columns]).withColumn("_group", all_of(groups)).withColumn(
+        "cell", dealt("r_block", cells) * groups + F.col("_group")).drop("_group")
+    left = anchors.withColumn("_cell", all_of(cells)).withColumn("cell", F.col("_cell") * groups + dealt("block", groups)).drop("_cell")
+    parts = cells * groups
+    return left.repartition(parts, "cell").join(right.repartition(parts, "cell"), "cell").drop("cell")
 
 
 def _whole(value, kind=np.int64) -> np.ndarray:
@@ -238,13 +256,13 @@ def hard_negatives(
     order last. Shorter vectors count as filled up with zeros. Anchors without positives and pairs without negatives give no
     rows. A table without rows gives none. A component beyond 32 bits, or one that makes scores of more than 56 bits possible, stops the job.
 
-    Anchors are a stated query set: they meet all rows in blocks, and only their blocks are repeated, once for every 64 blocks
-    of 8,192 rows. A task holds one block of each kind, a tile of scores and what its current anchor block has found.
+    Anchors are a stated query set: they meet all rows in blocks, dealt over a grid of cells of rows and groups of anchors. A task holds
+    one block of each kind, a tile of scores and what its current anchor block has found.
     """
     spark = rows.sparkSession
     base = written(rows, "vectors")
     size = base.agg(
-        F.max(F.size("whole")).alias("width"), F.count(F.lit(1)).alias("n"),
+        F.max(F.size("whole")).alias("width"), F.count(F.lit(1)).alias("n"), F.count_if(is_anchor).alias("anchors"),
         F.max(F.aggregate("whole", F.lit(0.0), lambda s, c: s + c.cast("double") * c)).alias("square"),
         F.max(F.array_max(F.transform("whole", lambda c: F.abs(c.cast("double"))))).alias("largest")).first()
     width = max(size["width"] or 0, 1)
@@ -253,11 +271,11 @@ def hard_negatives(
     bound = int((size["square"] or 0) * 1.001) + 1  # no inner product exceeds the largest square of a length
     if bound * max(band) >= 1 << 63:
         raise ValueError(f"scores up to {bound} are too large to compare")
-    cells = max(1, -(-size["n"] // (ROW_BLOCK * CELL)))
+    cells, groups = _grid(size["anchors"], size["n"], int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     blocks = written(_packed(base, ROW_BLOCK, width), "vector-blocks")
     anchors = base.where(is_anchor)
-    meetings = _meetings(_packed(anchors, ANCHOR_BLOCK, width), blocks, cells)
+    meetings = _meetings(_packed(anchors, ANCHOR_BLOCK, width), blocks, cells, groups)
     near = meetings.mapInArrow(
         _candidates(bound, width, positives, None), "anchor_row long, anchor_id long, row_no long, vec_id long, score long")
     chosen = _first(near, ["anchor_row"], positives).select(
@@ -267,6 +285,6 @@ def hard_negatives(
 
     extra = ("positive_row", "positive_id", "positive_score")
     longs = ", ".join(f"{n} long" for n in ("anchor_row", "anchor_id", *extra, "row_no", "vec_id", "score"))
-    hard = _meetings(_packed(pairs, ANCHOR_BLOCK, width, extra), blocks, cells).mapInArrow(_candidates(bound, width, negatives, band), longs)
+    hard = _meetings(_packed(pairs, ANCHOR_BLOCK, width, extra), blocks, cells, groups).mapInArrow(_candidates(bound, width, negatives, band), longs)
     return _first(hard, ["anchor_row", "positive_row"], negatives).select(
         "anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))

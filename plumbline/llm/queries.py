@@ -152,12 +152,12 @@ def op12_residue_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
 ORACLES["op12_residue_hard_negatives"] = """
 WITH usable AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-        list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS whole
+        [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS whole
     FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 scored AS (
     SELECT a.vec_id AS anchor_id, a.label AS anchor_label, r.vec_id, r.label,
-        CAST(list_sum(list_transform(list_zip(a.whole, r.whole), z -> z[1] * z[2])) AS BIGINT) AS score
+        CAST(list_sum([z[1] * z[2] FOR z IN list_zip(a.whole, r.whole)]) AS BIGINT) AS score
     FROM usable a JOIN usable r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
 positives AS (
     SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = anchor_label

@@ -165,7 +165,7 @@ def test_odd_vectors(shared):
 
 
 def test_many_blocks_and_repeated_vectors(shared, monkeypatch):
-    for name, size in (("ANCHOR_BLOCK", 3), ("ROW_BLOCK", 40), ("TILE", 17), ("CELL", 2)):
+    for name, size in (("ANCHOR_BLOCK", 3), ("ROW_BLOCK", 40), ("TILE", 17), ("SCORES", 300), ("LEAST", 30)):
         monkeypatch.setattr(hard_negatives, name, size)
     rng = random.Random(5)
     rows = [(i, [rng.gauss(0, 0.3) for _ in range(6)], rng.randrange(3)) for i in range(170)]
