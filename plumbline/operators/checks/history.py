@@ -53,6 +53,8 @@ def freshness_counts(requirements: DataFrame, observations: DataFrame, by: By =
     sizes = wanted.select(*on, one.alias("r"), none.alias("o")).unionByName(
         seen.select(*on, none.alias("r"), one.alias("o"))).groupBy(*on).agg(F.sum("r").alias("r"), F.sum("o").alias("o")).where("r > 0")
 
+    largest = sizes.agg(F.max(F.col("r") + F.col("o"))).first()[0] or 0
+
     def edges(rows: DataFrame, part: int, at: Column, first: int) -> DataFrame:
         return rows.select(*on, F.lit(part).alias("part"), at.alias("t"), F.lit(first).alias("seen"), F.lit(1 - first).alias("wanted"))
 
@@ -60,7 +62,7 @@ def freshness_counts(requirements: DataFrame, observations: DataFrame, by: By =
     points = reduce(DataFrame.unionByName, [
         edges(fit, 0, F.col("hi"), 1), edges(asked, 0, F.col("high"), 0),
         edges(fit, 1, F.col("lo") + 1, 1), edges(asked, 1, F.col("low"), 0)])
-    sides = ordered_pairs(points, [*on, "part"], "t", "seen", "wanted").select(
+    sides = ordered_pairs(points, [*on, "part"], "t", "seen", "wanted", largest).select(
         *on, (F.col("pairs") * (1 - 2 * F.col("part"))).alias("fresh"))
     # Few observations are both too old and ahead of some clock; only those can reach out on both sides.
     extent = asked.groupBy(*on).agg(F.max("low").alias("low"), F.min("high").alias("high"))
@@ -68,7 +70,7 @@ def freshness_counts(requirements: DataFrame, observations: DataFrame, by: By =
         *on, F.lit(True).alias("outer"), F.col("lo").alias("x"), F.col("hi").alias("y"), one.alias("w"))
     narrow = asked.join(wide.select(*on).distinct(), on, "left_semi").select(
         *on, F.lit(False).alias("outer"), F.col("low").alias("x"), F.col("high").alias("y"), one.alias("w"))
-    around = contained_pairs(wide.unionByName(narrow), on).select(*on, F.col("pairs").alias("fresh"))
+    around = contained_pairs(wide.unionByName(narrow), on, largest).select(*on, F.col("pairs").alias("fresh"))
     fresh = sides.unionByName(around).groupBy(*on).agg(F.sum("fresh").alias("fresh"))
     counted = join_keys(sizes, fresh, on)
     n = F.when(F.col("o") > 0, F.col("r") * F.col("o")).otherwise(F.col("r"))

@@ -315,13 +315,13 @@ VIEWS: dict[str, str] = {
     # Evidence without a flaw
     "sound_runs": """
         SELECT DISTINCT run_id, 'SUCCESS' AS execution_status, (SELECT as_of FROM cloud_context) - INTERVAL '1' HOUR AS started_at,
-               (SELECT as_of FROM cloud_context) AS ended_at, '{}' AS raw_evidence FROM cloud_source""",
+               (SELECT as_of FROM cloud_context) AS ended_at, 'none' AS raw_evidence FROM cloud_source""",
     "sound_activities": """
         SELECT 'pull-' || run_id AS activity_id, run_id, CAST(NULL AS STRING) AS dependency_id, 'SUCCESS' AS execution_status,
                'source' AS source_dataset, 'bronze' AS target_dataset, (SELECT COUNT(*) FROM cloud_latest) AS rows_read,
-               (SELECT COUNT(*) FROM cloud_latest) AS rows_written, '{}' AS raw_evidence FROM (SELECT DISTINCT run_id FROM cloud_source) p
+               (SELECT COUNT(*) FROM cloud_latest) AS rows_written, 'none' AS raw_evidence FROM (SELECT DISTINCT run_id FROM cloud_source) p
         UNION ALL SELECT 'send-' || run_id, run_id, 'pull-' || run_id, 'SUCCESS', 'silver', 'target', (SELECT COUNT(*) FROM cloud_latest),
-               (SELECT COUNT(*) FROM cloud_latest), '{}' FROM (SELECT DISTINCT run_id FROM cloud_source) s""",
+               (SELECT COUNT(*) FROM cloud_latest), 'none' FROM (SELECT DISTINCT run_id FROM cloud_source) s""",
     "sound_schema": """
         SELECT DISTINCT p_brand AS dataset, 'amount' AS column_name, 'numeric(14,2)' AS data_type FROM part
         UNION ALL SELECT DISTINCT p_brand, 'order_id', 'bigint' FROM part

@@ -43,7 +43,7 @@ def chained_pages(pages: DataFrame, by: Sequence[str] = (), first_page: int = 1)
     the crawl. Runs of pages that name their direct successor become one link each; the links are followed by pointer
     doubling, so a crawl of n links takes log2(n) joins, and a table whose crawls are single runs takes none.
     """
-    known = pages.groupBy(*by, "page").agg(F.min("next_page").alias("next_page"))
+    known = _stored(pages.groupBy(*by, "page").agg(F.min("next_page").alias("next_page")))
     jumps = known.where("next_page <> page + 1").select(*by, F.col("next_page").alias("page")).distinct()
     entered = join_keys(known, jumps.withColumn("entered", F.lit(True)), [*by, "page"])
     largest = largest_key(known, by) if by else known.count()
