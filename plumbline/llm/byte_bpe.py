@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.storage import clear_of
+from plumbline.llm.storage import bounded_batches, clear_of
 from plumbline.llm.words import slabs
 
 STRETCH = 1 << 20  # characters of a long text looked at together
@@ -315,6 +315,7 @@ def encoded(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text
     have no ids. Null and repeated keys come out row by row; other columns aren't read. Nothing is shuffled. A task
     holds the ids of about 1 MB of text (one row at least); a unit of n bytes takes O(n log n) steps, whatever its bytes.
     """
+    bounded_batches(docs.sparkSession)
     k, ids = clear_of(docs.select(text), "key", "ids")
     plain = docs.select(F.col(key).alias(k), F.col(text))
     kind = plain.schema[k].dataType.simpleString()

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.storage import written
+from plumbline.llm.storage import bounded_batches, written
 
 DEPTH = 64  # components whose residue products are added before they are reduced again
 # Primes below 2**10. A residue is at most 510 in size, so DEPTH products stay below 2**24 and float32 holds them exactly.
@@ -260,6 +260,7 @@ def hard_negatives(
     one block of each kind, a tile of scores and what its current anchor block has found.
     """
     spark = rows.sparkSession
+    bounded_batches(spark)
     base = written(rows, "vectors")
     size = base.agg(
         F.max(F.size("whole")).alias("width"), F.count(F.lit(1)).alias("n"), F.count_if(is_anchor).alias("anchors"),

@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from plumbline.session import work_dir
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession, size: str = "24m") -> None:
+    """Bounds the Arrow batches that Python functions are given by bytes as well as by rows, unless the session says how."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, size)
+
+
 def written(frame: DataFrame, purpose: str) -> DataFrame:
     """The rows of ``frame`` as a table in the shared folder: cuts lineage and survives a lost executor."""
     path = work_dir(frame.sparkSession, purpose)

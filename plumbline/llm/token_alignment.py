@@ -10,23 +10,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.storage import clear_of, work_dir
+from plumbline.llm.storage import bounded_batches, clear_of, work_dir
 from plumbline.llm.words import slabs
 
 SLAB = 1 << 20  # bytes of text aligned together
 STRETCH = 1 << 18  # characters of a long text encoded together
-KNOWN_BYTES = 128 << 20  # of remembered units, their tokens and what Python adds to them
-KNOWN_UNIT = 256  # characters of the longest remembered unit
+KNOWN_BYTES = 96 << 20  # of remembered units, their tokens and what Python adds to them
+CALL = 1 << 16  # characters of units encoded together
 CUT = re.compile(r"(?<=\S)(?= \S)")
 ARRAYS = ("a_ids", "b_ids", "a_sizes", "b_sizes")
 
 
-def byte_level(entry: str) -> bytes:
-    """The bytes of a byte-level vocabulary entry: printable Latin-1 is itself, the other bytes follow from U+0100 on."""
+def _printable() -> dict[str, int]:
+    """Character -> byte of byte-level vocabularies: printable Latin-1 is itself, the other bytes follow from U+0100 on."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in own]
-    table = {chr(b): b for b in own} | {chr(0x100 + i): b for i, b in enumerate(rest)}
-    return bytes(table[c] for c in entry) if all(c in table for c in entry) else entry.encode()
+    rest = sorted(set(range(256)).difference(own))
+    return {chr(b): b for b in own} | {chr(0x100 + i): b for i, b in enumerate(rest)}
+
+
+PRINTABLE = _printable()
+
+
+def byte_level(entry: str) -> bytes:
+    """The bytes of a byte-level vocabulary entry; one with other characters is a special string and stands for itself."""
+    try:
+        return bytes(map(PRINTABLE.__getitem__, entry))
+    except KeyError:
+        return entry.encode()
 
 
 def piece_bytes(piece: str) -> bytes:
@@ -62,8 +72,14 @@ class Pair:
             raise ValueError("the model has pieces that reach over the start of a word")
         self.a_len = np.array([len(t) for t in self.a_bytes])
         self.b_len = np.array([len(t) for t in self.b_bytes])
-        self.known: dict[str, tuple[bytes, bytes, bytes, bytes] | None] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """No unit is known: tokens and groups of known ones lie in four arrays, one unit after the other."""
+        self.known: dict[str, int] = {}
         self.held = 0
+        self.tokens = [np.empty(1 << 12, np.int32) for _ in ARRAYS]
+        self.ends = [np.zeros(1 << 12, np.int64) for _ in ARRAYS]  # where each unit's part of an array ends
 
     @staticmethod
     def stretches(spaced: str):
@@ -75,51 +91,96 @@ class Pair:
             yield spaced[at:end]
             at = end
 
-    def learn(self, units: list[str]) -> list[tuple[bytes, bytes, bytes, bytes] | None]:
-        """Ids and group sizes of units; nothing for a unit whose bytes either side changes."""
-        a_ids = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        b_ids = self.b.encode([u[1:] for u in units], num_threads=1)
-        same = []
-        for unit, a, b in zip(units, a_ids, b_ids, strict=True):
-            spelled = unit.encode()
-            same.append(b"".join(map(self.a_bytes.__getitem__, a)) == spelled == b"".join(map(self.b_bytes.__getitem__, b)))
-        a, b = (np.array([i for ids, good in zip(side, same, strict=True) if good for i in ids], np.int32) for side in (a_ids, b_ids))
-        a_group, b_group = labelled(np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b]))
-        groups = int(b_group[-1]) + 1 if len(b_group) else 0
-        data = [x.astype("<i4").tobytes() for x in (a, b, np.bincount(a_group, minlength=groups), np.bincount(b_group, minlength=groups))]
-        out: list[tuple[bytes, bytes, bytes, bytes] | None] = []
-        ends = b_group.tolist()
-        a_at = b_at = group = 0
-        for a_own, b_own, good in zip(a_ids, b_ids, same, strict=True):
-            if not good:
-                out.append(None)
+    def _ids(self, units: list[str]) -> tuple[list[int], list[int]]:
+        """Ids of one text made of units."""
+        text = "".join(units)
+        return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[1:])
+
+    def _ends(self, a: np.ndarray, b: np.ndarray, units: list[str]) -> tuple[np.ndarray, ...] | None:
+        """Where tokens end in bytes, and how many tokens of each side lie before the end of each unit; None where bytes differ."""
+        spelled = "".join(units).encode()
+        if b"".join(map(self.a_bytes.__getitem__, a.tolist())) != spelled or b"".join(map(self.b_bytes.__getitem__, b.tolist())) != spelled:
+            return None
+        upto = np.cumsum([len(u.encode()) for u in units])
+        a_end, b_end = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
+        a_at, b_at = np.searchsorted(a_end, upto, "right"), np.searchsorted(b_end, upto, "right")
+        if (a_end[a_at - 1] != upto).any() or (b_end[b_at - 1] != upto).any():
+            return None
+        return a_end, b_end, a_at, b_at
+
+    def learn(self, units: list[str]) -> None:
+        """Tokens and groups of new units, encoded many at a time; one by one where their bytes don't come out as they are.
+
+        A unit that ends with white space is encoded by itself, since what follows would change it.
+        """
+        call: list[str] = []
+        size = 0
+        for unit in sorted(units, key=len):
+            if unit[-1].isspace():
+                self._learn([unit])
                 continue
-            a_to, b_to = a_at + len(a_own), b_at + len(b_own)
-            upto = ends[b_to - 1] + 1  # a unit's end is a group's
-            out.append((data[0][4 * a_at:4 * a_to], data[1][4 * b_at:4 * b_to], data[2][4 * group:4 * upto], data[3][4 * group:4 * upto]))
-            a_at, b_at, group = a_to, b_to, upto
-        return out
-
-    def align(self, texts: list[str | None]) -> list[list[bytes]]:
-        """For each text the four arrays as little-endian 32-bit numbers; empty ones where either side changes its bytes."""
-        out = []
-        cut = [[CUT.split(part) for part in self.stretches(" " + text)] if text else [] for text in texts]
-        wanted = {u for parts in cut for units in parts for u in units}
+            call.append(unit)
+            size += len(unit)
+            if size >= CALL:
+                self._learn(call)
+                call, size = [], 0
+        if call:
+            self._learn(call)
+
+    def _learn(self, units: list[str]) -> None:
+        a, b = (np.array(ids, np.int32) for ids in self._ids(units))
+        found = self._ends(a, b, units)
+        if found is None and len(units) > 1:
+            for unit in units:
+                self._learn([unit])
+            return
+        if found is None:
+            empty = np.zeros(1, np.int64)
+            self._remember(units, [a[:0]] * 4, [empty] * 4, False)
+            return
+        a_end, b_end, a_at, b_at = found
+        a_group, b_group = labelled(a_end, b_end)
+        groups = int(b_group[-1]) + 1
+        sizes = [np.bincount(g, minlength=groups).astype(np.int32) for g in (a_group, b_group)]
+        upto = b_group[b_at - 1] + 1  # a unit's end is a group's
+        self._remember(units, [a, b, *sizes], [a_at, b_at, upto, upto], True)
+
+    def _remember(self, units: list[str], parts: list[np.ndarray], upto: list[np.ndarray], same: bool) -> None:
+        first = len(self.known) + 1
+        last = first + len(units)
+        for i, (part, ends) in enumerate(zip(parts, upto, strict=True)):
+            if last > len(self.ends[i]):
+                self.ends[i] = np.concatenate([self.ends[i], np.zeros(max(last, len(self.ends[i])), np.int64)])
+            done = int(self.ends[i][first - 1])
+            self.ends[i][first:last] = done + ends
+            if done + len(part) > len(self.tokens[i]):
+                self.tokens[i] = np.concatenate([self.tokens[i], np.empty(max(len(part), len(self.tokens[i])), np.int32)])
+            self.tokens[i][done:done + len(part)] = part
+            self.held += 4 * len(part) + 8 * len(units)
+        # a unit whose bytes either side changes is known by a negative number
+        self.known.update(zip(units, range(first, last) if same else range(-first, -last, -1), strict=True))
+        self.held += sum(map(len, units)) + 110 * len(units)
+
+    def align(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each of the four arrays the values of all texts and how many each text has; none where either side changes its bytes."""
+        cut = [[unit for part in self.stretches(" " + text) for unit in CUT.split(part)] if text else [] for text in texts]
+        wanted = set().union(*cut)
         if self.held > KNOWN_BYTES:
-            self.known.clear()
-            self.held = 0
-        fresh = sorted(wanted.difference(self.known), key=len)
-        long = {}
-        for unit, found in zip(fresh, self.learn(fresh), strict=True):
-            if len(unit) <= KNOWN_UNIT:
-                self.known[unit] = found
-                self.held += 4 * len(unit) + sum(map(len, found or ())) + 400
-            else:
-                long[unit] = found
-        known = self.known
-        for parts in cut:
-            found = [known[u] if u in known else long[u] for units in parts for u in units] if long else [known[u] for units in parts for u in units]
-            out.append([b""] * 4 if None in found or not found else [b"".join(side) for side in zip(*found, strict=True)])
+            self.forget()
+        self.learn(list(wanted.difference(self.known)))
+        count = np.array([len(units) for units in cut], np.int64)
+        known = self.known.__getitem__
+        place = np.fromiter((number for units in cut for number in map(known, units)), np.int64, int(count.sum()))
+        row = np.repeat(np.arange(len(cut)), count)
+        changed = np.bincount(row[place < 0], minlength=len(cut)) > 0
+        own = ~changed[row]
+        place, row = place[own], row[own]
+        out = []
+        for values, ends in zip(self.tokens, self.ends, strict=True):
+            start, n = ends[place - 1], ends[place] - ends[place - 1]
+            before = np.cumsum(n) - n
+            spot = np.arange(int(n.sum())) + np.repeat(start - before, n)
+            out.append((values[spot], np.bincount(row, n, len(cut)).astype(np.int64)))
         return out
 
 
@@ -144,10 +205,10 @@ def labelled(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return group[:len(a_end)], group[len(a_end):]
 
 
-def _lists(rows: list[bytes]) -> pa.Array:
-    ends = np.zeros(len(rows) + 1, np.int32)
-    np.cumsum([len(row) // 4 for row in rows], out=ends[1:])
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(rows), "<i4")))
+def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    ends = np.zeros(len(counts) + 1, np.int32)
+    np.cumsum(counts, out=ends[1:])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()))
 
 
 def _aligned(a_path: str, b_path: str, text: str):
@@ -157,8 +218,7 @@ def _aligned(a_path: str, b_path: str, text: str):
             for _, part in slabs(batch, text, SLAB):
                 found = pair.align(part.column(text).to_pylist())
                 kept = part.drop_columns([text])
-                sides = [_lists([row[i] for row in found]) for i in range(4)]
-                yield pa.RecordBatch.from_arrays([*kept.columns, *sides], [*kept.schema.names, *ARRAYS])
+                yield pa.RecordBatch.from_arrays([*kept.columns, *[_lists(*side) for side in found]], [*kept.schema.names, *ARRAYS])
     return run
 
 
@@ -171,6 +231,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text
     have empty arrays. Null and repeated keys come out row by row; other columns aren't read. Nothing is shuffled; a task holds the
     tokens of about 1 MB of text (one row at least), and long texts are encoded in stretches.
     """
+    bounded_batches(docs.sparkSession)
     (k,) = clear_of(docs.select(text, *[F.lit(0).alias(n) for n in ARRAYS]), "key")
     plain = docs.select(F.col(key).alias(k), F.col(text))
     kind = plain.schema[k].dataType.simpleString()

@@ -268,10 +268,13 @@ def test_doubling_reaches_the_end_of_long_chains():
 
 def test_stretches_change_nothing(shared, monkeypatch):
     pair = token_alignment.Pair(*PAIR)
-    texts = [" ".join(t for t in strange_texts()[:50]), "one two  three four " * 20]
-    whole = pair.align(texts)
+    texts = [" ".join(t for t in strange_texts()[:50]), "one two  three four " * 20, None, "plain words only here"]
+    whole = [[(v[0].tolist(), v[1].tolist()) for v in pair.align([t])] for t in texts]
+    together = pair.align(texts)
     monkeypatch.setattr(token_alignment, "STRETCH", 9)
     monkeypatch.setattr(token_alignment, "KNOWN_BYTES", 100)
-    monkeypatch.setattr(token_alignment, "KNOWN_UNIT", 3)
+    monkeypatch.setattr(token_alignment, "CALL", 12)
     again = token_alignment.Pair(*PAIR)
-    assert [again.align([t])[0] for t in texts] == whole
+    assert [[(v[0].tolist(), v[1].tolist()) for v in again.align([t])] for t in texts] == whole
+    for i, (values, counts) in enumerate(together):
+        assert values.tolist() == [x for one in whole for x in one[i][0]] and counts.tolist() == [one[i][1][0] for one in whole]
