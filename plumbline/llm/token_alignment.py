@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from plumbline.llm.storage import bounded_batches, clear_of, work_dir
 from plumbline.llm.words import slabs
 
-SLAB = 1 << 20  # bytes of text aligned together
+SLAB = 1 << 19  # bytes of text aligned together
+PART = 1 << 17  # tokens of an alignment looked at together
 STRETCH = 1 << 18  # characters of a long text encoded together
-KNOWN_BYTES = 96 << 20  # of remembered units, their tokens and what Python adds to them
+KNOWN_BYTES = 64 << 20  # of remembered units, their tokens and what Python adds to them
 CALL = 1 << 16  # characters of units encoded together
 CUT = re.compile(r"(?<=\S)(?= \S)")
 ARRAYS = ("a_ids", "b_ids", "a_sizes", "b_sizes")
@@ -253,12 +254,12 @@ def _links(a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarra
 
 
 def _parts(batch: pa.RecordBatch):
-    """Slices of a batch with about as many tokens each as a slab has bytes (one row at least)."""
+    """Slices of a batch with about ``PART`` tokens each (one row at least)."""
     tokens = np.cumsum(pa.compute.list_value_length(batch.column("a_ids")).to_numpy(zero_copy_only=False))
     at = 0
     while at < batch.num_rows:
         done = tokens[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(tokens, done + SLAB, "right")))
+        end = max(at + 1, int(np.searchsorted(tokens, done + PART, "right")))
         yield batch.slice(at, end - at)
         at = end
 
