@@ -14,14 +14,18 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.exprs import net_amount
 from plumbline.operators import certify, faults
 from plumbline.operators.checks import CHECKS
 from plumbline.operators.faults import inject, rebuild
+from plumbline.operators.rules import FrameSource, execute_rules
 from plumbline.operators.versions import latest_by, type1_current, type2_history
 from plumbline.plans import loads
 from plumbline.plans.check_queries import FRESH
 from plumbline.plans.inputs import Inputs
+from plumbline.plans.orders import order_report
 from plumbline.plans.registry import query, sql_diff, sql_duplicates
+from plumbline.plans.suites import EXPECTED_FAILURES, FAULT_DATASETS, FAULT_SUITE
 
 Tables = dict[str, DataFrame]
 Step = Callable[[str], str]
@@ -122,20 +126,23 @@ class Family:
         return ctes, counts
 
 
-def family_query(name: str, *families: Family):
-    """Counts per variant; where a count follows from the scenario alone it is stated, and the counts are judged."""
+def statement(families: tuple[Family, ...]) -> str:
+    """The families' counts as one SELECT."""
     ctes, counts = [], []
     for place, f in enumerate(families):
         more, own = f.oracle(place)
         ctes += more
         counts += own
-    judged = any(f.expected for f in families)
-    several = len(families) > 1
-    columns = ("check_id, " if several else "") + "variant_id, n AS violation_count" + (
-        ", stated AS expected_count, CASE WHEN n = stated THEN 'PASS' ELSE 'FAIL' END AS status" if judged else "")
-    oracle = "WITH " + ",\n".join(ctes) + f"\nSELECT {columns} FROM ({' UNION ALL '.join(counts)}) counted"
+    columns = ("check_id, " if len(families) > 1 else "") + "variant_id, n AS violation_count" + (
+        ", stated AS expected_count, CASE WHEN n = stated THEN 'PASS' ELSE 'FAIL' END AS status" if any(f.expected for f in families) else "")
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT {columns} FROM ({' UNION ALL '.join(counts)}) counted"
+
 
-    @query(name, oracle)
+def family_query(name: str, *families: Family):
+    """Counts per variant; where a count follows from the scenario alone it is stated, and the counts are judged."""
+    judged, several = any(f.expected for f in families), len(families) > 1
+
+    @query(name, statement(families))
     def run(v: Inputs) -> DataFrame:
         parts = []
         for f in families:
@@ -244,6 +251,59 @@ family_query("f08_clean_controls", Family(
     "C06", clean_orders, ALL_SQL, CAPSTONE, {"clean": NOTHING, "clean_subset": rebuilt(HALF), "clean_zero": rebuilt(FREE)},
     {"clean": 0, "clean_subset": 0, "clean_zero": 0}))
 
+# The rules that each fault of the published report fails, and a check that is wrong about one of them
+
+FAULT_EDITS = {
+    "missing_order": edited(T, MISSING), "duplicate_order": edited(T, again(LOW)), "null_net_amount": edited(T, NULL_LOW),
+    "wrong_net_amount": edited(T, CENT_LOW)}
+RULE_SQL = {
+    "count_target_orders": "(SELECT COUNT(*) FROM {target_orders} t) <> (SELECT COUNT(*) FROM clean_orders)",
+    "keys_silver_to_target_orders": """(SELECT COUNT(*) FROM (SELECT order_id FROM clean_orders EXCEPT SELECT order_id FROM {target_orders} t) m)
+        + (SELECT COUNT(*) FROM (SELECT order_id FROM {target_orders} t EXCEPT SELECT order_id FROM clean_orders) u) > 0""",
+    "unique_target_order_id": f"{TWICE} > 0",
+    "required_target_orders": """(SELECT COUNT(*) FROM {target_orders} t
+        WHERE order_id IS NULL OR customer_id IS NULL OR ordered_at IS NULL OR net_amount IS NULL) > 0""",
+    "fields_silver_to_target_orders": """(SELECT COUNT(*) FROM clean_orders s JOIN {target_orders} t ON s.order_id = t.order_id
+        WHERE (s.customer_id, s.ordered_at, s.net_amount) IS DISTINCT FROM (t.customer_id, t.ordered_at, t.net_amount)) > 0""",
+}
+
+
+def _rule_oracle() -> str:
+    parts = []
+    for scenario, rules in EXPECTED_FAILURES.items():
+        damaged = FAULT_EDITS[scenario].replace("{target_orders}", "clean_orders")
+        for rule in RULE_SQL:
+            failed = RULE_SQL[rule].replace("{target_orders}", damaged)
+            parts.append(f"SELECT '{scenario}' AS scenario_id, '{rule}' AS rule_id, {failed} AS failed, {str(rule in rules).upper()} AS named")
+    return " UNION ALL ".join(parts)
+
+
+@query("f20_expected_rules", _rule_oracle())
+def _expected_rules(v: Inputs) -> DataFrame:
+    """Which rules each fault of the published report fails, and which of them it names."""
+    silver = v("source_orders").withColumn("net_amount", net_amount())
+    rules = [r for r in FAULT_SUITE.rules if r.id in RULE_SQL]
+    rows = []
+    for scenario, named in EXPECTED_FAILURES.items():
+        damaged = inject({T: order_report(silver)}, scenario)[T]
+        source = FrameSource({"silver_orders": silver, "target_orders": damaged}, {"SOURCE": v("source_orders").agg(F.count(F.lit(1)))})
+        rows += [(scenario, r.rule.id, r.status == "FAIL", r.rule.id in named) for r in execute_rules(rules, source, FAULT_DATASETS)]
+    return v.spark.createDataFrame(rows, "scenario_id string, rule_id string, failed boolean, named boolean")
+
+
+ROW_COUNTS = "(SELECT COUNT(*) FROM {source_orders} s) - (SELECT COUNT(*) FROM {target_orders} t)"
+SHALLOW = Family(
+    "C06", clean_orders, ORDER_SQL, f"({ROW_COUNTS})", {"clean": NOTHING, "null_net_amount": one(T, NULL_LOW), "missing": one(T, MISSING)},
+    {"clean": 0, "null_net_amount": 1, "missing": 1})
+
+
+@query("g03_independent_counts", statement((SHALLOW,)))
+def _independent(v: Inputs) -> DataFrame:
+    """A check that only counts rows misses a null: its count is right for one defect and wrong for the other."""
+    text = "SELECT (SELECT COUNT(*) FROM source_orders) - (SELECT COUNT(*) FROM target_orders) AS violation_count"
+    return certify.cases_frame(v.spark, certify.certify_text(text, SHALLOW.variants(clean_orders(v)), SHALLOW.expected))
+
+
 # Grain, versions, days, loads, freshness, histories
 
 LINE_SQL = {"order_lines": view("order_lines"), "target_order_totals": view("line_totals")}

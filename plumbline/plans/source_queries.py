@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from plumbline.contracts import STATUSES, Dataset, catalog, not_null, record_count, same_fields, same_keys, schema_of, unique, worst
 from plumbline.functions.exprs import epoch_micros, net_amount, run_problems
 from plumbline.operators import certify, verdicts
-from plumbline.operators.checks import CHECKS
 from plumbline.operators.faults import inject, rebuild
 from plumbline.operators import suites
 from plumbline.operators.rules import FrameSource, execute_rules, results_frame
@@ -762,27 +761,6 @@ def _lifecycle(v):
         store.read_run("target.orders_report", run_id).agg(F.count(F.lit(1))).scalar().alias("published_rows"))
 
 
-@query("f20_expected_rules", "SELECT s.scenario_id, TRUE AS failed_as_expected FROM (VALUES {0}) s(scenario_id)".format(
-    ", ".join(f"('{s}')" for s in EXPECTED_FAILURES)))
-def _expected_rules(v):
-    """Each fault fails at least the rules it names, here on DataFrames at hand."""
-    from plumbline.operators.rollups import utc_daily_sales
-    from plumbline.plans.suites import FAULT_DATASETS, FAULT_SUITE
-
-    silver = v("source_orders").withColumn("net_amount", net_amount())
-    gold = utc_daily_sales(silver)
-    rows = []
-    for scenario, named in EXPECTED_FAILURES.items():
-        damaged = inject({"target_orders": layered.order_report(silver)}, scenario)["target_orders"]
-        source = FrameSource(
-            {"bronze_orders": v("source_orders"), "silver_orders": silver, "gold_daily_sales": gold, "target_orders": damaged,
-             "target_daily_sales": layered.daily_report(gold)}, {"SOURCE": v("source_orders").agg(F.count(F.lit(1)))})
-        rules = [r for r in FAULT_SUITE.rules if r.id in named]
-        found = execute_rules(rules, source, FAULT_DATASETS)
-        rows.append((scenario, all(r.status == "FAIL" for r in found)))
-    return v.spark.createDataFrame(rows, "scenario_id string, failed_as_expected boolean")
-
-
 CHECK_TEXT = "SELECT COUNT(*) AS violation_count FROM target_orders WHERE net_amount IS NULL"
 
 
@@ -792,18 +770,6 @@ def _result(v):
     return v.spark.createDataFrame([(count,)], "violation_count bigint")
 
 
-@query("g03_independent_counts", """
-    SELECT 'clean' AS variant_id, 'PASS' AS status, CAST(0 AS BIGINT) AS violation_count, CAST(0 AS BIGINT) AS expected_count
-    UNION ALL SELECT 'null_net_amount', 'FAIL', 0, 1 UNION ALL SELECT 'missing', 'PASS', 1, 1""")
-def _independent(v):
-    """A check that only counts rows misses a null: its count is right for one defect and wrong for the other."""
-    clean = rebuild({"source_orders": v("source_orders")})
-    variants = {k: inject(clean, k) for k in ("clean", "null_net_amount", "missing")}
-    text = "SELECT (SELECT COUNT(*) FROM source_orders) - (SELECT COUNT(*) FROM target_orders) AS violation_count"
-    cases = certify.certify_text(text, variants, {"clean": 0, "null_net_amount": 1, "missing": 1})
-    return certify.cases_frame(v.spark, cases)
-
-
 @query("g04_ad_hoc_check", """
     SELECT CAST(customer_id AS VARCHAR) AS customer_id, CAST(COUNT(*) AS VARCHAR) AS n FROM target_orders GROUP BY target_orders.customer_id
     ORDER BY COUNT(*) DESC, target_orders.customer_id LIMIT 100""")

@@ -1,6 +1,9 @@
 """The layered run end to end, its quality suite, and the fault lifecycle."""
 
+import json
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal as D
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +13,7 @@ from plumbline.functions.exprs import net_amount
 from plumbline.plans import fault_runs, orders
 from plumbline.plans.quality import RunNotReady, inspect_quality, run_quality_suite
 from plumbline.plans.suites import EXPECTED_FAILURES
+from plumbline.session import work_dir
 from plumbline.sources.generator import expected_net_revenue, generate_customers, generate_orders
 from plumbline.sources.store import Store
 
@@ -48,6 +52,16 @@ def test_two_runs_keep_their_own_rows_and_stages(store, run_id):
     assert (latest["run_id"], latest["execution_status"], latest["data_quality_status"]) == (second, "SUCCESS", "NOT_RUN")
 
 
+def test_stage_metrics_are_those_of_the_written_rows(store, run_id):
+    stages = {s["stage_name"]: s for s in orders.inspect_run(store, run_id)["stages"]}
+    written = {"BRONZE": "bronze.orders", "SILVER": "silver.orders", "GOLD": "gold.daily_sales", "TARGET": "target.orders_report"}
+    for stage, table in written.items():
+        assert stages[stage]["row_count"] == store.read_run(table, run_id).count()
+    for stage in ("SOURCE", "SILVER", "GOLD", "TARGET"):
+        assert json.loads(stages[stage]["metrics"])["net_revenue"] == "25245493.29"
+    assert json.loads(stages["TARGET"]["metrics"])["daily_rows"] == stages["GOLD"]["row_count"]
+
+
 def test_a_failing_stage_is_recorded_and_raised(store):
     def broken(_store, _run):
         raise ValueError("no space")
@@ -91,6 +105,44 @@ def test_a_fault_fails_its_rules_and_leaves_the_report_alone(store, run_id, scen
     assert before == after
 
 
+def test_of_two_faults_at_once_one_is_applied(store, run_id):
+    def attempt(scenario):
+        try:
+            return fault_runs.apply_fault(store, scenario, run_id)["fault_run_id"]
+        except fault_runs.FaultState:
+            return None
+
+    with ThreadPoolExecutor(2) as pool:
+        applied = [f for f in pool.map(attempt, ("missing_order", "duplicate_order")) if f]
+    assert len(applied) == 1 and fault_runs.active_conflicts(store).isEmpty()
+    fault_runs.reset_fault(store, applied[0])
+    again = attempt("duplicate_order")  # the claim was given back
+    assert again
+    fault_runs.reset_fault(store, again)
+
+
+def test_a_fault_that_cannot_be_written_gives_its_claim_back(store, run_id, monkeypatch):
+    def broken(*_):
+        raise OSError("no space")
+
+    monkeypatch.setattr(fault_runs, "inject", broken)
+    with pytest.raises(OSError):
+        fault_runs.apply_fault(store, "missing_order", run_id)
+    monkeypatch.undo()
+    fault_runs.reset_fault(store, fault_runs.apply_fault(store, "missing_order", run_id)["fault_run_id"])
+
+
+def test_work_folders_need_a_shared_place(spark):
+    def session(master):
+        settings = {"spark.sql.warehouse.dir": "file:/somewhere/local"}
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)), _jvm=spark._jvm, _jsc=spark._jsc,
+                               sparkContext=SimpleNamespace(master=master))
+
+    assert work_dir(session("local[2]"), "x").startswith("file:/somewhere/local/")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_dir(session("spark://elsewhere:7077"), "x")
+
+
 def test_only_published_snapshots_are_current(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     with pytest.raises(LookupError):
