@@ -469,7 +469,7 @@ def keyed_stream(v: Inputs) -> tuple[DataFrame, DataFrame]:
         events.where(F.col("batch_no").isin(*batches)).select(*columns).write.mode("append").parquet(f"{root}/landed")
         arriving = stream.read_events(v.spark, f"{root}/landed", schema)
         keyed.start_keyed_merge(arriving, f"{root}/changes", f"{root}/checkpoint", ["order_id"], ["event_at", "event_id"]).awaitTermination()
-    return keyed.current(v.spark, f"{root}/checkpoint", ["order_id"]).select(*columns), keyed.batch_summary(v.spark, f"{root}/changes")
+    return keyed.current(v.spark, f"{root}/checkpoint", schema, ["order_id"]), keyed.batch_summary(v.spark, f"{root}/changes")
 
 
 @query("m01_stream_batches", """

@@ -6,7 +6,7 @@ import sys
 from collections.abc import Iterator, Sequence
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -59,15 +59,32 @@ class KeepNewest(StatefulProcessor):
         pass
 
 
+# Instants are whole microseconds inside the state: Python would read them in the time zone of its machine.
+
+def _whole(field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01', `{field.name}`)").alias(field.name)
+    return F.unix_micros(field.name).alias(field.name) if isinstance(field.dataType, T.TimestampType) else F.col(field.name)
+
+
+def _read(field: T.StructField, value: str | None = None) -> Column:
+    name = value or f"`{field.name}`"
+    if isinstance(field.dataType, T.TimestampNTZType):
+        return F.expr(f"timestampadd(MICROSECOND, {name}, TIMESTAMP_NTZ'1970-01-01')").alias(field.name)
+    return (F.expr(f"timestamp_micros({name})") if isinstance(field.dataType, T.TimestampType) else F.expr(name)).alias(field.name)
+
+
 def changes(events: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key and batch: keys, winner and outcome (see :class:`KeepNewest`)."""
+    given = events.schema
+    plain = events.select(*[_whole(f) for f in given])
     columns = [c for c in events.columns if c not in keys]
-    schema = T.StructType([events.schema[c] for c in columns])
-    named = [T.StructField(f"key{i}", events.schema[k].dataType) for i, k in enumerate(keys)]
+    schema = T.StructType([plain.schema[c] for c in columns])
+    named = [T.StructField(f"key{i}", plain.schema[k].dataType) for i, k in enumerate(keys)]
     out = T.StructType([*named, *schema.fields, *[T.StructField(n, t) for n, t in OUTCOME]])
-    grouped = events.select(*[F.col(k).alias(f"key{i}") for i, k in enumerate(keys)], *columns).groupBy(*[f.name for f in named])
+    grouped = plain.select(*[F.col(k).alias(f"key{i}") for i, k in enumerate(keys)], *columns).groupBy(*[f.name for f in named])
     found = grouped.transformWithState(KeepNewest(columns, order, schema), out, "Update", "None")
-    return found.select(*[F.col(f"key{i}").alias(k) for i, k in enumerate(keys)], *columns, *[n for n, _ in OUTCOME])
+    return found.select(*[_read(given[k], f"key{i}") for i, k in enumerate(keys)], *[_read(given[c]) for c in columns], *[n for n, _ in OUTCOME])
 
 
 def start_keyed_merge(events: DataFrame, target: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]) -> StreamingQuery:
@@ -86,10 +103,14 @@ def start_keyed_merge(events: DataFrame, target: str, checkpoint: str, keys: Seq
         "checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def current(spark: SparkSession, checkpoint: str, keys: Sequence[str]) -> DataFrame:
-    """The merged rows as of the last finished batch, read from the state itself: one row per key, no batch is merged again."""
+def current(spark: SparkSession, checkpoint: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
+    """The merged rows as of the last finished batch, read from the state itself: one row per key, no batch is merged again.
+
+    ``schema`` is that of the events; columns come in its order.
+    """
     state = spark.read.format("statestore").option("stateVarName", STATE).load(checkpoint)
-    return state.select(*[F.col(f"key.key{i}").alias(k) for i, k in enumerate(keys)], "value.*")
+    place = {k: f"key.key{i}" for i, k in enumerate(keys)}
+    return state.select(*[_read(f, place.get(f.name, f"value.`{f.name}`")) for f in schema])
 
 
 def batch_summary(spark: SparkSession, target: str) -> DataFrame:

@@ -155,8 +155,8 @@ def test_keyed_state_survives_restarts_late_and_repeated_files(spark, tmp_path):
         assert (told.rows, told.late, told.repeated) == (len(fresh), len(lost) - len(again), len(again))
         seen += fresh
         stored = {e["order_id"]: e for e in model.newest(seen, KEYS, ORDER)}
-        found = keyed.current(spark, f"{tmp_path}/checkpoint", KEYS)
-        assert {r.order_id: r.event_id for r in found.collect()} == {k: e["event_id"] for k, e in stored.items()}
+        found = keyed.current(spark, f"{tmp_path}/checkpoint", schema, KEYS)
+        assert {tuple(r) for r in found.collect()} == {(e["event_id"], k, e["event_at"].replace(tzinfo=None), e["net_amount"]) for k, e in stored.items()}
 
 
 def test_a_long_log_is_folded_and_read_in_bounds(spark, tmp_path):
