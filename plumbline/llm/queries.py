@@ -174,7 +174,7 @@ def op13_pointer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
-    return token_alignment.alignment_scores(token_alignment.stored(token_alignment.aligned(_read(spark, folder, "documents"), *paths)))
+    return token_alignment.alignment_scores(token_alignment.stored(token_alignment.aligned(_read(spark, folder, "documents"), *paths, packed=True)))
 
 
 @_query

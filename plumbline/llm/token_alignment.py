@@ -206,46 +206,64 @@ def labelled(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return group[:len(a_end)], group[len(a_end):]
 
 
-def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+def _rows(values: np.ndarray, counts: np.ndarray, packed: bool) -> pa.Array:
+    """Each row's values as a list, or packed as little-endian 32-bit numbers."""
     ends = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=ends[1:])
+    if packed:
+        return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(4 * ends), pa.py_buffer(values.astype("<i4"))])
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()))
 
 
-def _aligned(a_path: str, b_path: str, text: str):
+def _aligned(a_path: str, b_path: str, text: str, packed: bool):
     def run(batches):
         pair = Pair(a_path, b_path)
         for batch in batches:
             for _, part in slabs(batch, text, SLAB):
                 found = pair.align(part.column(text).to_pylist())
                 kept = part.drop_columns([text])
-                yield pa.RecordBatch.from_arrays([*kept.columns, *[_lists(*side) for side in found]], [*kept.schema.names, *ARRAYS])
+                yield pa.RecordBatch.from_arrays([*kept.columns, *[_rows(*side, packed) for side in found]], [*kept.schema.names, *ARRAYS])
     return run
 
 
-def aligned(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def aligned(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text", packed: bool = False) -> DataFrame:
     """``key``, ``a_ids``, ``b_ids`` and, for each group in order, how many A and B tokens it has: ``a_sizes``, ``b_sizes``.
 
     A (a tokenizers file) encodes a space and the text, B (a sentencepiece model that adds the space itself) the
     text, both without special tokens; their strings in a text are plain text. Byte offsets where tokens of both end cut
     the tokens into groups. Null and empty texts, and those whose joined A or B bytes aren't a space and the text,
     have empty arrays. Null and repeated keys come out row by row; other columns aren't read. Nothing is shuffled; a task holds the
-    tokens of about 1 MB of text (one row at least), and long texts are encoded in stretches.
+    tokens of about half a MB of text (one row at least), and long texts are encoded in stretches. With ``packed`` each array is a binary of
+    little-endian 32-bit numbers, which the JVM passes on as it is; the functions below take either.
     """
     bounded_batches(docs.sparkSession)
     (k,) = clear_of(docs.select(text, *[F.lit(0).alias(n) for n in ARRAYS]), "key")
     plain = docs.select(F.col(key).alias(k), F.col(text))
     kind = plain.schema[k].dataType.simpleString()
-    found = plain.mapInArrow(_aligned(a_path, b_path, text), f"{k} {kind}, " + ", ".join(f"{n} array<int>" for n in ARRAYS))
+    own = "binary" if packed else "array<int>"
+    found = plain.mapInArrow(_aligned(a_path, b_path, text, packed), f"{k} {kind}, " + ", ".join(f"{n} {own}" for n in ARRAYS))
     return found.select(F.col(k).alias(key), *ARRAYS)
 
 
+def _sizes(column: pa.Array) -> np.ndarray:
+    """How many values each row has."""
+    if pa.types.is_binary(column.type):
+        return pa.compute.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+    return pa.compute.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _numpy(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
-    """A list column's values and the offsets of its rows."""
+    """A column's values and the offsets of its rows."""
     column = batch.column(name)
     offsets = np.zeros(len(column) + 1, np.int64)
-    np.cumsum(pa.compute.list_value_length(column).to_numpy(zero_copy_only=False), out=offsets[1:])
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), offsets
+    np.cumsum(_sizes(column), out=offsets[1:])
+    if pa.types.is_binary(column.type):
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+        data = column.buffers()[2]
+        values = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]].copy().view("<i4") if data is not None else np.empty(0, np.int32)
+    else:
+        values = column.flatten().to_numpy(zero_copy_only=False)
+    return values.astype(np.int64), offsets
 
 
 def _links(a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray) -> np.ndarray:
@@ -255,7 +273,7 @@ def _links(a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarra
 
 def _parts(batch: pa.RecordBatch):
     """Slices of a batch with about ``PART`` tokens each (one row at least)."""
-    tokens = np.cumsum(pa.compute.list_value_length(batch.column("a_ids")).to_numpy(zero_copy_only=False))
+    tokens = np.cumsum(_sizes(batch.column("a_ids")))
     at = 0
     while at < batch.num_rows:
         done = tokens[at - 1] if at else 0

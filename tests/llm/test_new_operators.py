@@ -238,17 +238,18 @@ def expected_scores(keys, texts):
 ODD_TEXTS = [None, "", " ", "  two", "ends ", "<s> <|endoftext|> <0x41> </s>", "under▁line", "naïve café 漢字 \U0001f600", "\n\tx", "a\0b", "　wide", "same words same words"]
 
 
-def aligned_rows(frame):
-    return sorted((tuple(r) for r in token_alignment.alignment_scores(token_alignment.stored(token_alignment.aligned(frame, *PAIR))).collect()), key=str)
+def aligned_rows(frame, packed=False):
+    alignment = token_alignment.stored(token_alignment.aligned(frame, *PAIR, packed=packed))
+    return sorted((tuple(r) for r in token_alignment.alignment_scores(alignment).collect()), key=str)
 
 
 def test_alignment_of_odd_rows(shared, odd, none):
     texts = [*ODD_TEXTS, *strange_texts()[:80]]
     frame = shared.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, a_ids int")
-    assert aligned_rows(frame) == expected_scores(range(len(texts)), texts)
+    assert aligned_rows(frame) == aligned_rows(frame, packed=True) == expected_scores(range(len(texts)), texts)
     rows = odd.collect()
     assert aligned_rows(odd) == expected_scores([r.doc_id for r in rows], [r.text for r in rows])
-    assert aligned_rows(none) == []
+    assert aligned_rows(none) == aligned_rows(none, packed=True) == []
 
 
 def test_alignment_query(shared):
