@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from plumbline.llm.sharding import PART_ROWS, part_bits
 from plumbline.llm.storage import ranked, written
 
-LENGTHS = 1 << 18  # distinct lengths up to which bucket bounds are exact
-DIGITS = 13
+LENGTHS = 1 << 22  # distinct lengths at most; their texts would have 8.8 * 10 ** 12 tokens
 
 
 def byte_tokens(text: str) -> Column:
@@ -31,7 +30,7 @@ def optimal_bounds(lengths: np.ndarray, rows: np.ndarray, buckets: int) -> list[
     cost: list[int | None] = [0] + [None] * n
     came = []
     for _ in range(min(buckets, n)):
-        best, at, hull, first = [0] + [None] * n, [0] * (n + 1), [], 0
+        best, at, hull, first = [0] + [None] * n, np.zeros(n + 1, np.int32), [], 0
         for j in range(1, n + 1):
             i, x = j - 1, tops[j - 1]
             if cost[i] is not None:
@@ -41,30 +40,27 @@ def optimal_bounds(lengths: np.ndarray, rows: np.ndarray, buckets: int) -> list[
                 hull.append(i)
             while len(hull) - first > 1 and cost[hull[first + 1]] - x * upto[hull[first + 1]] < cost[hull[first]] - x * upto[hull[first]]:
                 first += 1
-            at[j] = hull[first]
-            best[j] = cost[at[j]] + x * (upto[j] - upto[at[j]])
+            at[j] = start = hull[first]
+            best[j] = cost[start] + x * (upto[j] - upto[start])
         came.append(at)
         cost = best
     out, j = [], n
     for at in reversed(came):
         if j:
             out.append(tops[j - 1])
-            j = at[j]
+            j = int(at[j])
     return out[::-1]
 
 
 def length_bounds(lengths: DataFrame, column: str, buckets: int) -> list[int]:
-    """Bucket bounds with the least padding, from the rows of every distinct length.
+    """Bucket bounds with the least padding, from the rows of every distinct length, however long the longest text is.
 
-    Exact while there are at most ``LENGTHS`` distinct lengths. As these add up to no more than all tokens, that holds for any
-    table of up to LENGTHS ** 2 / 2 (34 billion) tokens. Beyond, lengths that agree in their ``DIGITS`` leading binary digits
-    share a bin and its greatest one stands for it: padded tokens are then less than 1 + 2 ** (1 - DIGITS) times the fewest. Neither depends on
-    how long the longest text is. Fewer than 2 ** (DIGITS - 1) bins per doubling of the length come to the driver.
+    One row per distinct length comes to the driver. A table with more than ``LENGTHS`` of them stops the job: as distinct lengths add
+    up to no more than all tokens, that takes more than LENGTHS ** 2 / 2 tokens.
     """
     counts = written(lengths.groupBy(F.col(column).alias("top")).agg(F.count(F.lit(1)).alias("rows")), "length-counts")
     if counts.count() > LENGTHS:
-        spare = F.greatest(F.lit(0), F.length(F.bin("top")) - DIGITS)
-        counts = counts.groupBy(F.call_function("shiftright", "top", spare), spare).agg(F.max("top").alias("top"), F.sum("rows").alias("rows"))
+        raise ValueError(f"more than {LENGTHS} distinct lengths")
     found = counts.select(F.col("top").cast("long"), "rows").sort("top").toArrow()
     return optimal_bounds(found["top"].to_numpy(), found["rows"].to_numpy(), buckets)
 
