@@ -252,8 +252,20 @@ def contamination(matches: DataFrame, key: str = "doc_id", share: int = 20) -> D
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that aren't contaminated; rows that share a contaminated row's key go with it."""
+    """The rows of ``docs``, with all their columns, that aren't contaminated.
+
+    Each row is judged by its own text. Rows that share the key of a contaminated one (repeated and null keys) are looked at once more
+    under numbers of their own; where no such key has other rows, the keys are enough.
+    """
     found = contamination(benchmark_matches(docs, items, key=key, text=text), key)
-    (k,) = clear_of(docs, "key_")
-    bad = found.where("contaminated").select(F.col(key).alias(k)).distinct()
-    return docs.join(bad, docs[key].eqNullSafe(F.col(k)), "left_anti")
+    k, number = clear_of(docs, "key_", "row_")
+    bad = written(found.where("contaminated").groupBy(F.col(key).alias(k)).agg(F.count(F.lit(1)).alias("n")), "contaminated-keys")
+    same = docs[key].eqNullSafe(F.col(k))
+    clean = docs.join(bad.select(k), same, "left_anti")
+    contaminated = bad.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    shared = docs.join(bad.select(k), same, "left_semi")
+    if shared.count() == contaminated:
+        return clean
+    numbered = written(shared.withColumn(number, F.monotonically_increasing_id()), "contaminated-suspects")
+    again = contamination(benchmark_matches(numbered, items, key=number, text=text), number).where("contaminated")
+    return clean.unionByName(numbered.join(again.select(number), number, "left_anti").select(*docs.columns))

@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables a
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_its_sql(shared, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages", "conversations", "benchmark"):
+    for table in ("documents", "pages", "conversations", "benchmark", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     found = queries.QUERIES[name](shared, FOLDER)
     answer = duck.execute(queries.ORACLES[name])
@@ -58,3 +58,20 @@ def test_pipeline_stages(shared, documents):
             assert after == {i for i, (n, hit, _) in judged.items() if not (hit and 20 * hit >= n)}
         else:
             assert after == set(before)
+
+
+def test_pipeline_of_null_and_repeated_keys_and_of_no_rows(shared, documents):
+    """A third of the rows without a key, some rows twice, and a table without rows go through every stage."""
+    odd = documents.selectExpr("CASE WHEN doc_id % 3 = 0 THEN NULL ELSE doc_id END AS doc_id", "text", "lang", "source", "n_chars")
+    odd = odd.unionByName(odd.where("doc_id % 5 = 0")).unionByName(shared.createDataFrame([(None, None, None, None, None)], odd.schema))
+    for docs in (odd, documents.where("false")):
+        empty = docs.isEmpty()
+        for name, stage in corpus_pipeline.STAGES:
+            before = [tuple(r) for r in docs.collect()]
+            docs = stage(shared, docs, FOLDER)
+            after = [tuple(r) for r in docs.collect()]
+            if name == "packing":
+                assert len(after) == len(before)
+            else:
+                assert docs.columns == documents.columns and set(after) <= set(before) and len(after) <= len(before)
+                assert empty or len(after) > 0.3 * len(before)
