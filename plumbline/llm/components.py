@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.storage import written
 
-TASK_EDGES = 1 << 20  # that one task contracts together
+TASK_EDGES = 1 << 19  # that one task contracts together
 
 
 def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -61,14 +61,15 @@ def _contracted(batches):
 
 
 def contracted(edges: DataFrame) -> DataFrame:
-    """The same components with the edges of each task as stars; null ends and loops are dropped."""
-    return edges.where("a <> b").select("a", "b").mapInArrow(_contracted, "a long, b long")
+    """The same components with the edges of each task as stars."""
+    return edges.mapInArrow(_contracted, "a long, b long")
 
 
 def components(edges: DataFrame, purpose: str, max_rounds: int = 60) -> DataFrame:
     """(node, root) for the ends of ``edges`` (a long, b long); the root is the smallest node reachable.
 
-    Edges are contracted where they are, before anything is shuffled. While more than ``TASK_EDGES`` are left, each round links every
+    Edges are written, so that the functions that find them are done, and contracted where they lie before anything is shuffled; null
+    ends and loops are dropped. While more than ``TASK_EDGES`` are left, each round links every
     larger neighbour of a node, then every smaller one, to the smallest (Kiveris et al., 2014), and contracts what a task gets.
     Work per round is a group-by and a join on the node. No more edges than that meet in one task, in the last one neither.
     Ends when a round changes nothing.
@@ -76,7 +77,7 @@ def components(edges: DataFrame, purpose: str, max_rounds: int = 60) -> DataFram
     def sign(frame: DataFrame) -> tuple:
         return tuple(frame.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
 
-    now = written(contracted(edges), purpose)
+    now = written(contracted(written(edges.where("a <> b").select("a", "b"), purpose)), purpose)
     mark = sign(now)
     for _ in range(max_rounds):
         if mark[0] <= TASK_EDGES:
@@ -90,7 +91,7 @@ def components(edges: DataFrame, purpose: str, max_rounds: int = 60) -> DataFram
         small = large.join(smallest, F.col("a") == F.col("k"))
         step = small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").unionByName(
             smallest.select(F.col("k").alias("a"), F.col("m").alias("b")))
-        now = written(contracted(step.distinct()), purpose)
+        now = written(contracted(written(step.distinct(), purpose)), purpose)
         before, mark = mark, sign(now)
         if mark == before:
             break
