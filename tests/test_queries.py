@@ -15,7 +15,8 @@ from plumbline.plans.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 SOME = (
-    "daily_sales_reconciled", "c06_order_capstone", "c08_latest_version", "c10_incremental_load", "c13_type2_customers", "c16_quarantine",
+    "daily_sales_reconciled", "c06_order_capstone", "c11_freshness", "f10_stale_versions", "f18_report_faults", "f20_expected_rules", "m08_compacted_log",
+    "q04_schema", "q07_suite_problems", "q11_run_invariants", "s04_conflicting_commit", "c08_latest_version", "c10_incremental_load", "c13_type2_customers", "c16_quarantine",
     "c22_api_ingestion", "c23_lineage", "c26_copy_metrics", "c30_reference_freshness", "c36_access_contract", "f07_daily_and_mixed",
     "j10_interval_overlap_pairs", "m01_stream_merge", "m04_event_watermark_policy", "q06_field_evidence", "s02_order_generator",
     "s16_evidence_json", "s17_evidence_csv", "s21_page_records", "t04_half_subset", "v01_evidence_problems", "w03_next_start",
