@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from plumbline.llm.components import components
-from plumbline.llm.storage import buckets_for, clear_of, written
+from plumbline.llm.storage import bounded_batches, buckets_for, clear_of, written
 from plumbline.llm.words import leveled_sets, mix, shingle_sets, word_cells
 
 FREQUENT = 2_000_000  # members at most whose counts are shared
@@ -425,6 +425,7 @@ def similarity_classes(
     is the component only where all keys are null. Repeated rows come out repeated. Other columns are not read.
     """
     spark = docs.sparkSession
+    bounded_batches(spark, "8m")
     plain = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     kind = plain.schema["id"].dataType.simpleString()
     id_type = to_arrow_type(plain.schema["id"].dataType)
