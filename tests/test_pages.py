@@ -8,6 +8,7 @@ import pytest
 
 from plumbline.operators import ranges
 from plumbline.operators.checks import CHECKS
+from plumbline.plans.check_queries import landed_attempts
 from plumbline.sources import pages
 from tests import fixtures
 
@@ -104,3 +105,14 @@ def test_an_appending_ingest_counts_every_repeated_key(spark):
     rows = [(i, 1, D(i)) for i in range(1, 8)]
     tables = fixtures.api_tables(spark, "C22", "api_clean", rows, 3)
     assert CHECKS["C22"](tables, idempotent=False).first().violation_count == len(rows)
+
+
+def test_an_order_with_several_flaws_is_served_with_all_of_them(spark):
+    listing = spark.sql("""SELECT 0L AS crawl_id, order_id, 7L AS customer_id, CAST(1.5 AS DECIMAL(18,2)) AS net_amount, 1L AS page, order_id AS pos,
+        false AS lost, order_id = 4 AS doubled, order_id IN (1, 2, 4) AS text_customer, order_id IN (1, 3, 4) AS no_amount, false AS wrong_amount,
+        order_id IN (2, 3, 4) AS text_key FROM VALUES (1L), (2L), (3L), (4L) t(order_id)""")
+    tables = {"api_listing": listing, "api_last_page": spark.sql("SELECT 0L AS crawl_id, 1L AS last_page, 2L AS failed_page")}
+    (landed,) = landed_attempts(tables.__getitem__).collect()
+    last = {"order_id": "4", "customer_id": "7"}
+    assert json.loads(landed.body)["items"] == [
+        {"order_id": 1, "customer_id": "7"}, {"order_id": "2", "customer_id": "7", "net_amount": "1.50"}, {"order_id": "3", "customer_id": 7}, last, last]
