@@ -5,6 +5,7 @@ import random
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.operators import ranges
 from plumbline.operators.checks import CHECKS
@@ -116,3 +117,11 @@ def test_an_order_with_several_flaws_is_served_with_all_of_them(spark):
     last = {"order_id": "4", "customer_id": "7"}
     assert json.loads(landed.body)["items"] == [
         {"order_id": 1, "customer_id": "7"}, {"order_id": "2", "customer_id": "7", "net_amount": "1.50"}, {"order_id": "3", "customer_id": 7}, last, last]
+
+
+def test_the_plan_of_a_crawl_does_not_grow_where_it_exceeds_one_range(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "RANGE_ROWS", 8)
+    frame = spark.range(1, 60).select(F.lit("a").alias("crawl"), F.col("id").alias("page"), (F.col("id") + 1).alias("next_page"))
+    found = pages.chained_pages(frame, ["crawl"])
+    assert found.count() == 59
+    assert found._jdf.queryExecution().optimizedPlan().collectLeaves().size() <= 2
