@@ -67,3 +67,12 @@ def test_guarded_apply_updates_inserts_and_deletes_nothing(spark):
     once = guarded_apply(before, incoming, ["order_id"], "version")
     assert content(once) == [(1, 3, 10), (2, 6, 21), (3, 1, 0), (4, 2, 31)]
     assert content(guarded_apply(once, incoming, ["order_id"], "version")) == content(once)
+
+
+def test_guarded_apply_reads_each_side_once_and_keeps_repeated_and_null_keys(spark):
+    before = spark.createDataFrame([(1, 1, "a"), (1, 3, "b"), (None, 1, "c"), (4, None, "d")], "k long, version long, value string")
+    incoming = spark.createDataFrame([(1, 2, "x"), (None, 9, "y"), (4, 1, "z"), (5, None, "w")], "k long, version long, value string")
+    found = guarded_apply(before, incoming, ["k"], "version")
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, [
+        (1, 2, "x"), (1, 3, "b"), (None, 1, "c"), (None, 9, "y"), (4, None, "d"), (5, None, "w")]))
+    assert found._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2
