@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from plumbline import schemas
 from plumbline.functions.exprs import normalized_state
+from plumbline.session import work_dir
 
 # The field contract of evidence version 1.
 MAX_INT, MAX_LONG = 2**31 - 1, 2**63 - 1
@@ -474,18 +475,29 @@ def record_lines(header: DataFrame, sections: Mapping[str, DataFrame]) -> DataFr
     return reduce(DataFrame.unionByName, lines)
 
 
+SPREAD = 64  # parts of a bundle
+
+
+def _stored(frame: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder, so that each use doesn't judge them again."""
+    path = work_dir(frame.sparkSession, "records")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def parse_records(lines: DataFrame) -> Evidence:
     """Validate and type record lines (column ``value``) of bundles of any size.
 
-    Each record is judged in its own row; ids that may not repeat and the one header a bundle needs are counted. A
+    Each record is judged once, in its own row, and stored; ids that may not repeat and the one header a bundle needs
+    are counted. The records of a bundle are dealt over ``SPREAD`` parts, so that none is one task's. A
     bundle with any problem is refused whole. ``documents`` has one row per accepted bundle. Lines that name no bundle
     belong to the bundle NULL, which is never accepted.
     """
     known = (HEADER, *SECTIONS)
     line, item, section = F.try_parse_json("value"), F.col("item"), F.col("section")
-    records = lines.select(line.alias("line")).select(
+    records = lines.select(line.alias("line"), F.pmod(F.xxhash64("value"), F.lit(SPREAD)).alias("spread")).select(
         _text(F.col("line"), "bundle").alias("bundle"), _text(F.col("line"), "section").alias("section"),
-        F.try_variant_get("line", "$.record", "variant").alias("item"))
+        F.try_variant_get("line", "$.record", "variant").alias("item"), "spread")
     reasons = F.array(F.lit("unknown section"))
     for s in known:
         own = object_problems(item, s.fields)
@@ -494,18 +506,19 @@ def parse_records(lines: DataFrame) -> Evidence:
             own = F.array_append(own, F.when(F.try_variant_get(item, "$.version", "bigint") != 1, F.lit("unsupported version")))
         reasons = F.when(section == s.path, own).otherwise(reasons)
     reasons = F.when(F.col("bundle").isNull(), F.array(F.lit("no bundle named"))).when(item.isNull(), F.array(F.lit("not an object"))).otherwise(reasons)
-    judged = records.withColumn("reasons", F.array_compact(reasons))
+    stored = _stored(records.select("bundle", "section", F.to_json("item").alias("item"), "spread", F.array_compact(reasons).alias("reasons")))
+    judged = stored.withColumn("item", F.parse_json("item"))
     place = F.lit(None).cast("int").alias("pos")
     found = [judged.select("bundle", "section", place, F.explode("reasons").alias("reason"))]
     for path, name in UNIQUE_FIELDS.items():
-        ids = records.where((section == path) & _text(item, name).isNotNull()).groupBy("bundle", _text(item, name).alias("id"))
+        ids = judged.where((section == path) & _text(item, name).isNotNull()).groupBy("bundle", _text(item, name).alias("id"))
         twice = ids.agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bundle").distinct()
         found.append(twice.select("bundle", F.lit(path).alias("section"), place, F.lit(f"repeated {name}").alias("reason")))
-    headers = records.groupBy("bundle").agg(F.count_if(section == "header").alias("n"))
+    headers = judged.groupBy("bundle").agg(F.count_if(section == "header").alias("n"))
     found.append(headers.where("n <> 1").select("bundle", F.lit("header").alias("section"), place, F.lit("not one header").alias("reason")))
     problems = reduce(DataFrame.unionByName, found)
-    refused = problems.select("bundle").distinct()
-    good = judged.where("bundle IS NOT NULL").join(refused, "bundle", "left_anti").select("bundle", "section", place, "item")
+    refused = problems.select("bundle").distinct().withColumn("spread", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint"))))
+    good = judged.where("bundle IS NOT NULL").join(refused, ["bundle", "spread"], "left_anti").select("bundle", "section", place, "item")
 
     def rows(s: Section) -> DataFrame:
         return _typed_rows(s, good.where(section == s.path).drop("section"))

@@ -216,3 +216,12 @@ def test_verdict_precedence_and_staleness(spark):
     made = spark.createDataFrame([("a", "r1", "PASS"), ("b", "r1", "PASS")], "subject string, revision string, status string")
     current = spark.createDataFrame([("a", "r1"), ("b", "r2")], "subject string, current_revision string")
     assert {r.subject: r.status for r in verdicts.valid_verdicts(made, current).collect()} == {"a": "PASS", "b": "NOT_RUN"}
+
+
+def test_record_lines_are_judged_once_and_a_bundle_is_dealt_over_parts(spark):
+    header = spark.sql("SELECT 'a' AS bundle, 'ADF' AS provider, 'w' AS resource_id, timestamp'2026-01-03 12:00:00' AS as_of, 1 AS batch_no")
+    rows = spark.range(200).selectExpr("'a' AS bundle", "'d' AS dataset_id", "CAST(id AS STRING) AS reference_id",
+                                       "timestamp'2026-01-03 12:00:00' AS observed_at", "'r' AS run_id")
+    found = evidence.parse_records(evidence.record_lines(header, {"references": rows})).sections["references"]
+    assert "schema_of_variant" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == found.select("reference_id").distinct().count() == 200
