@@ -8,6 +8,8 @@ from plumbline.contracts import QualityStatus
 from plumbline.operators.certify import certify, count_by_difference, count_variants
 from plumbline.operators.checks import CHECKS
 from plumbline.operators.faults import inject
+from plumbline.plans import fault_queries
+from plumbline.plans.registry import QUERIES
 from tests import fixtures
 
 
@@ -39,3 +41,16 @@ def test_counts_by_difference_equal_whole_counts(spark, check, domains):
     found = count_by_difference(CHECKS[check], clean, domains, {}, variants, list(expected)).collect()
     whole = count_variants(CHECKS[check], variants(clean), list(domains)).collect()
     assert {r.variant_id: r.violation_count for r in found} == {r.variant_id: r.violation_count for r in whole} == expected
+
+
+@pytest.mark.parametrize("name", ["f15_mapping_faults", "f15_transform_faults"])
+def test_load_faults_are_counted_on_the_keys_near_the_edits(spark, monkeypatch, name):
+    sizes, plain = [], count_variants
+
+    def seen(check, variants, names):
+        sizes.append(max(t["etl_source"].count() for t in variants.values()))
+        return plain(check, variants, names)
+
+    monkeypatch.setattr(fault_queries.certify, "count_variants", seen)
+    QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+    assert sizes and max(sizes) <= 16
