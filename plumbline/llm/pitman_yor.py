@@ -7,13 +7,17 @@ customers; of a dish (token) in a restaurant the state is its number of tables,
 How it is spread: bigrams, counted per Arrow batch, go to buckets by token, so that a token's parent dish is in the
 bucket of its restaurants. The few most frequent tokens are spread by context as well. Buckets sweep side by side with the
 table totals of the round before. Totals of contexts are a table: each bucket sends one partial sum for each of its contexts, parts
-of the contexts add them up, and each bucket gets the totals of its own contexts back; nothing is broadcast but totals of ``HOT`` tokens. A round is
-drawn from its bucket and number alone, so later jobs draw it again instead of keeping it, and a lost executor changes nothing.
+of the contexts add them up, and each bucket gets the totals of its own contexts back; nothing is broadcast but totals of ``HOT`` tokens. A round's
+table keeps the seating of each bucket beside the totals, and the next round starts from that table alone. Rounds are drawn from their bucket and number
+alone, so a lost executor changes nothing. Hashes travel in the first round only; later ones name a context by its place in its part.
 Bigrams met in held-out texts only are dishes without customers: they make sure that a bucket has the totals of every context it scores.
 """
 
 from __future__ import annotations
 
+import gc
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -32,10 +36,46 @@ ROUNDS, BURN_IN = 4, 2  # the rounds after the burn-in are averaged
 EXACT = 64  # customers of a dish up to which its tables are drawn from their exact conditional distribution
 PART_BITS = 6  # at least, of the context's hash: parts in which totals are added up
 PART_PAIRS = 1 << 20  # bigrams in a part, about
+PAIR_BYTES = 5  # of a bigram's packed context, about
 END = np.uint64(0x5EED0FE0D)
 START = np.uint64(0x5EED057A7)
 
 
+# Arrays as bytes
+
+def packed(values: np.ndarray) -> bytes:
+    """Integers as compressed byte planes, behind their size."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+    return len(planes).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(planes, asbytes=True) if planes else b""
+
+
+def unpacked(data: bytes, kind) -> np.ndarray:
+    size, width = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data[8:], size, "zstd") if size else b"", np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, -1).T).reshape(-1).view(kind)
+
+
+def packed_rising(values: np.ndarray) -> bytes:
+    """Ascending unsigned integers, by their differences."""
+    return packed(np.diff(values, prepend=values.dtype.type(0)))
+
+
+def unpacked_rising(data: bytes, kind) -> np.ndarray:
+    return np.cumsum(unpacked(data, kind), dtype=kind)
+
+
+def packed_contexts(contexts: np.ndarray) -> bytes:
+    """Distinct contexts ascending, and the number of each one among them."""
+    distinct, number = np.unique(contexts, return_inverse=True)
+    first = packed_rising(distinct)
+    return len(first).to_bytes(8, "little") + first + packed(number.astype(np.uint32))
+
+
+def unpacked_contexts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    end = 8 + int.from_bytes(data[:8], "little")
+    return unpacked_rising(data[8:end], np.uint64), unpacked(data[end:], np.uint32).astype(np.int64)
+
+
 # The tokens of Arrow batches
 
 def tokens_of(batch: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,7 +153,7 @@ def grouped(tokens: np.ndarray, contexts: np.ndarray, counts: np.ndarray) -> tup
 
 
 def _rows_by_bucket(tokens, contexts, values, hot, buckets):
-    """(bucket, token per run, ends of runs, contexts, values) of rows grouped by token, cut by bucket."""
+    """(bucket, token per run, ends of runs, contexts, values) of rows with ascending tokens, cut by bucket."""
     bucket = bucket_of(tokens, contexts, hot, buckets)
     order = np.argsort(bucket, kind="stable")
     bucket, tokens, contexts, values = bucket[order], tokens[order], contexts[order], values[order]
@@ -121,12 +161,12 @@ def _rows_by_bucket(tokens, contexts, values, hot, buckets):
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         own = tokens[a:b]
         ends = np.flatnonzero(np.r_[own[1:] != own[:-1], True])
-        yield int(bucket[a]), own[ends].tobytes(), (ends + 1).astype(np.uint32).tobytes(), contexts[a:b].tobytes(), values[a:b].tobytes()
+        yield int(bucket[a]), packed_rising(own[ends]), packed_rising((ends + 1).astype(np.uint32)), packed_contexts(contexts[a:b]), packed(values[a:b])
 
 
-def _unpacked(tokens: bytes, ends: bytes, contexts: bytes, values: bytes, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    runs = np.diff(np.frombuffer(ends, np.uint32).astype(np.int64), prepend=0)
-    return np.repeat(np.frombuffer(tokens, np.uint64), runs), np.frombuffer(contexts, np.uint64), np.frombuffer(values, kind)
+def _unpacked(tokens: bytes, ends: bytes, contexts: bytes, values: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    distinct, number = unpacked_contexts(contexts)
+    return np.repeat(unpacked_rising(tokens, np.uint64), unpacked(ends, np.uint32)), distinct[number], unpacked(values, np.uint32)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -151,10 +191,10 @@ def _bigrams(text: str, hot: np.ndarray, buckets: int, held: str | None = None):
 
 
 def _merged(key, table):
-    parts = [_unpacked(*row, np.uint32) for row in zip(*(table[c].to_pylist() for c in ("tokens", "ends", "contexts", "counts")), strict=True)]
+    parts = [_unpacked(*row) for row in zip(*(table[c].to_pylist() for c in ("tokens", "ends", "contexts", "counts")), strict=True)]
     tokens, contexts, counts = (np.concatenate([p[i] for p in parts]) for i in range(3))
     words, ends, contexts, counts = grouped(tokens, contexts, counts.astype(np.int64))
-    row = (key[0].as_py(), words.tobytes(), ends.astype(np.uint32).tobytes(), contexts.tobytes(), counts.astype(np.int64).tobytes())
+    row = (key[0].as_py(), packed_rising(words), packed_rising(ends.astype(np.uint32)), packed_contexts(contexts), packed(counts.astype(np.int64)))
     return pa.Table.from_batches([_batch([row], _CUSTOMERS)])
 
 
@@ -204,18 +244,19 @@ def draw_tables(rng, customers, others, base, discount: float, strength: float,
 
 
 class TableTotals:
-    """Totals of contexts, looked up on the driver in the table of a round."""
+    """Totals of contexts, looked up on the driver in the table of a round; hashes are in that of the first."""
 
-    def __init__(self, table: DataFrame, which: int):
-        self.table, self.which = table, which
+    def __init__(self, table: DataFrame, first: DataFrame, which: int):
+        self.table, self.first, self.which = table, first, which
 
     def __getitem__(self, contexts: np.ndarray) -> np.ndarray:
         sought, inverse = np.unique(contexts, return_inverse=True)
         out = np.zeros(len(sought), np.int64)
-        for row in self.table.where("bucket = -1 AND part >= 0").toLocalIterator():
-            found = np.frombuffer(row["contexts"], np.uint64)
+        hashes, sums = (t.where("bucket = -1 AND part >= 0").select("part", c) for t, c in ((self.first, "contexts"), (self.table, "sums")))
+        for row in hashes.join(sums, "part").toLocalIterator():
+            found = unpacked_rising(row["contexts"], np.uint64)
             _, at, own = np.intersect1d(sought, found, assume_unique=True, return_indices=True)
-            out[at] = np.frombuffer(row["sums"], np.int64).reshape(-1, len(found))[self.which, own]
+            out[at] = unpacked(row["sums"], np.int64).reshape(-1, len(found))[self.which, own]
         return out[inverse]
 
 
@@ -254,16 +295,17 @@ class Model:
 
 
 class Bucket:
-    """One bucket's customers and, after :meth:`replay`, its seating in each round kept."""
+    """One bucket's customers, and how a round seats them."""
 
     def __init__(self, number: int, tokens: bytes, ends: bytes, contexts: bytes, counts: bytes):
         self.number = number
-        self.words = np.frombuffer(tokens, np.uint64)
-        self.ends = np.frombuffer(ends, np.uint32).astype(np.int64)
+        self.words = unpacked_rising(tokens, np.uint64)
+        self.ends = unpacked_rising(ends, np.uint32).astype(np.int64)
         self.starts = np.concatenate([[0], self.ends[:-1]]) if len(self.ends) else self.ends
         self.word = np.repeat(np.arange(len(self.words)), self.ends - self.starts)
-        self.contexts = np.frombuffer(contexts, np.uint64)
-        self.counts = np.frombuffer(counts, np.int64)
+        self.distinct, self.context = unpacked_contexts(contexts)
+        self.contexts = self.distinct[self.context]
+        self.counts = unpacked(counts, np.int64)
 
     def sums(self, values: np.ndarray) -> np.ndarray:
         return np.add.reduceat(values, self.starts) if len(self.starts) else values[:0]
@@ -277,59 +319,74 @@ class Bucket:
         own = np.flatnonzero(model.hot[at] == self.words)
         return own, at[own]
 
-    def replay(self, model: Model, seed: int, rounds: int, keep: int = 0) -> list[tuple]:
-        """Draws ``rounds`` rounds; returns (tables, parent customers, parent tables) after those from ``keep`` on."""
-        stirling = [log_stirling(d, EXACT) for d in model.discounts] if rounds else []
-        own, hot = self.hot_places(model)
+    def opened(self) -> tuple:
+        """Before the first round every dish has one table: (tables, parent customers, parent tables)."""
         tables = np.minimum(self.counts, 1)
         sent = self.sums(tables)
-        above = np.minimum(sent, 1)
-        out = [(tables, sent, above)] if keep == 0 else []
+        return tables, sent, np.minimum(sent, 1)
+
+    def seated(self, model: Model, seed: int, i: int, tables: np.ndarray, sent: np.ndarray, above: np.ndarray) -> tuple:
+        """The seating that a round draws from the one before it and its state, which is number ``i``."""
+        stirling = [log_stirling(d, EXACT) for d in model.discounts]
+        own, hot = self.hot_places(model)
+        state = model.rounds[i]
+        rng = np.random.default_rng([seed, self.number, i])
+        customers, parent_tables = sent.astype(float), above.astype(float)
+        customers[own], parent_tables[own] = state["hot_customers"][hot], state["hot_tables"][hot]
+        parent = model.parent(customers, parent_tables, state)
+        others = np.maximum(0, state["by_context"][self.contexts] - tables)
+        tables = draw_tables(rng, self.counts, others, parent[self.word], model.discounts[0], model.strength, stirling[0])
+        sent = self.sums(tables)
+        base = np.full(len(sent), 1 / (model.vocabulary + 1))
+        above = draw_tables(rng, sent, np.maximum(0, state["tables"] - above), base, model.discounts[1], model.strength, stirling[1])
+        return tables, sent, above
+
+    def replay(self, model: Model, seed: int, rounds: int, keep: int = 0) -> list[tuple]:
+        """Draws ``rounds`` rounds; returns (tables, parent customers, parent tables) after those from ``keep`` on."""
+        out = [self.opened()]
         for i in range(rounds):
-            state = model.rounds[i]
-            rng = np.random.default_rng([seed, self.number, i])
-            customers, parent_tables = sent.astype(float), above.astype(float)
-            customers[own], parent_tables[own] = state["hot_customers"][hot], state["hot_tables"][hot]
-            parent = model.parent(customers, parent_tables, state)
-            others = np.maximum(0, state["by_context"][self.contexts] - tables)
-            tables = draw_tables(rng, self.counts, others, parent[self.word], model.discounts[0], model.strength, stirling[0])
-            sent = self.sums(tables)
-            base = np.full(len(sent), 1 / (model.vocabulary + 1))
-            above = draw_tables(rng, sent, np.maximum(0, state["tables"] - above), base, model.discounts[1], model.strength, stirling[1])
-            if i + 1 >= keep:
-                out.append((tables, sent, above))
-        return out
+            out.append(self.seated(model, seed, i, *out[-1]))
+        return out[keep:]
 
 
 _TOTALS = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("contexts", pa.binary()), ("sums", pa.binary())])
 _TOTALS_KIND = "bucket int, part int, contexts binary, sums binary"
 
 
-def _placed(customers: dict, totals: pa.Table | None, fields: dict) -> tuple[Bucket, Model, np.ndarray]:
-    """A bucket whose contexts are numbers, the model with the totals of those, and the contexts' hashes by number."""
+def _placed(customers: dict, before: list[dict], fields: dict) -> tuple[Bucket, Model, dict, dict]:
+    """A bucket whose contexts are numbers, the model with the totals of those, the seating by round, and by part the contexts' places."""
     model = Model.of(fields)
     bucket = Bucket(*(customers[c] for c in _CUSTOMERS.names))
-    distinct, bucket.contexts = np.unique(bucket.contexts, return_inverse=True)
-    rounds = [[] for _ in model.rounds]
-    for r in sorted(totals.select(["round", "part", "sums"]).to_pylist(), key=lambda r: r["part"]) if totals is not None else []:
-        rounds[r["round"]].append(np.frombuffer(r["sums"], np.int64).reshape(1 if r["round"] else 2, -1))
-    sums = [np.concatenate(parts, axis=1) for parts in rounds]
-    if sums:
-        model.of_context = sums[0][1]
-        model.rounds = [s | {"by_context": own[0].astype(float)} for s, own in zip(model.rounds, sums, strict=True)]
-    return bucket, model, distinct
-
-
-def _sums(customers: dict, totals: pa.Table | None, fields: dict, seed: int, rounds: int, bits: int) -> pa.RecordBatch:
-    """What a bucket adds after ``rounds`` rounds: tables (at first customers as well) by context in parts, and on part -1 the rest."""
-    bucket, model, distinct = _placed(customers, totals, fields)
-    tables, sent, above = bucket.replay(model, seed, rounds, rounds)[-1]
+    bucket.contexts = bucket.context
+    seats, sums, places = {0: bucket.opened()}, {}, {}
+    for r in sorted(before, key=lambda r: r["part"]):
+        if r["part"] >= 0:
+            sums.setdefault(r["round"], []).append(unpacked(r["sums"], np.int64).reshape(1 if r["round"] else 2, -1))
+            places[r["part"]] = r["contexts"]
+        else:
+            tables = unpacked(r["sums"], np.uint32).astype(np.int64)
+            seats[r["round"]] = tables, bucket.sums(tables), unpacked(r["contexts"], np.uint32).astype(np.int64)
+    model.rounds = list(model.rounds)
+    for i, parts in sums.items():
+        own = np.concatenate(parts, axis=1)
+        model.rounds[i] = model.rounds[i] | {"by_context": own[0].astype(float)}
+        if not i:
+            model.of_context = own[1]
+    return bucket, model, seats, places
+
+
+def _sums(customers: dict, before: list[dict], fields: dict, seed: int, rounds: int, bits: int) -> pa.RecordBatch:
+    """What a bucket adds after ``rounds`` rounds: tables (at first customers as well) by context in parts, on part -1 the rest, and
+    its seating on a part of its own, below."""
+    bucket, model, seats, places = _placed(customers, before, fields)
+    tables, sent, above = bucket.seated(model, seed, rounds - 1, *seats[rounds - 1]) if rounds else seats[0]
     own, hot = bucket.hot_places(model)
     cold = np.ones(len(bucket.words), bool)
     cold[own] = False
     rest = np.zeros(7 + 2 * HOT, np.int64)
     rest[:2] = sent.sum(), above[cold].sum()
     rest[7 + hot] = sent[own]
+    distinct = bucket.distinct
     by_context = [np.bincount(bucket.contexts, tables, len(distinct))]
     if not rounds:
         by_context.append(np.bincount(bucket.contexts, bucket.counts, len(distinct)))
@@ -339,7 +396,10 @@ def _sums(customers: dict, totals: pa.Table | None, fields: dict, seed: int, rou
     part = (distinct >> np.uint64(64 - bits)).astype(np.int64)
     cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else [0]
     rows = [(bucket.number, -1, b"", rest.tobytes())]
-    rows += [(bucket.number, int(part[a]), distinct[a:b].tobytes(), by_context[:, a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    rows += [(bucket.number, int(part[a]), places[int(part[a])] if rounds else packed_rising(distinct[a:b]), packed(by_context[:, a:b]))
+             for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    if rounds:
+        rows.append((bucket.number, -2 - bucket.number, packed(above.astype(np.uint32)), packed(tables.astype(np.uint32))))
     return _batch(rows, _TOTALS)
 
 
@@ -347,53 +407,70 @@ def _first_sums(shared, seed: int, bits: int):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                yield _sums(row, None, shared.value, seed, 0, bits)
+                yield _sums(row, [], shared.value, seed, 0, bits)
     return run
 
 
 def _next_sums(shared, seed: int, rounds: int, bits: int):
-    def run(key, customers, totals):
+    def run(key, customers, before):
         (row,) = customers.to_pylist()
-        return pa.Table.from_batches([_sums(row, totals, shared.value, seed, rounds, bits)])
+        return pa.Table.from_batches([_sums(row, before.to_pylist(), shared.value, seed, rounds, bits)])
     return run
 
 
-def _added(key, table):
-    """A part's totals on bucket -1, and of each bucket's contexts in its order."""
-    part, buckets = key[0].as_py(), table["bucket"].to_pylist()
-    sums = [np.frombuffer(x, np.int64) for x in table["sums"].to_pylist()]
-    if part < 0:
-        return pa.Table.from_batches([_batch([(-1, part, b"", np.sum(sums, axis=0).tobytes())], _TOTALS)])
-    contexts = [np.frombuffer(x, np.uint64) for x in table["contexts"].to_pylist()]
-    found, inverse = np.unique(np.concatenate(contexts), return_inverse=True)
-    sums = np.concatenate([x.reshape(-1, len(c)) for x, c in zip(sums, contexts, strict=True)], axis=1)
-    totals = np.array([np.bincount(inverse, row, len(found)) for row in sums]).astype(np.int64)
-    ends = np.cumsum([len(c) for c in contexts])
-    rows = [(-1, part, found.tobytes(), totals.tobytes())]
-    rows += [(b, part, b"", totals[:, inverse[end - len(c):end]].tobytes()) for b, c, end in zip(buckets, contexts, ends, strict=True)]
-    return pa.Table.from_batches([_batch(rows, _TOTALS)])
+def _added(rounds: int):
+    """A part's totals on bucket -1, and those of each bucket's contexts in its order beside their places in the part; a seating as it is."""
+    def run(key, table):
+        part, buckets = key[0].as_py(), table["bucket"].to_pylist()
+        if part < -1:
+            return table
+        if part < 0:
+            sums = [np.frombuffer(x, np.int64) for x in table["sums"].to_pylist()]
+            return pa.Table.from_batches([_batch([(-1, part, b"", np.sum(sums, axis=0).tobytes())], _TOTALS)])
+        sums, given = [unpacked(x, np.int64) for x in table["sums"].to_pylist()], table["contexts"].to_pylist()
+        if rounds:
+            at, hashes = [unpacked_rising(x, np.uint32) for x in given], b""
+            size = 1 + max(int(x[-1]) for x in at)
+        else:
+            contexts = [unpacked_rising(x, np.uint64) for x in given]
+            found, inverse = np.unique(np.concatenate(contexts), return_inverse=True)
+            at = np.split(inverse.astype(np.uint32), np.cumsum([len(c) for c in contexts])[:-1])
+            size, hashes, given = len(found), packed_rising(found), [packed_rising(x) for x in at]
+        totals = np.zeros((1 if rounds else 2, size), np.int64)
+        for places, own in zip(at, sums, strict=True):
+            totals[:, places] += own.reshape(len(totals), -1)
+        rows = [(-1, part, hashes, packed(totals))]
+        rows += [(b, part, names, packed(totals[:, places])) for b, names, places in zip(buckets, given, at, strict=True)]
+        return pa.Table.from_batches([_batch(rows, _TOTALS)])
+    return run
 
 
-def _with_totals(customers: DataFrame, model: Model):
-    """Each bucket's customers with the totals of its contexts in all rounds so far."""
-    totals = None
-    for i, state in enumerate(model.rounds):
-        own = state["by_context"].table.where("bucket >= 0").select("bucket", F.lit(i).alias("round"), "part", "sums")
-        totals = own if totals is None else totals.unionAll(own)
-    return customers.groupBy("bucket").cogroup(totals.groupBy("bucket"))
+def _of_buckets(model: Model, rounds) -> DataFrame:
+    """What the tables of ``rounds`` keep for the buckets: totals of their contexts, and their seating."""
+    tables = [model.rounds[i]["by_context"].table.where("bucket >= 0").withColumn("round", F.lit(i)) for i in rounds]
+    return reduce(DataFrame.unionAll, tables)
 
 
 def _add_up(customers: DataFrame, model: Model, seed: int, rounds: int, bits: int) -> tuple[DataFrame, np.ndarray]:
-    """The table of totals after ``rounds`` rounds, and the rest."""
+    """The table of totals and seating after ``rounds`` rounds, and the rest."""
     shared = customers.sparkSession.sparkContext.broadcast(model.fields())
-    rows = (_with_totals(customers, model).applyInArrow(_next_sums(shared, seed, rounds, bits), _TOTALS_KIND) if rounds
-            else customers.mapInArrow(_first_sums(shared, seed, bits), _TOTALS_KIND))
-    table = written(rows.groupBy("part").applyInArrow(_added, _TOTALS_KIND), "pitman-yor-totals")
+    if rounds:
+        before = _of_buckets(model, [rounds - 1]).groupBy("bucket")
+        rows = customers.groupBy("bucket").cogroup(before).applyInArrow(_next_sums(shared, seed, rounds, bits), _TOTALS_KIND)
+    else:
+        rows = customers.mapInArrow(_first_sums(shared, seed, bits), _TOTALS_KIND)
+    table = written(rows.groupBy("part").applyInArrow(_added(rounds), _TOTALS_KIND), "pitman-yor-totals")
     rest = table.where("part = -1").first()
     return table, np.frombuffer(rest["sums"], np.int64) if rest else np.zeros(7 + 2 * HOT, np.int64)
 
 
-def _state(model: Model, table: DataFrame, rest: np.ndarray, rng) -> dict:
+def _drop_shuffles(spark) -> None:
+    """Lets Spark's cleaner delete the files of shuffles that no table refers to any more; it acts on what the JVM collects."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def _state(model: Model, table: DataFrame, first: DataFrame, rest: np.ndarray, rng) -> dict:
     """A round's shared state; parent tables of the hot tokens, which no bucket has whole, are drawn here."""
     n = len(model.hot)
     sent = rest[7:7 + n]
@@ -403,79 +480,67 @@ def _state(model: Model, table: DataFrame, rest: np.ndarray, rng) -> dict:
     above = draw_tables(rng, sent, np.full(n, before), base, d, model.strength, log_stirling(d, EXACT)) if model.rounds else (sent > 0).astype(np.int64)
     above = np.where(sent > 0, above, 0)
     return {
-        "by_context": TableTotals(table, 0), "customers": float(rest[0]),
+        "by_context": TableTotals(table, first, 0), "customers": float(rest[0]),
         "tables": float(rest[1] + above.sum()), "hot_customers": sent.astype(float), "hot_tables": above.astype(float)}
 
 
 def trained(customers: DataFrame, hot: np.ndarray, vocabulary: int, seed: int, rounds: int) -> Model:
     """Runs the rounds. Discounts come from the numbers of dishes with one and with two customers, as in Kneser-Ney smoothing."""
-    pairs = customers.agg(F.coalesce(F.sum(F.octet_length("contexts")), F.lit(0))).first()[0] // 8
+    pairs = customers.agg(F.coalesce(F.sum(F.octet_length("contexts")), F.lit(0))).first()[0] // PAIR_BYTES
     bits = max(PART_BITS, int(pairs // PART_PAIRS).bit_length())
     model = Model(hot, vocabulary, 0, None, (0.5, 0.5), np.zeros(len(hot), np.int64))
-    table, rest = _add_up(customers, model, seed, 0, bits)
+    first, rest = _add_up(customers, model, seed, 0, bits)
     ratio = lambda one, two: float(np.clip(one / max(1, one + 2 * two), 0.1, 0.9))
-    model = Model(hot, vocabulary, int(rest[2]), TableTotals(table, 1), (ratio(rest[3], rest[4]), ratio(rest[5], rest[6])), rest[7 + HOT:7 + HOT + len(hot)].copy())
-    model.rounds.append(_state(model, table, rest, np.random.default_rng([seed, 0])))
+    model = Model(hot, vocabulary, int(rest[2]), TableTotals(first, first, 1), (ratio(rest[3], rest[4]), ratio(rest[5], rest[6])), rest[7 + HOT:7 + HOT + len(hot)].copy())
+    model.rounds.append(_state(model, first, first, rest, np.random.default_rng([seed, 0])))
     for i in range(1, rounds + 1):
         table, rest = _add_up(customers, model, seed, i, bits)
-        model.rounds.append(_state(model, table, rest, np.random.default_rng([seed, 0, i])))
+        model.rounds.append(_state(model, table, first, rest, np.random.default_rng([seed, 0, i])))
+        _drop_shuffles(customers.sparkSession)
     return model
 
 
 # Scores
 
-_SCORES = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("tokens", "ends", "contexts", "logs", "counts"))])
+def _judging(customers: DataFrame, model: Model, rounds: int, keep: int) -> DataFrame:
+    """By bucket what :class:`Scores` needs: its customers, and the totals and seatings of the rounds from ``keep`` on; of the first one the totals."""
+    return customers.unionByName(_of_buckets(model, sorted({0, *range(keep, rounds + 1)})), allowMissingColumns=True)
 
 
-def _pair_scores(shared, seed: int, rounds: int, keep: int):
-    """log10 of the averaged probability of each bigram of a bucket, and its tokens' training counts."""
-    def run(key, customers, totals):
-        (row,) = customers.to_pylist()
-        bucket, model, _ = _placed(row, totals, shared.value)
+class Scores:
+    """A bucket's bigrams with log10 of their probabilities averaged over the rounds from ``keep`` on, and its tokens' training counts."""
+
+    def __init__(self, rows: list[dict], fields: dict, rounds: int, keep: int):
+        (customers,) = (r for r in rows if r["round"] is None)
+        bucket, model, seats, _ = _placed(customers, [r for r in rows if r["round"] is not None], fields)
         own, hot = bucket.hot_places(model)
         mean = np.zeros(len(bucket.counts))
-        for (tables, sent, above), state in zip(bucket.replay(model, seed, rounds, keep), model.rounds[keep:], strict=True):
-            customers, parent_tables = sent.astype(float), above.astype(float)
-            customers[own], parent_tables[own] = state["hot_customers"][hot], state["hot_tables"][hot]
-            parent = model.parent(customers, parent_tables, state)
+        for i in range(keep, rounds + 1):
+            (tables, sent, above), state = seats[i], model.rounds[i]
+            parent_customers, parent_tables = sent.astype(float), above.astype(float)
+            parent_customers[own], parent_tables[own] = state["hot_customers"][hot], state["hot_tables"][hot]
+            parent = model.parent(parent_customers, parent_tables, state)
             mean += model.child(bucket.counts, tables, bucket.contexts, parent[bucket.word], state)
-        counts = bucket.sums(bucket.counts)
-        counts[own] = model.hot_counts[hot]
-        logs = np.log10(mean / (rounds - keep + 1))
-        return pa.Table.from_batches([_batch([(bucket.number, row["tokens"], row["ends"], row["contexts"], logs.tobytes(), counts.tobytes())], _SCORES)])
-    return run
-
-
-class Scores:
-    """A bucket's bigrams with their scores."""
-
-    def __init__(self, number: int, tokens: bytes, ends: bytes, contexts: bytes, logs: bytes, counts: bytes):
-        self.words, self.counts = np.frombuffer(tokens, np.uint64), np.frombuffer(counts, np.int64)
-        word = np.repeat(np.arange(len(self.words)), np.diff(np.frombuffer(ends, np.uint32).astype(np.int64), prepend=0))
-        self.distinct, number = np.unique(np.frombuffer(contexts, np.uint64), return_inverse=True)
-        self.keys, self.logs = (word << 32) | number, np.frombuffer(logs, np.float64)
+        self.counts = bucket.sums(bucket.counts)
+        self.counts[own] = model.hot_counts[hot]
+        self.logs = np.log10(mean / (rounds - keep + 1))
+        self.words, self.distinct, self.keys = bucket.words, bucket.distinct, (bucket.word << 32) | bucket.context
 
     def at(self, words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-        """Places of bigrams (number of the word, context), which the bucket has."""
-        return np.searchsorted(self.keys, (words << 32) | np.searchsorted(self.distinct, contexts))
+        """Places of bigrams (numbers of the word and of the context), which the bucket has."""
+        return np.searchsorted(self.keys, (words << 32) | contexts)
 
 
-def _shared_pairs(pairs: np.ndarray):
+def _shared_pairs(shared, pairs: np.ndarray, rounds: int, keep: int):
     """Score and training count of the ``pairs`` that a bucket has, with their numbers."""
     schema = pa.schema([("number", pa.int32()), ("log", pa.float64()), ("n", pa.int64())])
 
-    def run(batches):
-        for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                own = Scores(*(row[c] for c in _SCORES.names))
-                word = np.searchsorted(own.words, pairs[:, 0])
-                has = (word < len(own.words)) & np.isin(pairs[:, 0], own.words) & np.isin(pairs[:, 1], own.distinct)
-                for i in np.flatnonzero(has):
-                    (at,) = own.at(word[i:i + 1], pairs[i:i + 1, 1])
-                    if at < len(own.keys) and own.keys[at] == (int(word[i]) << 32 | int(np.searchsorted(own.distinct, pairs[i, 1]))):
-                        rows.append((int(i), float(own.logs[at]), int(own.counts[word[i]])))
-            yield _batch(rows, schema)
+    def run(key, table):
+        own = Scores(table.to_pylist(), shared.value, rounds, keep)
+        word, context = np.searchsorted(own.words, pairs[:, 0]), np.searchsorted(own.distinct, pairs[:, 1])
+        at = np.minimum(own.at(word, context), len(own.keys) - 1)
+        has = np.flatnonzero(np.isin(pairs[:, 0], own.words) & np.isin(pairs[:, 1], own.distinct) & (own.keys[at] == (word << 32) | context))
+        return pa.Table.from_batches([_batch([(int(i), float(own.logs[at[i]]), int(own.counts[word[i]])) for i in has], schema)])
     return run
 
 
@@ -517,24 +582,24 @@ def _occurrence_schema(key: pa.DataType) -> pa.Schema:
     return pa.schema([*_CUSTOMERS, *_PARTIAL, ("keys", pa.list_(key)), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64()))])
 
 
-def _looked_up(trained: int, vocabulary: int, key_type: pa.DataType):
+def _looked_up(shared, rounds: int, keep: int, key_type: pa.DataType):
     schema = pa.schema([*_PARTIAL, ("keys", pa.list_(key_type)), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64()))])
 
-    def run(key, occurrences, scores):
+    def run(key, occurrences, judging):
         heads = occurrences.filter(pa.compute.is_valid(occurrences["keys"])).select(schema.names).cast(schema)
         rows = occurrences.filter(pa.compute.is_null(occurrences["keys"]))
         if not rows.num_rows:
             return heads
-        flat = np.log10(trained + 0.5 * (vocabulary + 1))
-        (own,) = scores.to_pylist()
-        own = Scores(*(own[c] for c in _SCORES.names))
+        model = Model.of(shared.value[0])
+        flat = np.log10(model.trained + 0.5 * (model.vocabulary + 1))
+        own = Scores(judging.to_pylist(), shared.value[0], rounds, keep)
         out = []
         for row in zip(*(rows[c].to_pylist() for c in ("tokens", "ends", "contexts", "counts", "place")), strict=True):
-            runs = np.diff(np.frombuffer(row[1], np.uint32).astype(np.int64), prepend=0)
-            word = np.repeat(np.searchsorted(own.words, np.frombuffer(row[0], np.uint64)), runs)
-            score = own.logs[own.at(word, np.frombuffer(row[2], np.uint64))]
+            word = np.repeat(np.searchsorted(own.words, unpacked_rising(row[0], np.uint64)), unpacked(row[1], np.uint32))
+            distinct, number = unpacked_contexts(row[2])
+            score = own.logs[own.at(word, np.searchsorted(own.distinct, distinct)[number])]
             count = own.counts[word]
-            docs = np.frombuffer(row[3], np.uint16).astype(np.int64)
+            docs = unpacked(row[3], np.uint16).astype(np.int64)
             found, local = np.unique(docs, return_inverse=True)
             out.append((row[4], found.astype(np.uint16).tobytes(), np.bincount(local, count > 0).astype(np.uint32).tobytes(),
                         np.bincount(local, np.log10(count + 0.5) - flat).tobytes(), np.bincount(local, score).tobytes(), None, None, None))
@@ -581,25 +646,29 @@ def scored(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "text
     total, hot, pairs = frequent(plain, t)
     buckets = max(12, -(-total // BUCKET_TOKENS))
     kind_of = lambda names: "bucket int, " + ", ".join(f"{c} binary" for c in names.names[1:])
-    packed = plain.select(t, "held").mapInArrow(_bigrams(t, hot, buckets, "held"), kind_of(_CUSTOMERS))
-    customers = written(packed.groupBy("bucket").applyInArrow(_merged, kind_of(_CUSTOMERS)), "pitman-yor-customers")
+    packed_rows = plain.select(t, "held").mapInArrow(_bigrams(t, hot, buckets, "held"), kind_of(_CUSTOMERS))
+    customers = written(packed_rows.groupBy("bucket").applyInArrow(_merged, kind_of(_CUSTOMERS)), "pitman-yor-customers")
 
     seen = [np.frombuffer(r["seen"], np.int64) for r in customers.mapInArrow(_known(hot), "seen binary").collect()]
     seen = np.sum(seen, axis=0) if seen else np.zeros(len(hot) + 1, np.int64)
     vocabulary = int(seen[-1] + np.minimum(seen[:-1], 1).sum())
+    del packed_rows
+    _drop_shuffles(spark)
     model = trained(customers, hot, vocabulary, seed, rounds)
     keep = min(burn_in + 1, rounds)
-    shared = spark.sparkContext.broadcast(model.fields())
-    judged = written(_with_totals(customers, model).applyInArrow(_pair_scores(shared, seed, rounds, keep), kind_of(_SCORES)), "pitman-yor-scores")
+    judging = _judging(customers, model, rounds, keep)
     logs, counts = np.zeros(len(pairs)), np.zeros(len(pairs), np.int64)
-    for r in judged.mapInArrow(_shared_pairs(pairs), "number int, log double, n long").collect() if len(pairs) else []:
-        logs[r["number"]], counts[r["number"]] = r["log"], r["n"]
+    if len(pairs):
+        shared = spark.sparkContext.broadcast(model.fields())
+        own = judging.where(F.col("bucket").isin(np.unique(bucket_of(pairs[:, 0], pairs[:, 1], hot, buckets)).tolist()))
+        for r in own.groupBy("bucket").applyInArrow(_shared_pairs(shared, pairs, rounds, keep), "number int, log double, n long").collect():
+            logs[r["number"]], counts[r["number"]] = r["log"], r["n"]
+        _drop_shuffles(spark)
     with_pairs = spark.sparkContext.broadcast((model.fields(), pairs, logs, counts))
     partial = "place long, docs binary, known binary, base binary, score binary"
     lists = f"keys array<{kind}>, held array<boolean>, sizes array<long>"
     found = plain.mapInArrow(_occurrences(with_pairs, t, buckets), f"{kind_of(_CUSTOMERS)}, {partial}, {lists}")
-    looked_up = found.groupBy("bucket").cogroup(judged.groupBy("bucket")).applyInArrow(
-        _looked_up(model.trained, vocabulary, key_type), f"{partial}, {lists}")
+    looked_up = found.groupBy("bucket").cogroup(judging.groupBy("bucket")).applyInArrow(_looked_up(with_pairs, rounds, keep, key_type), f"{partial}, {lists}")
     scores = looked_up.groupBy("place").applyInArrow(
         _summed(key_type), f"key {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scores.select(

@@ -190,6 +190,34 @@ def test_probabilities_sum_to_one(shared):
             assert p.sum() + rest == pytest.approx(1)
 
 
+def test_rounds_go_on_from_the_stored_seating(shared):
+    """A round's table has each bucket's seating, so none is drawn twice, and only the first one has hashes."""
+    docs = shared.createDataFrame([(i, f"a b a{i % 7} b c a{i % 3} b") for i in range(60)], "doc_id long, text string")
+    kind = "bucket int, tokens binary, ends binary, contexts binary, counts binary"
+    packed = docs.select("text").mapInArrow(pitman_yor._bigrams("text", np.empty(0, np.uint64), 3), kind)
+    customers = packed.groupBy("bucket").applyInArrow(pitman_yor._merged, kind)
+    model = pitman_yor.trained(customers, np.empty(0, np.uint64), 12, 5, 3)
+    buckets = {r["bucket"]: pitman_yor.Bucket(*r) for r in customers.collect()}
+    for i in range(4):
+        stored = model.rounds[i]["by_context"].table.collect()
+        assert any(r["bucket"] < 0 and len(r["contexts"]) for r in stored) == (i == 0)
+        seats = {r["bucket"]: pitman_yor.unpacked(r["sums"], np.uint32).tolist() for r in stored if r["part"] < -1}
+        assert seats == ({b: own.replay(model, 5, i, i)[0][0].tolist() for b, own in buckets.items()} if i else {})
+
+
+def test_packed_arrays():
+    rng = np.random.default_rng(3)
+    for kind, high in ((np.uint16, 1 << 16), (np.uint32, 1 << 32), (np.int64, 1 << 62), (np.uint64, (1 << 64) - 1)):
+        for n in (0, 1, 1000):
+            values = rng.integers(0, high, n, dtype=kind)
+            assert pitman_yor.unpacked(pitman_yor.packed(values), kind).tolist() == values.tolist()
+            if kind is not np.int64:
+                assert pitman_yor.unpacked_rising(pitman_yor.packed_rising(np.sort(values)), kind).tolist() == sorted(values.tolist())
+    contexts = rng.integers(0, 50, 300, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    distinct, number = pitman_yor.unpacked_contexts(pitman_yor.packed_contexts(contexts))
+    assert distinct[number].tolist() == contexts.tolist() and len(distinct) == 50
+
+
 @pytest.mark.parametrize("pair", [False, True])
 def test_each_context_is_a_restaurant_of_its_own(shared, documents, pair):
     """Before the first round all dishes have one table, so the scores follow from counts alone."""
