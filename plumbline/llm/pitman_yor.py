@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.storage import clear_of, written
+from plumbline.llm.storage import clear_of, dropped, written
 from plumbline.llm.words import NOT_SPACE, hash_words, mix, slabs, text_bytes
 
 HOT = 64  # tokens at most that are spread by context
@@ -44,7 +44,7 @@ START = np.uint64(0x5EED057A7)
 # Arrays as bytes
 
 def packed(values: np.ndarray) -> bytes:
-    """Integers as compressed byte planes, behind their size."""
+    """Numbers as compressed byte planes, behind their size."""
     planes = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
     return len(planes).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(planes, asbytes=True) if planes else b""
 
@@ -68,12 +68,12 @@ def packed_contexts(contexts: np.ndarray) -> bytes:
     """Distinct contexts ascending, and the number of each one among them."""
     distinct, number = np.unique(contexts, return_inverse=True)
     first = packed_rising(distinct)
-    return len(first).to_bytes(8, "little") + first + packed(number.astype(np.uint32))
+    return len(first).to_bytes(8, "little") + first + packed_rising(number.astype(np.uint32))  # falls, which come back by overflow, are few
 
 
 def unpacked_contexts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     end = 8 + int.from_bytes(data[:8], "little")
-    return unpacked_rising(data[8:end], np.uint64), unpacked(data[end:], np.uint32).astype(np.int64)
+    return unpacked_rising(data[8:end], np.uint64), unpacked_rising(data[end:], np.uint32).astype(np.int64)
 
 
 # The tokens of Arrow batches
@@ -484,8 +484,11 @@ def _state(model: Model, table: DataFrame, first: DataFrame, rest: np.ndarray, r
         "tables": float(rest[1] + above.sum()), "hot_customers": sent.astype(float), "hot_tables": above.astype(float)}
 
 
-def trained(customers: DataFrame, hot: np.ndarray, vocabulary: int, seed: int, rounds: int) -> Model:
-    """Runs the rounds. Discounts come from the numbers of dishes with one and with two customers, as in Kneser-Ney smoothing."""
+def trained(customers: DataFrame, hot: np.ndarray, vocabulary: int, seed: int, rounds: int, keep: int = 0) -> Model:
+    """Runs the rounds. Discounts come from the numbers of dishes with one and with two customers, as in Kneser-Ney smoothing.
+
+    Tables of the rounds between the first and ``keep`` are deleted once the next round has been drawn from them.
+    """
     pairs = customers.agg(F.coalesce(F.sum(F.octet_length("contexts")), F.lit(0))).first()[0] // PAIR_BYTES
     bits = max(PART_BITS, int(pairs // PART_PAIRS).bit_length())
     model = Model(hot, vocabulary, 0, None, (0.5, 0.5), np.zeros(len(hot), np.int64))
@@ -496,6 +499,8 @@ def trained(customers: DataFrame, hot: np.ndarray, vocabulary: int, seed: int, r
     for i in range(1, rounds + 1):
         table, rest = _add_up(customers, model, seed, i, bits)
         model.rounds.append(_state(model, table, first, rest, np.random.default_rng([seed, 0, i])))
+        if 1 < i <= keep:
+            dropped(model.rounds[i - 1]["by_context"].table)
         _drop_shuffles(customers.sparkSession)
     return model
 
@@ -547,6 +552,10 @@ def _shared_pairs(shared, pairs: np.ndarray, rounds: int, keep: int):
 _PARTIAL = [("place", pa.int64()), ("docs", pa.binary()), ("known", pa.binary()), ("base", pa.binary()), ("score", pa.binary())]
 
 
+def _partial(docs: np.ndarray, known: np.ndarray, base: np.ndarray, score: np.ndarray) -> tuple[bytes, ...]:
+    return packed_rising(docs.astype(np.uint16)), packed(known.astype(np.uint32)), packed(base), packed(score)
+
+
 def _occurrences(shared, text: str, buckets: int):
     """Each text's tokens by bucket; those of shared bigrams are scored here, and come with the texts' keys under a bucket of their own."""
     def run(batches):
@@ -567,11 +576,10 @@ def _occurrences(shared, text: str, buckets: int):
                     is_hot, n = which >= 0, part.num_rows
                     which, own = which[is_hot], docs[is_hot]
                     sums = [np.bincount(own, w, n) for w in ((counts[which] > 0).astype(float), np.log10(counts[which] + 0.5) - flat, logs[which])]
-                    head = (buckets + place % buckets, None, None, None, None, place, np.arange(n, dtype=np.uint16).tobytes(),
-                            sums[0].astype(np.uint32).tobytes(), sums[1].tobytes(), sums[2].tobytes(), part.column("key").to_pylist(),
+                    head = (buckets + place % buckets, None, None, None, None, place, *_partial(np.arange(n), *sums), part.column("key").to_pylist(),
                             part.column("held").to_pylist(), sizes.tolist())
                     cold = np.flatnonzero(~is_hot)
-                    cold = cold[np.argsort(tokens[cold], kind="stable")]
+                    cold = cold[np.lexsort((contexts[cold], tokens[cold]))]
                     rows = _rows_by_bucket(tokens[cold], contexts[cold], docs[cold].astype(np.uint16), model.hot, buckets)
                     yield _batch([head, *((*row, place, *[None] * 7) for row in rows)], _occurrence_schema(part.column("key").type))
                     place += 1
@@ -601,8 +609,8 @@ def _looked_up(shared, rounds: int, keep: int, key_type: pa.DataType):
             count = own.counts[word]
             docs = unpacked(row[3], np.uint16).astype(np.int64)
             found, local = np.unique(docs, return_inverse=True)
-            out.append((row[4], found.astype(np.uint16).tobytes(), np.bincount(local, count > 0).astype(np.uint32).tobytes(),
-                        np.bincount(local, np.log10(count + 0.5) - flat).tobytes(), np.bincount(local, score).tobytes(), None, None, None))
+            sums = np.bincount(local, count > 0), np.bincount(local, np.log10(count + 0.5) - flat), np.bincount(local, score)
+            out.append((row[4], *_partial(found, *sums), None, None, None))
         found = pa.Table.from_batches([_batch(out, schema)])
         return pa.concat_tables([heads, found]) if heads.num_rows else found
     return run
@@ -617,10 +625,10 @@ def _summed(key_type: pa.DataType):
         known, base, score = np.zeros(len(sizes), np.int64), np.zeros(len(sizes)), np.zeros(len(sizes))
         parts = zip(*(table[c].to_pylist() for c in ("docs", "known", "base", "score")), strict=True)
         for docs, k, b, s in sorted(parts):  # always in the same order, for the same rounding
-            at = np.frombuffer(docs, np.uint16).astype(np.int64)
-            known[at] += np.frombuffer(k, np.uint32)
-            base[at] += np.frombuffer(b, np.float64)
-            score[at] += np.frombuffer(s, np.float64)
+            at = unpacked_rising(docs, np.uint16).astype(np.int64)
+            known[at] += unpacked(k, np.uint32)
+            base[at] += unpacked(b, np.float64)
+            score[at] += unpacked(s, np.float64)
         return pa.Table.from_arrays(
             [pa.array(head["keys"].to_pylist()[0], key_type), pa.array(head["held"].to_pylist()[0], pa.bool_()), pa.array(sizes), pa.array(known), pa.array(base), pa.array(score)],
             schema=schema)
@@ -654,8 +662,8 @@ def scored(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "text
     vocabulary = int(seen[-1] + np.minimum(seen[:-1], 1).sum())
     del packed_rows
     _drop_shuffles(spark)
-    model = trained(customers, hot, vocabulary, seed, rounds)
     keep = min(burn_in + 1, rounds)
+    model = trained(customers, hot, vocabulary, seed, rounds, keep)
     judging = _judging(customers, model, rounds, keep)
     logs, counts = np.zeros(len(pairs)), np.zeros(len(pairs), np.int64)
     if len(pairs):
