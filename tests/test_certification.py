@@ -54,3 +54,11 @@ def test_load_faults_are_counted_on_the_keys_near_the_edits(spark, monkeypatch,
     monkeypatch.setattr(fault_queries.certify, "count_variants", seen)
     QUERIES[name](spark, "/root/testdata/sf0.001").collect()
     assert sizes and max(sizes) <= 16
+
+
+def test_freshness_variants_need_few_datasets(spark):
+    needs = spark.sql("SELECT concat('d', id) AS dataset_id, TIMESTAMP '2024-01-01' + make_dt_interval(0, 0, id % 5) AS as_of, CAST(60 + id AS INT) AS sla_minutes FROM range(40)")
+    family = fault_queries.FRESHNESS
+    (keys,) = family.near({"freshness_requirements": needs}).values()
+    assert [k.first()[0] for k in keys[:2]] == ["d0", "d39"]
+    assert set(family.domains.values()) == {"dataset_id"} and family.wide == ("fresh_boundary",)
