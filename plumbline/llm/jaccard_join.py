@@ -1,11 +1,12 @@
 """Similarity self-join of texts on word n-gram sets by signature trees.
 
 1. Every text becomes its set of n-gram hashes; texts with equal sets form a class.
-2. Routing, without loss: in one order of all members, rarest first, linked sets share one of their first
-   ``size - ceil(t * size) + 1`` members. These, sent to hash buckets as packed arrays, join classes into
-   clusters outside which no link can be. The order comes from two tables of bounded size over all texts: counts of the
-   most frequent members, and of words by cells of the hash range, for what a member's words let expect. What
-   the tables blur only makes clusters larger.
+2. Routing, without loss: in one order of all members, rarest first, linked sets share at least one of their first
+   ``size - ceil(t * size) + 1`` members, and as many more as their sizes and some members beyond (``prefix_size``) let prove
+   (``least_shared``). These, sent to hash buckets as packed arrays, are counted for each pair of classes; pairs that share enough
+   join classes into clusters outside which no link can be. Members of more than ``PAIRED`` sets join all of their sets,
+   uncounted. The order comes from two tables of bounded size over all texts: counts of the most frequent members, and of words
+   by cells of the hash range, for what a member's words let expect. What the tables blur only makes clusters larger.
 3. Signature trees: within a cluster, nodes hold the OR of their sets' bitmaps and a size range. A dual
    traversal drops node pairs whose largest possible overlap is too small, and pairs already in one component.
    Large clusters are cut into blocks that share the cluster's first class; block pairs are compared only for
@@ -35,6 +36,9 @@ CELLS = 1 << 16  # of words, counted together
 MIN_COUNT = 4  # below it, members count as equally rare
 TOGETHER = 4_000_000  # members of texts looked at together
 SALT_SETS = 50_000  # sets of one member in one bucket
+PAIRED = 64  # sets of one member at most whose pairs are counted
+PAIRS_TOGETHER = 4_000_000  # pairs counted together
+BEYOND = 64  # a set of so many members routes one more than a link needs
 LEAF, FAN = 16, 4
 FILTER_BITS = 1 << 28  # of the filter of wanted keys, at most
 BLOCK_CLASSES, BLOCK_MEMBERS = 2048, 16_000_000  # of one task: 128 MB of members
@@ -46,6 +50,21 @@ def set_key(members: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
+def prefix_size(size, num: int, den: int):
+    """Members that a set of ``size`` is routed by: enough for a link, and one in ``BEYOND`` more."""
+    return np.minimum(size, size - -(-num * size // den) + 1 + size // BEYOND)
+
+
+def least_shared(a, b, num: int, den: int):
+    """First members that linked sets of sizes ``a`` and ``b`` have in common at least.
+
+    Of the members in common, all up to the end of the prefix that ends first are in both; the set of that prefix has
+    ``size - prefix_size`` members beyond it.
+    """
+    common = -(-num * (a + b) // (num + den))
+    return common - np.maximum(a - prefix_size(a, num, den), b - prefix_size(b, num, den))
+
+
 class Order:
     """All members in one order: by their shared count, then by how common their words are, then by hash."""
 
@@ -61,8 +80,8 @@ class Order:
         return np.where(self.members[at] == members, self.counts[at], 0)
 
     def prefix(self, members: np.ndarray, levels: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-        """The first members of an ascending set, as many as leave room for a link beyond them, and their counts."""
-        wanted = len(members) - -(-num * len(members) // den) + 1
+        """The first members of an ascending set, ``prefix_size`` of them, and their counts."""
+        wanted = prefix_size(len(members), num, den)
         order = np.argsort(levels, kind="stable")
         members, levels = members[order], levels[order]
         for looked_at in (2 * wanted, len(members)):
@@ -236,21 +255,71 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
+def _added(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values with their counts added up."""
+    values, place = np.unique(np.concatenate([p[0] for p in pairs]), return_inverse=True)
+    return values, np.bincount(place, np.concatenate([p[1] for p in pairs]), len(values)).astype(np.int64)
+
+
+def _pairs_of_lists(owner: np.ndarray, size: np.ndarray, ends: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of owners (small integers) in one list whose sizes allow a link, each as ``smaller << 32 | larger``, with the number of lists.
+
+    Lists follow each other, ``ends`` has the end of the own list at each place, and sizes ascend in a list.
+    """
+    found, held = [], 0
+    places = np.arange(len(owner))
+    step = 1
+    while len(places):
+        places = places[places + step < ends[places]]
+        other = places + step
+        near = den * size[places] >= num * size[other]
+        places, other = places[near], other[near]  # further ones are larger still
+        found.append((owner[places] << 32 | owner[other], np.ones(len(places), np.int64)))
+        held += len(places)
+        if held >= PAIRS_TOGETHER:
+            found = [_added(found)]
+            held = 0
+        step += 1
+    return _added(found) if found else (np.empty(0, np.int64), np.empty(0, np.int64))
+
+
 def _shared(num: int, den: int):
-    """Classes of a bucket that share a member and differ little in size, each with the smallest it is joined to there."""
+    """Pairs of classes that share members of a bucket, with how many and how many a link needs in all buckets.
+
+    Members of more than ``PAIRED`` sets, and those dealt over several buckets, need none: each of their classes comes with the smallest it
+    is joined to by them. Sizes that differ too much for a link end a member's list.
+    """
     def run(key, table):
         member, owner, size = (np.concatenate([np.frombuffer(x, kind) for x in table[c].to_pylist()])
                                for c, kind in (("members", np.uint64), ("owners", np.int64), ("sizes", np.uint32)))
         salted = np.repeat(table["salted"].to_numpy(), [len(x) // 8 for x in table["members"].to_pylist()])
-        order = np.lexsort((size, member))
+        order = np.argsort(member)
+        step = member[order][1:] == member[order][:-1]
+        order = order[(np.r_[step, False] | np.r_[False, step] | salted[order]) if len(order) else []]
+        order = order[np.lexsort((owner[order], size[order], member[order]))]
         member, owner, size, salted = member[order], owner[order], size[order].astype(np.int64), salted[order]
+        new = np.r_[True, (member[1:] != member[:-1]) | (owner[1:] != owner[:-1])][:len(member)]  # groups repeat sets
+        member, owner, size, salted = member[new], owner[new], size[new], salted[new]
         # sizes ascend: where a step is too large for a link, no link crosses it
-        same = (member[1:] == member[:-1]) & (den * size[:-1] >= num * size[1:])
+        cut = np.flatnonzero(np.r_[True, (member[1:] != member[:-1]) | (den * size[:-1] < num * size[1:]), True]) if len(member) else np.zeros(1, np.int64)
+        ends = np.repeat(cut[1:], np.diff(cut))
+        many = salted | (np.repeat(np.diff(cut), np.diff(cut)) > PAIRED)
+        same = many[1:] & (ends[1:] == ends[:-1])
         a, b = owner[1:][same], owner[:-1][same]
         if salted.any():  # the buckets of one member meet in a node that stands for it
             a, b = np.r_[a, owner[salted]], np.r_[b, mix(member[salted], 23).astype(np.int64)]
         a, b = _forest(a, b) if len(a) else (a, b)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+        few = ~many
+        names, place = np.unique(owner[few], return_inverse=True)
+        sizes = np.zeros(len(names), np.int64)
+        sizes[place] = size[few]
+        left = np.cumsum(few) if len(few) else np.zeros(0, np.int64)
+        pairs, counts = _pairs_of_lists(place.astype(np.int64), size[few], left[ends[few] - 1], num, den)
+        x, y = pairs >> 32, pairs & 0xFFFFFFFF
+        need = least_shared(sizes[x], sizes[y], num, den)
+        columns = (np.r_[a, names[x]], np.r_[b, names[y]], np.r_[np.zeros(len(a), np.int64), counts], np.r_[np.zeros(len(a), np.int64), need])
+        return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("a", "b", "shared", "need"), columns, strict=True)})
     return run
 
 
@@ -443,7 +512,8 @@ def similarity_classes(
     order = spark.sparkContext.broadcast((order.members, order.counts, word_levels(counted_cells(counted))))
     packed = plain.select("text").mapInArrow(
         _prefixes(order, "text", words, num, den, buckets), "bucket int, salted boolean, members binary, owners binary, sizes binary")
-    shared = packed.groupBy("bucket").applyInArrow(_shared(num, den), "a long, b long")
+    shared = packed.groupBy("bucket").applyInArrow(_shared(num, den), "a long, b long, shared long, need long")
+    shared = shared.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("need").alias("need")).where("shared >= need")
     clusters = components(shared, "jaccard-clusters").select(F.col("node").alias("h1"), F.col("root").alias("cluster"))
     routed = written(classes.join(clusters, "h1"), "jaccard-routed")
 

@@ -461,6 +461,54 @@ def test_linked_sets_share_a_first_member(seed, size, edits):
             assert x & y
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 600), st.integers(0, 60), st.integers(0, 60))
+def test_linked_sets_share_as_many_first_members_as_stated(seed, size, only_a, only_b):
+    rng = np.random.default_rng(seed)
+    a, b = (np.unique(np.r_[rng.permutation(np.arange(1, size + 1, dtype=np.uint64)), rng.integers(1 << 20, 1 << 63, k, dtype=np.uint64)]) for k in (only_a, only_b))
+    both = np.unique(np.r_[a, b])
+    level = {m: int(x) for m, x in zip(both.tolist(), rng.integers(0, 9, len(both)), strict=True)}
+    listed = rng.permutation(both)[:int(rng.integers(0, len(both)))]
+    order = jaccard_join.Order(listed, rng.integers(4, 9, len(listed)))
+    for num, den in ((85, 100), (4, 5), (1, 2), (1, 80)):
+        if den * len(np.intersect1d(a, b)) >= num * len(both):
+            x, y = (order.prefix(s, np.array([level[m] for m in s.tolist()], np.uint16), num, den)[0] for s in (a, b))
+            assert len(np.intersect1d(x, y)) >= int(jaccard_join.least_shared(len(a), len(b), num, den)) >= 1
+
+
+def test_pairs_of_lists_are_counted(monkeypatch):
+    rng = np.random.default_rng(3)
+    size = rng.integers(50, 100, 30)
+    lists = [sorted(rng.permutation(30)[:int(rng.integers(1, 12))].tolist(), key=lambda i: (size[i], i)) for _ in range(40)]
+    expected = Counter((x, y) for own in lists for i, x in enumerate(own) for y in own[i + 1:] if 100 * size[x] >= 85 * size[y])
+    owner = np.array([x for own in lists for x in own], np.int64)
+    ends = np.repeat(np.cumsum([len(own) for own in lists]), [len(own) for own in lists])
+    for together in (4_000_000, 7):
+        monkeypatch.setattr(jaccard_join, "PAIRS_TOGETHER", together)
+        pairs, counts = jaccard_join._pairs_of_lists(owner, size[owner], ends, 85, 100)
+        assert expected == {(p >> 32, p & 0xFFFFFFFF): n for p, n in zip(pairs.tolist(), counts.tolist(), strict=True)}
+
+
+@pytest.mark.parametrize("paired", [1, 3, 64])
+def test_texts_with_a_phrase_in_common_do_not_meet(shared, monkeypatch, paired):
+    """A chain of texts, each with a rare phrase of the next, is no cluster; near copies are, however their members are routed."""
+    rng = np.random.default_rng(5)
+    common = [[f"w{x}" for x in rng.integers(0, 2000, 288)] for _ in range(40)]
+    phrase = [[f"p{i}x{j}" for j in range(6)] for i in range(41)]
+    texts = [" ".join(phrase[i] + common[i] + phrase[i + 1]) for i in range(40)]
+    texts += [texts[i].replace(common[i][150], "other", 1) for i in (4, 20, 20, 33)] + [texts[20] + " more"]
+    wanted = []
+    with_texts = jaccard_join._with_texts
+    monkeypatch.setattr(jaccard_join, "_with_texts", lambda units, plain: wanted.append(units.count()) or with_texts(units, plain))
+    monkeypatch.setattr(jaccard_join, "PAIRED", paired)
+    docs = shared.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in rows(jaccard_join.similarity_classes(docs, words=4, num=85, den=100))}
+    roots, _ = brute.components(texts, 4, 85, 100)
+    assert found == dict(enumerate(roots)) and sum(i != r for i, r in enumerate(roots)) == 5
+    if paired == 64:  # of the three groups, one each of equal sets
+        assert wanted == [7]
+
+
 def test_very_frequent_members_are_spread(documents, monkeypatch):
     monkeypatch.setattr(jaccard_join, "SALT_SETS", 3)
     monkeypatch.setattr(jaccard_join, "TOGETHER", 5_000)
